@@ -1,23 +1,25 @@
 """Distributed statistics building blocks.
 
-``prefix_sum`` is the core: an exact running sum ordered by a key inside
-each (low-cardinality) part, computed without putting a whole part into one
-task.  Exact quantiles, KS statistics, average-rank AUC and the exact
-stratified split are all written on top of it.
-
-Plan shape (N = number of slices):
-
-1. ``repartitionByRange(N, part, order)`` — one balanced shuffle; each slice
-   holds a contiguous key range.  The result is checkpointed to the shared
-   checkpoint folder so both passes below see the same slicing, and a lost
-   executor does not re-trigger the range sampling.
-2. per (slice, part) totals → an N+parts row table → exclusive running sum
-   over slices gives each slice its starting offset (small, broadcast by AQE
-   after it has measured it).
-3. local running sum inside (slice, part) + offset.
+``prefix_sum`` is the core: an exact running sum ordered by a numeric key
+inside each (low-cardinality) part, computed without putting a whole part
+into one task.  Exact quantiles, KS statistics, average-rank AUC and the
+exact stratified split are all written on top of it.
+
+Plan shape (N = slices per part):
+
+1. exact min/max of the key per part (one row per part) — deterministic, so
+   the slice of a row is a pure function of its value and every branch of
+   the plan (and every re-run after a lost executor) agrees on it without
+   materialising anything;
+2. slice = ⌊(key − min) / (max − min) · N⌋ (monotone in the key);
+3. per (part, slice) totals → at most parts·N rows → exclusive running sum
+   over slices gives each slice its offset (small; AQE broadcasts it after
+   measuring it);
+4. local running sum inside (part, slice), ordered by the key, plus offset.
 
 Callers pre-aggregate to distinct keys with counts first, so a key that
-holds a third of all rows is one row here.
+holds a third of all rows is a single row here; slice parallelism is
+N per part instead of one task per part.
 """
 
 from __future__ import annotations
@@ -29,34 +31,38 @@ from pyspark.sql import functions as F
 def _slices(df: DataFrame, n: int | None) -> int:
     if n:
         return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def prefix_sum(df: DataFrame, part_cols, order_cols, sum_cols, n_slices: int | None = None,
                inclusive: bool = True) -> DataFrame:
     """Add ``<c>_cum`` (running sum of ``c`` ordered by ``order_cols`` within
-    ``part_cols``) and ``<c>_tot`` (part total) for every ``c`` in ``sum_cols``.
+    ``part_cols``, inclusive of the current row) and ``<c>_tot`` (part total)
+    for every ``c`` in ``sum_cols``.
 
-    ``order_cols`` must be unique within a part (callers aggregate first).
+    ``order_cols[0]`` must be numeric; the full ``order_cols`` tuple must be
+    unique within a part (callers aggregate to distinct keys first).
     """
-    from ..session import checkpoint_dir
-
     part_cols, order_cols, sum_cols = list(part_cols), list(order_cols), list(sum_cols)
-    checkpoint_dir(df.sparkSession)
-    r = (df.repartitionByRange(_slices(df, n_slices), *[F.col(c) for c in part_cols + order_cols])
-         .withColumn("_slice", F.spark_partition_id())
-         .checkpoint(eager=True))
-    tot = r.groupBy("_slice", *part_cols).agg(*[F.sum(c).alias(f"_s_{c}") for c in sum_cols])
+    n = _slices(df, n_slices)
+    key = F.col(order_cols[0]).cast("double")
+    bounds = df.groupBy(*part_cols).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+    x = df.join(bounds, part_cols) if part_cols else with_one_row(df, bounds)
+    span = F.col("_hi") - F.col("_lo")
+    sl = F.when(span == 0, F.lit(0)).otherwise(
+        F.least(F.lit(n - 1), F.floor((key - F.col("_lo")) / span * F.lit(float(n))).cast("int")))
+    x = x.withColumn("_slice", F.coalesce(sl, F.lit(0))).drop("_lo", "_hi")
+    tot = x.groupBy(*part_cols, "_slice").agg(*[F.sum(c).alias(f"_s_{c}") for c in sum_cols])
     w_prev = Window.partitionBy(*part_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*part_cols)
-    off = tot.select("_slice", *part_cols,
+    off = tot.select(*part_cols, "_slice",
                      *[F.coalesce(F.sum(f"_s_{c}").over(w_prev), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
                      *[F.sum(f"_s_{c}").over(w_all).alias(f"{c}_tot") for c in sum_cols])
-    w_loc = (Window.partitionBy("_slice", *part_cols).orderBy(*order_cols)
+    w_loc = (Window.partitionBy(*part_cols, "_slice").orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
-    out = r.join(off, ["_slice", *part_cols])
+    out = x.join(off, [*part_cols, "_slice"])
     return out.select(
-        *[c for c in r.columns if c != "_slice"],
+        *df.columns,
         *[(F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(w_loc), F.lit(0))).alias(f"{c}_cum") for c in sum_cols],
         *[F.col(f"{c}_tot") for c in sum_cols],
     )

@@ -142,4 +142,7 @@ def with_ctes(select: str, *names: str) -> str:
     if not order:
         return select
     parts = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order)
+    body = select.lstrip()
+    if body[:5].upper() == "WITH ":
+        return f"WITH {parts},\n{body[5:]}"
     return f"WITH {parts}\n{select}"
