@@ -17,7 +17,7 @@ from .ctes import with_ctes
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
-ORACLES: dict[str, str] = {}
+_RAW_ORACLES: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 
 def query(name: str, oracle: str | None = None, ctes: tuple[str, ...] = ()):
@@ -26,7 +26,7 @@ def query(name: str, oracle: str | None = None, ctes: tuple[str, ...] = ()):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if oracle is not None:
-            ORACLES[name] = with_ctes(oracle, *ctes)
+            _RAW_ORACLES[name] = (oracle, tuple(ctes))
         return fn
     return deco
 
@@ -34,3 +34,10 @@ def query(name: str, oracle: str | None = None, ctes: tuple[str, ...] = ()):
 def load_all() -> None:
     """Import every module that registers queries."""
     from . import catalog  # noqa: F401
+
+
+def oracles() -> dict[str, str]:
+    """Oracle SQL texts with their CTE closures (resolved after every module
+    has defined its CTEs)."""
+    load_all()
+    return {n: with_ctes(sql, *ctes) for n, (sql, ctes) in _RAW_ORACLES.items()}
