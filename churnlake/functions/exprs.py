@@ -87,10 +87,13 @@ def safe_div(a: Column, b: Column) -> Column:
 def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     """Asymptotic two-sample KS p-value (Kolmogorov distribution):
     Q(λ) = 2 Σ_{k≥1} (-1)^(k-1) exp(-2 k² λ²), λ = D·sqrt(n·m/(n+m)),
-    clamped to [0, 1]."""
+    clamped to [0, 1].  Below λ = 0.1 the distribution's survival function
+    is 1 to double precision, where the truncated alternating series would
+    not have converged, so 1 is returned directly."""
     lam = d * F.sqrt((n * m).cast("double") / (n + m).cast("double"))
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
         lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1) * F.exp(F.lit(-2.0) * k * k * lam * lam),
     )
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(2.0) * series))
+    p = F.when(lam < 0.1, F.lit(1.0)).otherwise(F.lit(2.0) * series)
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), p))

@@ -193,9 +193,14 @@ class FeatureModel:
 
     @classmethod
     def fit(cls, raw: DataFrame, exact: bool = True) -> "FeatureModel":
-        p75 = p75_params(raw, exact)
+        """Fit the three parameter tables.  Each is a small aggregate result
+        and is materialised once, so applying the model never re-runs a fit."""
+        from ..session import materialize
+        p75 = materialize(p75_params(raw, exact))
         biz = business_features(raw, p75)
-        return cls(p75, fit_label_encoders(biz), fit_scaler(biz))
+        enc = materialize(fit_label_encoders(biz))
+        scaler = materialize(fit_scaler(apply_label_encoders(biz, enc)))
+        return cls(p75, enc, scaler)
 
     def transform(self, raw: DataFrame, scale: bool = True) -> DataFrame:
         x = business_features(raw, self.p75)

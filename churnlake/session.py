@@ -72,3 +72,12 @@ def _count():
 
 
 _counter = _count()
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder and return a
+    frame that reads it back.  Used for fitted parameter tables and for
+    inputs that several passes of one job read.  (Never a local checkpoint:
+    a lost executor must not lose the data.)"""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
