@@ -2,4 +2,4 @@
 
 from __future__ import annotations
 
-from . import q_analytics, q_drift, q_evaluation, q_features, q_monitoring, q_quality, q_scoring, q_training  # noqa: F401
+from . import q_analytics, q_drift, q_evaluation, q_features, q_monitoring, q_quality, q_scoring, q_streaming, q_training  # noqa: F401

@@ -156,10 +156,13 @@ def error_rate_5m(spark, sf_dir):
     return MO.window_counts(_log(spark, sf_dir)).select("window_start", "errors", "error_rate", "alert")
 
 
-@query("sustained_alerts", oracle=f"""
+SUSTAINED_SQL = f"""
 WITH w AS ({_WIN_SQL})
 SELECT a.window_start, 2 AS held_windows FROM w a JOIN w b ON b.window_start = a.window_start - INTERVAL 5 MINUTE
-WHERE a.alert AND b.alert""")
+WHERE a.alert AND b.alert"""
+
+
+@query("sustained_alerts", oracle=SUSTAINED_SQL)
 def sustained_alerts(spark, sf_dir):
     return MO.sustained_alerts(MO.window_counts(_log(spark, sf_dir)))
 
@@ -172,7 +175,7 @@ _BLONG = " UNION ALL ".join([f"SELECT ws, {i} AS le_idx, CAST({b} AS DOUBLE) AS
                             + [f"SELECT ws, {len(_BOUNDS)}, CAST(NULL AS DOUBLE), b{len(_BOUNDS)} FROM b"])
 
 
-@query("p95_latency_5m", oracle=f"""
+P95_SQL = f"""
 WITH b AS (SELECT time_bucket(INTERVAL '5 minutes', event_time) AS ws, {_BKT} FROM prediction_log GROUP BY 1),
 l AS ({_BLONG}),
 w AS (SELECT *, coalesce(lag(le) OVER (PARTITION BY ws ORDER BY le_idx), 0e0) AS lower,
@@ -182,7 +185,10 @@ h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ws ORDER BY le_id
                      WHERE cum >= 9.5e-1 * total AND total > 0) WHERE rn = 1)
 SELECT ws AS window_start,
        CASE WHEN le IS NULL THEN lower ELSE lower + (le - lower) * (9.5e-1 * total - cum_prev) / (cum - cum_prev) END
-         AS p95_latency_ms FROM h""")
+         AS p95_latency_ms FROM h"""
+
+
+@query("p95_latency_5m", oracle=P95_SQL)
 def p95_latency_5m(spark, sf_dir):
     return MO.p95_latency(_log(spark, sf_dir))
 
