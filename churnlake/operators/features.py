@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import flag, right_closed_bucket, weighted_sum
-from .stats import qname, quantile_row, with_one_row
+from .stats import qname, quantile_row
 
 # Fixed values (feature definitions of the reference).
 SERVICE_COLUMNS = ["online_security", "online_backup", "device_protection", "tech_support",
@@ -42,13 +42,17 @@ def p75_params(df: DataFrame, exact: bool = True) -> DataFrame:
     return quantile_row(df, ["monthly_charges"], [HIGH_SPENDER_QUANTILE], exact=exact)
 
 
-def business_features(df: DataFrame, p75: DataFrame | None = None, exact: bool = True) -> DataFrame:
-    """F1–F20 as one projection.  ``p75`` is the one-row threshold table
-    (fitted on this frame when not given)."""
+def p75_value(df: DataFrame, exact: bool = True) -> float | None:
+    """F3 threshold as a driver-side number (one aggregate job, one row)."""
+    return p75_params(df, exact).first()[0]
+
+
+def business_features(df: DataFrame, p75: float | None = None, exact: bool = True) -> DataFrame:
+    """F1–F20 as one projection.  ``p75`` is the fitted threshold (fitted on
+    this frame when not given); it enters the plan as a literal, like the
+    fitted state of any ``pyspark.ml`` model."""
     if p75 is None:
-        p75 = p75_params(df, exact)
-    thr = qname("monthly_charges", HIGH_SPENDER_QUANTILE)
-    x = with_one_row(df, p75)
+        p75 = p75_value(df, exact)
     ten, mon, tot = F.col("tenure_months"), F.col("monthly_charges"), F.col("total_charges")
     yes = {c: flag(F.col(c) == "Yes") for c in SERVICE_COLUMNS}
     total_services = None
@@ -58,10 +62,10 @@ def business_features(df: DataFrame, p75: DataFrame | None = None, exact: bool =
     hrc = flag(F.col("contract_type") == "Month-to-month")
     risky = flag(F.col("payment_method") == "Electronic check")
     noprot = flag((F.col("online_security") == "No") & (F.col("tech_support") == "No"))
-    out = x.withColumns({
+    return df.withColumns({
         "avg_monthly_spend": tot / (ten + 1),
         "charges_to_tenure_ratio": mon / (ten + 1),
-        "high_spender": flag(mon > F.col(thr)),
+        "high_spender": flag(mon > F.lit(p75).cast("double")),
         "is_new_customer": new,
         "is_loyal_customer": flag(ten >= 36),
         "tenure_group": right_closed_bucket(ten, TENURE_EDGES, TENURE_LABELS),
@@ -76,7 +80,6 @@ def business_features(df: DataFrame, p75: DataFrame | None = None, exact: bool =
         "risk_score": weighted_sum([(0.3, new == 1), (0.25, hrc == 1), (0.15, risky == 1), (0.15, noprot == 1),
                                     (0.15, total_services == 0)]),
     })
-    return out.drop(thr)
 
 
 def label_probability() -> Column:
@@ -116,25 +119,48 @@ def _sql_label(c: str) -> str:
     return f"coalesce(CAST(`{c}` AS STRING), '{'nan' if c == 'tenure_group' else 'None'}')"
 
 
-def apply_label_encoders(df: DataFrame, params: DataFrame, columns=None, unseen: int = -1,
-                         max_broadcast_entries: int = 1_000_000) -> DataFrame:
+MAX_DRIVER_ENCODER_ENTRIES = 100_000
+
+
+def collect_encoders(params: DataFrame, max_entries: int = MAX_DRIVER_ENCODER_ENTRIES):
+    """The fitted codes as ``{column: {value: code}}`` when the table holds
+    at most ``max_entries`` rows (checked with a bounded ``limit`` read),
+    else ``None`` (the caller keeps the join path)."""
+    rows = params.limit(max_entries + 1).collect()
+    if len(rows) > max_entries:
+        return None
+    out: dict[str, dict[str, int]] = {}
+    for r in rows:
+        out.setdefault(r["column"], {})[r["value"]] = int(r["code"])
+    return out
+
+
+def apply_label_encoders(df: DataFrame, params, columns=None, unseen: int = -1) -> DataFrame:
     """Add ``<col>_encoded``; a value not seen at fit time gets ``unseen``.
 
-    The parameter table is counted first: up to ``max_broadcast_entries`` it
-    is folded into one row of maps and broadcast (a map lookup per column,
-    no shuffle); beyond that each column is an equi-join that Spark plans
-    as a shuffle join.
+    ``params`` is the fitted ``{column: {value: code}}`` (or the parameter
+    table, collected when small enough).  Small maps become literal map
+    lookups in the projection — no join, no shuffle.  A table too large for
+    the driver is applied with one equi-join per column instead.
     """
     cols = [c for c in (columns or CATEGORICAL_COLUMNS) if c in df.columns]
-    n = params.filter(F.col("column").isin(cols)).count()
-    if n <= max_broadcast_entries:
-        maps = params.groupBy().agg(*[
-            F.map_from_entries(F.collect_list(F.when(F.col("column") == c, F.struct("value", "code"))))
-            .alias(f"_map_{c}") for c in cols])
-        x = with_one_row(df, maps)
-        x = x.withColumns({f"{c}_encoded": F.coalesce(F.element_at(F.col(f"_map_{c}"), _as_label(c)),
-                                                      F.lit(unseen)).cast("int") for c in cols})
-        return x.drop(*[f"_map_{c}" for c in cols])
+    if isinstance(params, DataFrame):
+        small = collect_encoders(params)
+        if small is None:
+            return _join_encoders(df, params, cols, unseen)
+        params = small
+    exprs = {}
+    for c in cols:
+        codes = params.get(c, {})
+        if codes:
+            m = F.create_map(*[x for kv in sorted(codes.items()) for x in (F.lit(kv[0]), F.lit(kv[1]))])
+            exprs[f"{c}_encoded"] = F.coalesce(F.element_at(m, _as_label(c)), F.lit(unseen)).cast("int")
+        else:
+            exprs[f"{c}_encoded"] = F.lit(unseen).cast("int")
+    return df.withColumns(exprs)
+
+
+def _join_encoders(df: DataFrame, params: DataFrame, cols, unseen: int) -> DataFrame:
     out = df
     for c in cols:
         p = params.filter(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"),
@@ -162,15 +188,19 @@ def fit_scaler(df: DataFrame, columns=None) -> DataFrame:
         .otherwise(F.col("std_raw")).alias("std"))
 
 
-def apply_scaler(df: DataFrame, params: DataFrame, columns=None) -> DataFrame:
-    """Replace each column by (x − mean) / std.  The parameter table has one
-    row per scaled column, so its pivot is one row and is broadcast."""
-    cols = [c for c in (columns or NUMERICAL_COLUMNS) if c in df.columns]
-    row = params.groupBy().agg(*[F.max(F.when(F.col("column") == c, F.col(k))).alias(f"_{k}_{c}")
-                                 for c in cols for k in ("mean", "std")])
-    x = with_one_row(df, row)
-    x = x.withColumns({c: (F.col(c).cast("double") - F.col(f"_mean_{c}")) / F.col(f"_std_{c}") for c in cols})
-    return x.drop(*[f"_{k}_{c}" for c in cols for k in ("mean", "std")])
+def collect_scaler(params: DataFrame) -> dict[str, tuple[float, float]]:
+    """``{column: (mean, std)}`` — one row per scaled column."""
+    return {r["column"]: (r["mean"], r["std"]) for r in params.collect()}
+
+
+def apply_scaler(df: DataFrame, params, columns=None) -> DataFrame:
+    """Replace each column by (x − mean) / std with the fitted moments as
+    literals (``params``: dict or the parameter table)."""
+    if isinstance(params, DataFrame):
+        params = collect_scaler(params)
+    cols = [c for c in (columns or NUMERICAL_COLUMNS) if c in df.columns and c in params]
+    return df.withColumns({c: (F.col(c).cast("double") - F.lit(params[c][0]).cast("double"))
+                           / F.lit(params[c][1]).cast("double") for c in cols})
 
 
 # --------------------------------------------------------------------------
@@ -186,20 +216,24 @@ def select_features(df: DataFrame, with_id: bool = True, with_label: bool = True
 
 
 class FeatureModel:
-    """Fitted state of the feature pipeline (p75, encoder codes, scaler)."""
+    """Fitted state of the feature pipeline: the p75 threshold, the
+    label-encoder codes and the scaler moments.  Like a ``pyspark.ml``
+    model, the (size-checked) state lives on the driver and enters plans as
+    literals; ``save``/``load`` persist it as parameter tables (S12)."""
 
-    def __init__(self, p75: DataFrame, encoders: DataFrame, scaler: DataFrame):
+    def __init__(self, p75: float | None, encoders, scaler: dict):
         self.p75, self.encoders, self.scaler = p75, encoders, scaler
 
     @classmethod
     def fit(cls, raw: DataFrame, exact: bool = True) -> "FeatureModel":
-        """Fit the three parameter tables.  Each is a small aggregate result
-        and is materialised once, so applying the model never re-runs a fit."""
-        from ..session import materialize
-        p75 = materialize(p75_params(raw, exact))
+        p75 = p75_value(raw, exact)
         biz = business_features(raw, p75)
-        enc = materialize(fit_label_encoders(biz))
-        scaler = materialize(fit_scaler(apply_label_encoders(biz, enc)))
+        enc_table = fit_label_encoders(biz)
+        enc = collect_encoders(enc_table)
+        if enc is None:   # too many distinct values for the driver: keep a written table
+            from ..session import materialize
+            enc = materialize(enc_table)
+        scaler = collect_scaler(fit_scaler(apply_label_encoders(biz, enc)))
         return cls(p75, enc, scaler)
 
     def transform(self, raw: DataFrame, scale: bool = True) -> DataFrame:
@@ -209,16 +243,31 @@ class FeatureModel:
             x = apply_scaler(x, self.scaler)
         return x
 
+    def tables(self, spark):
+        p75 = spark.createDataFrame([(self.p75,)], f"{qname('monthly_charges', HIGH_SPENDER_QUANTILE)} double")
+        if isinstance(self.encoders, DataFrame):
+            enc = self.encoders
+        else:
+            enc = spark.createDataFrame([(c, v, code) for c, m in self.encoders.items() for v, code in m.items()],
+                                        "column string, value string, code int")
+        sc = spark.createDataFrame([(c, m, s) for c, (m, s) in self.scaler.items()],
+                                   "column string, mean double, std double")
+        return p75, enc, sc
+
     def save(self, path: str) -> None:
         """Parameter tables as parquet under one folder."""
-        self.p75.write.mode("overwrite").parquet(f"{path}/p75")
-        self.encoders.write.mode("overwrite").parquet(f"{path}/label_encoders")
-        self.scaler.write.mode("overwrite").parquet(f"{path}/scaler")
+        from pyspark.sql import SparkSession
+        p75, enc, sc = self.tables(SparkSession.getActiveSession())
+        p75.write.mode("overwrite").parquet(f"{path}/p75")
+        enc.write.mode("overwrite").parquet(f"{path}/label_encoders")
+        sc.write.mode("overwrite").parquet(f"{path}/scaler")
 
     @classmethod
     def load(cls, spark, path: str) -> "FeatureModel":
-        return cls(spark.read.parquet(f"{path}/p75"), spark.read.parquet(f"{path}/label_encoders"),
-                   spark.read.parquet(f"{path}/scaler"))
+        p75 = spark.read.parquet(f"{path}/p75").first()[0]
+        enc_t = spark.read.parquet(f"{path}/label_encoders")
+        enc = collect_encoders(enc_t)
+        return cls(p75, enc if enc is not None else enc_t, collect_scaler(spark.read.parquet(f"{path}/scaler")))
 
 
 def feature_table(raw: DataFrame, model: FeatureModel | None = None, scale: bool = True) -> DataFrame:
