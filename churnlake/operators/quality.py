@@ -64,115 +64,116 @@ _FLOAT_TYPES = (T.FloatType, T.DoubleType)
 @dataclass
 class _Check:
     name: str
-    metrics: list = field(default_factory=list)   # (column, metric, agg Column)
-    passed: object = None                         # fn(list[Column]) -> Column
+    metrics: list = field(default_factory=list)   # (column, metric, SQL aggregate)
+    passed: object = None                         # fn(list[metric alias]) -> SQL predicate
 
 
 def _is_double(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, _FLOAT_TYPES)
 
 
+def _q(c: str) -> str:
+    return f"`{c}`"
+
+
+def _missing_sql(dtypes: dict, c: str) -> str:
+    return f"({_q(c)} IS NULL OR isnan({_q(c)}))" if dtypes[c] in ("double", "float") else f"({_q(c)} IS NULL)"
+
+
+def _not_nan_sql(dtypes: dict, c: str) -> str:
+    return f"NOT isnan({_q(c)})" if dtypes[c] in ("double", "float") else "TRUE"
+
+
+def _lit(v) -> str:
+    return "'" + str(v).replace("'", "\\'") + "'"
+
+
 def _missing(df: DataFrame, c: str) -> Column:
-    col = F.col(f"`{c}`")
-    return (col.isNull() | F.isnan(col)) if _is_double(df, c) else col.isNull()
+    return F.expr(_missing_sql(dict(df.dtypes), c))
 
 
 def _not_nan(df: DataFrame, c: str) -> Column:
-    col = F.col(f"`{c}`")
-    return ~F.isnan(col) if _is_double(df, c) else F.lit(True)
+    return F.expr(_not_nan_sql(dict(df.dtypes), c))
 
 
 def _checks(df: DataFrame, as_of: str | None) -> list[_Check]:
+    """Checks as SQL aggregate texts — the whole fused pass is parsed from
+    a handful of strings instead of being assembled call by call."""
+    dt = dict(df.dtypes)
     cols = df.columns
     out: list[_Check] = []
 
     # V1 — missing per column (null, and NaN for doubles); passes only at zero.
-    miss = [(c, "missing_count", F.count_if(_missing(df, c))) for c in cols]
+    miss = [(c, "missing_count", f"count_if({_missing_sql(dt, c)})") for c in cols]
     crit = [c for c in CRITICAL_COLUMNS if c in cols]
-    total = sum((F.count_if(_missing(df, c)) for c in cols), F.lit(0))
-    crit_total = sum((F.count_if(_missing(df, c)) for c in crit), F.lit(0))
+    total = " + ".join(f"count_if({_missing_sql(dt, c)})" for c in cols) or "0"
+    crit_total = " + ".join(f"count_if({_missing_sql(dt, c)})" for c in crit) or "0"
     out.append(_Check("missing_values",
                       miss + [(None, "total_missing", total), (None, "critical_missing", crit_total)],
-                      lambda m: m[-2] == 0))
+                      lambda m: f"{m[-2]} = 0"))
 
     # V2 — rows beyond the first per customer_id; null ids form one group.
     if "customer_id" in cols:
-        idc = F.col("customer_id")
-        dup = (F.count(F.lit(1)) - F.count_distinct(idc)
-               - F.when(F.count_if(idc.isNull()) > 0, 1).otherwise(0))
-        out.append(_Check("duplicates", [("customer_id", "duplicates_count", dup)], lambda m: m[0] == 0))
+        dup = ("count(1) - count(DISTINCT customer_id) - "
+               "CASE WHEN count_if(customer_id IS NULL) > 0 THEN 1 ELSE 0 END")
+        out.append(_Check("duplicates", [("customer_id", "duplicates_count", dup)], lambda m: f"{m[0]} = 0"))
 
     # V4 — inclusive bounds; missing is not out of range.
-    rng = []
-    for c, (lo, hi) in VALUE_RANGES.items():
-        if c in cols:
-            col = F.col(c)
-            rng.append((c, "out_of_range", F.count_if(((col < lo) | (col > hi)) & _not_nan(df, c))))
+    rng = [(c, "out_of_range", f"count_if(({_q(c)} < {lo} OR {_q(c)} > {hi}) AND {_not_nan_sql(dt, c)})")
+           for c, (lo, hi) in VALUE_RANGES.items() if c in cols]
     if rng:
-        out.append(_Check("value_ranges", rng, lambda m: _all_zero(m)))
+        out.append(_Check("value_ranges", rng, lambda m: " AND ".join(f"{x} = 0" for x in m)))
 
     # V5 — membership; a null category counts as invalid.
     cat = []
     for c, allowed in ALLOWED_VALUES.items():
         if c in cols:
-            cat.append((c, "invalid_count", F.count_if(~F.coalesce(F.col(c).isin(allowed), F.lit(False)))))
+            lst = ", ".join(_lit(v) for v in allowed)
+            cat.append((c, "invalid_count", f"count_if(NOT coalesce({_q(c)} IN ({lst}), FALSE))"))
     if cat:
-        out.append(_Check("categorical_values", cat, lambda m: _all_zero(m)))
+        out.append(_Check("categorical_values", cat, lambda m: " AND ".join(f"{x} = 0" for x in m)))
 
     # V6 — churn rate within [0.10, 0.50]; absent column → no check row.
     if "churned" in cols:
-        y = F.col("churned")
         lo, hi = TARGET_RATE_BOUNDS
         out.append(_Check("target_distribution",
-                          [("churned", "churn_rate", F.avg(y)),
-                           ("churned", "churn_count", F.sum(y)),
-                           ("churned", "no_churn_count", F.count_if(y == 0))],
-                          lambda m: F.coalesce((m[0] >= lo) & (m[0] <= hi), F.lit(False))))
+                          [("churned", "churn_rate", "avg(churned)"), ("churned", "churn_count", "sum(churned)"),
+                           ("churned", "no_churn_count", "count_if(churned = 0)")],
+                          lambda m: f"coalesce({m[0]} >= {lo!r}D AND {m[0]} <= {hi!r}D, FALSE)"))
 
     # V8 — whole days since the newest created_at ≤ 7; absent → skipped.
     if "created_at" in cols and as_of is not None:
-        newest = F.max(F.col("created_at").cast("timestamp"))
-        days = F.floor((F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(newest))
-                       / F.lit(86400000000))
+        days = (f"floor((unix_micros(CAST({_lit(as_of)} AS TIMESTAMP)) - "
+                f"unix_micros(max(CAST(created_at AS TIMESTAMP)))) / 86400000000)")
         out.append(_Check("data_freshness", [("created_at", "days_old", days)],
-                          lambda m: F.coalesce(m[0] <= FRESHNESS_DAYS, F.lit(False))))
+                          lambda m: f"coalesce({m[0]} <= {FRESHNESS_DAYS}, FALSE)"))
     return out
 
 
-def _all_zero(m):
-    cond = F.lit(True)
-    for x in m:
-        cond = cond & (x == 0)
-    return cond
-
-
 def _stack_rows(wide: DataFrame, rows) -> DataFrame:
-    """rows: (check, passed_col, severity, column, metric, value_col) → long."""
-    parts = []
+    """rows: (check, passed SQL, severity, column, metric, value SQL) → long
+    rows via one ``stack`` expression."""
+    args = []
     for check, passed, sev, column, metric, value in rows:
-        parts.append(F.struct(F.lit(check).alias("check"), passed.alias("passed"), F.lit(sev).alias("severity"),
-                              F.lit(column).cast("string").alias("column"), F.lit(metric).alias("metric"),
-                              value.cast("double").alias("value")))
-    return wide.select(F.inline(F.array(*parts)))
+        col_sql = "CAST(NULL AS STRING)" if column is None else _lit(column)
+        args.append(f"{_lit(check)}, ({passed}), {_lit(sev)}, {col_sql}, {_lit(metric)}, CAST({value} AS DOUBLE)")
+    expr = f"stack({len(rows)}, {', '.join(args)}) AS (`check`, passed, severity, `column`, metric, value)"
+    return wide.selectExpr(expr)
 
 
 def aggregate_checks(df: DataFrame, as_of: str | None = None) -> DataFrame:
     """V1, V2, V4, V5, V6, V8 in one aggregate pass."""
     checks = _checks(df, as_of)
-    aggs, idx = [], []
+    aggs, rows = [], []
     for ch in checks:
-        ids = []
+        names = []
         for col, metric, expr in ch.metrics:
-            ids.append(len(aggs))
-            aggs.append(expr.alias(f"m{len(aggs)}"))
-        idx.append(ids)
-    wide = df.agg(*aggs)
-    rows = []
-    for ch, ids in zip(checks, idx):
-        mcols = [F.col(f"m{i}") for i in ids]
-        passed = ch.passed(mcols)
-        for (col, metric, _), mc in zip(ch.metrics, mcols):
-            rows.append((ch.name, passed, SEVERITY[ch.name], col, metric, mc))
+            names.append(f"m{len(aggs)}")
+            aggs.append(f"{expr} AS m{len(aggs)}")
+        passed = ch.passed(names)
+        for (col, metric, _), n in zip(ch.metrics, names):
+            rows.append((ch.name, passed, SEVERITY[ch.name], col, metric, n))
+    wide = df.agg(*[F.expr(a) for a in aggs])
     return _stack_rows(wide, rows)
 
 
@@ -197,31 +198,31 @@ def check_data_types(df: DataFrame) -> DataFrame:
 
 def check_outliers(df: DataFrame, exact: bool = True) -> DataFrame:
     """V7: IQR fences (Q1 − 1.5·IQR, Q3 + 1.5·IQR), strict comparisons,
-    count and percentage per column; always passes (informative)."""
+    count and percentage per column; always passes (informative).  One
+    quantile job (one row), then the fences enter one counting pass as
+    literals."""
     cols = [c for c in OUTLIER_COLUMNS if c in df.columns]
     if not cols:
         return check_data_types(df.select()).limit(0)
-    # one quantile job (one row), then the fences enter the counting pass
-    # as literals
     qrow = quantile_row(df, cols, [0.25, 0.75], exact=exact).first()
-    x = df.select(*cols)
-    aggs = [F.count(F.lit(1)).alias("_n")]
+    aggs = ["count(1) AS _n"]
     for c in cols:
-        q1 = F.lit(qrow[qname(c, 0.25)]).cast("double")
-        q3 = F.lit(qrow[qname(c, 0.75)]).cast("double")
-        iqr = q3 - q1
-        lo, hi = q1 - F.lit(IQR_FACTOR) * iqr, q3 + F.lit(IQR_FACTOR) * iqr
-        v = F.col(c)
-        aggs.append(F.count_if((v < lo) | (v > hi)).alias(f"o_{c}"))
-    wide = x.agg(*aggs)
+        q1, q3 = qrow[qname(c, 0.25)], qrow[qname(c, 0.75)]
+        if q1 is None or q3 is None:
+            aggs.append(f"CAST(0 AS BIGINT) AS o_{c}")
+            continue
+        iqr = f"(CAST({q3!r} AS DOUBLE) - CAST({q1!r} AS DOUBLE))"
+        lo = f"(CAST({q1!r} AS DOUBLE) - {IQR_FACTOR!r}D * {iqr})"
+        hi = f"(CAST({q3!r} AS DOUBLE) + {IQR_FACTOR!r}D * {iqr})"
+        aggs.append(f"count_if({_q(c)} < {lo} OR {_q(c)} > {hi}) AS o_{c}")
+    wide = df.agg(*[F.expr(a) for a in aggs])
     rows = []
-    total = F.lit(0)
     for c in cols:
-        rows.append(("outliers", F.lit(True), SEVERITY["outliers"], c, "outlier_count", F.col(f"o_{c}")))
-        rows.append(("outliers", F.lit(True), SEVERITY["outliers"], c, "outlier_pct",
-                     F.try_divide(F.col(f"o_{c}").cast("double"), F.col("_n").cast("double")) * F.lit(100.0)))
-        total = total + F.col(f"o_{c}")
-    rows.append(("outliers", F.lit(True), SEVERITY["outliers"], None, "total_outliers", total))
+        rows.append(("outliers", "TRUE", SEVERITY["outliers"], c, "outlier_count", f"o_{c}"))
+        rows.append(("outliers", "TRUE", SEVERITY["outliers"], c, "outlier_pct",
+                     f"try_divide(CAST(o_{c} AS DOUBLE), CAST(_n AS DOUBLE)) * 100.0D"))
+    rows.append(("outliers", "TRUE", SEVERITY["outliers"], None, "total_outliers",
+                 " + ".join(f"o_{c}" for c in cols)))
     return _stack_rows(wide, rows)
 
 

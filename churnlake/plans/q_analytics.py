@@ -17,9 +17,16 @@ _CR_COLS = ("customer_id, tenure_months, monthly_charges, total_charges, contrac
 
 @query("scan_customers", oracle=f"SELECT {_CR_COLS} FROM customers_raw")
 def scan_customers(spark, sf_dir):
+    """Full scan of the loaded table."""
     return FX.customers_raw(spark, sf_dir)
 
 
+@query("load_customers_raw", oracle=f"SELECT {_CR_COLS} FROM customers_raw")
+def load_customers_raw(spark, sf_dir):
+    """The load job itself: customer ⟕ per-customer order aggregate."""
+    return FX.derive_customers_raw(spark, sf_dir)
+
+
 @query("churn_summary", oracle="""
 SELECT contract_type, COUNT(*) AS total_customers, CAST(SUM(churned) AS BIGINT) AS churned_customers,
        ROUND(AVG(churned) * 100, 2) AS churn_rate_pct, ROUND(AVG(monthly_charges), 2) AS avg_monthly_charges,
@@ -77,7 +84,7 @@ def preview_head(spark, sf_dir):
 @query("sink_overwrite_roundtrip", oracle=f"SELECT {_CR_COLS} FROM customers_raw")
 def sink_overwrite_roundtrip(spark, sf_dir):
     """S3: overwrite-write the table to shared storage and scan it back."""
-    return sinks.overwrite_roundtrip(spark, FX.customers_raw(spark, sf_dir), "customers_raw")
+    return sinks.overwrite_roundtrip(spark, FX.derive_customers_raw(spark, sf_dir), "customers_raw_copy")
 
 
 @query("load_rowcount_check", oracle="""
