@@ -2,24 +2,26 @@
 
 ``prefix_sum`` is the core: an exact running sum ordered by a numeric key
 inside each (low-cardinality) part, computed without putting a whole part
-into one task.  Exact quantiles, KS statistics, average-rank AUC and the
-exact stratified split are all written on top of it.
-
-Plan shape (N = slices per part):
-
-1. exact min/max of the key per part (one row per part) — deterministic, so
-   the slice of a row is a pure function of its value and every branch of
-   the plan (and every re-run after a lost executor) agrees on it without
-   materialising anything;
-2. slice = ⌊(key − min) / (max − min) · N⌋ (monotone in the key);
-3. per (part, slice) totals → at most parts·N rows → exclusive running sum
-   over slices gives each slice its offset (small; AQE broadcasts it after
-   measuring it);
+into one task.  Exact quantiles, KS statistics, average-rank AUC, the exact
+stratified split and the drift timeline are written on top of it.
+
+Plan shape:
+
+1. level-1 slices: equal width between the part's exact min and max
+   (N per part);
+2. level-2 slices: each level-1 slice is cut again, between its own min and
+   max, into ⌈rows / target⌉ pieces — a heavy-tailed feature whose values
+   crowd into one level-1 slice is spread out here;
+3. per (part, slice) totals — at most parts·N·N₂ rows — give each slice its
+   offset by an exclusive running sum over slices (AQE broadcasts the small
+   table after measuring it);
 4. local running sum inside (part, slice), ordered by the key, plus offset.
 
-Callers pre-aggregate to distinct keys with counts first, so a key that
-holds a third of all rows is a single row here; slice parallelism is
-N per part instead of one task per part.
+Slices are pure functions of the value (min, max and counts are exact and
+deterministic), so every branch of the plan — and every re-run after a lost
+executor — agrees on them without materialising anything.  Callers
+pre-aggregate to distinct keys with counts first, so a key that holds a
+third of all rows is a single row here.
 """
 
 from __future__ import annotations
@@ -27,6 +29,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# rows per level-2 slice (the unit one task sorts for the local running sum)
+TARGET_SLICE_ROWS = 2_000_000
+MAX_SUBSLICES = 4096
+
 
 def _slices(df: DataFrame, n: int | None) -> int:
     if n:
@@ -34,8 +40,14 @@ def _slices(df: DataFrame, n: int | None) -> int:
     return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _equal_width(key, lo, hi, n):
+    span = hi - lo
+    return F.coalesce(F.when(span == 0, F.lit(0)).otherwise(
+        F.least(n - 1, F.floor((key - lo) / span * n.cast("double")).cast("int"))), F.lit(0))
+
+
 def prefix_sum(df: DataFrame, part_cols, order_cols, sum_cols, n_slices: int | None = None,
-               inclusive: bool = True) -> DataFrame:
+               inclusive: bool = True, target_slice_rows: int = TARGET_SLICE_ROWS) -> DataFrame:
     """Add ``<c>_cum`` (running sum of ``c`` ordered by ``order_cols`` within
     ``part_cols``, inclusive of the current row) and ``<c>_tot`` (part total)
     for every ``c`` in ``sum_cols``.
@@ -46,18 +58,28 @@ def prefix_sum(df: DataFrame, part_cols, order_cols, sum_cols, n_slices: int | N
     part_cols, order_cols, sum_cols = list(part_cols), list(order_cols), list(sum_cols)
     n = _slices(df, n_slices)
     key = F.col(order_cols[0]).cast("double")
+    # level 1
     bounds = df.groupBy(*part_cols).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
     x = df.join(bounds, part_cols) if part_cols else with_one_row(df, bounds)
-    span = F.col("_hi") - F.col("_lo")
-    sl = F.when(span == 0, F.lit(0)).otherwise(
-        F.least(F.lit(n - 1), F.floor((key - F.col("_lo")) / span * F.lit(float(n))).cast("int")))
-    x = x.withColumn("_slice", F.coalesce(sl, F.lit(0))).drop("_lo", "_hi")
+    x = x.withColumn("_s1", _equal_width(key, F.col("_lo"), F.col("_hi"), F.lit(n))).drop("_lo", "_hi")
+    # level 2
+    st = (x.groupBy(*part_cols, "_s1")
+          .agg(F.min(key).alias("_lo2"), F.max(key).alias("_hi2"), F.count(F.lit(1)).alias("_c"))
+          .withColumn("_n2", F.least(F.lit(MAX_SUBSLICES),
+                                     F.greatest(F.lit(1), F.ceil(F.col("_c") / F.lit(target_slice_rows)).cast("int"))))
+          .drop("_c"))
+    x = x.join(st, [*part_cols, "_s1"])
+    x = x.withColumn("_slice", F.col("_s1").cast("bigint") * MAX_SUBSLICES
+                     + _equal_width(key, F.col("_lo2"), F.col("_hi2"), F.col("_n2"))).drop(
+        "_s1", "_lo2", "_hi2", "_n2")
+    # offsets per slice
     tot = x.groupBy(*part_cols, "_slice").agg(*[F.sum(c).alias(f"_s_{c}") for c in sum_cols])
     w_prev = Window.partitionBy(*part_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*part_cols)
     off = tot.select(*part_cols, "_slice",
                      *[F.coalesce(F.sum(f"_s_{c}").over(w_prev), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
                      *[F.sum(f"_s_{c}").over(w_all).alias(f"{c}_tot") for c in sum_cols])
+    # local running sums
     w_loc = (Window.partitionBy(*part_cols, "_slice").orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
     out = x.join(off, [*part_cols, "_slice"])

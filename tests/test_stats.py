@@ -96,3 +96,14 @@ def test_drift_timeline_matches_brute_force(spark):
     for d in range(8, 13):
         day = [v for t, v in rows if int(t[8:10]) == d]
         assert np.isclose(got[d], _ks_brute(ref, day))
+
+
+def test_prefix_sum_two_level_slices_with_outlier(spark):
+    """A heavy tail crowds level 1 into one slice; level 2 (tiny target to
+    force it here) must still give exact running counts."""
+    vals = [float(i) / 1000 for i in range(400)] + [1e12]
+    df = spark.createDataFrame([(v, 1) for v in vals], "v double, c int")
+    out = S.prefix_sum(df, [], ["v"], ["c"], n_slices=4, target_slice_rows=7)
+    got = {r["v"]: r["c_cum"] for r in out.collect()}
+    assert all(got[v] == i + 1 for i, v in enumerate(sorted(vals)))
+    assert out.select(F.max("c_tot")).first()[0] == 401
