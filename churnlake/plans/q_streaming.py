@@ -74,8 +74,24 @@ def stream_dedup(spark, sf_dir):
     return SJ.run_dedup(spark, src, DELAY)
 
 
+@query("stream_latest_gauges", oracle="""
+SELECT churn_probability AS latest_probability, latency_ms AS latest_latency_ms, model_version AS latest_model_version,
+       (SELECT MAX(event_time) FROM prediction_log) AS as_of
+FROM prediction_log ORDER BY event_time DESC, event_id DESC LIMIT 1""")
+def stream_latest_gauges(spark, sf_dir):
+    return SJ.run_latest_gauges(spark, _events_copy(spark, sf_dir))
+
+
 @query("stream_validation")
 def stream_validation(spark, sf_dir):
+    """Per-micro-batch checks and drift against the reference side."""
+    from ..operators import features as FE
+    from ..session import materialize
     cr = FX.customers_raw(spark, sf_dir)
-    src = SJ.split_copy(cr, scratch_path(spark, "customers_stream"), 3)
-    return SJ.run_microbatch_validation(spark, src, cr.schema.simpleString()[7:-1].replace(":", " "), None)
+    fm = FE.FeatureModel.fit(cr)
+    ref = materialize(FE.select_features(fm.transform(cr.filter(F.substring("customer_id", 2, 20).cast("bigint") % 3 != 0),
+                                                       scale=False)))
+    prod = cr.filter(F.substring("customer_id", 2, 20).cast("bigint") % 3 == 0)
+    src = SJ.split_copy(prod, scratch_path(spark, "customers_stream"), 3)
+    return SJ.run_microbatch_validation(spark, src, cr.schema.simpleString()[7:-1].replace(":", " "), None,
+                                        reference=ref, feature_model=fm, features=FE.FEATURE_COLUMNS)

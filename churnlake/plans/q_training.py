@@ -107,3 +107,11 @@ def score_with_model(spark, sf_dir):
     fm = _train_and_register(spark, sf_dir, root)
     model = TR.load_production(spark, f"{root}/registry", "GradientBoosting")
     return TR.score_with_model(model, FX.customers_raw(spark, sf_dir), fm, AS_OF)
+
+
+@query("importance_bars")
+def importance_bars(spark, sf_dir):
+    """All feature importances, ascending (the bar-chart order)."""
+    data, _ = training_frame(spark, sf_dir)
+    model = TR.fit(data.filter(F.col("split") == "train"), SPECS["GradientBoosting"])
+    return TR.feature_importance(model, top=None).orderBy("importance", "feature")

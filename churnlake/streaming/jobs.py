@@ -163,17 +163,47 @@ def run_dedup(spark: SparkSession, source: str, delay: str) -> DataFrame:
     return spark.read.parquet(sink).drop("_epoch").withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
+# ---------------------------------------------------------------- W7
+
+def run_latest_gauges(spark: SparkSession, source: str) -> DataFrame:
+    """Latest gauge values as a global streaming aggregate (one state
+    row); the final epoch holds the answer."""
+    sink, ckpt = scratch_path(spark, "gauges_sink"), scratch_path(spark, "gauges_ckpt")
+    log = prediction_log_stream(events_stream(spark, source))
+    order = F.struct("event_time", "event_id")
+    s = log.agg(F.max_by("churn_probability", order).alias("latest_probability"),
+                F.max_by("latency_ms", order).alias("latest_latency_ms"),
+                F.max_by("model_version", order).alias("latest_model_version"),
+                F.max("event_time").alias("as_of"))
+    run_available_now(s, sink, ckpt, "update")
+    last = spark.read.parquet(sink)
+    cols = ["latest_probability", "latest_latency_ms", "latest_model_version", "as_of"]
+    r = last.agg(F.max_by(F.struct(*cols), F.col("_epoch")).alias("r"))
+    return r.select(*[F.col(f"r.{c}").alias(c) for c in cols]).withColumn(
+        "as_of", F.col("as_of").cast("timestamp_ntz"))
+
+
 # ---------------------------------------------------------------- W9
 
-def run_microbatch_validation(spark: SparkSession, source: str, schema: str, as_of: str | None = None) -> DataFrame:
+def run_microbatch_validation(spark: SparkSession, source: str, schema: str, as_of: str | None = None,
+                              reference: DataFrame | None = None, feature_model=None, features=None) -> DataFrame:
     """Every micro-batch of customer rows gets the fused quality checks
-    and the roll-up; results are appended per batch."""
+    and their roll-up (V9) and, given a reference feature table, the drift
+    summary of the batch against it (D6); one result row per batch."""
+    from ..operators import drift as DR
     sink, ckpt = scratch_path(spark, "mb_checks_sink"), scratch_path(spark, "mb_checks_ckpt")
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
 
     def write(batch: DataFrame, epoch: int) -> None:
         checks = Q.aggregate_checks(batch, as_of)
-        write_epoch(Q.validation_summary(checks, batch), sink, epoch)
+        out = Q.validation_summary(checks, batch)
+        if reference is not None:
+            prod = feature_model.transform(batch, scale=False).select(*features).withColumn("side", F.lit("prod"))
+            sides = reference.select(*features).withColumn("side", F.lit("ref")).unionByName(prod)
+            d = DR.drift_summary(DR.feature_drift(sides, features))
+            out = out.crossJoin(F.broadcast(d.select("features_with_drift", "drift_percentage",
+                                                     "overall_drift_status")))   # one row × one row
+        write_epoch(out, sink, epoch)
 
     run_available_now(rows, sink, ckpt, "append", foreach=write)
     return spark.read.parquet(sink)

@@ -115,3 +115,29 @@ def test_request_bounds(spark):
     df = spark.createDataFrame([tuple(r[f.name] for f in SCORING_REQUEST.fields) for r in rows], SCORING_REQUEST)
     valid = [r["valid"] for r in Q.request_validation(df).collect()]
     assert valid == [False, True, True, False, False, False, True, True, False, False]
+
+
+def test_report_sinks_roundtrip(spark, tmp_path):
+    """The nested validation report written as JSON reads back whole."""
+    from churnlake.sources import sinks
+    df = spark.createDataFrame([("C1", 5, 0), ("C2", 7, 1)], "customer_id string, tenure_months bigint, churned int")
+    checks = Q.run_all_checks(df)
+    rep = Q.validation_report(checks, Q.validation_summary(checks, df), "2024-01-31T00:00:00")
+    path = sinks.write_json(rep, str(tmp_path / "report"))
+    back = spark.read.json(path).first()
+    assert back["total_checks"] == rep.first()["total_checks"]
+    assert {c["check"] for c in back["checks"]} >= {"missing_values", "duplicates", "outliers"}
+
+
+def test_namespace_and_views(spark):
+    from churnlake.operators.analytics import create_views
+    from churnlake.sources.catalog import create_namespace
+    create_namespace(spark, "churn_test_ns")
+    assert spark.catalog.currentDatabase() == "churn_test_ns"
+    spark.sql("USE default")
+    df = spark.createDataFrame([("C1", 5, 80.0, "Month-to-month", "No", 1)],
+                               "customer_id string, tenure_months bigint, monthly_charges double, "
+                               "contract_type string, tech_support string, churned int")
+    create_views(df)
+    assert spark.sql("SELECT total_customers FROM churn_summary").first()[0] == 1
+    assert spark.sql("SELECT count(*) FROM high_risk_customers").first()[0] == 1
