@@ -297,8 +297,11 @@ def quarantine_split(df: DataFrame, key: str = "customer_id") -> DataFrame:
     row is a second aggregate, and the copies are re-expanded from the
     multiplicity — the result keeps every input row.
     """
+    from ..session import materialize
     cols = df.columns
-    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_mult"))
+    # read twice below (rows and per-key first row): written once so the
+    # input is scanned once
+    distinct = materialize(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_mult")))
     first = distinct.groupBy(key).agg(F.min(F.struct(*[F.col(c) for c in cols])).alias("_first"))
     j = distinct.join(first, distinct[key].eqNullSafe(first[key]), "left").drop(first[key])
     is_first = F.col("_first") == F.struct(*[F.col(c) for c in cols])

@@ -47,15 +47,26 @@ def _equal_width(key, lo, hi, n):
 
 
 def prefix_sum(df: DataFrame, part_cols, order_cols, sum_cols, n_slices: int | None = None,
-               inclusive: bool = True, target_slice_rows: int = TARGET_SLICE_ROWS) -> DataFrame:
+               inclusive: bool = True, target_slice_rows: int = TARGET_SLICE_ROWS,
+               materialize_input: bool = True) -> DataFrame:
     """Add ``<c>_cum`` (running sum of ``c`` ordered by ``order_cols`` within
     ``part_cols``, inclusive of the current row) and ``<c>_tot`` (part total)
     for every ``c`` in ``sum_cols``.
 
     ``order_cols[0]`` must be numeric; the full ``order_cols`` tuple must be
     unique within a part (callers aggregate to distinct keys first).
+
+    The input feeds five branches (bounds, slice stats, totals, offsets,
+    rows); column pruning gives each branch a differently-pruned copy of
+    the upstream plan, so Spark cannot share one shuffle between them.  The
+    (pre-aggregated, hence smaller) input is therefore written once to the
+    shared checkpoint folder and every branch reads that copy — the
+    upstream input is scanned exactly once.
     """
     part_cols, order_cols, sum_cols = list(part_cols), list(order_cols), list(sum_cols)
+    if materialize_input:
+        from ..session import materialize
+        df = materialize(df)
     n = _slices(df, n_slices)
     key = F.col(order_cols[0]).cast("double")
     # level 1
