@@ -14,9 +14,26 @@ AS_OF = "2024-01-31T00:00:00"
 FEATS = FE.FEATURE_COLUMNS
 
 
+def feature_model(spark, sf_dir):
+    """The feature job's fitted model (p75, codes, moments), fitted once per
+    session on the loaded table."""
+    return FX.session_artifact(spark, "feature_model", sf_dir,
+                               lambda: FE.FeatureModel.fit(FX.customers_raw(spark, sf_dir)))
+
+
 def unscaled_features(spark, sf_dir):
-    raw = FX.customers_raw(spark, sf_dir)
-    return FE.select_features(FE.FeatureModel.fit(raw).transform(raw, scale=False))
+    """The unscaled feature table, written once by the feature job; drift
+    reads it (the reference's drift job reads the stored feature table)."""
+    from ..session import scratch_path
+    from ..sources.sinks import write_table
+
+    def build():
+        raw = FX.customers_raw(spark, sf_dir)
+        ft = FE.select_features(feature_model(spark, sf_dir).transform(raw, scale=False))
+        return (write_table(ft, scratch_path(spark, "customer_features_unscaled")), ft.schema)
+
+    path, schema = FX.session_artifact(spark, "features_unscaled", sf_dir, build)
+    return spark.read.schema(schema).parquet(path)
 
 
 def sides(spark, sf_dir):

@@ -87,8 +87,9 @@ def stream_validation(spark, sf_dir):
     """Per-micro-batch checks and drift against the reference side."""
     from ..operators import features as FE
     from ..session import materialize
+    from .q_drift import feature_model
     cr = FX.customers_raw(spark, sf_dir)
-    fm = FE.FeatureModel.fit(cr)
+    fm = feature_model(spark, sf_dir)
     ref = materialize(FE.select_features(fm.transform(cr.filter(F.substring("customer_id", 2, 20).cast("bigint") % 3 != 0),
                                                        scale=False)))
     prod = cr.filter(F.substring("customer_id", 2, 20).cast("bigint") % 3 == 0)

@@ -20,14 +20,20 @@ SPECS = {s.name: s for s in TR.QUICK_SPECS}
 
 
 def training_frame(spark, sf_dir):
-    """Scaled feature table with key, exact stratified split and fold;
-    materialised because every fit and evaluation reads it."""
-    raw = FX.customers_raw(spark, sf_dir)
-    fm = FE.FeatureModel.fit(raw)
-    ft = FX.with_key(FE.select_features(fm.transform(raw)))
-    ft = EV.stratified_split(ft.withColumn("label", F.col(FE.LABEL)))
-    ft = EV.fold_assignment(ft).drop("label")
-    return materialize(ft), fm
+    """Scaled feature table (``customer_features``) with key, exact
+    stratified split and fold.  Written once per session by the feature job
+    and read by every fit and evaluation, as the reference's training job
+    reads the stored feature table."""
+    from .q_drift import feature_model
+
+    def build():
+        raw = FX.customers_raw(spark, sf_dir)
+        fm = feature_model(spark, sf_dir)
+        ft = FX.with_key(FE.select_features(fm.transform(raw)))
+        ft = EV.stratified_split(ft.withColumn("label", F.col(FE.LABEL)))
+        return materialize(EV.fold_assignment(ft).drop("label"))
+
+    return FX.session_artifact(spark, "training_frame", sf_dir, build), feature_model(spark, sf_dir)
 
 
 def _train_eval(spark, sf_dir, name):

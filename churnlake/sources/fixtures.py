@@ -56,6 +56,17 @@ def _pick(h, values):
 
 
 _LOADED: dict[tuple[int, str], str] = {}
+_ARTIFACTS: dict[tuple, object] = {}
+
+
+def session_artifact(spark: SparkSession, name: str, sf_dir: str, build):
+    """A pipeline artifact (fitted model, written feature table) produced
+    once per session and input folder and reused by later jobs — as the
+    reference's jobs read what earlier jobs stored."""
+    key = (id(spark.sparkContext._jsc), name, sf_dir.rstrip("/"))
+    if key not in _ARTIFACTS:
+        _ARTIFACTS[key] = build()
+    return _ARTIFACTS[key]
 
 
 def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
