@@ -73,7 +73,8 @@ def load_rowcount_check(source: DataFrame, loaded: DataFrame) -> DataFrame:
     """Row count of the written table against its source."""
     a = source.agg(F.count(F.lit(1)).alias("source_rows"))
     b = loaded.agg(F.count(F.lit(1)).alias("loaded_rows"))
-    return a.crossJoin(b).withColumn("match", F.col("source_rows") == F.col("loaded_rows"))
+    from .stats import with_one_row
+    return with_one_row(a, b).withColumn("match", F.col("source_rows") == F.col("loaded_rows"))
 
 
 def create_views(customers: DataFrame) -> None:

@@ -201,8 +201,8 @@ def run_microbatch_validation(spark: SparkSession, source: str, schema: str, as_
             prod = feature_model.transform(batch, scale=False).select(*features).withColumn("side", F.lit("prod"))
             sides = reference.select(*features).withColumn("side", F.lit("ref")).unionByName(prod)
             d = DR.drift_summary(DR.feature_drift(sides, features))
-            out = out.crossJoin(F.broadcast(d.select("features_with_drift", "drift_percentage",
-                                                     "overall_drift_status")))   # one row × one row
+            from ..operators.stats import with_one_row
+            out = with_one_row(out, d.select("features_with_drift", "drift_percentage", "overall_drift_status"))
         write_epoch(out, sink, epoch)
 
     run_available_now(rows, sink, ckpt, "append", foreach=write)

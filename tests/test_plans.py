@@ -17,7 +17,8 @@ def _plan(df):
 @pytest.mark.parametrize("name", sorted(n for n in E.queries() if not n.startswith("stream_") and n not in SLOW))
 def test_no_python_udf(spark, name):
     plan = _plan(E.queries()[name](spark, SMOKE))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF",
+                 "CartesianProduct"):
         assert node not in plan, f"{name} uses {node}"
 
 
