@@ -37,7 +37,8 @@ MAX_SUBSLICES = 4096
 def _slices(df: DataFrame, n: int | None) -> int:
     if n:
         return n
-    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # level 1 only needs to be moderately fine; level 2 sizes slices by rows
+    return min(1024, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _equal_width(key, lo, hi, n):
