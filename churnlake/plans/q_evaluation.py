@@ -33,7 +33,8 @@ def scored_set(spark, sf_dir):
 
 def scorer_long(spark, sf_dir):
     """Five scorers over the same customers, with split and fold."""
-    biz = FX.with_key(FE.business_features(FX.customers_raw(spark, sf_dir)))
+    from .q_drift import feature_model
+    biz = FX.with_key(FE.business_features(FX.customers_raw(spark, sf_dir), feature_model(spark, sf_dir).p75))
     scorers = {
         "PRODUCTION_rules": SC.rule_score(),
         "rules_jitter": SC.rule_score(jitter=True),
