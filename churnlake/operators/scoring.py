@@ -26,6 +26,8 @@ RECOMMENDED_ACTIONS = [
 ]
 JITTER_KEY = 633910099
 MODEL_VERSION = "1.0"
+# The two serving modes as they appear in ``model_version``.
+MODEL_MODE, RULES_MODE = "mlflow", "rules"
 
 
 def _code(c: str, codes: dict, default: int) -> Column:
@@ -127,7 +129,7 @@ def with_fallback(df: DataFrame, model_col: str = "model_probability") -> DataFr
     used_model = F.col(model_col).isNotNull()
     return df.withColumns({
         "churn_probability_raw": F.coalesce(F.col(model_col), rule_score()),
-        "model_mode": F.when(used_model, F.lit("mlflow")).otherwise(F.lit("rules")),
+        "model_mode": F.when(used_model, F.lit(MODEL_MODE)).otherwise(F.lit(RULES_MODE)),
     })
 
 

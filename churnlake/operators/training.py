@@ -177,10 +177,10 @@ def score_with_model(model: PipelineModel | None, raw: DataFrame, feature_model,
     x = raw.withColumn("rule_probability", SC.rule_score())
     if model is None:
         scored = x.withColumns({"churn_probability_raw": F.col("rule_probability"),
-                                "model_mode": F.lit("rules")})
+                                "model_mode": F.lit(SC.RULES_MODE)})
     else:
         p = predict(model, feature_model.transform(x).drop(LABEL))
         scored = p.withColumns({
             "churn_probability_raw": F.coalesce(F.col("score"), F.col("rule_probability")),
-            "model_mode": F.when(F.col("score").isNotNull(), F.lit("mlflow")).otherwise(F.lit("rules"))})
+            "model_mode": F.when(F.col("score").isNotNull(), F.lit(SC.MODEL_MODE)).otherwise(F.lit(SC.RULES_MODE))})
     return SC.response_rows(scored, as_of, F.col("model_mode"))

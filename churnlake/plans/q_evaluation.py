@@ -19,7 +19,7 @@ RUN_PARAMS = {
     "rules_jitter": {"mode": "rules", "jitter": "0.05"},
     "risk_score": {"mode": "feature", "feature": "risk_score"},
     "label_probability": {"mode": "feature", "feature": "label_probability"},
-    "model_with_fallback": {"mode": "mlflow", "fallback": "rules"},
+    "model_with_fallback": {"mode": SC.MODEL_MODE, "fallback": SC.RULES_MODE},
 }
 
 

@@ -81,7 +81,7 @@ _JIT = ("GREATEST(0e0, LEAST(1e0, p + ((((k + 1) * 633910099) % 2147483647) / 21
 
 define("rule_scored", ["customers_k"], f"SELECT *, {_RULE} AS p FROM customers_k")
 define("fallback_scored", ["rule_scored"], """
-  SELECT *, coalesce(mp, p) AS pf, CASE WHEN mp IS NOT NULL THEN 'mlflow' ELSE 'rules' END AS mode
+  SELECT *, coalesce(mp, p) AS pf, CASE WHEN mp IS NOT NULL THEN '""" + SC.MODEL_MODE + """' ELSE 'rules' END AS mode
   FROM (SELECT *, CASE WHEN k % 5 <> 0 THEN (((k + 1) * 1343714307) % 2147483647) / 2147483647e0 END AS mp
         FROM rule_scored)""")
 

@@ -100,7 +100,7 @@ def _train_and_register(spark, sf_dir, root):
 def latest_model_run(spark, sf_dir):
     """T13 + T14 + S13 + S15: train, log the run, register a version, write
     metadata, then read the latest run back."""
-    root = scratch_path(spark, "mlops")
+    root = scratch_path(spark, "model_store")
     _train_and_register(spark, sf_dir, root)
     return TR.latest_run(spark, f"{root}/model_runs").drop("params")
 
@@ -109,7 +109,7 @@ def latest_model_run(spark, sf_dir):
 def score_with_model(spark, sf_dir):
     """P8 with a real model: load the production version and score every
     customer; rows without a model probability fall back to rules."""
-    root = scratch_path(spark, "mlops")
+    root = scratch_path(spark, "model_store")
     fm = _train_and_register(spark, sf_dir, root)
     model = TR.load_production(spark, f"{root}/registry", "GradientBoosting")
     return TR.score_with_model(model, FX.customers_raw(spark, sf_dir), fm, AS_OF)
