@@ -68,11 +68,12 @@ def feature_drift(sides: DataFrame, features=None, side_col: str = "side") -> Da
     feats = features or numeric_features(sides.drop(side_col))
     ks = ks_statistics(sides, feats, side_col)
     means = feature_means(sides, feats, side_col)
-    order = sides.sparkSession.createDataFrame([(f, i) for i, f in enumerate(feats)], "feature string, ordinal int")
+    # input order of the feature list, as an expression (no lookup table)
+    ordinal = (F.array_position(F.array(*[F.lit(f) for f in feats]), F.col("feature")) - 1).cast("int")
     p = ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_prod"))
-    out = ks.join(means, "feature").join(F.broadcast(order), "feature")
+    out = ks.join(means, "feature")
     return out.select(
-        "feature", "ordinal", "ks_statistic", p.alias("p_value"),
+        "feature", ordinal.alias("ordinal"), "ks_statistic", p.alias("p_value"),
         ((F.col("ks_statistic") > KS_THRESHOLD) | (p < P_VALUE_THRESHOLD)).alias("drift_detected"),
         "ref_mean", "prod_mean",
         (F.try_divide(F.col("prod_mean") - F.col("ref_mean"), F.col("ref_mean")) * F.lit(100.0)).alias("change_pct"))

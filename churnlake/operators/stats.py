@@ -162,7 +162,7 @@ def quantiles(df: DataFrame, cols, probs, group_cols=(), exact: bool = True) ->
 
 def quantile_row(df: DataFrame, cols, probs, exact: bool = True) -> DataFrame:
     """One-row frame with ``q_<col>_<pct>`` columns (pivot of ``quantiles``);
-    the output is provably one row, so callers may broadcast it."""
+    the output is provably one row, so callers attach it with ``with_one_row``."""
     q = quantiles(df, cols, probs, exact=exact)
     aggs = [F.max(F.when((F.col("column") == c) & (F.col("p") == float(p)), F.col("q"))).alias(qname(c, p))
             for c in cols for p in probs]
@@ -175,8 +175,14 @@ def qname(col: str, p: float) -> str:
 
 def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a frame that is one row by construction (a
-    global aggregate).  Its size is fixed, so it is broadcast explicitly."""
-    return df.crossJoin(F.broadcast(one_row))
+    global aggregate) as a scalar subquery: Spark runs the aggregate once,
+    fails if it ever returned more than one row, and inlines the values into
+    the projection — no join of any kind, nothing data-sized is shipped."""
+    packed = one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias("_p")).scalar()
+    tmp = "__one_row"
+    return (df.withColumn(tmp, packed)
+            .withColumns({c: F.col(tmp).getField(c) for c in one_row.columns})
+            .drop(tmp))
 
 
 def equal_width_histogram(df: DataFrame, col: str, bins: int, group_cols=(), density: bool = False,

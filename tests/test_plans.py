@@ -1,5 +1,6 @@
-"""Plan properties: no Python UDF in any registered query, pruning and
-pushdown reach the scan, one-row parameters are broadcast."""
+"""Plan properties: no Python UDF and no cross or nested-loop join in any
+registered query, pruning and pushdown reach the scan, one-row parameters
+arrive as scalar subqueries."""
 
 import pytest
 
@@ -18,7 +19,7 @@ def _plan(df):
 def test_no_python_udf(spark, name):
     plan = _plan(E.queries()[name](spark, SMOKE))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF",
-                 "CartesianProduct"):
+                 "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan, f"{name} uses {node}"
 
 
@@ -38,11 +39,20 @@ def test_load_prunes_orders_when_unused(spark):
     assert "orders" not in plan.lower().split("readschema")[0] or "o_totalprice" not in plan
 
 
-def test_one_row_parameters_are_broadcast(spark):
+def test_one_row_parameters_are_scalar_subqueries(spark):
     from churnlake.operators.monitoring import risk_distribution
     from churnlake.sources.fixtures import prediction_log
     plan = _plan(risk_distribution(prediction_log(spark, SMOKE)))
-    assert "BroadcastNestedLoopJoin" in plan or "BroadcastExchange" in plan
+    assert "Subquery" in plan
+    assert "Join" not in plan
+
+
+def test_one_row_parameter_rejects_many_rows(spark):
+    from churnlake.operators.stats import with_one_row
+    df = spark.range(3)
+    many = spark.range(2).withColumnRenamed("id", "p")
+    with pytest.raises(Exception):
+        with_one_row(df, many).collect()
 
 
 def test_entry_runs(spark):
