@@ -16,7 +16,16 @@ from ..sources import sinks
 from .registry import query
 
 AS_OF = "2024-01-31T00:00:00"
-SPECS = {s.name: s for s in TR.QUICK_SPECS}
+# Learner settings: the reduced set by default (registered checks and the
+# benchmark); ``spark.churnlake.training.settings=reference`` selects the
+# reference's full settings (200 trees / rounds, depth 15, 6 and 8).
+SETTINGS_CONF = "spark.churnlake.training.settings"
+
+
+def _spec(spark, name):
+    which = spark.conf.get(SETTINGS_CONF, "quick")
+    specs = TR.FULL_SPECS if which == "reference" else TR.QUICK_SPECS
+    return {s.name: s for s in specs}[name]
 
 
 def training_frame(spark, sf_dir):
@@ -39,7 +48,7 @@ def training_frame(spark, sf_dir):
 def _train_eval(spark, sf_dir, name):
     data, _ = training_frame(spark, sf_dir)
     train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
-    model = TR.fit(train, SPECS[name])
+    model = TR.fit(train, _spec(spark, name))
     m = TR.evaluate(model, test)
     sizes = data.agg(F.count_if(F.col("split") == "train").alias("train_size"),
                      F.count_if(F.col("split") == "test").alias("test_size"))
@@ -69,19 +78,19 @@ def train_gbt_depth5(spark, sf_dir):
 @query("cross_validation")
 def cross_validation(spark, sf_dir):
     data, _ = training_frame(spark, sf_dir)
-    return TR.cross_validate(data, SPECS["GradientBoosting"])
+    return TR.cross_validate(data, _spec(spark, "GradientBoosting"))
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
     data, _ = training_frame(spark, sf_dir)
-    model = TR.fit(data.filter(F.col("split") == "train"), SPECS["GradientBoosting"])
+    model = TR.fit(data.filter(F.col("split") == "train"), _spec(spark, "GradientBoosting"))
     return TR.feature_importance(model)
 
 
 def _train_and_register(spark, sf_dir, root):
     data, fm = training_frame(spark, sf_dir)
-    spec = SPECS["GradientBoosting"]
+    spec = _spec(spark, "GradientBoosting")
     train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
     model = TR.fit(train, spec)
     metrics = materialize(TR.evaluate(model, test))
@@ -119,5 +128,5 @@ def score_with_model(spark, sf_dir):
 def importance_bars(spark, sf_dir):
     """All feature importances, ascending (the bar-chart order)."""
     data, _ = training_frame(spark, sf_dir)
-    model = TR.fit(data.filter(F.col("split") == "train"), SPECS["GradientBoosting"])
+    model = TR.fit(data.filter(F.col("split") == "train"), _spec(spark, "GradientBoosting"))
     return TR.feature_importance(model, top=None).orderBy("importance", "feature")

@@ -20,3 +20,15 @@ def test_gbt_beats_chance_and_registry_versions(spark):
     assert TR.load_production(spark, root, "gbt") is not None
     imp = TR.feature_importance(model).collect()
     assert len(imp) == 10 and imp[0]["importance"] >= imp[-1]["importance"]
+
+
+def test_reference_settings_are_selectable(spark):
+    from churnlake.plans import q_training as Q
+    assert Q._spec(spark, "RandomForest").params["numTrees"] == 20
+    spark.conf.set(Q.SETTINGS_CONF, "reference")
+    try:
+        rf, gb = Q._spec(spark, "RandomForest"), Q._spec(spark, "GradientBoosting")
+        assert (rf.params["numTrees"], rf.params["maxDepth"]) == (200, 15)
+        assert (gb.params["maxIter"], gb.params["maxDepth"]) == (150, 5)
+    finally:
+        spark.conf.unset(Q.SETTINGS_CONF)
