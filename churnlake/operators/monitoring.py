@@ -144,12 +144,18 @@ def drift_timeline(log: DataFrame, value: str = "churn_probability", ref_days: i
     over the union of reference and day points; per-day ranks and cumulative
     shares from a prefix sum per day; d_{i+1} from an equi-join on rank.
     """
-    d0 = log.agg(F.min(_day()).alias("_d0"))
-    x = with_one_row(log.select(_day().alias("day"), F.col(value).cast("double").alias("v")), d0)
-    x = x.filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    from ..session import materialize
+    # The log is scanned once: distinct (day, value) with counts (partial
+    # aggregation first, so a value repeated a million times is one row),
+    # written to the shared folder; every branch below reads that table.
+    # The first day is taken over all rows, valid values or not.
+    counts = materialize(log.select(_day().alias("day"), F.col(value).cast("double").alias("v"))
+                         .groupBy("day", "v").agg(F.count(F.lit(1)).alias("c")))
+    d0 = counts.agg(F.min("day").alias("_d0"))
+    x = with_one_row(counts.filter(F.col("v").isNotNull() & ~F.isnan("v")), d0)
     is_ref = F.col("day") < (F.col("_d0") + F.make_interval(days=F.lit(ref_days)))
-    ref = x.filter(is_ref).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    day = x.filter(~is_ref).groupBy("day", "v").agg(F.count(F.lit(1)).alias("c_day"))
+    ref = x.filter(is_ref).groupBy("v").agg(F.sum("c").alias("c"))
+    day = x.filter(~is_ref).select("day", "v", F.col("c").alias("c_day"))
     # global prefix of reference counts over the union of points; at equal
     # values reference rows (kind 0) come first, so the sum at a day point
     # counts reference values ≤ v
