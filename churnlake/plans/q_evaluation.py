@@ -53,13 +53,22 @@ def scorer_long(spark, sf_dir):
 
 
 def run_log(spark, sf_dir):
-    """The long scored frame feeds four aggregates (metrics, AUC, sizes, CV);
-    it is checkpointed to the shared checkpoint folder once so the four
-    consumers read it instead of re-deriving it."""
-    from ..session import checkpoint_dir
-    checkpoint_dir(spark)
-    long = scorer_long(spark, sf_dir).checkpoint(eager=True)
-    return EV.run_log_rows(long, START_TIME, RUN_PARAMS)
+    """The run log, a stored table (the reference's tracking store).
+
+    The training step writes it once per session to the shared table
+    folder; best-model selection, the comparison table and the promotion
+    gate read that table, as the reference's later steps read logged runs.
+    While building it, the long scored frame feeds four aggregates
+    (metrics, AUC, sizes, CV) and is checkpointed once so they read it
+    instead of re-deriving it."""
+    def build():
+        from ..session import checkpoint_dir, scratch_path
+        from ..sources.sinks import write_table
+        checkpoint_dir(spark)
+        long = scorer_long(spark, sf_dir).checkpoint(eager=True)
+        return write_table(EV.run_log_rows(long, START_TIME, RUN_PARAMS), scratch_path(spark, "run_log"))
+
+    return spark.read.parquet(FX.session_artifact(spark, "run_log", sf_dir, build))
 
 
 # ---------------------------------------------------------------- oracle CTEs
