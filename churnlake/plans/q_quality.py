@@ -94,6 +94,20 @@ def _outlier_sql(src):
             f"w AS (SELECT COUNT(*) AS n, {cnt} FROM {src}, qq) " + " UNION ALL ".join(parts) + ")")
 
 
+def _types_sql(src):
+    """V3 from the types DuckDB's own derivation gives each column (typeof
+    over the whole table), named as Spark's simple type strings."""
+    spark_name = ("CASE ty WHEN 'INTEGER' THEN 'int' WHEN 'SMALLINT' THEN 'smallint' WHEN 'TINYINT' THEN 'tinyint' "
+                  "ELSE lower(ty) END")
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", MIN(typeof(\"{c}\")) AS ty, '{fam}' AS fam FROM {src}"
+                              for c, fam in Q.EXPECTED_TYPES.items())
+    ok = ("CASE WHEN fam = 'int' THEN ty IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT') "
+          "ELSE ty IN ('FLOAT', 'DOUBLE') END")
+    return (f"SELECT * FROM (WITH r AS ({rows}), m AS (SELECT \"column\", {spark_name} AS sty, {ok} AS ok FROM r) "
+            "SELECT 'data_types' AS \"check\", bool_and(ok) OVER () AS passed, 'warning' AS severity, \"column\", "
+            "concat('type_ok:', sty) AS metric, CASE WHEN ok THEN 1e0 ELSE 0e0 END AS value FROM m)")
+
+
 @query("check_missing_values", oracle=_missing_sql("customers_dirty"))
 def check_missing_values(spark, sf_dir):
     return Q.aggregate_checks(FX.customers_dirty(spark, sf_dir)).filter(F.col("check") == "missing_values")
@@ -104,7 +118,7 @@ def check_duplicates(spark, sf_dir):
     return Q.aggregate_checks(FX.customers_dirty(spark, sf_dir)).filter(F.col("check") == "duplicates")
 
 
-@query("check_data_types")
+@query("check_data_types", oracle=_types_sql("customers_raw"))
 def check_data_types(spark, sf_dir):
     return Q.check_data_types(FX.customers_raw(spark, sf_dir))
 
