@@ -8,11 +8,11 @@ data without refitting.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import flag, right_closed_bucket, weighted_sum
-from .stats import qname, quantile_row
+from .stats import prefix_sum, qname, quantile_row
 
 # Fixed values (feature definitions of the reference).
 SERVICE_COLUMNS = ["online_security", "online_backup", "device_protection", "tech_support",
@@ -110,9 +110,15 @@ def fit_label_encoders(df: DataFrame, columns=None) -> DataFrame:
     cols = [c for c in (columns or CATEGORICAL_COLUMNS) if c in df.columns]
     args = ", ".join(f"'{c}', {_sql_label(c)}" for c in cols)
     long = df.select(F.expr(f"stack({len(cols)}, {args}) AS (`column`, `value`)"))
-    distinct = long.distinct()
-    w = Window.partitionBy("column").orderBy("value")
-    return distinct.select("column", "value", (F.dense_rank().over(w) - 1).cast("int").alias("code"))
+    distinct = long.groupBy("column", "value").agg(F.lit(1).alias("one"))
+    # code = number of smaller distinct values in the column, by the
+    # distributed prefix sum (no task holds a whole column's values).  Its
+    # numeric order key is the first 7 UTF-8 bytes (Spark orders strings by
+    # their bytes); values sharing those bytes are ordered by the full string.
+    head = F.rpad(F.hex(F.substring(F.encode("value", "UTF-8"), 1, 7)), 14, "0")
+    keyed = distinct.withColumn("_k", F.conv(head, 16, 10).cast("bigint"))
+    ranked = prefix_sum(keyed, ["column"], ["_k", "value"], ["one"])
+    return ranked.select("column", "value", (F.col("one_cum") - 1).cast("int").alias("code"))
 
 
 def _sql_label(c: str) -> str:

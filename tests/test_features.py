@@ -82,3 +82,15 @@ def test_pipeline_on_hundred_rows_has_no_nan(spark):
     bad = ft.select([F.count_if(F.isnan(c) | F.col(c).isNull()).alias(c) for c in FE.FEATURE_COLUMNS]).first()
     assert all(v == 0 for v in bad)
     assert len(FE.FEATURE_COLUMNS) > 15
+
+
+def test_encoder_codes_equal_sorted_order_on_edge_strings(spark):
+    """Distributed ranking against brute force: shared 7-byte heads,
+    prefixes, non-ASCII, digits, the empty string; several partitions."""
+    from churnlake.operators.features import fit_label_encoders
+    vals = ["abcdefgh2", "abcdefgh10", "abcdefg", "abcdefgh", "abc", "", "Zed", "zed", "é", "e", "ü", "10", "9",
+            "abcdefgh1", "A", "a b", "a\tb"] * 3
+    df = spark.createDataFrame([(v,) for v in vals], "c string").repartition(4)
+    got = {r["value"]: r["code"] for r in fit_label_encoders(df, ["c"]).collect()}
+    want = {v: i for i, v in enumerate(sorted(set(vals), key=lambda s: s.encode("utf-8")))}
+    assert got == want
