@@ -103,29 +103,43 @@ def _as_label(c: str) -> F.Column:
     return F.coalesce(v, F.lit("nan" if c == "tenure_group" else "None"))
 
 
-def fit_label_encoders(df: DataFrame, columns=None) -> DataFrame:
+def fit_label_encoders(df: DataFrame, columns=None, max_driver_entries: int | None = None) -> DataFrame:
     """Parameter table (column, value, code): codes 0..n−1 in lexicographic
     order of the string form, per column.  Distinct values are found with a
-    partial aggregate; the rank runs over distinct values only."""
+    partial aggregate; the rank runs over distinct values only.
+
+    When the distinct values number at most ``max_driver_entries`` (checked
+    with a bounded ``limit`` read) they are ranked on the driver, as
+    ``pyspark.ml``'s ``StringIndexer`` keeps its labels; otherwise by the
+    distributed prefix sum, so no task or driver holds a large domain."""
     cols = [c for c in (columns or CATEGORICAL_COLUMNS) if c in df.columns]
     args = ", ".join(f"'{c}', {_sql_label(c)}" for c in cols)
     long = df.select(F.expr(f"stack({len(cols)}, {args}) AS (`column`, `value`)"))
     distinct = long.groupBy("column", "value").agg(F.lit(1).alias("one"))
-    # code = number of smaller distinct values in the column, by the
-    # distributed prefix sum (no task holds a whole column's values).  Its
-    # numeric order key is the first 7 UTF-8 bytes (Spark orders strings by
-    # their bytes); values sharing those bytes are ordered by the full string.
+    cap = MAX_DRIVER_ENCODER_ENTRIES if max_driver_entries is None else max_driver_entries
+    rows = distinct.select("column", "value").limit(cap + 1).collect() if cap > 0 else None
+    if rows is not None and len(rows) <= cap:
+        by_col: dict[str, list[str]] = {}
+        for r in rows:
+            by_col.setdefault(r["column"], []).append(r["value"])
+        # Spark orders strings by their UTF-8 bytes; so does this sort
+        ranked = [(c, v, i) for c, vs in by_col.items()
+                  for i, v in enumerate(sorted(vs, key=lambda s: s.encode("utf-8")))]
+        return df.sparkSession.createDataFrame(ranked, "column string, value string, code int")
+    # code = number of smaller distinct values in the column.  The numeric
+    # order key of the prefix sum is the first 7 UTF-8 bytes; values sharing
+    # those bytes are ordered by the full string.
     head = F.rpad(F.hex(F.substring(F.encode("value", "UTF-8"), 1, 7)), 14, "0")
     keyed = distinct.withColumn("_k", F.conv(head, 16, 10).cast("bigint"))
-    ranked = prefix_sum(keyed, ["column"], ["_k", "value"], ["one"])
-    return ranked.select("column", "value", (F.col("one_cum") - 1).cast("int").alias("code"))
+    ranked_df = prefix_sum(keyed, ["column"], ["_k", "value"], ["one"])
+    return ranked_df.select("column", "value", (F.col("one_cum") - 1).cast("int").alias("code"))
 
 
-def _sql_label(c: str) -> str:
-    return f"coalesce(CAST(`{c}` AS STRING), '{'nan' if c == 'tenure_group' else 'None'}')"
+MAX_DRIVER_ENCODER_ENTRIES = 100_000
 
 
-MAX_DRIVER_ENCODER_ENTRIES = 100_000
+def _sql_label(c: str) -> str:
+    return f"coalesce(CAST(`{c}` AS STRING), '{'nan' if c == 'tenure_group' else 'None'}')"
 
 
 def collect_encoders(params: DataFrame, max_entries: int = MAX_DRIVER_ENCODER_ENTRIES):
