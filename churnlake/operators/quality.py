@@ -287,6 +287,10 @@ def row_reasons(df: DataFrame) -> Column:
     return F.filter(F.array(*reasons), lambda x: x.isNotNull())
 
 
+# copies of one distinct row produced by one generated row (quarantine split)
+COPY_CHUNK = 1 << 16
+
+
 def quarantine_split(df: DataFrame, key: str = "customer_id") -> DataFrame:
     """Every input row once, with ``quarantined`` and ``reasons``.
 
@@ -307,10 +311,20 @@ def quarantine_split(df: DataFrame, key: str = "customer_id") -> DataFrame:
     is_first = F.col("_first") == F.struct(*[F.col(c) for c in cols])
     # null ids: all rows share one group; eqNullSafe keeps them joined
     j = j.withColumn("_is_first", F.coalesce(is_first, F.lit(False)))
-    # number the copies of one distinct row 0..mult-1 without a window:
-    expanded = j.select(*cols, "_is_first",
-                        F.posexplode(F.array_repeat(F.lit(True), F.col("_mult").cast("int"))).alias("_copy", "_x"))
-    dup = ~(F.col("_is_first") & (F.col("_copy") == 0))
+    # Re-expand the copies of each distinct row in chunks of at most
+    # COPY_CHUNK rows (no row ever carries a data-sized array).  The chunks
+    # of a hot row — more copies than one chunk — are spread over tasks by a
+    # shuffle of those chunk rows alone; other rows are not shuffled.
+    n_chunks = F.ceil(F.col("_mult") / F.lit(COPY_CHUNK)).cast("int")
+    chunked = j.select(*cols, "_is_first", "_mult", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("_chunk"))
+    hot = F.col("_mult") > COPY_CHUNK
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunked = chunked.filter(~hot).unionByName(chunked.filter(hot).repartition(spread, "_chunk"))
+    size = F.least(F.lit(COPY_CHUNK).cast("bigint"),
+                   F.col("_mult") - F.col("_chunk").cast("bigint") * F.lit(COPY_CHUNK)).cast("int")
+    expanded = chunked.select(*cols, "_is_first", "_chunk",
+                              F.posexplode(F.array_repeat(F.lit(True), size)).alias("_copy", "_x"))
+    dup = ~(F.col("_is_first") & (F.col("_chunk") == 0) & (F.col("_copy") == 0))
     reasons = F.array_union(row_reasons(df), F.when(dup, F.array(F.lit("duplicate"))).otherwise(F.array().cast("array<string>")))
     return expanded.select(*cols, (F.size(reasons) > 0).alias("quarantined"), reasons.alias("reasons"))
 

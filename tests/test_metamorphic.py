@@ -41,3 +41,18 @@ def test_row_order_invariance_of_ks(spark):
     a = spark.createDataFrame(rows, "side string, f double")
     b = spark.createDataFrame(list(reversed(rows)), "side string, f double").repartition(5)
     assert ks_statistics(a, ["f"]).collect() == ks_statistics(b, ["f"]).collect()
+
+
+def test_hot_duplicate_row_expands_in_chunks(spark, monkeypatch):
+    """A row repeated across several chunks keeps every copy and exactly one
+    first copy (chunk size shrunk so the hot path runs on small input)."""
+    from churnlake.operators import quality as Q
+    monkeypatch.setattr(Q, "COPY_CHUNK", 7)
+    rows = [("HOT", 5)] * 50 + [("C1", 1)] * 3 + [("C2", 2)]
+    df = spark.createDataFrame(rows, "customer_id string, tenure_months bigint").repartition(3)
+    q = Q.quarantine_split(df)
+    assert q.count() == 54
+    kept = {r["customer_id"]: r["n"] for r in
+            q.filter(~F.col("quarantined")).groupBy("customer_id").agg(F.count("*").alias("n")).collect()}
+    assert kept == {"HOT": 1, "C1": 1, "C2": 1}
+    assert q.filter(F.array_contains("reasons", "duplicate")).count() == 51
