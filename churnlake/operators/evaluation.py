@@ -144,10 +144,11 @@ def cv_f1(df: DataFrame, label: str = "label", pred: str = "prediction", group_c
 
 
 def best_model(runs: DataFrame, metric: str = "f1_score", order_col: str = "ordinal") -> DataFrame:
-    """Highest metric wins; ties go to the earliest run (strict >)."""
+    """Highest metric wins; ties go to the earliest run (strict >).
+    No run with the metric gives no row."""
     best = runs.filter(F.col(metric).isNotNull()).agg(
         F.max_by(F.struct(*runs.columns), F.struct(F.col(metric), -F.col(order_col))).alias("b"))
-    return best.select("b.*")
+    return best.filter(F.col("b").isNotNull()).select("b.*")
 
 
 def model_comparison(runs: DataFrame) -> DataFrame:

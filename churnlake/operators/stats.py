@@ -177,10 +177,13 @@ def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a frame that is one row by construction (a
     global aggregate) as a scalar subquery: Spark runs the aggregate once,
     fails if it ever returned more than one row, and inlines the values into
-    the projection — no join of any kind, nothing data-sized is shipped."""
+    the projection — no join of any kind, nothing data-sized is shipped.
+    An empty ``one_row`` gives an empty result, as the join it replaces
+    would (a present row packs to a non-null struct, an absent one to null)."""
     packed = one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias("_p")).scalar()
     tmp = "__one_row"
     return (df.withColumn(tmp, packed)
+            .filter(F.col(tmp).isNotNull())
             .withColumns({c: F.col(tmp).getField(c) for c in one_row.columns})
             .drop(tmp))
 

@@ -61,3 +61,27 @@ def test_entry_runs(spark):
     assert df.columns == ["contract_type", "total_customers", "churned_customers", "churn_rate_pct",
                           "avg_monthly_charges", "avg_tenure_months"]
     assert len(rows) == 3
+
+
+def test_one_row_parameter_empty_gives_empty(spark):
+    """Same result as the inner join it replaces: no parameter row, no rows;
+    a parameter row of nulls still attaches."""
+    from churnlake.operators.stats import with_one_row
+    from pyspark.sql import functions as F
+    df = spark.range(3)
+    empty = spark.range(1).select(F.lit(1.0).alias("p")).filter("p < 0")
+    assert with_one_row(df, empty).count() == 0
+    nulls = spark.range(1).select(F.lit(None).cast("double").alias("p"))
+    assert with_one_row(df, nulls).filter(F.col("p").isNull()).count() == 3
+
+
+def test_promotion_gate_without_production_run_is_empty(spark):
+    from churnlake.operators.evaluation import promotion_gate
+    runs = spark.createDataFrame([("a", 0.5, 0), ("b", 0.6, 1)], "run_name string, f1_score double, ordinal int")
+    assert promotion_gate(runs).count() == 0
+
+
+def test_best_model_of_no_runs_is_empty(spark):
+    from churnlake.operators.evaluation import best_model
+    runs = spark.createDataFrame([("a", None, 0)], "run_name string, f1_score double, ordinal int")
+    assert best_model(runs).count() == 0
