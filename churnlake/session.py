@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job needs regardless of cluster size.  Shuffle partition count
 # and broadcast limits are left to the cluster's spark-defaults; AQE coalesces
@@ -40,44 +41,57 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder that driver and executors share, named by the cluster in
+    ``spark.checkpoint.dir`` (HDFS, object store, shared mount).
 
-    On a cluster this must already be set to shared storage (HDFS/S3/ABFS).
-    Only when nothing is configured (a local test run) do we pick a scratch
-    folder ourselves.
+    Only a ``local`` master, where one machine runs everything, may do without
+    the setting; it then gets a scratch folder.  Any other master without it
+    is an error: a machine-local folder would be invisible to the executors.
     """
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if conf:
-        spark.sparkContext.setCheckpointDir(conf)
-        return spark.sparkContext.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="churnlake-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir()
+    d = conf or spark.sparkContext.getCheckpointDir()
+    if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master}")
+        d = tempfile.mkdtemp(prefix="churnlake-shared-")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
+    return d.rstrip("/") if conf else spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint root for written tables."""
-    root = checkpoint_dir(spark).rstrip("/")
-    return f"{root}/tables/{name}-{os.getpid()}-{next(_counter)}"
+    """A fresh folder under the shared root for a written table; removed when
+    the driver's Python ends (the frames that read it are lazy until then)."""
+    path = f"{checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex[:16]}"
+    _scratch.append((spark, path))
+    return path
 
 
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
+_scratch: list[tuple[SparkSession, str]] = []
 
 
-_counter = _count()
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file system layer."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def materialize(df):
-    """Cut lineage: write ``df`` to the shared checkpoint folder and return a
-    frame that reads it back.  Used for fitted parameter tables and for
-    inputs that several passes of one job read.  (Never a local checkpoint:
-    a lost executor must not lose the data.)"""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+@atexit.register
+def _drop_scratch() -> None:
+    for spark, path in _scratch:
+        try:
+            drop_path(spark, path)
+        except Exception:   # the session is already gone: nothing can be deleted through it
+            return
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut lineage: write ``df`` as Parquet under the shared folder and return
+    a frame that reads it back, so later passes prune columns, push filters
+    down and see true sizes.  (Never a local checkpoint: a lost executor must
+    not lose the data.)"""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
