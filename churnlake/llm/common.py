@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ def steps(batches: Iterable[pa.RecordBatch], column: str, limit: int = STEP_CHAR
         if c.nbytes <= limit:
             yield b
             continue
-        size = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        size = np.cumsum(pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < b.num_rows:
             base = size[start - 1] if start else 0
@@ -43,10 +44,10 @@ def steps(batches: Iterable[pa.RecordBatch], column: str, limit: int = STEP_CHAR
 
 def texts_of(column: pa.Array) -> pa.Array:
     """A string column without nulls (null counts as empty)."""
-    return pa.compute.fill_null(column.cast(pa.large_string()), "")
+    return pc.fill_null(column.cast(pa.large_string()), "")
 
 
 def list_offsets(lists: pa.Array) -> np.ndarray:
     """Row borders (n + 1) of a list array's flattened values."""
-    n = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    n = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     return np.concatenate(([0], np.cumsum(n)))

@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 
 from pyspark import TaskContext
@@ -71,8 +72,8 @@ def write_token_files(docs: DataFrame, folder: str, vocab_path: str, drop_space:
             out.write(ids.astype(ids.dtype.newbyteorder("<"), copy=False).tobytes())
             key = b.column(0)
             entry = np.empty((b.num_rows, 3), "<i8")
-            entry[:, 0] = pa.compute.is_valid(key).to_numpy(zero_copy_only=False)
-            entry[:, 1] = pa.compute.fill_null(key, 0).to_numpy(zero_copy_only=False)
+            entry[:, 0] = pc.is_valid(key).to_numpy(zero_copy_only=False)
+            entry[:, 1] = pc.fill_null(key, 0).to_numpy(zero_copy_only=False)
             entry[:, 2] = rows[1:] + n_tokens
             idx.write(entry.tobytes())
             n_docs += b.num_rows
