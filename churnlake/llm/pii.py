@@ -164,8 +164,11 @@ def span_list(spans: str) -> Column:
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: counts of the base kinds, digest of the base spans, all spans."""
     found = find_spans(docs, text_col, (id_col,))
-    counts = [F.size(F.filter("base", lambda s, r=r: s["rank"] == r)).cast("long").alias(f"n_{k.name}")
-              for r, k in enumerate(KINDS) if k.base]
+
+    def count(rank: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long")
+
+    counts = [count(r).alias(f"n_{k.name}") for r, k in enumerate(KINDS) if k.base]
     return found.select(id_col, *counts, F.sha2(span_list("base"), 256).alias("base_sha256"), span_list("spans").alias("spans"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontam, html_crf, langid, packing, pii, quality, simhash, token_files, url_reputation
+from . import chat, decontam, html_crf, langid, oracles, packing, pii, quality, simhash, token_files, url_reputation
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +33,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
-@query("op2_url_reputation")
+@query("op2_url_reputation", oracles.OP2)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = url_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
     return got.select("page_id", "host", "path", "rule", "verdict")
@@ -44,7 +44,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), drop_space=True, end_id=2)
 
 
-@query("op4_decontamination")
+@query("op4_decontamination", oracles.OP4)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = decontam.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -67,7 +67,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 _EXTRA_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
-@query("op7_chat_format")
+@query("op7_chat_format", oracles.OP7)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame(_EXTRA_TURNS, "conv_id long, turn long, role string, text string")
