@@ -54,7 +54,8 @@ def _mod97(match: Column) -> Column:
         letter = F.ascii(c) - 55
         return F.when(c.between("0", "9"), (rest * 10 + F.ascii(c) - 48) % 97).otherwise((rest * 100 + letter) % 97)
 
-    return F.length(plain).between(15, 34) & (F.aggregate(F.split(moved, "(?!^)"), F.lit(0), add) == 1)
+    letters = F.regexp_extract_all(moved, F.lit("."), F.lit(0))
+    return F.length(plain).between(15, 34) & (F.aggregate(letters, F.lit(0), add) == 1)
 
 
 @dataclass(frozen=True)
@@ -151,7 +152,15 @@ def find_spans(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
     df = df.withColumn("base", F.array_sort(F.concat(*base)))
     more = F.filter(F.concat(*added), lambda s: ~F.exists(F.col("base"), lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
     df = df.withColumn("spans", F.when(F.size(F.concat(*added)) > 0, F.array_sort(F.concat(F.col("base"), more))).otherwise(F.col("base")))
-    return df.drop(*base, *added)
+    return _settled(df, [*keep, "_text"], ["base", "spans"])
+
+
+def _settled(df: DataFrame, keep: list[str], made: list[str]) -> DataFrame:
+    """``keep`` and ``made`` columns, the latter through a one-element
+    generator: conditions that callers put on them are evaluated on the values
+    and not pushed down as copies of the long expressions that made them."""
+    row = F.explode(F.array(F.struct(*[F.col(c).alias(c) for c in made]))).alias("_made")
+    return df.select(*[F.col(f"`{c}`") for c in keep], row).select(*[F.col(f"`{c}`") for c in keep], *[F.col("_made").getField(c).alias(c) for c in made])
 
 
 def span_list(spans: str) -> Column:
@@ -205,14 +214,15 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     tails = F.concat(F.transform("_st", lambda s: F.element_at(names, s["rank"] + 1)), F.array(F.lit("")))
     parts = F.transform(F.arrays_zip(starts.alias("a"), stops.alias("b"), tails.alias("t")),
                         lambda z: F.concat(piece(z["a"], z["b"]), z["t"]))
-    df = df.withColumn("_new", F.when(some, F.array_join(parts, "")).otherwise(F.col(f"`{text_col}`")))
+    df = df.withColumn("_new", F.when(some, F.array_join(parts, "")).otherwise(F.col(f"`{text_col}`"))).withColumn("_some", some)
+    df = _settled(df, list(others), ["_new", "_some"])
     out = []
     for c in docs.columns:
         if c == text_col:
             out.append(F.col("_new").alias(c))
         elif c == length_col:
             kind = docs.schema[c].dataType
-            out.append(F.when(some, F.length("_new").cast(kind)).otherwise(F.col(f"`{c}`")).alias(c))
+            out.append(F.when(F.col("_some"), F.length("_new").cast(kind)).otherwise(F.col(f"`{c}`")).alias(c))
         else:
             out.append(F.col(f"`{c}`"))
     return df.select(*out)
