@@ -200,6 +200,7 @@ def _keyed(df: DataFrame) -> DataFrame:
         free = ~m & ((1 << 64) - 1)
         arr = F.array(*[F.lit(_signed(m & ((1 << 64) - 1) | b)) for b in _blocks(free)])
         step = F.when(F.col("fixed") == m, arr) if step is None else step.when(F.col("fixed") == m, arr)
+    step = F.array().cast("array<long>") if step is None else step      # no rows at all
     return (df.withColumn("fixed", F.explode(step))
             .withColumn("key", F.col("fp").bitwiseAND(F.col("fixed"))))
 
