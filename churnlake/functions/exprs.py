@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "MODULUS", "hkey", "hunif", "padded_id", "flag", "right_closed_bucket",
-    "missing", "not_nan", "weighted_sum", "risk_band_api", "risk_band_dash",
-    "ks_pvalue", "safe_div",
+    "missing", "not_nan", "weighted_sum", "risk_band_api", "risk_band_dash", "ks_pvalue",
 ]
 
 # The multiplicative hash used by every test fixture.
@@ -35,8 +34,10 @@ def hunif(key: Column | str, a: int) -> Column:
 
 
 def padded_id(key: Column | str, prefix: str = "C", width: int = 6) -> Column:
-    k = F.col(key) if isinstance(key, str) else key
-    return F.concat(F.lit(prefix), F.lpad(k.cast("string"), width, "0"))
+    """Prefix and the key with leading zeros up to ``width`` digits; longer
+    keys keep all their digits."""
+    digits = (F.col(key) if isinstance(key, str) else key).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
 
 
 def flag(cond: Column) -> Column:
@@ -79,11 +80,6 @@ def risk_band_dash(p: Column) -> Column:
     return right_closed_bucket(p, [0.0, 0.4, 0.7, 1.0], ["LOW", "MEDIUM", "HIGH"])
 
 
-def safe_div(a: Column, b: Column) -> Column:
-    """pandas-style division that yields null instead of raising (ANSI)."""
-    return F.try_divide(a, b)
-
-
 def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     """Asymptotic two-sample KS p-value (Kolmogorov distribution):
     Q(λ) = 2 Σ_{k≥1} (-1)^(k-1) exp(-2 k² λ²), λ = D·sqrt(n·m/(n+m)),

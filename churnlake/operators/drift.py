@@ -40,45 +40,63 @@ def bounded_sample(df: DataFrame, n: int, key: str = "k") -> DataFrame:
     return df.orderBy(hkey(key, SAMPLE_ORDER_KEY), F.col(key)).limit(n)
 
 
-def ks_statistics(sides: DataFrame, features, side_col: str = "side") -> DataFrame:
-    """Two-sample KS statistic per feature (missing values dropped,
-    ties grouped).  Output: feature, ks_statistic, n_ref, n_prod."""
+def value_counts(sides: DataFrame, features, side_col: str = "side") -> DataFrame:
+    """Rows per (feature, distinct value) on each side; missing values dropped."""
     long = to_long(sides, features, [side_col], "double").filter(F.col("value").isNotNull())
-    counts = (long.groupBy(F.col("column").alias("feature"), "value")
-              .agg(F.count_if(F.col(side_col) == "ref").alias("c_ref"),
-                   F.count_if(F.col(side_col) == "prod").alias("c_prod")))
-    cum = prefix_sum(counts, ["feature"], ["value"], ["c_ref", "c_prod"])
-    gap = F.abs(F.col("c_ref_cum") / F.col("c_ref_tot") - F.col("c_prod_cum") / F.col("c_prod_tot"))
+    return (long.groupBy(F.col("column").alias("feature"), "value")
+            .agg(F.count_if(F.col(side_col) == "ref").alias("c_ref"), F.count_if(F.col(side_col) == "prod").alias("c_prod")))
+
+
+def ks_from_counts(counts: DataFrame) -> DataFrame:
+    """D1 from value counts (several rows of one value are added up)."""
+    one = counts.groupBy("feature", "value").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_prod").alias("c_prod"))
+    cum = prefix_sum(one, ["feature"], ["value"], ["c_ref", "c_prod"])
+    gap = F.abs(F.try_divide("c_ref_cum", "c_ref_tot") - F.try_divide("c_prod_cum", "c_prod_tot"))
     return cum.groupBy("feature").agg(F.max(gap).alias("ks_statistic"),
                                       F.first("c_ref_tot").alias("n_ref"),
                                       F.first("c_prod_tot").alias("n_prod"))
 
 
-def feature_means(sides: DataFrame, features, side_col: str = "side") -> DataFrame:
-    """D4 inputs: per-feature mean on each side, one aggregate pass."""
-    long = to_long(sides, features, [side_col], "double")
-    return (long.groupBy(F.col("column").alias("feature"))
-            .agg(F.avg(F.when(F.col(side_col) == "ref", F.col("value"))).alias("ref_mean"),
-                 F.avg(F.when(F.col(side_col) == "prod", F.col("value"))).alias("prod_mean")))
+def ks_statistics(sides: DataFrame, features, side_col: str = "side") -> DataFrame:
+    """Two-sample KS statistic per feature (missing values dropped,
+    ties grouped).  Output: feature, ks_statistic, n_ref, n_prod."""
+    return ks_from_counts(value_counts(sides, features, side_col))
 
 
-def feature_drift(sides: DataFrame, features=None, side_col: str = "side") -> DataFrame:
-    """Feature, ks_statistic, p_value, drift_detected, ref_mean,
-    prod_mean, change_pct, plus the feature's ordinal (input order)."""
-    feats = features or numeric_features(sides.drop(side_col))
-    ks = ks_statistics(sides, feats, side_col)
-    means = feature_means(sides, feats, side_col)
-    # input order of the feature list, as an expression (no lookup table)
-    ordinal = (F.array_position(F.array(*[F.lit(f) for f in feats]), F.col("feature")) - 1).cast("int")
+def side_means(sides: DataFrame, features, side_col: str = "side") -> DataFrame:
+    """D4 inputs: per-feature mean on each side — conditional averages of the
+    columns as they are, one row, then one row per feature."""
+    def mean(c: str, side: str):
+        v = F.col(f"`{c}`").cast("double")
+        return F.avg(F.when((F.col(side_col) == side) & ~F.isnan(v), v)).alias(f"{side}:{c}")
+
+    wide = sides.agg(*[mean(c, side) for c in features for side in ("ref", "prod")])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`ref:{c}`").alias("ref_mean"), F.col(f"`prod:{c}`").alias("prod_mean"))
+                     for c in features])
+    return wide.select(F.inline(rows))
+
+
+def drift_from_counts(counts: DataFrame, means: DataFrame, features=None) -> DataFrame:
+    """D1–D4 from value counts and means (of both sides, or of either side
+    each): feature, ordinal, ks_statistic, p_value, drift_detected, ref_mean,
+    prod_mean, change_pct."""
+    m = means.groupBy("feature").agg(F.max("ref_mean").alias("ref_mean"), F.max("prod_mean").alias("prod_mean"))
+    ordinal = (F.array_position(F.array(*[F.lit(f) for f in features or []]).cast("array<string>"), F.col("feature")) - 1).cast("int")
     p = ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_prod"))
-    out = ks.join(means, "feature")
-    return out.select(
+    return ks_from_counts(counts).join(m, "feature").select(
         "feature", ordinal.alias("ordinal"), "ks_statistic", p.alias("p_value"),
         ((F.col("ks_statistic") > KS_THRESHOLD) | (p < P_VALUE_THRESHOLD)).alias("drift_detected"),
         "ref_mean", "prod_mean",
         (F.try_divide(F.col("prod_mean") - F.col("ref_mean"), F.col("ref_mean")) * F.lit(100.0)).alias("change_pct"))
 
 
+def feature_drift(sides: DataFrame, features=None, side_col: str = "side") -> DataFrame:
+    """D1–D4 over ``features`` (default: every numeric column that is no
+    identifier or label), with the feature's ordinal (input order)."""
+    feats = features or numeric_features(sides.drop(side_col))
+    return drift_from_counts(value_counts(sides, feats, side_col), side_means(sides, feats, side_col), feats)
+
+
 def prediction_drift(sides: DataFrame, label: str = "churned", side_col: str = "side") -> DataFrame:
     """Churn-rate shift between the sides."""
     r = sides.agg(F.avg(F.when(F.col(side_col) == "ref", F.col(label))).alias("ref_churn_rate"),

@@ -109,22 +109,24 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = "k", test_f
                      hash_a: int = SPLIT_KEY) -> DataFrame:
     """Exact stratified split.  Within each class rows are ranked by
     (H(key), key); the first ROUND(f·n_class) are test.  The rank is a
-    distributed prefix count, so a class with a third (or all) of the rows is
-    spread over many tasks."""
-    x = df.withColumns({"_h": hkey(key, hash_a), "_one": F.lit(1)})
+    distributed prefix count over (key, class) alone, so a class with a third
+    (or all) of the rows is spread over many tasks; the rows meet their split
+    in one join on the (unique) key."""
+    x = df.select(key, label).withColumns({"_h": hkey(key, hash_a), "_one": F.lit(1)})
     r = prefix_sum(x, [label], ["_h", key], ["_one"])
     test = F.col("_one_cum") <= F.round(F.lit(test_fraction) * F.col("_one_tot"))
-    return r.withColumn("split", F.when(test, F.lit("test")).otherwise(F.lit("train"))) \
-        .drop("_h", "_one", "_one_cum", "_one_tot")
+    split = r.select(key, F.when(test, F.lit("test")).otherwise(F.lit("train")).alias("split"))
+    return df.join(split, key)
 
 
-def hash_split(df: DataFrame, key: str = "k", test_fraction: float = TEST_FRACTION,
-               hash_a: int = SPLIT_KEY) -> DataFrame:
-    """Scale option for T1: a hash-bucket threshold — no ranking at all,
-    class ratios kept in expectation rather than exactly."""
-    buckets = 1000
-    test = (hkey(key, hash_a) % buckets) < int(round(test_fraction * buckets))
-    return df.withColumn("split", F.when(test, F.lit("test")).otherwise(F.lit("train")))
+def stratified_folds(df: DataFrame, label: str = "label", key: str = "k", n_folds: int = N_FOLDS,
+                     hash_a: int = SPLIT_KEY) -> DataFrame:
+    """Folds of equal class shares — within each class rows are dealt to
+    the folds in (H(key), key) order."""
+    x = df.select(key, label).withColumns({"_h": hkey(key, hash_a), "_one": F.lit(1)})
+    r = prefix_sum(x, [label], ["_h", key], ["_one"])
+    folds = r.select(key, ((F.col("_one_cum") - 1) % n_folds).cast("int").alias("fold"))
+    return df.join(folds, key)
 
 
 def fold_assignment(df: DataFrame, key: str = "k", n_folds: int = N_FOLDS, hash_a: int = SPLIT_KEY) -> DataFrame:

@@ -82,17 +82,6 @@ def business_features(df: DataFrame, p75: float | None = None, exact: bool = Tru
     })
 
 
-def label_probability() -> Column:
-    """label probability (weights added in their fixed order)."""
-    return weighted_sum([
-        (0.3, F.col("tenure_months") < 12),
-        (0.25, F.col("contract_type") == "Month-to-month"),
-        (0.2, F.col("monthly_charges") > 100),
-        (0.15, F.col("tech_support") == "No"),
-        (0.1, F.col("senior_citizen") == 1),
-    ])
-
-
 # --------------------------------------------------------------------------
 # label encoder
 
@@ -103,88 +92,31 @@ def _as_label(c: str) -> F.Column:
     return F.coalesce(v, F.lit("nan" if c == "tenure_group" else "None"))
 
 
-def fit_label_encoders(df: DataFrame, columns=None, max_driver_entries: int | None = None) -> DataFrame:
-    """Parameter table (column, value, code): codes 0..n−1 in lexicographic
-    order of the string form, per column.  Distinct values are found with a
-    partial aggregate; the rank runs over distinct values only.
-
-    When the distinct values number at most ``max_driver_entries`` (checked
-    with a bounded ``limit`` read) they are ranked on the driver, as
-    ``pyspark.ml``'s ``StringIndexer`` keeps its labels; otherwise by the
-    distributed prefix sum, so no task or driver holds a large domain."""
-    cols = [c for c in (columns or CATEGORICAL_COLUMNS) if c in df.columns]
-    args = ", ".join(f"'{c}', {_sql_label(c)}" for c in cols)
-    long = df.select(F.expr(f"stack({len(cols)}, {args}) AS (`column`, `value`)"))
-    distinct = long.groupBy("column", "value").agg(F.lit(1).alias("one"))
-    cap = MAX_DRIVER_ENCODER_ENTRIES if max_driver_entries is None else max_driver_entries
-    rows = distinct.select("column", "value").limit(cap + 1).collect() if cap > 0 else None
-    if rows is not None and len(rows) <= cap:
-        by_col: dict[str, list[str]] = {}
-        for r in rows:
-            by_col.setdefault(r["column"], []).append(r["value"])
-        # Spark orders strings by their UTF-8 bytes; so does this sort
-        ranked = [(c, v, i) for c, vs in by_col.items()
-                  for i, v in enumerate(sorted(vs, key=lambda s: s.encode("utf-8")))]
-        return df.sparkSession.createDataFrame(ranked, "column string, value string, code int")
-    # code = number of smaller distinct values in the column.  The numeric
-    # order key of the prefix sum is the first 7 UTF-8 bytes; values sharing
-    # those bytes are ordered by the full string.
-    head = F.rpad(F.hex(F.substring(F.encode("value", "UTF-8"), 1, 7)), 14, "0")
-    keyed = distinct.withColumn("_k", F.conv(head, 16, 10).cast("bigint"))
-    ranked_df = prefix_sum(keyed, ["column"], ["_k", "value"], ["one"])
-    return ranked_df.select("column", "value", (F.col("one_cum") - 1).cast("int").alias("code"))
-
-
-MAX_DRIVER_ENCODER_ENTRIES = 100_000
-
-
 def _sql_label(c: str) -> str:
     return f"coalesce(CAST(`{c}` AS STRING), '{'nan' if c == 'tenure_group' else 'None'}')"
 
 
-def collect_encoders(params: DataFrame, max_entries: int = MAX_DRIVER_ENCODER_ENTRIES):
-    """The fitted codes as ``{column: {value: code}}`` when the table holds
-    at most ``max_entries`` rows (checked with a bounded ``limit`` read),
-    else ``None`` (the caller keeps the join path)."""
-    rows = params.limit(max_entries + 1).collect()
-    if len(rows) > max_entries:
-        return None
-    out: dict[str, dict[str, int]] = {}
-    for r in rows:
-        out.setdefault(r["column"], {})[r["value"]] = int(r["code"])
-    return out
-
-
-def apply_label_encoders(df: DataFrame, params, columns=None, unseen: int = -1) -> DataFrame:
-    """Add ``<col>_encoded``; a value not seen at fit time gets ``unseen``.
-
-    ``params`` is the fitted ``{column: {value: code}}`` (or the parameter
-    table, collected when small enough).  Small maps become literal map
-    lookups in the projection — no join, no shuffle.  A table too large for
-    the driver is applied with one equi-join per column instead.
-    """
+def fit_label_encoders(df: DataFrame, columns=None) -> DataFrame:
+    """Parameter table (column, value, code): codes 0..n−1 in lexicographic
+    (UTF-8) order of the string form, per column.  Distinct values are found
+    with a partial aggregate and ranked by the distributed prefix sum, so no
+    task or driver holds a column's domain; the table is written."""
+    from ..session import materialize
     cols = [c for c in (columns or CATEGORICAL_COLUMNS) if c in df.columns]
-    if isinstance(params, DataFrame):
-        small = collect_encoders(params)
-        if small is None:
-            return _join_encoders(df, params, cols, unseen)
-        params = small
-    exprs = {}
-    for c in cols:
-        codes = params.get(c, {})
-        if codes:
-            m = F.create_map(*[x for kv in sorted(codes.items()) for x in (F.lit(kv[0]), F.lit(kv[1]))])
-            exprs[f"{c}_encoded"] = F.coalesce(F.element_at(m, _as_label(c)), F.lit(unseen)).cast("int")
-        else:
-            exprs[f"{c}_encoded"] = F.lit(unseen).cast("int")
-    return df.withColumns(exprs)
+    args = ", ".join(f"'{c}', {_sql_label(c)}" for c in cols)
+    long = df.select(F.expr(f"stack({len(cols)}, {args}) AS (`column`, `value`)"))
+    distinct = long.groupBy("column", "value").agg(F.lit(1).alias("one"))
+    ranked = prefix_sum(distinct, ["column"], ["value"], ["one"])
+    return materialize(ranked.select("column", "value", (F.col("one_cum") - 1).cast("int").alias("code")))
 
 
-def _join_encoders(df: DataFrame, params: DataFrame, cols, unseen: int) -> DataFrame:
+def apply_label_encoders(df: DataFrame, params: DataFrame, columns=None, unseen: int = -1) -> DataFrame:
+    """Add ``<col>_encoded`` by one equi-join per column with the stored
+    parameter table (the planner broadcasts a column's codes if the file says
+    they are small); a value not seen at fit time gets ``unseen``."""
     out = df
-    for c in cols:
-        p = params.filter(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"),
-                                                        F.col("code").alias(f"{c}_encoded"))
+    for c in [c for c in (columns or CATEGORICAL_COLUMNS) if c in df.columns]:
+        p = params.filter(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"{c}_encoded"))
         out = (out.join(p, _as_label(c) == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
                .withColumn(f"{c}_encoded", F.coalesce(F.col(f"{c}_encoded"), F.lit(unseen)).cast("int")))
     return out
@@ -236,25 +168,20 @@ def select_features(df: DataFrame, with_id: bool = True, with_label: bool = True
 
 
 class FeatureModel:
-    """Fitted state of the feature pipeline: the p75 threshold, the
-    label-encoder codes and the scaler moments.  Like a ``pyspark.ml``
-    model, the (size-checked) state lives on the driver and enters plans as
-    literals; ``save``/``load`` persist it as parameter tables (S12)."""
+    """Fitted state of the feature pipeline: the p75 threshold and the scaler
+    moments (a few numbers, literals in plans) and the label-encoder codes (a
+    stored table that transforms join); ``save``/``load`` persist all three as
+    parameter tables (S12)."""
 
-    def __init__(self, p75: float | None, encoders, scaler: dict):
+    def __init__(self, p75: float | None, encoders: DataFrame, scaler: dict):
         self.p75, self.encoders, self.scaler = p75, encoders, scaler
 
     @classmethod
     def fit(cls, raw: DataFrame, exact: bool = True) -> "FeatureModel":
         p75 = p75_value(raw, exact)
         biz = business_features(raw, p75)
-        enc_table = fit_label_encoders(biz)
-        enc = collect_encoders(enc_table)
-        if enc is None:   # too many distinct values for the driver: keep a written table
-            from ..session import materialize
-            enc = materialize(enc_table)
-        scaler = collect_scaler(fit_scaler(apply_label_encoders(biz, enc)))
-        return cls(p75, enc, scaler)
+        enc = fit_label_encoders(biz)
+        return cls(p75, enc, collect_scaler(fit_scaler(apply_label_encoders(biz, enc))))
 
     def transform(self, raw: DataFrame, scale: bool = True) -> DataFrame:
         x = business_features(raw, self.p75)
@@ -265,14 +192,9 @@ class FeatureModel:
 
     def tables(self, spark):
         p75 = spark.createDataFrame([(self.p75,)], f"{qname('monthly_charges', HIGH_SPENDER_QUANTILE)} double")
-        if isinstance(self.encoders, DataFrame):
-            enc = self.encoders
-        else:
-            enc = spark.createDataFrame([(c, v, code) for c, m in self.encoders.items() for v, code in m.items()],
-                                        "column string, value string, code int")
         sc = spark.createDataFrame([(c, m, s) for c, (m, s) in self.scaler.items()],
                                    "column string, mean double, std double")
-        return p75, enc, sc
+        return p75, self.encoders, sc
 
     def save(self, path: str) -> None:
         """Parameter tables as parquet under one folder."""
@@ -285,9 +207,7 @@ class FeatureModel:
     @classmethod
     def load(cls, spark, path: str) -> "FeatureModel":
         p75 = spark.read.parquet(f"{path}/p75").first()[0]
-        enc_t = spark.read.parquet(f"{path}/label_encoders")
-        enc = collect_encoders(enc_t)
-        return cls(p75, enc if enc is not None else enc_t, collect_scaler(spark.read.parquet(f"{path}/scaler")))
+        return cls(p75, spark.read.parquet(f"{path}/label_encoders"), collect_scaler(spark.read.parquet(f"{path}/scaler")))
 
 
 def feature_table(raw: DataFrame, model: FeatureModel | None = None, scale: bool = True) -> DataFrame:

@@ -20,8 +20,11 @@ LATENCY_BINS = 40
 LATENCY_BUCKETS_MS = [5, 10, 25, 50, 75, 100, 250, 500, 1000]
 WINDOW = "5 minutes"
 WINDOW_SECONDS = 300
+# errors per second over a window above which the alert condition holds
 ERROR_RATE_ALERT = 0.05
 DRIFT_LINE = 0.10
+RANGES = {"Last Hour": "INTERVAL 1 HOUR", "Last 24 Hours": "INTERVAL 24 HOURS", "Last 7 Days": "INTERVAL 7 DAYS"}
+# the dashboard's icons before these labels are left out
 PREDICTION_LABELS = {0: "No Churn", 1: "Churn"}
 
 
@@ -180,14 +183,22 @@ def drift_timeline(log: DataFrame, value: str = "churn_probability", ref_days: i
 # -------------------------------------------------------------------------
 # time-window panels (W1–W7), batch twins of the streaming jobs
 
-def window_counts(log: DataFrame, window: str = WINDOW) -> DataFrame:
+def window_rates(counts: DataFrame, threshold: float = ERROR_RATE_ALERT) -> DataFrame:
+    """Rates of windows with columns window_start, requests, errors: requests
+    and errors per second (W1, W5), their ratio, and the alert condition
+    "errors per second above ``threshold``"."""
+    per_second = F.col("errors") / F.lit(float(WINDOW_SECONDS))
+    return counts.select("window_start", "requests", "errors",
+                         (F.col("requests") / F.lit(float(WINDOW_SECONDS))).alias("request_rate"),
+                         per_second.alias("error_rate"), (F.col("errors") / F.col("requests")).alias("error_ratio"),
+                         (per_second > threshold).alias("alert"))
+
+
+def window_counts(log: DataFrame, window: str = WINDOW, threshold: float = ERROR_RATE_ALERT) -> DataFrame:
     """W1 + W5 in one windowed aggregate: requests, errors, rates."""
     g = log.groupBy(F.window(_ts(), window).alias("w")).agg(
         F.count(F.lit(1)).alias("requests"), F.sum("is_error").cast("bigint").alias("errors"))
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "requests", "errors",
-                    (F.col("requests") / F.lit(float(WINDOW_SECONDS))).alias("request_rate"),
-                    (F.col("errors") / F.col("requests")).alias("error_rate"),
-                    ((F.col("errors") / F.col("requests")) > ERROR_RATE_ALERT).alias("alert"))
+    return window_rates(g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "requests", "errors"), threshold)
 
 
 def histogram_quantile(q: float, buckets: DataFrame, group_cols) -> DataFrame:
@@ -250,10 +261,24 @@ def sustained_alerts(windows: DataFrame, windows_required: int = 2) -> DataFrame
     return held.withColumn("held_windows", F.lit(windows_required))
 
 
-def latest_gauges(log: DataFrame) -> DataFrame:
-    """Latest value of each gauge (by event time, then id)."""
-    order = F.struct("event_time", "event_id")
-    return log.agg(F.max_by("churn_probability", order).alias("latest_probability"),
-                   F.max_by("latency_ms", order).alias("latest_latency_ms"),
-                   F.max_by("model_version", order).alias("latest_model_version"),
-                   F.max("event_time").alias("as_of"))
+def latest_f1(runs: DataFrame) -> DataFrame:
+    """F1 of the most recent run (ties: the later run id)."""
+    order = F.struct("start_time", "run_id")
+    return runs.agg(F.max_by("f1_score", order).alias("latest_f1"), F.max_by("run_id", order).alias("run_id"))
+
+
+def latest_drift(timeline: DataFrame) -> DataFrame:
+    """The newest day's drift score (KS statistic)."""
+    return timeline.agg(F.max_by("ks_statistic", "day").alias("latest_drift"), F.max("day").alias("drift_day"))
+
+
+def latest_gauges(runs: DataFrame, timeline: DataFrame) -> DataFrame:
+    """Both gauges in one row."""
+    return with_one_row(latest_f1(runs), latest_drift(timeline))
+
+
+def since(log: DataFrame, now: str, span: str) -> DataFrame:
+    """M5: rows of the last hour, 24 hours or 7 days before an explicit
+    ``now`` (``span``: one of ``RANGES``), ends included."""
+    end = F.lit(now).cast("timestamp_ntz")
+    return log.filter((F.col("event_time") >= end - F.expr(RANGES[span])) & (F.col("event_time") <= end))

@@ -93,8 +93,8 @@ def align_to_model(df: DataFrame, feature_names, keep=("customer_id",)) -> DataF
                      *[F.col(f"`{n}`") if n in have else F.lit(0).alias(n) for n in feature_names])
 
 
-def rule_score(jitter: bool = False) -> Column:
-    """P4 (+ P5): rule-based probability, clamped to [0, 1].  Terms are
+def rule_score() -> Column:
+    """Rule-based probability, clamped to [0, 1].  Terms are
     added in the reference's order so every engine rounds identically."""
     ten, mon = F.col("tenure_months"), F.col("monthly_charges")
     ct, pm = F.col("contract_type"), F.col("payment_method")
@@ -111,16 +111,11 @@ def rule_score(jitter: bool = False) -> Column:
          - add(ten > 24, 0.20) - add(ct == "Two year", 0.20)
          - add((sec == "Yes") & (tech == "Yes"), 0.15)
          - add(pm.isin("Bank transfer", "Credit card"), 0.08))
-    p = F.greatest(F.lit(0.0), F.least(F.lit(1.0), s))
-    if jitter:
-        key = F.substring("customer_id", 2, 20).cast("bigint")
-        noise = (hunif(key, JITTER_KEY) - F.lit(0.5)) / F.lit(10.0)
-        p = F.greatest(F.lit(0.0), F.least(F.lit(1.0), p + noise))
-    return p
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), s))
 
 
-def score_rules(requests: DataFrame, jitter: bool = False) -> DataFrame:
-    return requests.withColumn("churn_probability_raw", rule_score(jitter))
+def score_rules(requests: DataFrame) -> DataFrame:
+    return requests.withColumn("churn_probability_raw", rule_score())
 
 
 def with_fallback(df: DataFrame, model_col: str = "model_probability") -> DataFrame:
@@ -148,8 +143,8 @@ def response_rows(scored: DataFrame, as_of: str, mode: str | Column = "rules") -
     )
 
 
-def score_customers(requests: DataFrame, as_of: str, jitter: bool = False) -> DataFrame:
-    return response_rows(score_rules(requests, jitter), as_of)
+def score_customers(requests: DataFrame, as_of: str) -> DataFrame:
+    return response_rows(score_rules(requests), as_of)
 
 
 def batch_score_summary(responses: DataFrame) -> DataFrame:

@@ -1,27 +1,26 @@
 """Distributed statistics building blocks.
 
-``prefix_sum`` is the core: an exact running sum ordered by a numeric key
-inside each (low-cardinality) part, computed without putting a whole part
-into one task.  Exact quantiles, KS statistics, average-rank AUC, the exact
-stratified split and the drift timeline are written on top of it.
+``prefix_sum`` is the core: an exact running sum ordered by a key inside each
+part, computed without putting a whole part into one task.  Exact quantiles,
+KS statistics, average-rank AUC, the exact stratified split and the drift
+timeline are written on top of it.
 
 Plan shape:
 
-1. level-1 slices: equal width between the part's exact min and max
-   (N per part);
-2. level-2 slices: each level-1 slice is cut again, between its own min and
-   max, into ⌈rows / target⌉ pieces — a heavy-tailed feature whose values
-   crowd into one level-1 slice is spread out here;
-3. per (part, slice) totals — at most parts·N·N₂ rows — give each slice its
-   offset by an exclusive running sum over slices (AQE broadcasts the small
-   table after measuring it);
-4. local running sum inside (part, slice), ordered by the key, plus offset.
-
-Slices are pure functions of the value (min, max and counts are exact and
-deterministic), so every branch of the plan — and every re-run after a lost
-executor — agrees on them without materialising anything.  Callers
-pre-aggregate to distinct keys with counts first, so a key that holds a
-third of all rows is a single row here.
+1. the (pre-aggregated) input is range-partitioned on (part, order key):
+   Spark samples the keys themselves, so slices follow the data's own
+   distribution, however heavy its tail, and a part with most of the rows is
+   cut into as many slices as its rows need.  Each row keeps the number of
+   its slice and the rows are written once;
+2. the rows per slice are counted; while any slice exceeds the target, the
+   rows are dealt again into twice as many slices (order keys are unique
+   within a part, so every slice can be cut);
+3. per (part, slice) totals — one row a slice plus one a part border — give
+   each slice its offset;
+4. local running sum inside (part, slice) plus the offset.
+
+Callers pre-aggregate to distinct keys with counts first, so a key that holds
+a third of all rows is a single row here.
 """
 
 from __future__ import annotations
@@ -29,69 +28,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# rows per level-2 slice (the unit one task sorts for the local running sum)
+# rows of a slice (the unit one task sorts for the local running sum)
 TARGET_SLICE_ROWS = 2_000_000
-MAX_SUBSLICES = 4096
 
 
-def _slices(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    # level 1 only needs to be moderately fine; level 2 sizes slices by rows
-    return min(1024, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
-def _equal_width(key, lo, hi, n):
-    span = hi - lo
-    return F.coalesce(F.when(span == 0, F.lit(0)).otherwise(
-        F.least(n - 1, F.floor((key - lo) / span * n.cast("double")).cast("int"))), F.lit(0))
+def sliced(df: DataFrame, part_cols, order_cols, n_slices: int | None = None,
+           target_slice_rows: int = TARGET_SLICE_ROWS) -> DataFrame:
+    """``df`` with ``_slice``, a number that rises with (part, order key); no
+    slice has more than ``target_slice_rows`` rows."""
+    from ..session import drop_path, scratch_path
+    spark = df.sparkSession
+    keys = [*part_cols, *order_cols]
+    n = n_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    source, old = df, None
+    while True:
+        path = scratch_path(spark, "slices")
+        rows = source.repartitionByRange(n, *keys).withColumn("_slice", F.spark_partition_id())
+        rows.write.parquet(path)
+        made = spark.read.schema(rows.schema).parquet(path)
+        if old:
+            drop_path(spark, old)
+        largest, total = made.groupBy("_slice").count().agg(F.max("count"), F.sum("count")).first()
+        if largest is None or largest <= target_slice_rows:
+            return made
+        source, old = made.drop("_slice"), path
+        n = max(2 * n, -(-2 * total // target_slice_rows))
 
 
 def prefix_sum(df: DataFrame, part_cols, order_cols, sum_cols, n_slices: int | None = None,
-               inclusive: bool = True, target_slice_rows: int = TARGET_SLICE_ROWS,
-               materialize_input: bool = True) -> DataFrame:
+               inclusive: bool = True, target_slice_rows: int = TARGET_SLICE_ROWS) -> DataFrame:
     """Add ``<c>_cum`` (running sum of ``c`` ordered by ``order_cols`` within
     ``part_cols``, inclusive of the current row) and ``<c>_tot`` (part total)
-    for every ``c`` in ``sum_cols``.
-
-    ``order_cols[0]`` must be numeric; the full ``order_cols`` tuple must be
-    unique within a part (callers aggregate to distinct keys first).
-
-    The input feeds five branches (bounds, slice stats, totals, offsets,
-    rows); column pruning gives each branch a differently-pruned copy of
-    the upstream plan, so Spark cannot share one shuffle between them.  The
-    (pre-aggregated, hence smaller) input is therefore written once to the
-    shared checkpoint folder and every branch reads that copy — the
-    upstream input is scanned exactly once.
-    """
+    for every ``c`` in ``sum_cols``.  ``order_cols`` must be unique within a
+    part (callers aggregate to distinct keys first)."""
     part_cols, order_cols, sum_cols = list(part_cols), list(order_cols), list(sum_cols)
-    if materialize_input:
-        from ..session import materialize
-        df = materialize(df)
-    n = _slices(df, n_slices)
-    key = F.col(order_cols[0]).cast("double")
-    # level 1
-    bounds = df.groupBy(*part_cols).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
-    x = df.join(bounds, part_cols) if part_cols else with_one_row(df, bounds)
-    x = x.withColumn("_s1", _equal_width(key, F.col("_lo"), F.col("_hi"), F.lit(n))).drop("_lo", "_hi")
-    # level 2
-    st = (x.groupBy(*part_cols, "_s1")
-          .agg(F.min(key).alias("_lo2"), F.max(key).alias("_hi2"), F.count(F.lit(1)).alias("_c"))
-          .withColumn("_n2", F.least(F.lit(MAX_SUBSLICES),
-                                     F.greatest(F.lit(1), F.ceil(F.col("_c") / F.lit(target_slice_rows)).cast("int"))))
-          .drop("_c"))
-    x = x.join(st, [*part_cols, "_s1"])
-    x = x.withColumn("_slice", F.col("_s1").cast("bigint") * MAX_SUBSLICES
-                     + _equal_width(key, F.col("_lo2"), F.col("_hi2"), F.col("_n2"))).drop(
-        "_s1", "_lo2", "_hi2", "_n2")
-    # offsets per slice
+    x = sliced(df, part_cols, order_cols, n_slices, target_slice_rows)
     tot = x.groupBy(*part_cols, "_slice").agg(*[F.sum(c).alias(f"_s_{c}") for c in sum_cols])
-    w_prev = Window.partitionBy(*part_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*part_cols)
-    off = tot.select(*part_cols, "_slice",
-                     *[F.coalesce(F.sum(f"_s_{c}").over(w_prev), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
-                     *[F.sum(f"_s_{c}").over(w_all).alias(f"{c}_tot") for c in sum_cols])
-    # local running sums
+    off = _offsets(tot, part_cols, sum_cols)
     w_loc = (Window.partitionBy(*part_cols, "_slice").orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
     out = x.join(off, [*part_cols, "_slice"])
@@ -102,6 +75,26 @@ def prefix_sum(df: DataFrame, part_cols, order_cols, sum_cols, n_slices: int | N
     )
 
 
+def _offsets(tot: DataFrame, part_cols, sum_cols) -> DataFrame:
+    """Sums before each slice and part totals.  The slices of a part (one
+    entry each) meet in one array and are summed up in it."""
+    slices = F.array_sort(F.collect_list(F.struct("_slice", *[f"_s_{c}" for c in sum_cols])))
+    per = tot.groupBy(*part_cols).agg(slices.alias("_all"), *[F.sum(f"_s_{c}").alias(f"{c}_tot") for c in sum_cols])
+
+    def running(c: str):
+        kind = tot.schema[f"_s_{c}"].dataType
+
+        def step(acc, v):
+            return F.array_append(acc, F.element_at(acc, -1) + F.coalesce(v[f"_s_{c}"], F.lit(0).cast(kind)))
+
+        return F.aggregate("_all", F.array(F.lit(0).cast(kind)), step)
+
+    zipped = F.arrays_zip(F.col("_all").alias("_all"), *[F.slice(running(c), F.lit(1), F.size("_all")).alias(f"_o_{c}") for c in sum_cols])
+    rows = per.select(*part_cols, F.explode(zipped).alias("_z"), *[f"{c}_tot" for c in sum_cols])
+    return rows.select(*part_cols, F.col("_z._all._slice").alias("_slice"), *[F.col(f"_z._o_{c}").alias(f"_o_{c}") for c in sum_cols],
+                       *[f"{c}_tot" for c in sum_cols])
+
+
 def to_long(df: DataFrame, value_cols, keep_cols=(), value_type: str = "double") -> DataFrame:
     """Wide → long (column, value) with ``stack``; NaN becomes null."""
     keep = list(keep_cols)
@@ -191,8 +184,8 @@ def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
 def equal_width_histogram(df: DataFrame, col: str, bins: int, group_cols=(), density: bool = False,
                           lo=None, hi=None) -> DataFrame:
     """A5: ``bins`` equal-width bins over [min, max] of each group (NumPy
-    rule: the last bin is closed on the right).  The range is one aggregate
-    row per group; counts are one grouped aggregate; empty bins appear with
+    rule: the last bin is closed on the right).  Groups are few (features,
+    sides); the range is one aggregate row per group; counts are one grouped aggregate; empty bins appear with
     count 0 from a generated sequence of exactly ``bins`` rows per group."""
     g = list(group_cols)
     base = df.select(*g, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
@@ -205,7 +198,11 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int, group_cols=(), den
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     idx = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
         F.least(F.greatest(F.floor((F.col("_v") - F.col("_lo")) / width).cast("int"), F.lit(0)), F.lit(bins - 1)))
-    joined = base.join(rng, g) if g else with_one_row(base, rng)
+    if g:      # a few groups: their ranges travel as one map, looked up in the projection
+        table = rng.agg(F.map_from_entries(F.collect_list(F.struct(F.struct(*g), F.struct("_lo", "_hi", "_n")))).alias("_rng"))
+        joined = with_one_row(base, table).withColumn("_r", F.try_element_at("_rng", F.struct(*g))).select(*g, "_v", "_r.*")
+    else:
+        joined = with_one_row(base, rng)
     counted = joined.withColumn("bin", idx).groupBy(*g, "bin").agg(F.count(F.lit(1)).alias("count"))
     grid = rng.select(*g, "_lo", "_hi", "_n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = grid.join(counted, [*g, "bin"], "left").withColumn("count", F.coalesce("count", F.lit(0)).cast("bigint"))

@@ -40,7 +40,7 @@ _def("spend", [], """
 
 _def("cr_base", ["spend"], f"""
   SELECT c.c_custkey AS k,
-         concat('C', lpad(CAST(c.c_custkey AS VARCHAR(20)), 6, '0')) AS customer_id,
+         concat('C', repeat('0', CAST(greatest(0, 6 - length(CAST(c.c_custkey AS VARCHAR))) AS INTEGER)), CAST(c.c_custkey AS VARCHAR)) AS customer_id,
          CAST(1 + {_h(62089911, 'c.c_custkey')} % 71 AS BIGINT) AS tenure_months,
          2e1 + (c.c_acctbal + 1e3) * 1.3e2 / 1.1e4 AS monthly_charges,
          coalesce(s.spend, 0e0) / 6e2 AS total_charges,
@@ -102,7 +102,7 @@ _def("customers_dirty", ["dirty_changed"], """
 
 _def("prediction_log", [], """
   SELECT event_id, ts AS event_time,
-         concat('C', lpad(CAST(user_id AS VARCHAR(20)), 6, '0')) AS customer_id,
+         concat('C', repeat('0', CAST(greatest(0, 6 - length(CAST(user_id AS VARCHAR))) AS INTEGER)), CAST(user_id AS VARCHAR)) AS customer_id,
          value / (value + 5e1) AS churn_probability,
          CAST(value / (value + 5e1) >= 5e-1 AS INTEGER) AS prediction,
          value AS latency_ms,

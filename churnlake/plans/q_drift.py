@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import drift as DR
 from ..operators import features as FE
+from ..session import scratch_path
 from ..sources import fixtures as FX
+from ..sources import sinks
 from .ctes import define
 from .registry import query
 
@@ -24,7 +26,6 @@ def feature_model(spark, sf_dir):
 def unscaled_features(spark, sf_dir):
     """The unscaled feature table, written once by the feature job; drift
     reads it (the reference's drift job reads the stored feature table)."""
-    from ..session import scratch_path
     from ..sources.sinks import write_table
 
     def build():
@@ -44,7 +45,8 @@ def sides(spark, sf_dir):
 
 
 def _drift(spark, sf_dir):
-    return DR.feature_drift(sides(spark, sf_dir), FEATS)
+    """The features are the numeric columns that are no id or label."""
+    return DR.feature_drift(sides(spark, sf_dir).select("side", *FEATS, "customer_id", "churned"))
 
 
 # ---------------------------------------------------------------- oracle CTEs
@@ -109,18 +111,21 @@ def feature_drift(spark, sf_dir):
                     _r("ref_mean"), _r("prod_mean"), _r("change_pct", 6))
 
 
-@query("prediction_drift", oracle="""
+_PREDICTION_SQL = """
 SELECT AVG(churned) FILTER (WHERE side = 'ref') AS ref_churn_rate, AVG(churned) FILTER (WHERE side = 'prod') AS prod_churn_rate,
        abs(AVG(churned) FILTER (WHERE side = 'prod') - AVG(churned) FILTER (WHERE side = 'ref')) AS absolute_change,
        (AVG(churned) FILTER (WHERE side = 'prod') - AVG(churned) FILTER (WHERE side = 'ref'))
          / AVG(churned) FILTER (WHERE side = 'ref') * 1e2 AS change_pct,
        abs(AVG(churned) FILTER (WHERE side = 'prod') - AVG(churned) FILTER (WHERE side = 'ref')) > 5e-2 AS drift_detected
-FROM sides""")
+FROM sides"""
+
+
+@query("prediction_drift", oracle=_PREDICTION_SQL)
 def prediction_drift(spark, sf_dir):
     return DR.prediction_drift(sides(spark, sf_dir))
 
 
-@query("drift_summary", oracle="""
+_SUMMARY_SQL = """
 SELECT COUNT(*) AS total_features_analyzed, COUNT(*) FILTER (WHERE drift_detected) AS features_with_drift,
        coalesce(CAST(COUNT(*) FILTER (WHERE drift_detected) AS DOUBLE) / NULLIF(CAST(COUNT(*) AS DOUBLE), 0e0) * 1e2, 0e0)
          AS drift_percentage,
@@ -128,7 +133,10 @@ SELECT COUNT(*) AS total_features_analyzed, COUNT(*) FILTER (WHERE drift_detecte
             WHEN CAST(COUNT(*) FILTER (WHERE drift_detected) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 1e2 > 10 THEN 'WARNING'
             ELSE 'OK' END AS overall_drift_status,
        CAST(COUNT(*) FILTER (WHERE drift_detected) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 1e2 > 20 AS retrain_recommended
-FROM feature_drift""")
+FROM feature_drift"""
+
+
+@query("drift_summary", oracle=_SUMMARY_SQL)
 def drift_summary(spark, sf_dir):
     return DR.drift_summary(_drift(spark, sf_dir))
 
@@ -141,10 +149,20 @@ def top_drifted_features(spark, sf_dir):
     return t.select("feature", "ks_statistic", _r("change_pct", 6))
 
 
-@query("drift_report")
+@query("drift_report", oracle=f"""
+SELECT '{AS_OF}' AS timestamp, s.features_with_drift, s.overall_drift_status, p.drift_detected AS label_drift, d.feature, d.ks_statistic,
+       d.drift_detected, row_number() OVER (ORDER BY d.ks_statistic DESC, d.ordinal) <= 5 AS top
+FROM feature_drift d, ({_SUMMARY_SQL}) s, ({_PREDICTION_SQL}) p""")
 def drift_report(spark, sf_dir):
+    """The nested report is written as JSON, read back and laid out one row per feature."""
     s = sides(spark, sf_dir)
-    return DR.drift_report(DR.feature_drift(s, FEATS), DR.prediction_drift(s), AS_OF)
+    report = DR.drift_report(DR.feature_drift(s, FEATS), DR.prediction_drift(s), AS_OF)
+    back = sinks.read_json(spark, sinks.write_json(report, scratch_path(spark, "drift_report")), report.schema)
+    one = back.select("timestamp", "summary.features_with_drift", "summary.overall_drift_status",
+                      F.col("prediction_drift.drift_detected").alias("label_drift"),
+                      F.transform("top_drifted_features", lambda x: x["feature"]).alias("_top"), F.explode("all_features").alias("f"))
+    return one.select("timestamp", "features_with_drift", "overall_drift_status", "label_drift", "f.feature", "f.ks_statistic",
+                      "f.drift_detected", F.array_contains("_top", F.col("f.feature")).alias("top"))
 
 
 @query("drift_histograms", oracle="""

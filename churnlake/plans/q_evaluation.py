@@ -4,22 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import hunif
 from ..operators import evaluation as EV
 from ..operators import features as FE
 from ..operators import scoring as SC
 from ..sources import fixtures as FX
 from .ctes import define
-from .q_scoring import _JIT, _RULE
+from .q_scoring import _RULE
 from .registry import query
 
 START_TIME = "2025-10-09 23:49:44"
 RUN_PARAMS = {
     "PRODUCTION_rules": {"mode": "rules", "threshold": "0.5"},
-    "rules_jitter": {"mode": "rules", "jitter": "0.05"},
     "risk_score": {"mode": "feature", "feature": "risk_score"},
-    "label_probability": {"mode": "feature", "feature": "label_probability"},
-    "model_with_fallback": {"mode": SC.MODEL_MODE, "fallback": SC.RULES_MODE},
+    "high_risk_contract": {"mode": "feature", "feature": "high_risk_contract"},
 }
 
 
@@ -32,15 +29,13 @@ def scored_set(spark, sf_dir):
 
 
 def scorer_long(spark, sf_dir):
-    """Five scorers over the same customers, with split and fold."""
+    """Three scorers over the same customers, with split and fold."""
     from .q_drift import feature_model
     biz = FX.with_key(FE.business_features(FX.customers_raw(spark, sf_dir), feature_model(spark, sf_dir).p75))
     scorers = {
         "PRODUCTION_rules": SC.rule_score(),
-        "rules_jitter": SC.rule_score(jitter=True),
         "risk_score": F.col("risk_score"),
-        "label_probability": FE.label_probability(),
-        "model_with_fallback": F.coalesce(F.when(F.col("k") % 5 != 0, hunif("k", FX.A_MODEL_P)), SC.rule_score()),
+        "high_risk_contract": F.col("high_risk_contract").cast("double"),
     }
     base = biz.select("k", "customer_id", F.col("churned").alias("label"), *[e.alias(f"_s{i}") for i, e in
                                                                             enumerate(scorers.values())])
@@ -59,13 +54,12 @@ def run_log(spark, sf_dir):
     folder; best-model selection, the comparison table and the promotion
     gate read that table, as the reference's later steps read logged runs.
     While building it, the long scored frame feeds four aggregates
-    (metrics, AUC, sizes, CV) and is checkpointed once so they read it
+    (metrics, AUC, sizes, CV) and is written once so they read it
     instead of re-deriving it."""
     def build():
-        from ..session import checkpoint_dir, scratch_path
+        from ..session import materialize, scratch_path
         from ..sources.sinks import write_table
-        checkpoint_dir(spark)
-        long = scorer_long(spark, sf_dir).checkpoint(eager=True)
+        long = materialize(scorer_long(spark, sf_dir))
         return write_table(EV.run_log_rows(long, START_TIME, RUN_PARAMS), scratch_path(spark, "run_log"))
 
     return spark.read.parquet(FX.session_artifact(spark, "run_log", sf_dir, build))
@@ -83,14 +77,8 @@ define("scorer_long", ["rule_scored", "biz", "split_rank"], f"""
   SELECT u.*, CAST(score >= 5e-1 AS INTEGER) AS prediction, CAST((((k + 1) * 961748927) % 2147483647) % 5 AS INTEGER) AS fold,
          sr.split
   FROM (SELECT r.k, r.customer_id, r.churned AS label, 'PRODUCTION_rules' AS scorer, 0 AS ordinal, r.p AS score FROM rule_scored r
-        UNION ALL SELECT r.k, r.customer_id, r.churned, 'rules_jitter', 1, {_JIT.replace('p +', 'r.p +').replace('(k + 1)', '(r.k + 1)')} FROM rule_scored r
-        UNION ALL SELECT b.k, b.customer_id, b.churned, 'risk_score', 2, b.risk_score FROM (SELECT biz.*, customers_k.k FROM biz JOIN customers_k USING (customer_id)) b
-        UNION ALL SELECT r.k, r.customer_id, r.churned, 'label_probability', 3,
-               CASE WHEN tenure_months < 12 THEN 3e-1 ELSE 0e0 END + CASE WHEN contract_type = 'Month-to-month' THEN 2.5e-1 ELSE 0e0 END
-               + CASE WHEN monthly_charges > 100 THEN 2e-1 ELSE 0e0 END + CASE WHEN tech_support = 'No' THEN 1.5e-1 ELSE 0e0 END
-               + CASE WHEN senior_citizen = 1 THEN 1e-1 ELSE 0e0 END FROM rule_scored r
-        UNION ALL SELECT r.k, r.customer_id, r.churned, 'model_with_fallback', 4,
-               coalesce(CASE WHEN r.k % 5 <> 0 THEN (((r.k + 1) * 1343714307) % 2147483647) / 2147483647e0 END, r.p)
+        UNION ALL SELECT b.k, b.customer_id, b.churned, 'risk_score', 1, b.risk_score FROM (SELECT biz.*, customers_k.k FROM biz JOIN customers_k USING (customer_id)) b
+        UNION ALL SELECT r.k, r.customer_id, r.churned, 'high_risk_contract', 2, CASE WHEN contract_type = 'Month-to-month' THEN 1e0 ELSE 0e0 END
                FROM rule_scored r) u
   JOIN split_rank sr USING (k)""")
 

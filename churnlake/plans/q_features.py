@@ -1,4 +1,4 @@
-"""Business features, encoders, scaler, feature table."""
+"""Business features, encoders, scaler, feature table."""
 
 from __future__ import annotations
 
@@ -121,6 +121,18 @@ def label_encoding_map(spark, sf_dir):
 _ENC_OUT = ["customer_id", *[f"{c}_encoded" for c in FE.CATEGORICAL_COLUMNS]]
 
 
+@query("encode_unseen", oracle="""
+WITH seen AS (SELECT payment_method AS v, dense_rank() OVER (ORDER BY payment_method) - 1 AS code
+              FROM (SELECT DISTINCT payment_method FROM customers_raw WHERE contract_type = 'Two year' AND payment_method <> 'Mailed check'))
+SELECT customer_id, CAST(coalesce(code, -1) AS INTEGER) AS payment_method_encoded FROM customers_raw LEFT JOIN seen ON v = payment_method""")
+def encode_unseen(spark, sf_dir):
+    """codes fitted on some customers, applied to all; a value that was not there gets -1."""
+    raw = FX.customers_raw(spark, sf_dir)
+    fit = raw.filter((F.col("contract_type") == "Two year") & (F.col("payment_method") != "Mailed check"))
+    enc = FE.fit_label_encoders(fit, ["payment_method"])
+    return FE.apply_label_encoders(raw, enc, ["payment_method"]).select("customer_id", "payment_method_encoded")
+
+
 @query("encode_categorical", oracle=f"SELECT {', '.join(_ENC_OUT)} FROM encoded")
 def encode_categorical(spark, sf_dir):
     biz = _biz(spark, sf_dir)
@@ -168,14 +180,3 @@ def scan_features(spark, sf_dir):
 SELECT 27 AS feature_count, COUNT(*) AS rows, AVG(churned) AS churn_rate FROM customer_features""")
 def feature_summary(spark, sf_dir):
     return FE.feature_summary(FE.feature_table(FX.customers_raw(spark, sf_dir)))
-
-
-@query("label_probability", oracle="""
-SELECT customer_id,
-       CASE WHEN tenure_months < 12 THEN 3e-1 ELSE 0e0 END + CASE WHEN contract_type = 'Month-to-month' THEN 2.5e-1 ELSE 0e0 END
-       + CASE WHEN monthly_charges > 100 THEN 2e-1 ELSE 0e0 END + CASE WHEN tech_support = 'No' THEN 1.5e-1 ELSE 0e0 END
-       + CASE WHEN senior_citizen = 1 THEN 1e-1 ELSE 0e0 END AS label_probability, churned
-FROM customers_raw""")
-def label_probability(spark, sf_dir):
-    cr = FX.customers_raw(spark, sf_dir)
-    return cr.select("customer_id", FE.label_probability().alias("label_probability"), "churned")

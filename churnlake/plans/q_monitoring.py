@@ -121,7 +121,7 @@ def daily_kpi_delta(spark, sf_dir):
                           "latency_delta_ms": F.round("latency_delta_ms", 6)})
 
 
-@query("drift_timeline", oracle="""
+TIMELINE_SQL = """
 WITH x AS (SELECT date_trunc('day', event_time) AS day, churn_probability AS v FROM prediction_log WHERE churn_probability IS NOT NULL),
 d0 AS (SELECT MIN(day) AS d0 FROM x),
 ref AS (SELECT v FROM x, d0 WHERE day < d0 + INTERVAL 7 DAY),
@@ -134,37 +134,46 @@ w AS (SELECT grp, SUM(cr) OVER (PARTITION BY grp ORDER BY v ROWS UNBOUNDED PRECE
              SUM(cr) OVER (PARTITION BY grp) AS nr, SUM(cd) OVER (PARTITION BY grp) AS nd FROM c)
 SELECT grp AS day, MAX(abs(CAST(cumr AS DOUBLE) / CAST(nr AS DOUBLE) - CAST(cumd AS DOUBLE) / CAST(nd AS DOUBLE))) AS ks_statistic,
        MAX(abs(CAST(cumr AS DOUBLE) / CAST(nr AS DOUBLE) - CAST(cumd AS DOUBLE) / CAST(nd AS DOUBLE))) > 1e-1 AS above_threshold
-FROM w GROUP BY grp""")
+FROM w GROUP BY grp"""
+
+
+@query("drift_timeline", oracle=TIMELINE_SQL)
 def drift_timeline(spark, sf_dir):
     return MO.drift_timeline(_log(spark, sf_dir))
 
 
-_WIN_SQL = """SELECT time_bucket(INTERVAL '5 minutes', event_time) AS window_start, COUNT(*) AS requests,
-       CAST(SUM(is_error) AS BIGINT) AS errors, COUNT(*) / 3e2 AS request_rate,
-       CAST(SUM(is_error) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS error_rate,
-       CAST(SUM(is_error) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) > 5e-2 AS alert
+def win_sql(threshold="5e-2"):
+    return f"""SELECT time_bucket(INTERVAL '5 minutes', event_time) AS window_start, COUNT(*) AS requests,
+       CAST(SUM(is_error) AS BIGINT) AS errors, COUNT(*) / 3e2 AS request_rate, SUM(is_error) / 3e2 AS error_rate,
+       CAST(SUM(is_error) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS error_ratio, SUM(is_error) / 3e2 > {threshold} AS alert
 FROM prediction_log GROUP BY 1"""
 
 
+_WIN_SQL = win_sql()
+# The fixture's traffic is about one request a window; the sustained-alert
+# queries pass a threshold that one error in five minutes exceeds.
+FIXTURE_ALERT = 0.003
+
+
 @query("request_rate_5m", oracle=f"SELECT window_start, requests, request_rate FROM ({_WIN_SQL})")
 def request_rate_5m(spark, sf_dir):
     return MO.window_counts(_log(spark, sf_dir)).select("window_start", "requests", "request_rate")
 
 
-@query("error_rate_5m", oracle=f"SELECT window_start, errors, error_rate, alert FROM ({_WIN_SQL})")
+@query("error_rate_5m", oracle=f"SELECT window_start, errors, error_rate, error_ratio, alert FROM ({_WIN_SQL})")
 def error_rate_5m(spark, sf_dir):
-    return MO.window_counts(_log(spark, sf_dir)).select("window_start", "errors", "error_rate", "alert")
+    return MO.window_counts(_log(spark, sf_dir)).select("window_start", "errors", "error_rate", "error_ratio", "alert")
 
 
 SUSTAINED_SQL = f"""
-WITH w AS ({_WIN_SQL})
+WITH w AS ({win_sql("3e-3")})
 SELECT a.window_start, 2 AS held_windows FROM w a JOIN w b ON b.window_start = a.window_start - INTERVAL 5 MINUTE
 WHERE a.alert AND b.alert"""
 
 
 @query("sustained_alerts", oracle=SUSTAINED_SQL)
 def sustained_alerts(spark, sf_dir):
-    return MO.sustained_alerts(MO.window_counts(_log(spark, sf_dir)))
+    return MO.sustained_alerts(MO.window_counts(_log(spark, sf_dir), threshold=FIXTURE_ALERT))
 
 
 _BOUNDS = MO.LATENCY_BUCKETS_MS
@@ -203,12 +212,31 @@ def high_risk_volume(spark, sf_dir):
     return MO.high_risk_volume(_log(spark, sf_dir))
 
 
-@query("latest_gauges", oracle="""
-SELECT churn_probability AS latest_probability, latency_ms AS latest_latency_ms, model_version AS latest_model_version,
-       (SELECT MAX(event_time) FROM prediction_log) AS as_of
-FROM prediction_log ORDER BY event_time DESC, event_id DESC LIMIT 1""")
+GAUGES_SQL = f"""
+SELECT r.latest_f1, r.run_id, t.ks_statistic AS latest_drift, t.day AS drift_day
+FROM (SELECT f1_score AS latest_f1, run_id FROM run_log ORDER BY run_id DESC LIMIT 1) r,
+     (SELECT * FROM ({TIMELINE_SQL}) ORDER BY day DESC LIMIT 1) t"""
+
+
+@query("latest_gauges", oracle=GAUGES_SQL)
 def latest_gauges(spark, sf_dir):
-    return MO.latest_gauges(_log(spark, sf_dir))
+    """The scorer runs of the run log all carry one start time, so the newest is the one with the largest id."""
+    from .q_evaluation import run_log
+    return MO.latest_gauges(run_log(spark, sf_dir), MO.drift_timeline(_log(spark, sf_dir)))
+
+
+_NOW = "2024-01-20 12:00:00"
+
+
+@query("recent_predictions", oracle=f"""
+SELECT 'Last Hour' AS span, COUNT(*) AS n FROM prediction_log WHERE event_time BETWEEN TIMESTAMP '{_NOW}' - INTERVAL 1 HOUR AND TIMESTAMP '{_NOW}'
+UNION ALL SELECT 'Last 24 Hours', COUNT(*) FROM prediction_log WHERE event_time BETWEEN TIMESTAMP '{_NOW}' - INTERVAL 24 HOUR AND TIMESTAMP '{_NOW}'
+UNION ALL SELECT 'Last 7 Days', COUNT(*) FROM prediction_log WHERE event_time BETWEEN TIMESTAMP '{_NOW}' - INTERVAL 7 DAY AND TIMESTAMP '{_NOW}'""")
+def recent_predictions(spark, sf_dir):
+    """M5: row counts of the relative time ranges against an explicit now."""
+    log = _log(spark, sf_dir)
+    parts = [MO.since(log, _NOW, span).agg(F.lit(span).alias("span"), F.count(F.lit(1)).alias("n")) for span in MO.RANGES]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("export_csv_roundtrip", oracle=f"SELECT * FROM ({_FILTER_SQL})")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import hunif
 from ..operators import features as FE
 from ..operators import scoring as SC
 from ..sources import fixtures as FX
@@ -77,13 +76,11 @@ _RULE = """GREATEST(0e0, LEAST(1e0, 3e-1 + CASE WHEN contract_type = 'Month-to-m
   - CASE WHEN online_security = 'Yes' AND tech_support = 'Yes' THEN 1.5e-1 ELSE 0e0 END
   - CASE WHEN payment_method IN ('Bank transfer', 'Credit card') THEN 8e-2 ELSE 0e0 END))"""
 
-_JIT = ("GREATEST(0e0, LEAST(1e0, p + ((((k + 1) * 633910099) % 2147483647) / 2147483647e0 - 5e-1) / 1e1))")
-
 define("rule_scored", ["customers_k"], f"SELECT *, {_RULE} AS p FROM customers_k")
-define("fallback_scored", ["rule_scored"], """
+define("fallback_scored", ["rule_scored", "biz"], """
   SELECT *, coalesce(mp, p) AS pf, CASE WHEN mp IS NOT NULL THEN '""" + SC.MODEL_MODE + """' ELSE 'rules' END AS mode
-  FROM (SELECT *, CASE WHEN k % 5 <> 0 THEN (((k + 1) * 1343714307) % 2147483647) / 2147483647e0 END AS mp
-        FROM rule_scored)""")
+  FROM (SELECT r.*, CASE WHEN r.total_charges > 0 THEN b.risk_score END AS mp
+        FROM rule_scored r JOIN (SELECT customer_id, risk_score FROM biz) b USING (customer_id))""")
 
 
 def _resp(p, mode_sql="'rules'", src="rule_scored"):
@@ -128,11 +125,6 @@ def rule_scores(spark, sf_dir):
     return _requests(spark, sf_dir).select("customer_id", SC.rule_score().alias("churn_probability"))
 
 
-@query("rule_scores_jittered", oracle=f"SELECT customer_id, {_JIT} AS churn_probability FROM rule_scored")
-def rule_scores_jittered(spark, sf_dir):
-    return _requests(spark, sf_dir).select("customer_id", SC.rule_score(jitter=True).alias("churn_probability"))
-
-
 @query("risk_levels", oracle="""
 SELECT risk_level, COUNT(*) AS customers FROM responses GROUP BY risk_level""")
 def risk_levels(spark, sf_dir):
@@ -147,9 +139,11 @@ def score_customers(spark, sf_dir):
 
 @query("score_with_fallback", oracle=_resp("pf", "mode", "fallback_scored"))
 def score_with_fallback(spark, sf_dir):
-    df = FX.with_key(_requests(spark, sf_dir))
-    df = df.withColumn("model_probability",
-                       F.when(F.col("k") % 5 != 0, hunif("k", FX.A_MODEL_P)))
+    """The primary score here is the feature job's risk score (F20), absent for
+    customers without charges; ``score_with_model`` does it with a fitted model."""
+    from .q_drift import feature_model
+    df = FE.business_features(_requests(spark, sf_dir), feature_model(spark, sf_dir).p75)
+    df = df.withColumn("model_probability", F.when(F.col("total_charges") > 0, F.col("risk_score")))
     scored = SC.with_fallback(df)
     return SC.response_rows(scored, AS_OF, F.col("model_mode"))
 

@@ -3,96 +3,112 @@ sink state must equal the batch twin's oracle."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
-from ..operators import quality as Q
+from ..operators import features as FE
 from ..session import scratch_path
 from ..sources import fixtures as FX
 from ..sources.tables import read_table
 from ..streaming import jobs as SJ
 from ..operators import monitoring as MO
-from .q_monitoring import _WIN_SQL, P95_SQL, SUSTAINED_SQL
+from ..sources.schemas import CUSTOMERS_RAW
+from .q_evaluation import run_log
+from .q_monitoring import _WIN_SQL, FIXTURE_ALERT, GAUGES_SQL, P95_SQL, SUSTAINED_SQL
+from .q_quality import _summary_sql
 from .registry import query
 
-# The copy is not time-ordered, so the watermark delay must cover the whole
-# period for stream = batch; the late-data test uses a short delay instead.
-DELAY = "31 days"
+# Events arrive in time order; rows more than this behind the newest are late.
+DELAY = "10 minutes"
 AS_OF = "2024-01-31T00:00:00"
+AS_OF_DATA = "2001-08-05 00:00:00"
 
 
-def _events_copy(spark, sf_dir, files=4):
-    return SJ.split_copy(read_table(spark, sf_dir, "events"), scratch_path(spark, "events_stream"), files)
+def _events(sf_dir):
+    """The events table where it lies; as a pattern, since a stream takes a
+    plain path for a folder and the table may be one file."""
+    return f"{sf_dir}/events.parque[t]"
 
 
 @query("stream_request_rate_5m", oracle=f"SELECT window_start, requests, request_rate FROM ({_WIN_SQL})")
 def stream_request_rate_5m(spark, sf_dir):
-    return SJ.run_window_counts(spark, _events_copy(spark, sf_dir), DELAY).select("window_start", "requests",
+    return SJ.run_window_counts(spark, _events(sf_dir), DELAY).select("window_start", "requests",
                                                                                   "request_rate")
 
 
-@query("stream_error_rate_5m", oracle=f"SELECT window_start, errors, error_rate, alert FROM ({_WIN_SQL})")
+@query("stream_error_rate_5m", oracle=f"SELECT window_start, errors, error_rate, error_ratio, alert FROM ({_WIN_SQL})")
 def stream_error_rate_5m(spark, sf_dir):
-    return SJ.run_window_counts(spark, _events_copy(spark, sf_dir), DELAY).select("window_start", "errors",
-                                                                                  "error_rate", "alert")
+    return SJ.run_window_counts(spark, _events(sf_dir), DELAY).select("window_start", "errors", "error_rate",
+                                                                            "error_ratio", "alert")
 
 
 @query("stream_high_risk_volume", oracle="SELECT risk_level, COUNT(*) AS predictions FROM prediction_log GROUP BY 1")
 def stream_high_risk_volume(spark, sf_dir):
-    return SJ.run_group_counts(spark, _events_copy(spark, sf_dir), "risk_level", "risk_volume") \
+    return SJ.run_group_counts(spark, _events(sf_dir), "risk_level", "risk_volume") \
         .withColumnRenamed("n", "predictions")
 
 
 @query("stream_prediction_volume", oracle="SELECT model_version, COUNT(*) AS predictions_total FROM prediction_log GROUP BY 1")
 def stream_prediction_volume(spark, sf_dir):
-    return SJ.run_group_counts(spark, _events_copy(spark, sf_dir), "model_version", "volume") \
+    return SJ.run_group_counts(spark, _events(sf_dir), "model_version", "volume") \
         .withColumnRenamed("n", "predictions_total")
 
 
 @query("stream_p95_latency_5m", oracle=P95_SQL)
 def stream_p95_latency_5m(spark, sf_dir):
-    return SJ.run_p95_latency(spark, _events_copy(spark, sf_dir), DELAY)
+    return SJ.run_p95_latency(spark, _events(sf_dir), DELAY)
 
 
-@query("stream_sustained_alerts", oracle=SUSTAINED_SQL)
+@query("stream_sustained_alerts", oracle=f"""
+SELECT * FROM ({SUSTAINED_SQL})
+WHERE window_start + INTERVAL 5 MINUTE <= (SELECT MAX(event_time) FROM prediction_log) - INTERVAL 10 MINUTE""")
 def stream_sustained_alerts(spark, sf_dir):
-    """W6: "for 5m" alerts over the stream's finalised window series."""
-    return MO.sustained_alerts(SJ.run_window_counts(spark, _events_copy(spark, sf_dir), DELAY))
+    """W6: "for 5m" alerts by two chained stateful operators; only windows the watermark has closed come out."""
+    return SJ.run_sustained_alerts(spark, _events(sf_dir), DELAY, FIXTURE_ALERT)
+
+
+@query("stream_late_rows", oracle=f"SELECT window_start, requests FROM ({_WIN_SQL})")
+def stream_late_rows(spark, sf_dir):
+    """After all events the first half day arrives once more; those rows
+    lie far behind the watermark (of the batch before) and change no window."""
+    ev = read_table(spark, sf_dir, "events")
+    src = scratch_path(spark, "late_source")
+    day = F.col("ts") < F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
+    again = ev.filter(F.col("ts") < F.lit("2024-01-01 12:00:00").cast("timestamp_ntz"))
+    for part in (ev.filter(day), ev.filter(~day), again):
+        part.coalesce(1).write.mode("append").parquet(src)      # the file source takes files by time
+        time.sleep(1.1)
+    return SJ.run_window_counts(spark, src, DELAY, "late_rows", {"maxFilesPerTrigger": 1}).select("window_start", "requests")
 
 
 @query("stream_scoring", oracle="SELECT * FROM responses")
 def stream_scoring(spark, sf_dir):
-    src = SJ.split_copy(FX.customers_raw(spark, sf_dir).select(*Q.REQUEST_FIELDS),
-                        scratch_path(spark, "requests_stream"), 4)
-    return SJ.run_scoring(spark, src, AS_OF)
+    return SJ.run_scoring(spark, FX.customers_raw_path(spark, sf_dir), AS_OF)
 
 
 @query("stream_dedup", oracle="SELECT * FROM prediction_log")
 def stream_dedup(spark, sf_dir):
-    ev = read_table(spark, sf_dir, "events")
-    dup = ev.unionByName(ev.filter(F.col("event_id") % 7 == 0))  # every 7th request arrives twice
-    src = SJ.split_copy(dup, scratch_path(spark, "events_dup_stream"), 4)
-    return SJ.run_dedup(spark, src, DELAY)
+    log = SJ.log_stream(spark, _events(sf_dir))
+    again = SJ.log_stream(spark, _events(sf_dir)).filter(F.col("event_id") % 7 == 0)      # every 7th request arrives twice
+    return SJ.run_dedup(spark, log.unionByName(again), DELAY)
 
 
-@query("stream_latest_gauges", oracle="""
-SELECT churn_probability AS latest_probability, latency_ms AS latest_latency_ms, model_version AS latest_model_version,
-       (SELECT MAX(event_time) FROM prediction_log) AS as_of
-FROM prediction_log ORDER BY event_time DESC, event_id DESC LIMIT 1""")
+@query("stream_latest_gauges", oracle=GAUGES_SQL)
 def stream_latest_gauges(spark, sf_dir):
-    return SJ.run_latest_gauges(spark, _events_copy(spark, sf_dir))
+    return SJ.run_latest_gauges(spark, run_log(spark, sf_dir), MO.drift_timeline(FX.prediction_log(spark, sf_dir)))
 
 
-@query("stream_validation")
+@query("stream_validation", oracle=f"""
+WITH part AS (SELECT * EXCLUDE (k) FROM customers_k WHERE k % 3 = 0)
+SELECT v.* FROM ({_summary_sql("part", AS_OF_DATA)}) v""")
 def stream_validation(spark, sf_dir):
-    """Per-micro-batch checks and drift against the reference side."""
-    from ..operators import features as FE
-    from ..session import materialize
-    from .q_drift import feature_model
-    cr = FX.customers_raw(spark, sf_dir)
-    fm = feature_model(spark, sf_dir)
-    ref = materialize(FE.select_features(fm.transform(cr.filter(F.substring("customer_id", 2, 20).cast("bigint") % 3 != 0),
-                                                       scale=False)))
-    prod = cr.filter(F.substring("customer_id", 2, 20).cast("bigint") % 3 == 0)
-    src = SJ.split_copy(prod, scratch_path(spark, "customers_stream"), 3)
-    return SJ.run_microbatch_validation(spark, src, cr.schema.simpleString()[7:-1].replace(":", " "), None,
-                                        reference=ref, feature_model=fm, features=FE.FEATURE_COLUMNS)
+    """All eight checks and the drift of every micro-batch against the
+    reference side; with one batch, its counters are those of the whole side."""
+    from .q_drift import feature_model, unscaled_features
+    mine = F.substring("customer_id", 2, 20).cast("bigint") % 3
+    rows = SJ.file_stream(spark, FX.customers_raw_path(spark, sf_dir), CUSTOMERS_RAW).filter(mine == 0)
+    ref = unscaled_features(spark, sf_dir).filter(mine != 0)
+    out = SJ.run_microbatch_validation(spark, rows, AS_OF_DATA, reference=ref, feature_model=feature_model(spark, sf_dir),
+                                       features=FE.FEATURE_COLUMNS)
+    return out.select("total_checks", "passed", "failed", "warnings", "input_rows", "success")

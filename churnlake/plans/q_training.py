@@ -1,10 +1,13 @@
-"""Model jobs (rows checks only —
-tree learners are not reproducible by SQL)."""
+"""The training job at the
+reference's settings.  Tree learners cannot be rebuilt in SQL, so metrics are
+rows-only (thresholds in the tests); the plan of the job — learners,
+settings, sizes and positives per split and fold — has an oracle."""
 
 from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ..operators import evaluation as EV
@@ -16,117 +19,179 @@ from ..sources import sinks
 from .registry import query
 
 AS_OF = "2024-01-31T00:00:00"
-# Learner settings: the reduced set by default (registered checks and the
-# benchmark); ``spark.churnlake.training.settings=reference`` selects the
-# reference's full settings (200 trees / rounds, depth 15, 6 and 8).
-SETTINGS_CONF = "spark.churnlake.training.settings"
-
-
-def _spec(spark, name):
-    which = spark.conf.get(SETTINGS_CONF, "quick")
-    specs = TR.FULL_SPECS if which == "reference" else TR.QUICK_SPECS
-    return {s.name: s for s in specs}[name]
+STARTED = dt.datetime(2025, 10, 9, 23, 49, 44)
+SPECS = {s.name: s for s in TR.SPECS}
 
 
 def training_frame(spark, sf_dir):
-    """Scaled feature table (``customer_features``) with key, exact
-    stratified split and fold.  Written once per session by the feature job
-    and read by every fit and evaluation, as the reference's training job
-    reads the stored feature table."""
+    """Scaled feature table with key, exact stratified split, and stratified
+    folds of the train split (null on test rows), stored once; every fit and
+    evaluation reads it."""
     from .q_drift import feature_model
 
     def build():
-        raw = FX.customers_raw(spark, sf_dir)
-        fm = feature_model(spark, sf_dir)
-        ft = FX.with_key(FE.select_features(fm.transform(raw)))
-        ft = EV.stratified_split(ft.withColumn("label", F.col(FE.LABEL)))
-        return materialize(EV.fold_assignment(ft).drop("label"))
+        ft = FX.with_key(FE.select_features(feature_model(spark, sf_dir).transform(FX.customers_raw(spark, sf_dir))))
+        ft = materialize(EV.stratified_split(ft.withColumn("label", F.col(FE.LABEL))))
+        train = EV.stratified_folds(ft.filter("split = 'train'")).select(*ft.columns, "fold")
+        return materialize(train.unionByName(ft.filter("split = 'test'").withColumn("fold", F.lit(None).cast("int"))).drop("label"))
+
+    return FX.session_artifact(spark, "training_frame", sf_dir, build)
+
+
+def _split(spark, sf_dir, name):
+    return training_frame(spark, sf_dir).filter(F.col("split") == name)
+
+
+def fitted(spark, sf_dir, name):
+    """A learner fitted on the train split and its test metrics (both stored)."""
+    def build():
+        model = TR.fit(_split(spark, sf_dir, "train"), SPECS[name])
+        path = scratch_path(spark, f"model_{name}")
+        model.write().save(path)
+        return path, materialize(TR.evaluate(model, _split(spark, sf_dir, "test")))
+
+    path, metrics = FX.session_artifact(spark, f"fitted_{name}", sf_dir, build)
+    return PipelineModel.load(path), metrics
+
+
+def cv_row(spark, sf_dir, name):
+    """Five refits on the train split only."""
+    return FX.session_artifact(spark, f"cv_{name}", sf_dir,
+                               lambda: materialize(TR.cross_validate(_split(spark, sf_dir, "train"), SPECS[name])))
+
+
+def training_job(spark, sf_dir):
+    """The whole job: four learners fitted and cross-validated, one run row
+    each, the best by F1 registered as production with its metadata.  Returns
+    the folder of the run, version and metadata tables."""
+    def build():
+        root = scratch_path(spark, "model_store")
+        data = training_frame(spark, sf_dir)
+        sizes = data.agg(F.count_if(F.col("split") == "train").alias("a"), F.count_if(F.col("split") == "test").alias("b")).first()
+        for i, (name, spec) in enumerate(SPECS.items()):
+            _, metrics = fitted(spark, sf_dir, name)
+            run = TR.run_row(spark, spec, metrics, cv_row(spark, sf_dir, name), sizes["a"], sizes["b"], STARTED + dt.timedelta(minutes=i))
+            TR.append_run(run.withColumn("ordinal", F.lit(i)), f"{root}/model_runs")
+        best = EV.best_model(spark.read.parquet(f"{root}/model_runs")).first()
+        model, metrics = fitted(spark, sf_dir, best["model_type"])
+        TR.register_version(spark, model, f"{root}/registry", "churn_model", best["run_id"])
+        meta = TR.model_metadata(spark, SPECS[best["model_type"]], metrics, STARTED.isoformat())
+        sinks.write_json(meta, f"{root}/model_metadata")
+        return root, meta.schema
+
+    return FX.session_artifact(spark, "training_job", sf_dir, build)
 
-    return FX.session_artifact(spark, "training_frame", sf_dir, build), feature_model(spark, sf_dir)
 
+def runs(spark, sf_dir):
+    return spark.read.parquet(f"{training_job(spark, sf_dir)[0]}/model_runs")
 
-def _train_eval(spark, sf_dir, name):
-    data, _ = training_frame(spark, sf_dir)
-    train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
-    model = TR.fit(train, _spec(spark, name))
-    m = TR.evaluate(model, test)
-    sizes = data.agg(F.count_if(F.col("split") == "train").alias("train_size"),
-                     F.count_if(F.col("split") == "test").alias("test_size"))
-    return EV.with_one_row(m, sizes).select(F.lit(name).alias("model"), "*")
+
+def _one_learner(spark, sf_dir, name):
+    sizes = training_frame(spark, sf_dir).agg(F.count_if(F.col("split") == "train").alias("train_size"),
+                                              F.count_if(F.col("split") == "test").alias("test_size"))
+    return EV.with_one_row(fitted(spark, sf_dir, name)[1], sizes).select(F.lit(name).alias("model"), "*")
 
 
 @query("train_random_forest")
 def train_random_forest(spark, sf_dir):
-    return _train_eval(spark, sf_dir, "RandomForest")
+    return _one_learner(spark, sf_dir, "RandomForest")
 
 
 @query("train_gbt_depth6")
 def train_gbt_depth6(spark, sf_dir):
-    return _train_eval(spark, sf_dir, "XGBoost")
+    return _one_learner(spark, sf_dir, "XGBoost")
 
 
 @query("train_gbt_depth8")
 def train_gbt_depth8(spark, sf_dir):
-    return _train_eval(spark, sf_dir, "LightGBM")
+    return _one_learner(spark, sf_dir, "LightGBM")
 
 
 @query("train_gbt_depth5")
 def train_gbt_depth5(spark, sf_dir):
-    return _train_eval(spark, sf_dir, "GradientBoosting")
+    return _one_learner(spark, sf_dir, "GradientBoosting")
+
+
+@query("training_plan", oracle="""
+WITH s AS (SELECT sr.k, sr.label, sr.split, ((k + 1) * 961748927) % 2147483647 AS h FROM split_rank sr),
+f AS (SELECT k, label, split, CASE WHEN split = 'train' THEN
+        CAST((row_number() OVER (PARTITION BY label, split ORDER BY h, k) - 1) % 5 AS INTEGER) END AS fold FROM s),
+l AS (SELECT * FROM (VALUES ('RandomForest', 200, 15), ('XGBoost', 200, 6), ('LightGBM', 200, 8), ('GradientBoosting', 150, 5)) t(model, trees, depth))
+SELECT l.model, l.trees, l.depth, f.split, f.fold, COUNT(*) AS n, CAST(SUM(f.label) AS BIGINT) AS positives
+FROM l, f GROUP BY ALL""")
+def training_plan(spark, sf_dir):
+    """What the job fits: per learner its settings, and rows and positives per split and fold."""
+    cells = (training_frame(spark, sf_dir).groupBy("split", "fold")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum(FE.LABEL).cast("bigint").alias("positives")))
+    learners = F.array(*[F.struct(F.lit(s.name).alias("model"), F.lit(s.params.get("numTrees", s.params.get("maxIter"))).alias("trees"),
+                                  F.lit(s.params["maxDepth"]).alias("depth")) for s in TR.SPECS])
+    return cells.select(F.explode(learners).alias("l"), "*").select("l.*", "split", "fold", "n", "positives")
 
 
 @query("cross_validation")
 def cross_validation(spark, sf_dir):
-    data, _ = training_frame(spark, sf_dir)
-    return TR.cross_validate(data, _spec(spark, "GradientBoosting"))
+    return runs(spark, sf_dir).select("model_type", "cv_f1_mean", "cv_f1_std")
 
 
-@query("feature_importance")
-def feature_importance(spark, sf_dir):
-    data, _ = training_frame(spark, sf_dir)
-    model = TR.fit(data.filter(F.col("split") == "train"), _spec(spark, "GradientBoosting"))
-    return TR.feature_importance(model)
-
-
-def _train_and_register(spark, sf_dir, root):
-    data, fm = training_frame(spark, sf_dir)
-    spec = _spec(spark, "GradientBoosting")
-    train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
-    model = TR.fit(train, spec)
-    metrics = materialize(TR.evaluate(model, test))
-    cv = EV.cv_f1(TR.predict(model, data).withColumn("label", F.col(FE.LABEL).cast("int")))
-    sizes = data.agg(F.count_if(F.col("split") == "train").alias("a"),
-                     F.count_if(F.col("split") == "test").alias("b")).collect()[0]
-    run = TR.run_row(spark, spec, metrics, cv, sizes["a"], sizes["b"], dt.datetime(2025, 10, 9, 23, 49, 44))
-    TR.append_run(run, f"{root}/model_runs")
-    run_id = spark.read.parquet(f"{root}/model_runs").select("run_id").first()["run_id"]
-    TR.register_version(spark, model, f"{root}/registry", spec.name, run_id)
-    sinks.write_json(TR.model_metadata(spark, spec, metrics, "2025-10-09T23:49:44"), f"{root}/model_metadata")
-    return fm
+@query("trained_runs")
+def trained_runs(spark, sf_dir):
+    """One run per learner."""
+    return runs(spark, sf_dir).drop("params", "run_id")
+
+
+@query("trained_best_model")
+def trained_best_model(spark, sf_dir):
+    """The best run, its registered version, and the metadata read back."""
+    root, schema = training_job(spark, sf_dir)
+    best = EV.best_model(runs(spark, sf_dir)).select("run_id", "model_type", "f1_score")
+    versions = spark.read.parquet(f"{root}/registry/versions").select("run_id", "name", "version", "stage")
+    meta = sinks.read_json(spark, f"{root}/model_metadata", schema).select(
+        F.col("model_name").alias("model_type"), "best_score", F.size("features").alias("n_features"))
+    return best.join(versions, "run_id").join(meta, "model_type").drop("run_id")
+
+
+@query("trained_model_comparison")
+def trained_model_comparison(spark, sf_dir):
+    """T12 over the trained runs."""
+    return EV.model_comparison(runs(spark, sf_dir))
+
+
+@query("trained_promotion_gate")
+def trained_promotion_gate(spark, sf_dir):
+    """The best trained run against the rules in production."""
+    from .q_evaluation import run_log
+    both = runs(spark, sf_dir).select("run_name", "f1_score", "ordinal").unionByName(
+        run_log(spark, sf_dir).filter(F.col("run_name").startswith("PRODUCTION_")).select("run_name", "f1_score", "ordinal"))
+    return EV.promotion_gate(both)
 
 
 @query("latest_model_run")
 def latest_model_run(spark, sf_dir):
-    """T13 + T14 + S13 + S15: train, log the run, register a version, write
-    metadata, then read the latest run back."""
-    root = scratch_path(spark, "model_store")
-    _train_and_register(spark, sf_dir, root)
-    return TR.latest_run(spark, f"{root}/model_runs").drop("params")
+    """The most recent run."""
+    return TR.latest_run(spark, f"{training_job(spark, sf_dir)[0]}/model_runs").drop("params")
 
 
-@query("score_with_model")
-def score_with_model(spark, sf_dir):
-    """P8 with a real model: load the production version and score every
-    customer; rows without a model probability fall back to rules."""
-    root = scratch_path(spark, "model_store")
-    fm = _train_and_register(spark, sf_dir, root)
-    model = TR.load_production(spark, f"{root}/registry", "GradientBoosting")
-    return TR.score_with_model(model, FX.customers_raw(spark, sf_dir), fm, AS_OF)
+@query("feature_importance")
+def feature_importance(spark, sf_dir):
+    """Top ten importances of every learner."""
+    out = None
+    for name in SPECS:
+        top = TR.feature_importance(fitted(spark, sf_dir, name)[0]).select(F.lit(name).alias("model"), "*")
+        out = top if out is None else out.unionByName(top)
+    return out
 
 
 @query("importance_bars")
 def importance_bars(spark, sf_dir):
-    """All feature importances, ascending (the bar-chart order)."""
-    data, _ = training_frame(spark, sf_dir)
-    model = TR.fit(data.filter(F.col("split") == "train"), _spec(spark, "GradientBoosting"))
-    return TR.feature_importance(model, top=None).orderBy("importance", "feature")
+    """All feature importances of the best learner, ascending (the bar-chart order)."""
+    best = EV.best_model(runs(spark, sf_dir)).first()["model_type"]
+    return TR.feature_importance(fitted(spark, sf_dir, best)[0], top=None).orderBy("importance", "feature")
+
+
+@query("score_with_model")
+def score_with_model(spark, sf_dir):
+    """P8 with a real model: load the production version and score every
+    customer; rows without a model probability fall back to rules."""
+    from .q_drift import feature_model
+    model = TR.load_production(spark, f"{training_job(spark, sf_dir)[0]}/registry", "churn_model")
+    return TR.score_with_model(model, FX.customers_raw(spark, sf_dir), feature_model(spark, sf_dir), AS_OF)

@@ -55,7 +55,6 @@ def _pick(h, values):
     return expr
 
 
-_LOADED: dict[tuple[int, str], str] = {}
 _ARTIFACTS: dict[tuple, object] = {}
 
 
@@ -63,26 +62,36 @@ def session_artifact(spark: SparkSession, name: str, sf_dir: str, build):
     """A pipeline artifact (fitted model, written feature table) produced
     once per session and input folder and reused by later jobs — as the
     reference's jobs read what earlier jobs stored."""
-    key = (id(spark.sparkContext._jsc), name, sf_dir.rstrip("/"))
+    key = (name, *_source_state(spark, sf_dir))
     if key not in _ARTIFACTS:
         _ARTIFACTS[key] = build()
     return _ARTIFACTS[key]
 
 
+def _source_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Application, folder, and the files of its tables with their sizes and
+    times: what a stored table was made from."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(fs_path))
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/"), files
+
+
+def customers_raw_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the loaded ``customers_raw`` table lies.  It is derived and
+    written to the shared table folder by the first job that needs it, and
+    again when the input folder's files change."""
+    from ..session import scratch_path
+    from .sinks import write_table
+    return session_artifact(spark, "customers_raw", sf_dir,
+                            lambda: write_table(derive_customers_raw(spark, sf_dir), scratch_path(spark, "customers_raw")))
+
+
 def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The loaded ``customers_raw`` table (S3): derived and written to the
-    shared table folder by the first caller in a session, then read by every
-    job — as the reference loads the warehouse table once and each job
-    scans it."""
-    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"))
-    path = _LOADED.get(key)
-    if path is None:
-        from ..session import scratch_path
-        from .sinks import write_table
-        path = write_table(derive_customers_raw(spark, sf_dir), scratch_path(spark, "customers_raw"))
-        _LOADED[key] = path
+    """The loaded ``customers_raw`` table (S3), as the reference loads the
+    warehouse table once and each job scans it."""
     from .schemas import CUSTOMERS_RAW
-    return spark.read.schema(CUSTOMERS_RAW).parquet(path)
+    return spark.read.schema(CUSTOMERS_RAW).parquet(customers_raw_path(spark, sf_dir))
 
 
 def derive_customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +167,11 @@ def customers_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction / request log derived from ``events`` (FIXTURES.md §4)."""
-    ev = read_table(spark, sf_dir, "events")
+    return prediction_columns(read_table(spark, sf_dir, "events"))
+
+
+def prediction_columns(ev: DataFrame) -> DataFrame:
+    """The log's columns over a batch or a stream of events."""
     p = F.col("value") / (F.col("value") + F.lit(50.0))
     return ev.select(
         "event_id",

@@ -16,29 +16,27 @@ from pyspark.sql import functions as F
 from ..operators import monitoring as MO
 from ..operators import quality as Q
 from ..operators import scoring as SC
-from ..session import scratch_path
-from ..sources.schemas import BASE_SCHEMAS
-from ..functions.exprs import padded_id, risk_band_dash
+from ..operators.stats import with_one_row
+from ..session import materialize, scratch_path
+from ..sources.fixtures import prediction_columns
+from ..sources.schemas import BASE_SCHEMAS, CUSTOMERS_RAW
 
 EVENT_SCHEMA = BASE_SCHEMAS["events"]
 
 
-def events_stream(spark: SparkSession, path: str, max_files: int | None = 1) -> DataFrame:
-    r = spark.readStream.schema(EVENT_SCHEMA)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(path)
+# Input taken by one micro-batch; the sources are read where they lie.
+PER_TRIGGER = {"maxBytesPerTrigger": 8 << 30}
 
 
-def prediction_log_stream(events: DataFrame) -> DataFrame:
-    """The prediction log as a stream (same projection as the batch
-    fixture), with ``event_time`` as a timestamp for watermarking."""
-    p = F.col("value") / (F.col("value") + F.lit(50.0))
-    return events.select(
-        "event_id", F.col("ts").cast("timestamp").alias("event_time"), padded_id("user_id").alias("customer_id"),
-        p.alias("churn_probability"), (p >= 0.5).cast("int").alias("prediction"),
-        F.col("value").alias("latency_ms"), F.lit("1.0").alias("model_version"), risk_band_dash(p).alias("risk_level"),
-        (F.col("event_type") == "error").cast("int").alias("is_error"))
+def file_stream(spark: SparkSession, path: str, schema, per_trigger: dict | None = None) -> DataFrame:
+    return spark.readStream.schema(schema).options(**(per_trigger or PER_TRIGGER)).parquet(path)
+
+
+def log_stream(spark: SparkSession, path: str, per_trigger: dict | None = None) -> DataFrame:
+    """The prediction log as a stream over the events table, with
+    ``event_time`` as a timestamp for watermarking."""
+    log = prediction_columns(file_stream(spark, path, EVENT_SCHEMA, per_trigger))
+    return log.withColumn("event_time", F.col("event_time").cast("timestamp"))
 
 
 def write_epoch(batch: DataFrame, path: str, epoch: int) -> None:
@@ -83,19 +81,31 @@ def windowed_counts_stream(log: DataFrame, delay: str, window: str = MO.WINDOW)
             .agg(F.count(F.lit(1)).alias("requests"), F.sum("is_error").cast("bigint").alias("errors")))
 
 
-def finish_window_counts(df: DataFrame) -> DataFrame:
-    return df.select(F.col("window_start"), "requests", "errors",
-                     (F.col("requests") / F.lit(float(MO.WINDOW_SECONDS))).alias("request_rate"),
-                     (F.col("errors") / F.col("requests")).alias("error_rate"),
-                     ((F.col("errors") / F.col("requests")) > MO.ERROR_RATE_ALERT).alias("alert"))
-
-
-def run_window_counts(spark: SparkSession, source: str, delay: str, name: str = "window_counts") -> DataFrame:
+def run_window_counts(spark: SparkSession, source: str, delay: str, name: str = "window_counts",
+                      per_trigger: dict | None = None) -> DataFrame:
     sink, ckpt = scratch_path(spark, f"{name}_sink"), scratch_path(spark, f"{name}_ckpt")
-    s = windowed_counts_stream(prediction_log_stream(events_stream(spark, source)), delay)
+    s = windowed_counts_stream(log_stream(spark, source, per_trigger), delay)
     s = s.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "requests", "errors")
     run_available_now(s, sink, ckpt, "update")
-    return finish_window_counts(latest_per_key(spark, sink, ["window_start"], ["requests", "errors"]))
+    return MO.window_rates(latest_per_key(spark, sink, ["window_start"], ["requests", "errors"]))
+
+
+# ---------------------------------------------------------------- W6
+
+def run_sustained_alerts(spark: SparkSession, source: str, delay: str, threshold: float,
+                         per_trigger: dict | None = None) -> DataFrame:
+    """W6 in the stream: the alert condition of each closed window, then a
+    sliding window over two neighbours; both held → the later window's start.
+    Append mode: a row comes out once the watermark has passed its window."""
+    sink, ckpt = scratch_path(spark, "alerts_sink"), scratch_path(spark, "alerts_ckpt")
+    counts = windowed_counts_stream(log_stream(spark, source, per_trigger), delay)
+    alerts = counts.filter(F.col("errors") / F.lit(float(MO.WINDOW_SECONDS)) > threshold)
+    pairs = (alerts.groupBy(F.window(F.window_time("w"), f"{2 * MO.WINDOW_SECONDS} seconds", f"{MO.WINDOW_SECONDS} seconds").alias("p"))
+             .agg(F.count(F.lit(1)).alias("held_windows")).filter("held_windows = 2"))
+    start = F.col("p.end") - F.expr(f"INTERVAL {MO.WINDOW_SECONDS} SECONDS")
+    rows = pairs.select(start.cast("timestamp_ntz").alias("window_start"), F.col("held_windows").cast("int").alias("held_windows"))
+    run_available_now(rows, sink, ckpt, "append")
+    return spark.read.schema("window_start timestamp_ntz, held_windows int, _epoch int").parquet(sink).drop("_epoch")
 
 
 # ---------------------------------------------------------------- W3 / W4
@@ -103,7 +113,7 @@ def run_window_counts(spark: SparkSession, source: str, delay: str, name: str =
 def run_group_counts(spark: SparkSession, source: str, key: str, name: str) -> DataFrame:
     """Running totals per key (update mode; one state row per key)."""
     sink, ckpt = scratch_path(spark, f"{name}_sink"), scratch_path(spark, f"{name}_ckpt")
-    s = prediction_log_stream(events_stream(spark, source)).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    s = log_stream(spark, source).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     run_available_now(s, sink, ckpt, "update")
     return latest_per_key(spark, sink, [key], ["n"])
 
@@ -115,7 +125,7 @@ def run_p95_latency(spark: SparkSession, source: str, delay: str) -> DataFrame:
     read from the final bucket counts."""
     sink, ckpt = scratch_path(spark, "p95_sink"), scratch_path(spark, "p95_ckpt")
     les = [float(b) for b in MO.LATENCY_BUCKETS_MS] + [None]
-    log = prediction_log_stream(events_stream(spark, source)).withWatermark("event_time", delay)
+    log = log_stream(spark, source).withWatermark("event_time", delay)
     s = log.groupBy(F.window("event_time", MO.WINDOW).alias("w")).agg(
         *[F.count_if(F.col("latency_ms") <= le if le is not None else F.lit(True)).alias(f"b{i}")
           for i, le in enumerate(les)])
@@ -136,7 +146,7 @@ def run_scoring(spark: SparkSession, source: str, as_of: str) -> DataFrame:
     requests go to a quarantine sink with their reasons."""
     sink, bad, ckpt = (scratch_path(spark, "scored_sink"), scratch_path(spark, "rejected_sink"),
                        scratch_path(spark, "scoring_ckpt"))
-    reqs = spark.readStream.schema(_REQUEST_SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    reqs = file_stream(spark, source, CUSTOMERS_RAW).select(*Q.REQUEST_FIELDS)
     checked = Q.request_validation(reqs)
 
     def write(batch: DataFrame, epoch: int) -> None:
@@ -149,70 +159,61 @@ def run_scoring(spark: SparkSession, source: str, as_of: str) -> DataFrame:
     return spark.read.parquet(sink).drop("_epoch")
 
 
-_REQUEST_SCHEMA = ("customer_id string, tenure_months bigint, monthly_charges double, total_charges double, "
-                   "contract_type string, payment_method string, internet_service string, phone_service string, "
-                   "online_security string, tech_support string, senior_citizen int")
-
-
-def run_dedup(spark: SparkSession, source: str, delay: str) -> DataFrame:
-    """Duplicate requests removed within the watermark."""
+def run_dedup(spark: SparkSession, log: DataFrame, delay: str) -> DataFrame:
+    """Duplicate requests removed within the watermark (ids older than
+    the delay leave the state)."""
     sink, ckpt = scratch_path(spark, "dedup_sink"), scratch_path(spark, "dedup_ckpt")
-    s = (prediction_log_stream(events_stream(spark, source)).withWatermark("event_time", delay)
-         .dropDuplicatesWithinWatermark(["event_id"]))
+    s = log.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
     run_available_now(s, sink, ckpt, "append")
     return spark.read.parquet(sink).drop("_epoch").withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
 # ---------------------------------------------------------------- W7
 
-def run_latest_gauges(spark: SparkSession, source: str) -> DataFrame:
-    """Latest gauge values as a global streaming aggregate (one state
-    row); the final epoch holds the answer."""
-    sink, ckpt = scratch_path(spark, "gauges_sink"), scratch_path(spark, "gauges_ckpt")
-    log = prediction_log_stream(events_stream(spark, source))
-    order = F.struct("event_time", "event_id")
-    s = log.agg(F.max_by("churn_probability", order).alias("latest_probability"),
-                F.max_by("latency_ms", order).alias("latest_latency_ms"),
-                F.max_by("model_version", order).alias("latest_model_version"),
-                F.max("event_time").alias("as_of"))
-    run_available_now(s, sink, ckpt, "update")
-    last = spark.read.parquet(sink)
-    cols = ["latest_probability", "latest_latency_ms", "latest_model_version", "as_of"]
-    r = last.agg(F.max_by(F.struct(*cols), F.col("_epoch")).alias("r"))
-    return r.select(*[F.col(f"r.{c}").alias(c) for c in cols]).withColumn(
-        "as_of", F.col("as_of").cast("timestamp_ntz"))
+def run_latest_gauges(spark: SparkSession, runs: DataFrame, timeline: DataFrame) -> DataFrame:
+    """The newest F1 and drift score as global streaming aggregates (one
+    state row each) over the stored run and drift tables, as they grow."""
+    out = []
+    for name, table, gauge in (("f1", runs, MO.latest_f1), ("drift", timeline, MO.latest_drift)):
+        src, sink, ckpt = (scratch_path(spark, f"{name}_{x}") for x in ("source", "sink", "ckpt"))
+        table.write.parquet(src)
+        g = gauge(file_stream(spark, src, table.schema))
+        run_available_now(g, sink, ckpt, "update")
+        out.append(latest_row(spark, sink, g.columns))
+    return with_one_row(out[0], out[1])
+
+
+def latest_row(spark: SparkSession, sink: str, cols) -> DataFrame:
+    """The last state of a global aggregate."""
+    r = spark.read.parquet(sink).agg(F.max_by(F.struct(*cols), F.col("_epoch")).alias("r"))
+    return r.select(*[F.col(f"r.{c}").alias(c) for c in cols])
 
 
 # ---------------------------------------------------------------- W9
 
-def run_microbatch_validation(spark: SparkSession, source: str, schema: str, as_of: str | None = None,
-                              reference: DataFrame | None = None, feature_model=None, features=None) -> DataFrame:
-    """Every micro-batch of customer rows gets the fused quality checks
-    and their roll-up (V9) and, given a reference feature table, the drift
-    summary of the batch against it (D6); one result row per batch."""
+def run_microbatch_validation(spark: SparkSession, rows: DataFrame, as_of: str, reference: DataFrame | None = None,
+                              feature_model=None, features=None) -> DataFrame:
+    """Every micro-batch of customer rows (a streaming frame) gets all
+    eight checks and their roll-up (V9) and, given a reference feature table,
+    the drift summary of the batch against it (D6); one result row per batch.
+    The reference side's distinct values are counted once, before the stream
+    starts."""
     from ..operators import drift as DR
     sink, ckpt = scratch_path(spark, "mb_checks_sink"), scratch_path(spark, "mb_checks_ckpt")
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    ref = materialize(DR.value_counts(reference.withColumn("side", F.lit("ref")), features)) if reference is not None else None
+    means = DR.side_means(reference.withColumn("side", F.lit("ref")), features) if reference is not None else None
 
     def write(batch: DataFrame, epoch: int) -> None:
-        checks = Q.aggregate_checks(batch, as_of)
-        out = Q.validation_summary(checks, batch)
-        if reference is not None:
+        batch = materialize(batch)      # read by several checks
+        if batch.isEmpty():
+            return
+        out = Q.validation_summary(Q.run_all_checks(batch, as_of), batch)
+        if ref is not None:
             prod = feature_model.transform(batch, scale=False).select(*features).withColumn("side", F.lit("prod"))
-            sides = reference.select(*features).withColumn("side", F.lit("ref")).unionByName(prod)
-            d = DR.drift_summary(DR.feature_drift(sides, features))
-            from ..operators.stats import with_one_row
+            d = DR.drift_summary(DR.drift_from_counts(ref.unionByName(DR.value_counts(prod, features)),
+                                                      means.unionByName(DR.side_means(prod, features))))
             out = with_one_row(out, d.select("features_with_drift", "drift_percentage", "overall_drift_status"))
         write_epoch(out, sink, epoch)
 
     run_available_now(rows, sink, ckpt, "append", foreach=write)
     return spark.read.parquet(sink)
-
-
-# ---------------------------------------------------------------- sources
-
-def split_copy(df: DataFrame, path: str, files: int = 4, order_col: str | None = None) -> str:
-    """Write a copy of a table as several files (a stream source)."""
-    x = df.repartitionByRange(files, order_col) if order_col else df.repartition(files)
-    x.write.mode("overwrite").parquet(path)
-    return path

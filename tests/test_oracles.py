@@ -5,10 +5,10 @@ import math
 
 import pytest
 
-import __spark_entry__ as E
+from churnlake.plans.registry import QUERIES, oracles
 from conftest import SMOKE
 
-ORACLES = E.oracle_sql()
+ORACLES = oracles()
 
 
 def _norm(v):
@@ -28,7 +28,7 @@ def _rows(cols, rows):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, oracle_db, name):
-    df = E.queries()[name](spark, SMOKE)
+    df = QUERIES[name](spark, SMOKE)
     srows = [tuple(r) for r in df.collect()]
     res = oracle_db.execute(ORACLES[name])
     ocols = [d[0] for d in res.description]

@@ -5,19 +5,23 @@ arrive as scalar subqueries."""
 import pytest
 
 import __spark_entry__ as E
+from churnlake.plans.registry import QUERIES, load_all
 from conftest import SMOKE
 
+load_all()
+
 SLOW = {"cross_validation", "latest_model_run", "score_with_model", "train_random_forest", "train_gbt_depth6",
-        "train_gbt_depth8", "train_gbt_depth5", "feature_importance"}
+        "train_gbt_depth8", "train_gbt_depth5", "feature_importance", "importance_bars", "trained_runs", "trained_best_model",
+        "trained_model_comparison", "trained_promotion_gate"}      # each runs the training job at full settings
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in E.queries() if not n.startswith("stream_") and n not in SLOW))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_") and n not in SLOW))
 def test_no_python_udf(spark, name):
-    plan = _plan(E.queries()[name](spark, SMOKE))
+    plan = _plan(QUERIES[name](spark, SMOKE))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF",
                  "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan, f"{name} uses {node}"

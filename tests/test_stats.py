@@ -98,12 +98,24 @@ def test_drift_timeline_matches_brute_force(spark):
         assert np.isclose(got[d], _ks_brute(ref, day))
 
 
-def test_prefix_sum_two_level_slices_with_outlier(spark):
-    """A heavy tail crowds level 1 into one slice; level 2 (tiny target to
-    force it here) must still give exact running counts."""
-    vals = [float(i) / 1000 for i in range(400)] + [1e12]
-    df = spark.createDataFrame([(v, 1) for v in vals], "v double, c int")
-    out = S.prefix_sum(df, [], ["v"], ["c"], n_slices=4, target_slice_rows=7)
-    got = {r["v"]: r["c_cum"] for r in out.collect()}
-    assert all(got[v] == i + 1 for i, v in enumerate(sorted(vals)))
-    assert out.select(F.max("c_tot")).first()[0] == 401
+def test_slices_stay_below_the_target_on_a_heavy_tail(spark):
+    """Slices follow the data's distribution and are cut again until each is
+    below the target; running counts stay exact."""
+    rng = np.random.default_rng(2)
+    vals = sorted(set((rng.pareto(0.05, 4000) + 1).tolist()))[:4000]
+    df = spark.createDataFrame([(float(min(v, 1e300)), 1) for v in vals], "v double, c int").distinct()
+    n = df.count()
+    x = S.sliced(df, [], ["v"], n_slices=2, target_slice_rows=100)
+    assert x.groupBy("_slice").count().agg(F.max("count")).first()[0] <= 100 and x.count() == n
+    out = S.prefix_sum(df, [], ["v"], ["c"], n_slices=2, target_slice_rows=100)
+    got = [r["c_cum"] for r in out.orderBy("v").collect()]
+    assert got == list(range(1, n + 1)) and out.select(F.max("c_tot")).first()[0] == n
+
+
+def test_one_part_with_most_rows_is_cut(spark):
+    df = spark.range(3000).select(F.when(F.col("id") < 2900, "hot").otherwise("cold").alias("g"), F.col("id").alias("v"), F.lit(1).alias("c"))
+    x = S.sliced(df, ["g"], ["v"], n_slices=4, target_slice_rows=200)
+    assert x.groupBy("_slice").count().agg(F.max("count")).first()[0] <= 200
+    plan = S.prefix_sum(df, ["g"], ["v"], ["c"])._jdf.queryExecution().executedPlan().toString()
+    rows_by_part = [line for line in plan.splitlines() if "Exchange hashpartitioning(g#" in line and "_slice" not in line]
+    assert len(rows_by_part) <= 1      # only the per-part array of slice totals meets on the part key

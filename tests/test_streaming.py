@@ -1,3 +1,4 @@
+import datetime as dt
 import time
 
 from pyspark.sql import functions as F
@@ -27,17 +28,29 @@ def test_late_rows_are_dropped_behind_watermark(spark):
         _events(spark, rows).coalesce(1).write.mode("append").parquet(src)
         time.sleep(1.1)   # the file source orders files by modification time
     out = {r["window_start"].strftime("%H:%M"): r["requests"]
-           for r in SJ.run_window_counts(spark, src, "10 minutes", "late").collect()}
+           for r in SJ.run_window_counts(spark, src, "10 minutes", "late", {"maxFilesPerTrigger": 1}).collect()}
     assert "09:00" not in out
     assert out["10:30"] == 2 and out["10:00"] == 1
 
 
-def test_stream_equals_batch_for_windows(spark):
+def test_stream_equals_batch_and_closes_windows(spark):
+    """A time-ordered source in three files: a delay of minutes loses nothing,
+    and the append-mode alerts come out only for windows that are closed."""
     from churnlake.sources.tables import read_table
-    src = SJ.split_copy(read_table(spark, SMOKE, "events"), scratch_path(spark, "ev_copy"), 3)
-    s = SJ.run_window_counts(spark, src, "31 days", "eq")
+    src = scratch_path(spark, "ev_parts")
+    ev = read_table(spark, SMOKE, "events")
+    for lo, hi in ((-1, 330), (330, 660), (660, 10 ** 9)):
+        ev.filter((F.col("event_id") > lo) & (F.col("event_id") <= hi)).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    one = {"maxFilesPerTrigger": 1}
+    s = SJ.run_window_counts(spark, src, "10 minutes", "eq", one)
     b = MO.window_counts(FX.prediction_log(spark, SMOKE))
     assert sorted(s.collect()) == sorted(b.collect())
+    held = MO.sustained_alerts(MO.window_counts(FX.prediction_log(spark, SMOKE), threshold=0.003))
+    end = FX.prediction_log(spark, SMOKE).agg(F.max("event_time")).first()[0]
+    closed = [r["window_start"] for r in held.collect() if r["window_start"] + dt.timedelta(minutes=5) <= end - dt.timedelta(minutes=10)]
+    got = SJ.run_sustained_alerts(spark, src, "10 minutes", 0.003, one)
+    assert sorted(r["window_start"] for r in got.collect()) == sorted(closed)
 
 
 def test_dedup_within_watermark(spark):
@@ -45,5 +58,5 @@ def test_dedup_within_watermark(spark):
     rows = [(1, "2024-01-01 10:00:00", 1, "view", 5.0, "{}"), (1, "2024-01-01 10:00:00", 1, "view", 5.0, "{}"),
             (2, "2024-01-01 10:01:00", 1, "view", 6.0, "{}")]
     _events(spark, rows).write.mode("overwrite").parquet(src)
-    out = SJ.run_dedup(spark, src, "1 hour")
+    out = SJ.run_dedup(spark, SJ.log_stream(spark, src), "1 hour")
     assert sorted(r["event_id"] for r in out.collect()) == [1, 2]

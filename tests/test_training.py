@@ -7,7 +7,7 @@ from conftest import SMALL
 
 
 def test_gbt_beats_chance_and_registry_versions(spark):
-    data, fm = QT.training_frame(spark, SMALL)
+    data = QT.training_frame(spark, SMALL)
     train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
     spec = TR.ModelSpec("GradientBoosting", "gbt", {"maxIter": 5, "maxDepth": 3})
     model = TR.fit(train, spec)
@@ -22,13 +22,21 @@ def test_gbt_beats_chance_and_registry_versions(spark):
     assert len(imp) == 10 and imp[0]["importance"] >= imp[-1]["importance"]
 
 
-def test_reference_settings_are_selectable(spark):
-    from churnlake.plans import q_training as Q
-    assert Q._spec(spark, "RandomForest").params["numTrees"] == 20
-    spark.conf.set(Q.SETTINGS_CONF, "reference")
-    try:
-        rf, gb = Q._spec(spark, "RandomForest"), Q._spec(spark, "GradientBoosting")
-        assert (rf.params["numTrees"], rf.params["maxDepth"]) == (200, 15)
-        assert (gb.params["maxIter"], gb.params["maxDepth"]) == (150, 5)
-    finally:
-        spark.conf.unset(Q.SETTINGS_CONF)
+def test_settings_are_the_references():
+    by = {s.name: s.params for s in TR.SPECS}
+    assert (by["RandomForest"]["numTrees"], by["RandomForest"]["maxDepth"]) == (200, 15)
+    assert [(by[n]["maxIter"], by[n]["maxDepth"]) for n in ("XGBoost", "LightGBM", "GradientBoosting")] == [(200, 6), (200, 8), (150, 5)]
+
+
+def test_folds_lie_in_the_train_split_and_are_stratified(spark):
+    cells = {(r["split"], r["fold"]): (r["n"], r["p"]) for r in QT.training_frame(spark, SMALL).groupBy("split", "fold")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("churned").alias("p")).collect()}
+    folds = [cells[("train", k)] for k in range(5)]
+    assert ("test", None) in cells and len(cells) == 6
+    assert max(p for _, p in folds) - min(p for _, p in folds) <= 1 and max(n for n, _ in folds) - min(n for n, _ in folds) <= 2
+
+
+def test_cross_validation_refits_per_fold(spark):
+    train = QT.training_frame(spark, SMALL).filter("split = 'train'")
+    r = TR.cross_validate(train, TR.ModelSpec("GradientBoosting", "gbt", {"maxIter": 2, "maxDepth": 2})).first()
+    assert 0 <= r["cv_f1_mean"] < 0.9 and r["cv_f1_std"] >= 0
