@@ -16,8 +16,9 @@ stated share of good documents is rejected by mistake:
   number of strata (Bonferroni), so all stated limits hold together with
   probability 1 - delta, and a stratum's total false rejection by the learned
   rules is at most ``risk``;
-* of the passing cutoffs the mildest that rejects the most bad documents is
-  used; a stratum with too few labels gets no learned rule.
+* of the passing cutoffs the one with the most bad documents rejected, less
+  ``COST`` times the good ones, is used (the mildest of equals); a stratum
+  with too few labels, or a rule without such a gain, gets no cutoff.
 
 Metrics are computed once per document in Arrow batches and written to the
 shared folder; only counts per (stratum, rule, grid cell, label) reach the
@@ -41,12 +42,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import steps, texts_of
+from .common import in_tasks, steps, texts_of
 
 #: Share of a stratum's good documents that all learned rules together may reject, and the probability of exceeding it.
-RISK = 0.02
+RISK = 0.03
 DELTA = 0.05
 GRID = 200
+#: Bad documents that a cutoff must reject for each good one it rejects, to be worth it.
+COST = 5
 MIN_WORDS = 50
 
 _SYMBOLS = b"#*$%&|<>"
@@ -111,7 +114,7 @@ def document_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), F.col(stratum_col).cast("string").alias("stratum"), F.col(text_col).alias("text"))
-    return src.mapInArrow(rows, f"id {kind}, stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
+    return src.transform(in_tasks(rows, f"id {kind}, stratum string, " + ", ".join(f"{c} long" for c in COUNTS)))
 
 
 def base_failed(at: str = "") -> Column:
@@ -168,8 +171,8 @@ def choose_cutoffs(cells: dict, risk: float = RISK, delta: float = DELTA, grid:
                 hit_bad += bad[c + 1]
                 if not within_risk(hit_good, n, risk / len(rules), delta / (len(rules) * len(strata))):
                     break
-                if hit_bad > best[0]:
-                    best = (hit_bad, c)
+                if hit_bad - COST * hit_good > best[0]:
+                    best = (hit_bad - COST * hit_good, c)
             if best[1] is not None:
                 out[r][s] = best[1] / grid
     return dict(out)
@@ -229,8 +232,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
             struct = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in zip(*got)], COUNTS)
             yield pa.RecordBatch.from_arrays([*b.columns, struct], [*b.schema.names, extra])
 
-    counted = materialize(docs.mapInArrow(rows, T.StructType([*docs.schema, T.StructField(extra, T.StructType.fromDDL(
-        ", ".join(f"{c} long" for c in COUNTS)))])), "quality_counted")
+    counted = materialize(docs.transform(in_tasks(rows, T.StructType([*docs.schema, T.StructField(extra, T.StructType.fromDDL(
+        ", ".join(f"{c} long" for c in COUNTS)))]))), "quality_counted")
     measured = counted.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{stratum_col}`").cast("string").alias("stratum"), F.col(f"{extra}.*"))
     cutoffs = fit_cutoffs(measured, labels, **how)
     keep = verdict(cutoffs, how.get("grid", GRID), f"{extra}.", F.col(f"`{stratum_col}`").cast("string"))
