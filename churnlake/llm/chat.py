@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import in_tasks
 
 #: Control strings of the template and of common chat templates, never left inside a text.
 _CONTROL = re.compile(r"\\|<(?=/?s>)|\[(?=/?INST\])")
@@ -93,8 +94,8 @@ def render(messages: DataFrame) -> DataFrame:
                                               pa.array(ends, pa.int64())], ["conv_id", "slot", "segment", "loss_start", "loss_end"])
 
     kinds = {f.name: f.dataType.simpleString() for f in messages.schema}
-    return messages.select("conv_id", "slot", "role", "text").mapInArrow(
-        rows, f"conv_id {kinds['conv_id']}, slot {kinds['slot']}, segment string, loss_start long, loss_end long")
+    return messages.select("conv_id", "slot", "role", "text").transform(in_tasks(
+        rows, f"conv_id {kinds['conv_id']}, slot {kinds['slot']}, segment string, loss_start long, loss_end long"))
 
 
 class _Digest:
@@ -141,7 +142,7 @@ def read_back(segments: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*done), schema.types)], schema=schema)
 
     ordered = segments.repartition("conv_id").sortWithinPartitions("conv_id", "slot").select("conv_id", "segment", "loss_start", "loss_end")
-    return ordered.mapInArrow(rows, f"{names[0]} {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return ordered.transform(in_tasks(rows, f"{names[0]} {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"))
 
 
 def events_of_turns(turns: DataFrame) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +18,32 @@ from pyspark.sql import functions as F
 STEP_CHARS = 24_000_000
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors (once per application), so that
+    tasks can import it wherever the driver found it."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="churnlake-code-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(path))      # served by the driver, no shared folder needed
+    _shipped.add(spark.sparkContext.applicationId)
+
+
+def in_tasks(fn: Callable, schema) -> Callable[[DataFrame], DataFrame]:
+    """For ``DataFrame.transform``: run ``fn`` over the Arrow batches of every partition."""
+    def apply(df: DataFrame) -> DataFrame:
+        ship(df.sparkSession)
+        return df.mapInArrow(fn, schema)
+
+    return apply
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
-from .common import steps, texts_of
+from .common import in_tasks, steps, texts_of
 
 WINDOW = 13
 BLOCK = 2
@@ -114,7 +114,7 @@ def _patterns(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(pats, pa.binary())], ["item", "pattern"])
 
     rows = benchmark.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(cut, "item long, pattern binary").distinct()
+    return rows.transform(in_tasks(cut, "item long, pattern binary")).distinct()
 
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -181,8 +181,8 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
             yield b.filter(pa.array([not (h > 0 and 20 * h >= n) for n, h in zip(n_words, n_hit)], pa.bool_()))
 
     if keep:
-        return docs.mapInArrow(clean, docs.schema)
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        rows, f"id {docs.schema[id_col].dataType.simpleString()}, n_words long, n_hit long, items array<string>, contaminated boolean")
+        return docs.transform(in_tasks(clean, docs.schema))
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).transform(in_tasks(
+        rows, f"id {docs.schema[id_col].dataType.simpleString()}, n_words long, n_hit long, items array<string>, contaminated boolean"))
     return out.withColumnRenamed("id", id_col)
 

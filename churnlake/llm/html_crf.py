@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import steps, texts_of
+from .common import in_tasks, steps, texts_of
 
 SAMPLE = 120
 EPOCHS = 8
@@ -375,5 +375,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     kind = pages.schema[id_col].dataType.simpleString()
     src = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    out = src.mapInArrow(rows, f"id {kind}, url string, text string, n_chars long")
+    out = src.transform(in_tasks(rows, f"id {kind}, url string, text string, n_chars long"))
     return out.withColumnRenamed("id", id_col)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import steps, texts_of
+from .common import in_tasks, steps, texts_of
 
 SAMPLE = 2000
 VOCABULARY = 6000
@@ -167,7 +167,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.astype("<i4").tobytes() for c, _ in got], pa.binary()),
                                               pa.array([n.astype("<i8").tobytes() for _, n in got], pa.binary())], ["lang", "codes", "counts"])
 
-    found = lot.mapInArrow(count, "lang string, codes binary, counts binary").collect()      # about ``sample`` rows of counts
+    found = lot.transform(in_tasks(count, "lang string, codes binary, counts binary")).collect()      # about ``sample`` rows of counts
     found.sort(key=lambda r: (r[0], bytes(r[1]), bytes(r[2])))      # the same model whatever the order of tasks
     return fit_counts([(r[0], np.frombuffer(r[1], "<i4"), np.frombuffer(r[2], "<i8")) for r in found], **how)
 
@@ -190,4 +190,4 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
-    return src.mapInArrow(rows, f"id {kind}, held_out boolean, lang_pred string, score double, rejected boolean").withColumnRenamed("id", id_col)
+    return src.transform(in_tasks(rows, f"id {kind}, held_out boolean, lang_pred string, score double, rejected boolean")).withColumnRenamed("id", id_col)

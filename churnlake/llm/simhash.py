@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import drop_path, materialize, scratch_path
-from .common import steps, texts_of
+from .common import in_tasks, steps, texts_of
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -90,7 +90,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(rows, f"id {kind}, fp long").withColumnRenamed("id", id_col))
+            .transform(in_tasks(rows, f"id {kind}, fp long")).withColumnRenamed("id", id_col))
 
 
 # ---- trie self-join inside a partition ----------------------------------------------------------------
@@ -244,7 +244,7 @@ def links(distinct: DataFrame, split: int = SPLIT, k: int = MAX_BITS) -> DataFra
             hot = None if hot.isEmpty() else hot
         rows = keyed if hot is None else keyed.join(hot, ["fixed", "key"], "left_anti")
         part = (rows.select("fixed", "key", "fp").repartition("fixed", "key").sortWithinPartitions("fixed", "key")
-                .mapInArrow(join_sorted, "a long, b long"))
+                .transform(in_tasks(join_sorted, "a long, b long")))
         out = part if out is None else out.unionByName(part)
         if hot is None:
             return out

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
-from .common import steps
+from .common import in_tasks, steps
 from .encode import encoder, with_end
 
 SHARD_ROW = "shard int, bin string, idx string, n_docs long, n_tokens long, width int"
@@ -90,7 +90,7 @@ def write_token_files(docs: DataFrame, folder: str, vocab_path: str, drop_space:
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     ordered = (rows.repartitionByRange("id", F.xxhash64("text"))
                .sortWithinPartitions(F.col("id").asc_nulls_first(), F.xxhash64("text"), "text"))
-    written = materialize(ordered.mapInArrow(write, SHARD_ROW), "token_shards")
+    written = materialize(ordered.transform(in_tasks(write, SHARD_ROW)), "token_shards")
     shards, docs_before, ids_before = [], 0, 0
     for r in written.orderBy("shard").collect():      # one row a file
         shards.append(r.asDict() | {"doc_base": docs_before, "id_base": ids_before})
@@ -137,7 +137,7 @@ def read_documents(spark: SparkSession, folder: str, block: int = 20_000) -> Dat
     keys = ("shard", "bin", "idx", "width", "id_base")
     rows = spark.createDataFrame([tuple(s[k] for k in keys) for s in shards],
                                  "shard int, bin string, idx string, width int, id_base long")
-    return rows.repartitionByRange(len(shards), "shard").mapInArrow(read, out)
+    return rows.repartitionByRange(len(shards), "shard").transform(in_tasks(read, out))
 
 
 def token_files(docs: DataFrame, vocab_path: str, drop_space: bool, end_id: int, folder: str | None = None) -> DataFrame:
