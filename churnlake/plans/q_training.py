@@ -6,7 +6,9 @@ settings, sizes and positives per split and fold — has an oracle."""
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -67,6 +69,11 @@ def training_job(spark, sf_dir):
     def build():
         root = scratch_path(spark, "model_store")
         data = training_frame(spark, sf_dir)
+        # independent fits are submitted side by side: each alone leaves most of a cluster idle between its tree levels
+        with ThreadPoolExecutor(len(SPECS)) as pool:
+            def both(name):
+                return fitted(spark, sf_dir, name), cv_row(spark, sf_dir, name)
+            list(pool.map(inheritable_thread_target(spark)(both), SPECS))
         sizes = data.agg(F.count_if(F.col("split") == "train").alias("a"), F.count_if(F.col("split") == "test").alias("b")).first()
         for i, (name, spec) in enumerate(SPECS.items()):
             _, metrics = fitted(spark, sf_dir, name)
