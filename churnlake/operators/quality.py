@@ -299,42 +299,43 @@ def row_reasons(df: DataFrame) -> Column:
 COPY_CHUNK = 1 << 16
 
 
+def _with_reasons(df: DataFrame, cols, dup) -> DataFrame:
+    reasons = F.array_union(row_reasons(df), F.when(dup, F.array(F.lit("duplicate"))).otherwise(F.array().cast("array<string>")))
+    return df.select(*cols, (F.size(reasons) > 0).alias("quarantined"), reasons.alias("reasons"))
+
+
+def _copies_marked(df: DataFrame, cols, first: DataFrame, key: str | None) -> DataFrame:
+    """Rows of repeated ids: identical rows are collapsed with a count, the
+    smallest row of an id is its first, and copies are re-expanded from the
+    count in chunks of at most COPY_CHUNK that a shuffle spreads over tasks."""
+    distinct = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_mult"))
+    j = distinct.join(first, key) if key else with_one_row(distinct, first)
+    j = j.withColumn("_is_first", F.coalesce(F.col("_first") == F.struct(*cols), F.lit(False)))
+    n_chunks = F.ceil(F.col("_mult") / F.lit(COPY_CHUNK)).cast("int")
+    chunked = j.select(*cols, "_is_first", "_mult", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("_chunk"))
+    spread = chunked.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols, "_chunk")
+    size = F.least(F.lit(COPY_CHUNK).cast("bigint"), F.col("_mult") - F.col("_chunk").cast("bigint") * F.lit(COPY_CHUNK)).cast("int")
+    expanded = spread.select(*cols, "_is_first", "_chunk", F.posexplode(F.array_repeat(F.lit(True), size)).alias("_copy", "_x"))
+    return _with_reasons(expanded, cols, ~(F.col("_is_first") & (F.col("_chunk") == 0) & (F.col("_copy") == 0)))
+
+
 def quarantine_split(df: DataFrame, key: str = "customer_id") -> DataFrame:
     """Every input row once, with ``quarantined`` and ``reasons``.
 
     Duplicates: the first row per key (smallest full row) stays; further
-    copies go to quarantine with reason ``duplicate``.  Plan: identical rows
-    are collapsed with a multiplicity count first (partial aggregation, so a
-    key holding a third of all rows shrinks map-side), the per-key minimum
-    row is a second aggregate, and the copies are re-expanded from the
-    multiplicity — the result keeps every input row.
+    copies go to quarantine with reason ``duplicate``.  Ids that occur once
+    need no comparison, so only the rows of repeated ids (found by a
+    map-side combined count) are grouped by their columns.  Rows without an
+    id form one group, whose smallest row is a global aggregate, not a join.
     """
-    from ..session import materialize
     cols = df.columns
-    # read twice below (rows and per-key first row): written once so the
-    # input is scanned once
-    distinct = materialize(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_mult")))
-    first = distinct.groupBy(key).agg(F.min(F.struct(*[F.col(c) for c in cols])).alias("_first"))
-    j = distinct.join(first, distinct[key].eqNullSafe(first[key]), "left").drop(first[key])
-    is_first = F.col("_first") == F.struct(*[F.col(c) for c in cols])
-    # null ids: all rows share one group; eqNullSafe keeps them joined
-    j = j.withColumn("_is_first", F.coalesce(is_first, F.lit(False)))
-    # Re-expand the copies of each distinct row in chunks of at most
-    # COPY_CHUNK rows (no row ever carries a data-sized array).  The chunks
-    # of a hot row — more copies than one chunk — are spread over tasks by a
-    # shuffle of those chunk rows alone; other rows are not shuffled.
-    n_chunks = F.ceil(F.col("_mult") / F.lit(COPY_CHUNK)).cast("int")
-    chunked = j.select(*cols, "_is_first", "_mult", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("_chunk"))
-    hot = F.col("_mult") > COPY_CHUNK
-    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunked = chunked.filter(~hot).unionByName(chunked.filter(hot).repartition(spread, "_chunk"))
-    size = F.least(F.lit(COPY_CHUNK).cast("bigint"),
-                   F.col("_mult") - F.col("_chunk").cast("bigint") * F.lit(COPY_CHUNK)).cast("int")
-    expanded = chunked.select(*cols, "_is_first", "_chunk",
-                              F.posexplode(F.array_repeat(F.lit(True), size)).alias("_copy", "_x"))
-    dup = ~(F.col("_is_first") & (F.col("_chunk") == 0) & (F.col("_copy") == 0))
-    reasons = F.array_union(row_reasons(df), F.when(dup, F.array(F.lit("duplicate"))).otherwise(F.array().cast("array<string>")))
-    return expanded.select(*cols, (F.size(reasons) > 0).alias("quarantined"), reasons.alias("reasons"))
+    known, unknown = df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())
+    repeated = known.groupBy(key).count().filter("count > 1").select(key)
+    once = _with_reasons(known.join(repeated, key, "left_anti").select(*cols), cols, F.lit(False))
+    many = known.join(repeated, key, "left_semi").select(*cols)
+    smallest = F.min(F.struct(*cols)).alias("_first")
+    return (once.unionByName(_copies_marked(many, cols, many.groupBy(key).agg(smallest), key))
+            .unionByName(_copies_marked(unknown, cols, unknown.agg(smallest), None)))
 
 
 # --------------------------------------------------------------------------

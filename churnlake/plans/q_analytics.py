@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import analytics as A
 from ..sources import fixtures as FX
+from ..sources.catalog import create_namespace
 from ..sources import sinks
 from .registry import query
 
@@ -91,3 +92,18 @@ def sink_overwrite_roundtrip(spark, sf_dir):
 SELECT COUNT(*) AS source_rows, COUNT(*) AS loaded_rows, TRUE AS "match" FROM customers_raw""")
 def load_rowcount_check(spark, sf_dir):
     return A.load_rowcount_check(FX.derive_customers_raw(spark, sf_dir), FX.customers_raw(spark, sf_dir))
+
+
+@query("view_churn_summary", oracle="""
+SELECT contract_type, COUNT(*) AS total_customers, ROUND(AVG(churned) * 100, 2) AS churn_rate_pct
+FROM customers_raw GROUP BY contract_type""")
+def view_churn_summary(spark, sf_dir):
+    """A namespace is created and used, the analytic views are
+    registered over the loaded table and read through SQL."""
+    before = spark.catalog.currentDatabase()
+    create_namespace(spark, "churn_analytics")
+    try:
+        A.create_views(FX.customers_raw(spark, sf_dir))
+        return spark.sql("SELECT contract_type, total_customers, churn_rate_pct FROM churn_summary")
+    finally:
+        spark.catalog.setCurrentDatabase(before)

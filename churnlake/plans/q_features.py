@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features as FE
+from ..session import scratch_path
 from ..sources import fixtures as FX
 from ..sources import sinks
 from .ctes import define
@@ -167,6 +168,15 @@ def feature_table(spark, sf_dir):
     return _rounded(FE.feature_table(FX.customers_raw(spark, sf_dir)))
 
 
+@query("saved_feature_model", oracle=f"SELECT customer_id, {_FT_ROUND}, churned FROM customer_features")
+def saved_feature_model(spark, sf_dir):
+    """The fitted state is written as parameter tables, loaded and applied."""
+    raw = FX.customers_raw(spark, sf_dir)
+    path = scratch_path(spark, "feature_model")
+    FE.FeatureModel.fit(raw).save(path)
+    return _rounded(FE.feature_table(raw, FE.FeatureModel.load(spark, path)))
+
+
 @query("scan_features", oracle=f"SELECT {_FT_ROUND} FROM customer_features")
 def scan_features(spark, sf_dir):
     """S2 + S4: write the feature table, scan it back, split off X."""
