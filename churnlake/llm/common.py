@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters (upper bound) a task hands to one vectorised step; a single longer text is a step of its own.
-STEP_CHARS = 24_000_000
+STEP_CHARS = 8_000_000
 
 
 _shipped: set[str] = set()

@@ -36,7 +36,7 @@ _PLAIN = re.compile(rf"([{_LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)")
 #: White space of the byte-level splitting pattern, and what str methods count besides.
 _SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: Distinct chunks a worker remembers; later ones are encoded for their batch alone.
-CAPACITY = 800_000
+CAPACITY = 400_000
 
 
 def byte_alphabet() -> dict[int, str]:
