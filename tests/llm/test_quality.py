@@ -65,5 +65,5 @@ def test_judge_and_stage(spark, cases, none):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["kept"]}
     no_labels = labels.limit(0)
     assert Q.judge(cases, no_labels).count() == cases.count()
-    assert {r["doc_id"] for r in Q.keep_good(cases, no_labels).collect()} == {8}
+    assert Q.keep_good(cases, no_labels).count() == 0      # short, empty or repeating: all fail the base rules
     assert Q.judge(none, no_labels).count() == 0 and Q.keep_good(none, labels).count() == 0

@@ -26,9 +26,9 @@ def test_reputation_shrinks_and_blocks(spark):
     labels = [(i, 0, 0) for i in range(60)] + [(i, 1, 0) for i in range(60, 260)] + [(260, 0, 1)]
     got = judge(spark, urls, labels + labels[:5])
     assert got[0]["verdict"] == "block" and got[100]["verdict"] == "allow"
-    # one bad page is shrunk towards its suffix: not enough to block
-    assert got[260]["verdict"] == "allow" and 0.2 < got[260]["bad_rate"] < 1
-    assert got[0]["bad_rate"] > 0.9
+    # one bad page is shrunk towards its suffix, sixty are hardly
+    assert got[60]["bad_rate"] < 0.1 < got[260]["bad_rate"] < got[0]["bad_rate"] < 1 and got[0]["bad_rate"] > 0.9
+    assert got[260]["bound"] < got[0]["bound"]
 
 
 def test_no_labels_and_no_pages(spark):
