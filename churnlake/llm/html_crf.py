@@ -10,10 +10,11 @@ Features: own and ancestor tags, words of the ancestors' class, id and role
 attributes, length class, share of link text, sentence punctuation, and the
 position class of the block.
 
-Training: a bounded sample of pages (``SAMPLE`` pages at most, by hash of the
-page id) labelled by their own mark-up (blocks below ``article`` or ``main``
-and not below navigation, notes, adverts or forms), plus copies of those
-pages rewritten into other common layouts (``div`` containers named by class
+Training: a bounded sample of the pages with an ``article`` or ``main`` tag
+(``SAMPLE`` pages at most, by hash of id and html) labelled by their own
+mark-up (blocks below ``article`` or ``main`` and not below navigation, notes,
+adverts or forms), plus copies of those pages (more of each, if there are few)
+rewritten into other common layouts (``div`` containers named by class
 or id, comment sections, side bars, notices) whose labels are known by
 construction.  Weights maximise the regularised conditional likelihood by
 AdaGrad steps over exact forward-backward gradients.  The weights (a few
@@ -22,8 +23,8 @@ thousand numbers) go to the tasks as a broadcast.
 Null or empty html gives an empty text.  Unclosed and wrongly nested tags are
 closed where an enclosing tag ends.  Scripts, styles, comments and templates
 are no blocks.  Repeated pages are rows of their own.  Without any page to
-learn from, the shipped layouts' own training copies cannot be made and every
-block outside boilerplate mark-up counts as content.
+learn from there is no model, and every block outside boilerplate mark-up
+(``in_boilerplate``) counts as content.
 """
 
 from __future__ import annotations
@@ -157,12 +158,16 @@ def text_features(text: str, links: int, first: bool, last: bool) -> list[str]:
             f"last:{last}", f"sign:{'©' in text}"]
 
 
+def in_boilerplate(path: tuple) -> bool:
+    return any(t in BOILERPLATE_TAGS or not BOILERPLATE_WORDS.isdisjoint(ws) for t, ws in path)
+
+
 @lru_cache(20_000)
 def path_features(path: tuple) -> list[str]:
     tags = {t for t, _ in path}
     names = {w for _, ws in path for w in ws}
     f = ["bias", f"own:{path[-1][0] if path else ''}", *[f"in:{t}" for t in sorted(tags)], *[f"name:{w}" for w in sorted(names)]]
-    if names & BOILERPLATE_WORDS or tags & BOILERPLATE_TAGS:
+    if in_boilerplate(path):
         f.append("boilerplate")
     if tags & {"article", "main"} or names & {"article", "content", "main", "post", "story", "entry", "body"}:
         f.append("main")
@@ -321,7 +326,8 @@ def rewritten(blocks: list[tuple[str, int, tuple]], labels: list[int], spare: li
     return out, marks
 
 
-def train(pages: list[str], copies: int = 3, seed: int = 11, **how) -> Crf:
+def train(pages: list[str], copies: int = 3, seed: int = 11, **how) -> Crf | None:
+    """None if no page has labels."""
     rng = random.Random(seed)
     known = []
     for html in pages:
@@ -329,32 +335,40 @@ def train(pages: list[str], copies: int = 3, seed: int = 11, **how) -> Crf:
         labels = own_labels(blocks)
         if labels and any(labels):
             known.append((blocks, labels))
-    spare = [t for blocks, _ in known for t, _, _ in blocks] or ["text"]
+    if not known:
+        return None
+    spare = [t for blocks, _ in known for t, _, _ in blocks]
+    copies = max(copies, -(-copies * SAMPLE // len(known)))      # few pages make as many copies as a full sample
     data = list(known)
     for blocks, labels in known:
         data += [rewritten(blocks, labels, spare, rng) for _ in range(copies)]
     return Crf().fit([(encoded(b), y) for b, y in data], **how)
 
 
-def main_text(html: str, model: Crf) -> str:
+def main_text(html: str, model: Crf | None) -> str:
+    """``model`` None: all but boilerplate mark-up."""
     blocks = leaf_blocks(html)
     if not blocks:
         return ""
-    labels = model.decode(encoded(blocks))
+    labels = [not in_boilerplate(path) for _, _, path in blocks] if model is None else model.decode(encoded(blocks))
     return "\n\n".join(b[0] for b, y in zip(blocks, labels) if y)
 
 
 def sample_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", size: int = SAMPLE) -> list[str]:
-    """At most ``size`` pages, the first by hash of id and html."""
+    """At most ``size`` pages with an article or main tag, the first by hash of id and html."""
     h = F.xxhash64(F.col(id_col), F.col(html_col))
     n = pages.count()
     if n == 0:
         return []
-    # a hash range that holds about twice as many as needed, cut to the bound by order
+    lot = pages.filter(F.col(html_col).rlike(r"(?i)<(?:article|main)[\s/>]")).select(F.col(html_col).alias("html"), h.alias("h"))
+    # a hash range that holds about twice as many as needed, cut to the bound by order; wider where few pages have the tags
     share = min(1.0, 2.0 * size / n)
-    lot = pages.filter(F.col(html_col).isNotNull()).select(F.col(html_col).alias("html"), h.alias("h"))
-    lot = lot.filter(F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy("h", "html").limit(size)
-    return [r["html"] for r in lot.collect()]
+    while True:
+        part = lot.filter(F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+        got = part.orderBy("h", "html").limit(size).collect()
+        if len(got) >= size or share >= 1.0:
+            return [r["html"] for r in got]
+        share = min(1.0, share * 2.0 * size / max(0.5, len(got)))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", model: Crf | None = None,
@@ -363,12 +377,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     spark = pages.sparkSession
     if model is None:
         model = train(sample_pages(pages, id_col, html_col, sample))
-    shared = spark.sparkContext.broadcast((model.weights, model.moves))
+    shared = spark.sparkContext.broadcast(model and (model.weights, model.moves))
 
     def rows(batches) -> Iterator[pa.RecordBatch]:
         crf = None
         for b in steps(batches, "html"):
-            crf = crf or Crf(*shared.value)
+            crf = crf or (shared.value and Crf(*shared.value))
             texts = [main_text(h, crf) for h in texts_of(b.column(2)).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              ["id", "url", "text", "n_chars"])

@@ -62,3 +62,23 @@ def test_table(spark, model):
         blocks = H.leaf_blocks(r["html"])
         right += r["text"] == "\n\n".join(b[0] for b, y in zip(blocks, H.own_labels(blocks)) if y)
     assert right == pages.count()
+
+
+def div_page(i, tag="div"):
+    paras = "".join(f"<p>Paragraph {k} of page {i}, with a sentence or two of text. It goes on.</p>" for k in range(4))
+    return (f'<html><head><title>t</title></head><body><nav><a href="/">Home</a></nav><{tag} class="text">{paras}</{tag}>'
+            f'<div class="sidebar"><p>Popular posts, see them.</p></div><footer>&copy; 2020</footer></body></html>')
+
+
+def div_text(i):
+    return "\n\n".join(f"Paragraph {k} of page {i}, with a sentence or two of text. It goes on." for k in range(4))
+
+
+@pytest.mark.parametrize("labelled", [0, 1, 3])
+def test_pages_without_article_keep_their_text(spark, labelled):
+    """None or a few of many pages have labels; the sample must find those, and no page loses its text."""
+    rows = [(i, "u", div_page(i, "ARTICLE" if i < labelled else "div")) for i in range(1500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert len(H.sample_pages(pages)) == labelled
+    got = {r["page_id"]: r["text"] for r in H.extract(pages).collect()}
+    assert all(got[i] == div_text(i) for i in range(1500))
