@@ -21,8 +21,11 @@ AdaGrad steps over exact forward-backward gradients.  The weights (a few
 thousand numbers) go to the tasks as a broadcast.
 
 Null or empty html gives an empty text.  Unclosed and wrongly nested tags are
-closed where an enclosing tag ends.  Scripts, styles, comments and templates
-are no blocks.  Repeated pages are rows of their own.  Without any page to
+closed where an enclosing tag ends; an open head ends at body, at text and at
+the first tag that head cannot hold, and a template, noscript, svg or iframe
+that is never closed hides nothing.  Scripts, styles, comments and templates
+are no blocks and do not split a paragraph or heading; text of math, object
+and canvas is text.  Repeated pages are rows of their own.  Without any page to
 learn from there is no model, and every block outside boilerplate mark-up
 (``in_boilerplate``) counts as content.
 """
@@ -33,6 +36,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -55,13 +59,18 @@ BLOCK_TAGS = frozenset("""address article aside blockquote body button canvas ca
 figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu nav object ol optgroup
 option p pre search section select summary table tbody td textarea tfoot th thead tr ul video""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN_TAGS = frozenset("script style template noscript title head svg math iframe object canvas".split())
+HIDDEN_TAGS = frozenset("script style template noscript title head svg iframe".split())
+HEAD_TAGS = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+PARAGRAPH_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 pre".split())
 BOILERPLATE_TAGS = frozenset("nav footer header aside form button select textarea option menu dialog".split())
 BOILERPLATE_WORDS = frozenset("""ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies consent
 disclaimer disqus footer form header legal login masthead menu modal nav navbar navigation newsletter notice overlay pagination popup promo
 promoted related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget""".split())
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
+# Hidden tags that must be closed to hide anything (the parser itself ends script and style).
+_CLOSED = frozenset("template noscript svg iframe".split())
+_CLOSERS = re.compile(r"</(template|noscript|svg|iframe)(?=[\s/>])", re.IGNORECASE)
 
 
 class _Blocks(HTMLParser):
@@ -76,6 +85,12 @@ class _Blocks(HTMLParser):
         self.links = 0
         self.hidden = 0
         self.anchors = 0
+        self.heads = 0
+        self.closers: Counter[str] = Counter()
+
+    def feed(self, data):
+        self.closers.update(t.lower() for t in _CLOSERS.findall(data))
+        super().feed(data)
 
     def flush(self) -> None:
         if self.text:
@@ -88,11 +103,33 @@ class _Blocks(HTMLParser):
         tag = self.stack.pop()[0]
         self.hidden -= tag in HIDDEN_TAGS
         self.anchors -= tag == "a"
+        self.heads -= tag == "head"
         return tag
 
+    def _splits(self, tag: str) -> bool:
+        """Whether a text ends at this tag."""
+        if self.hidden:
+            return False
+        if tag not in HIDDEN_TAGS:
+            return tag in BLOCK_TAGS
+        around = next((t for t, _ in reversed(self.stack) if t in BLOCK_TAGS and t not in HIDDEN_TAGS), "")
+        return around not in PARAGRAPH_TAGS
+
+    def _end_head(self, tag: str) -> None:
+        """Close an open head at a tag that it cannot hold ("" stands for text)."""
+        inner = self.stack[-1][0]
+        if tag == "body" or (inner == "head" and tag not in HEAD_TAGS) or (inner == "title" and tag in BLOCK_TAGS):
+            while self.heads:
+                self._pop()
+
     def handle_starttag(self, tag, attrs):
-        if tag in BLOCK_TAGS or tag in HIDDEN_TAGS:
+        if self.heads:
+            self._end_head(tag)
+        if self._splits(tag):
             self.flush()
+        if tag in _CLOSED and self.closers[tag] <= sum(t == tag for t, _ in self.stack):
+            return      # never closed
+        if tag in BLOCK_TAGS and tag not in HIDDEN_TAGS:
             # a paragraph or an item ends where the next block of its kind begins
             for i in range(len(self.stack) - 1, -1, -1):
                 open_tag = self.stack[i][0]
@@ -100,7 +137,7 @@ class _Blocks(HTMLParser):
                     while len(self.stack) > i:
                         self._pop()
                     break
-                if open_tag in BLOCK_TAGS:
+                if open_tag in BLOCK_TAGS or open_tag in HIDDEN_TAGS:
                     break
         if tag == "br":
             self.text.append(" ")
@@ -110,24 +147,36 @@ class _Blocks(HTMLParser):
         self.stack.append((tag, words))
         self.hidden += tag in HIDDEN_TAGS
         self.anchors += tag == "a"
+        self.heads += tag == "head"
 
     def handle_startendtag(self, tag, attrs):
+        if tag in HIDDEN_TAGS:      # empty
+            if self._splits(tag):
+                self.flush()
+            return
         self.handle_starttag(tag, attrs)
         if tag not in VOID_TAGS:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag in BLOCK_TAGS or tag in HIDDEN_TAGS:
+        if self._splits(tag):
             self.flush()
+        if tag in _CLOSED:
+            self.closers[tag] -= 1
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 while len(self.stack) > i:
+                    hidden = self.hidden
                     self._pop()
+                    if hidden and self._splits(tag):      # the tag ends a hidden one that was left open
+                        self.flush()
                 return
-            if tag not in BLOCK_TAGS and self.stack[i][0] in BLOCK_TAGS:
+            if tag not in BLOCK_TAGS and tag not in HIDDEN_TAGS and self.stack[i][0] in BLOCK_TAGS:
                 return      # an inline end tag closes nothing outside its block
 
     def handle_data(self, data):
+        if self.heads and not data.isspace():
+            self._end_head("")
         if not self.hidden:
             self.text.append(data)
             if self.anchors:

@@ -82,3 +82,19 @@ def test_pages_without_article_keep_their_text(spark, labelled):
     assert len(H.sample_pages(pages)) == labelled
     got = {r["page_id"]: r["text"] for r in H.extract(pages).collect()}
     assert all(got[i] == div_text(i) for i in range(1500))
+
+
+@pytest.mark.parametrize("html,want", [
+    ("<html><head><title>t</title><meta charset=u><body><p>a</p>b", ["a", "b"]),      # </head> may be omitted
+    ("<head><title>t</title><script>var x</script><p>a</p>b</body>", ["a", "b"]),
+    ("<head><title>t</title><style>x</style>\n a <p>b", ["a", "b"]),
+    ("<head><title>t<body><p>a", ["a"]), ("<head><noscript><body><p>a", ["a"]),
+    ("<head><noscript><img src=x><p>no</p></noscript><title>t</title></head><body>a", ["a"]),
+    ("<div><noscript>a<p>b</p></div>c", ["a", "b", "c"]), ("<div><template><p>a</p></div>", ["a"]), ("<svg><p>a", ["a"]),
+    ("<div><noscript><p>no</noscript>a<template><li>no</template>b<svg/>c<svg><text>no</svg>d</div>", ["a", "b", "c", "d"]),
+    ("<p>x is <math><mi>y</mi></math> here<p>a</p><object>b</object><canvas>c</canvas>", ["x is y here", "a", "b", "c"]),
+    ("<p>one <script>var x='</p>'</script>two <style>s</style>three <template><p>no</p></template>four <noscript>no</noscript>five</p><h2>a<svg><title>no</title></svg> b</h2>",
+     ["one two three four five", "a b"]),
+])
+def test_no_text_is_hidden_by_omitted_tags(html, want):
+    assert [b[0] for b in H.leaf_blocks(html)] == want
