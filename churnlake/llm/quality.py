@@ -5,25 +5,30 @@ inside repeated three-word windows.
 
 The other rules reject a document whose metric exceeds a cutoff.  Cutoffs are
 learned per stratum (language) from labelled documents, so that at most a
-stated share of good documents is rejected by mistake:
-
-* candidates are a fixed grid per metric, tested from the mildest cutoff on;
-* a cutoff passes if the exact (Clopper-Pearson) upper bound of its false
-  rejection rate on the stratum's good labelled documents is at most
-  ``risk / number of rules``; testing stops at the first that fails (fixed
-  sequence testing needs no correction along the grid);
-* the error probability ``delta`` is divided by the number of rules times the
-  number of strata (Bonferroni), so all stated limits hold together with
-  probability 1 - delta, and a stratum's total false rejection by the learned
-  rules is at most ``risk``;
-* of the passing cutoffs the one with the most bad documents rejected, less
-  ``COST`` times the good ones, is used (the mildest of equals); a stratum
-  with too few labels, or a rule without such a gain, gets no cutoff.
+stated share of good documents is rejected by mistake, by all rules together:
+
+* every (rule, grid cell) has a badness level: the best share of labelled bad
+  documents among all documents of a tail of that rule that holds the cell;
+  a document's level is the highest of its rules', so a limit on the level is
+  one cutoff per rule, and limits are nested.  Levels depend on the table and
+  the bad labels alone, not on the good labels that test them;
+* limits are tested from the mildest on; one passes if the exact
+  (Clopper-Pearson) upper bound of the joint false rejection rate on the
+  stratum's good labelled documents is at most ``risk``; testing stops at the
+  first that fails (fixed sequence testing needs no correction along the way);
+* the error probability ``delta`` is divided by the number of strata
+  (Bonferroni), so all limits hold together with probability 1 - delta;
+* of the passing limits the one with the most bad documents rejected, less
+  ``COST`` times the good ones, is used (the mildest of equals);
+* strata with fewer good labels than any limit needs (``labels_needed``),
+  strata without labels and documents without language form one pooled stratum
+  with a bound of its own: it holds for the pool as a whole, as far as the
+  pool's labels are drawn from all of it.  A pool with too few labels, or a
+  stratum without a gain, gets no cutoffs.
 
 Metrics are computed once per document in Arrow batches and written to the
 shared folder; only counts per (stratum, rule, grid cell, label) reach the
-driver.  Null text has no words and fails the base rules.  Null or unlabelled
-languages are judged by the base rules alone.  Repeated doc_ids are rows of
+driver.  Null text has no words and fails the base rules.  Repeated doc_ids are rows of
 their own; of contradicting labels the better one counts.  Without labels
 only the base rules apply.
 """
@@ -50,6 +55,8 @@ DELTA = 0.05
 GRID = 200
 #: Bad documents that a cutoff must reject for each good one it rejects, to be worth it.
 COST = 5
+#: Documents added to a tail's size in its badness, so that a few extreme documents do not rank before a large tail.
+SMOOTH = 5
 MIN_WORDS = 50
 
 _SYMBOLS = b"#*$%&|<>"
@@ -182,29 +189,79 @@ def _cell(metric: Column, grid: int) -> Column:
     return F.ceil(metric * grid).cast("int")
 
 
+def labels_needed(strata: int, risk: float = RISK, delta: float = DELTA) -> int:
+    """Good labelled documents without which no limit can pass."""
+    return math.ceil(math.log(delta / strata) / math.log1p(-risk))
+
+
+def badness_levels(found: dict[str, dict[int, int]], bad: dict[str, dict[int, int]], grid: int = GRID) -> dict[str, list[int]]:
+    """``found``, ``bad``: rule -> cell -> all documents, bad labelled ones.
+    Returns rule -> level per cell; levels rise with the cell, 0 is never rejected."""
+    share: dict[str, list[float]] = {}
+    for rule in found:
+        n = hit = 0
+        tail = [0.0] * (grid + 1)
+        for c in range(grid, 0, -1):
+            n += found[rule].get(c, 0)
+            hit += bad.get(rule, {}).get(c, 0)
+            tail[c] = hit / (n + SMOOTH)
+        share[rule] = np.maximum.accumulate(tail).tolist()
+    rank = {x: i for i, x in enumerate(sorted({0.0, *(x for xs in share.values() for x in xs)}))}
+    return {rule: [rank[x] for x in xs] for rule, xs in share.items()}
+
+
 def fit_cutoffs(measured: DataFrame, labels: DataFrame, label_id: str = "doc_id", label_col: str = "quality",
-                risk: float = RISK, delta: float = DELTA, grid: int = GRID) -> dict[str, dict[str, float]]:
-    """Cutoffs from the labelled documents that pass the base rules."""
+                risk: float = RISK, delta: float = DELTA, grid: int = GRID) -> dict[str, dict[str | None, float]]:
+    """Rule -> stratum -> cutoff from the labelled documents that pass the base
+    rules.  Stratum None stands for all that are not named."""
     lab = (labels.select(F.col(label_id).alias("id"), F.col(label_col).alias("label")).filter("id is not null and label is not null")
            .groupBy("id").agg(F.max("label").alias("label")))
     rules = rule_metrics()
-    seen = measured.filter(~base_failed() & F.col("stratum").isNotNull()).join(lab, "id")
-    pairs = F.array(*[F.struct(F.lit(r).alias("rule"), _cell(m, grid).alias("cell")) for r, m in rules.items()])
-    cells = (seen.select("stratum", (F.col("label") > 0).alias("good"), F.explode(pairs).alias("x"))
-             .groupBy("stratum", "x.rule", "x.cell", "good").count())
-    found = {(r["stratum"], r["rule"], r["cell"], r["good"]): r["count"] for r in cells.collect()}      # strata x rules x grid x 2
-    return choose_cutoffs(found, risk, delta, grid)
+    passed = measured.filter(~base_failed()).select("id", "stratum", F.array(*[_cell(m, grid) for m in rules.values()]).alias("cells"))
+    seen = materialize(passed.join(lab, "id").select("stratum", (F.col("label") > 0).alias("good"), "cells"), "quality_labelled")
+    good = {r["stratum"]: r["count"] for r in seen.filter("good").groupBy("stratum").count().collect()}
+    if not good:
+        return {}
+    need = labels_needed(len(good.keys() - {None}) + 1, risk, delta)
+    own = sorted(s for s, n in good.items() if s is not None and n >= need)
+    # a group is a stratum of its own or the pool
+    group = F.when(F.col("stratum").isin(own), F.concat(F.lit("="), "stratum")).otherwise(F.lit("")) if own else F.lit("")
+
+    def tally(df: DataFrame) -> dict[str, dict[str, dict[int, int]]]:
+        out: dict = defaultdict(lambda: {r: {} for r in rules})
+        rows = df.select(group.alias("group"), F.posexplode("cells").alias("rule", "cell")).groupBy("group", "rule", "cell").count()
+        for r in rows.collect():      # strata x rules x grid
+            out[r["group"]][list(rules)[r["rule"]]][r["cell"]] = r["count"]
+        return out
+
+    found, bad = tally(passed), tally(seen.filter(~F.col("good")))
+    levels = {g: badness_levels(found[g], bad[g], grid) for g in found}
+    small = seen.sparkSession.createDataFrame([(g, [per[r] for r in rules]) for g, per in levels.items()], "group string, levels array<array<int>>")
+    worst = F.array_max(F.zip_with("levels", "cells", lambda xs, c: F.get(xs, c)))
+    joint = seen.withColumn("group", group).join(F.broadcast(small), "group").groupBy("group", worst.alias("level"), "good").count()
+    cells = {(r["group"], "badness", r["level"], r["good"]): r["count"] for r in joint.collect()}
+    most = max([1, *(x for per in levels.values() for xs in per.values() for x in xs)])
+    limits = choose_cutoffs(cells, risk, delta, most).get("badness", {})
+    out: dict[str, dict[str | None, float]] = {r: {s: 1.0 for s in own} for r in rules}
+    for g, limit in limits.items():
+        for r in rules:
+            first = next((c for c, x in enumerate(levels[g][r]) if x > round(limit * most)), grid + 1)
+            out[r][g[1:] if g else None] = (first - 1) / grid
+    return out
 
 
-def verdict(cutoffs: dict[str, dict[str, float]], grid: int = GRID, at: str = "", stratum: Column | None = None) -> Column:
+def verdict(cutoffs: dict[str, dict[str | None, float]], grid: int = GRID, at: str = "", stratum: Column | None = None) -> Column:
     """False if a base rule or a learned rule rejects."""
     stratum = F.col("stratum") if stratum is None else stratum
     bad = base_failed(at)
     for rule, metric in rule_metrics(at).items():
         per = cutoffs.get(rule)
         if per:
-            table = F.create_map(*[x for s, c in sorted(per.items()) for x in (F.lit(s), F.lit(int(round(c * grid))))])
-            limit = F.when(stratum.isNotNull(), F.try_element_at(table, stratum))
+            named = {s: int(round(c * grid)) for s, c in per.items() if s is not None}
+            limit = F.lit(int(round(per.get(None, 1.0) * grid)))
+            if named:
+                table = F.create_map(*[F.lit(x) for s, c in sorted(named.items()) for x in (s, c)])
+                limit = F.coalesce(F.when(stratum.isNotNull(), F.try_element_at(table, stratum)), limit)
             bad = bad | F.coalesce(_cell(metric, grid) > limit, F.lit(False))
     return ~bad
 

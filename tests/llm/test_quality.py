@@ -67,3 +67,34 @@ def test_judge_and_stage(spark, cases, none):
     assert Q.judge(cases, no_labels).count() == cases.count()
     assert Q.keep_good(cases, no_labels).count() == 0      # short, empty or repeating: all fail the base rules
     assert Q.judge(none, no_labels).count() == 0 and Q.keep_good(none, labels).count() == 0
+
+
+def labelled(langs, n_good, n_bad):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
+    rng = random.Random(4)
+    rows = []
+    for lang in langs:
+        for k in range(n_good + n_bad):
+            text = " ".join(rng.choice(words) + str(rng.randint(0, 999)) for _ in range(80))
+            if k >= n_good:
+                text = text.replace(" ", "$$$ ") if k % 2 else text.upper()
+            rows.append((len(rows), text, lang, int(k < n_good)))
+    return rows
+
+
+@pytest.mark.parametrize("langs,n_good", [(["de", "en", "es", "fr"], 160), (["de", "en", "es", "fr", None], 60)])
+def test_few_labels_suffice_at_production_settings(spark, langs, n_good):
+    """160 good labels a language, or a pool of 300 in thin languages and without language: the bad go, the good stay."""
+    rows = labelled(langs, n_good, 20)
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, q) for i, _, _, q in rows], "doc_id long, quality int")
+    kept = {r["doc_id"]: r["kept"] for r in Q.judge(docs, labels).collect()}
+    assert not any(kept[i] for i, _, _, q in rows if not q)
+    assert sum(not kept[i] for i, _, _, q in rows if q) <= Q.RISK * n_good * len(langs)
+
+
+def test_labels_needed_and_levels():
+    n = Q.labels_needed(5)
+    assert Q.within_risk(0, n, Q.RISK, Q.DELTA / 5) and not Q.within_risk(0, n - 1, Q.RISK, Q.DELTA / 5)
+    got = Q.badness_levels({"a": {0: 900, 5: 50, 10: 20}, "b": {3: 970}}, {"a": {10: 20}}, 10)
+    assert got["a"] == [0] + [1] * 5 + [2] * 5 and not any(got["b"])      # no bad document, no level
