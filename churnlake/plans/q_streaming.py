@@ -19,7 +19,7 @@ from .q_monitoring import _WIN_SQL, FIXTURE_ALERT, GAUGES_SQL, P95_SQL, SUSTAINE
 from .q_quality import _summary_sql
 from .registry import query
 
-# Events arrive in time order; rows more than this behind the newest are late.
+# Rows more than this behind the newest are late; the jobs deal the stored events in time order (log_in_time_order).
 DELAY = "10 minutes"
 AS_OF = "2024-01-31T00:00:00"
 AS_OF_DATA = "2001-08-05 00:00:00"

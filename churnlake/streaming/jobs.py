@@ -10,6 +10,8 @@ it stopped.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,10 +28,12 @@ EVENT_SCHEMA = BASE_SCHEMAS["events"]
 
 # Input taken by one micro-batch; the sources are read where they lie.
 PER_TRIGGER = {"maxBytesPerTrigger": 8 << 30}
+# Files (tasks) of one time-ordered part.
+PART_FILES = 32
 
 
 def file_stream(spark: SparkSession, path: str, schema, per_trigger: dict | None = None) -> DataFrame:
-    return spark.readStream.schema(schema).options(**(per_trigger or PER_TRIGGER)).parquet(path)
+    return spark.readStream.schema(schema).options(**(PER_TRIGGER if per_trigger is None else per_trigger)).parquet(path)
 
 
 def log_stream(spark: SparkSession, path: str, per_trigger: dict | None = None) -> DataFrame:
@@ -39,6 +43,37 @@ def log_stream(spark: SparkSession, path: str, per_trigger: dict | None = None)
     return log.withColumn("event_time", F.col("event_time").cast("timestamp"))
 
 
+def log_in_parts(spark: SparkSession, parts: Iterable[DataFrame]) -> Iterator[DataFrame]:
+    """For runs one after another over one checkpoint: the log after each part
+    of events has arrived.  A run takes its part as one micro-batch."""
+    src = scratch_path(spark, "event_parts")
+    for part in parts:
+        part.write.mode("append").parquet(src)
+        yield log_stream(spark, src, {})
+
+
+def log_in_time_order(spark: SparkSession, source: str, per_trigger: dict | None = None) -> Iterator[DataFrame]:
+    """The log in one run, or in several over one checkpoint.  The file source
+    takes files by modification time, so where the events need more than one
+    micro-batch they are dealt by time into parts first: no row of a later
+    part is older than any of an earlier one, and none is late, however the
+    files overlap.  With ``per_trigger`` the files are taken as they lie."""
+    if per_trigger is not None:
+        yield log_stream(spark, source, per_trigger)
+        return
+    events = spark.read.schema(EVENT_SCHEMA).parquet(source)
+    files = events.groupBy("_metadata.file_path").agg(F.max("_metadata.file_size").alias("size"))
+    n = -(-(files.agg(F.sum("size")).first()[0] or 0) // PER_TRIGGER["maxBytesPerTrigger"])
+    if n <= 1:
+        yield log_stream(spark, source, {})
+        return
+    dealt = scratch_path(spark, "events_by_time")
+    part = F.floor(F.spark_partition_id() / PART_FILES).cast("int")      # range partitions are numbered in time order
+    events.repartitionByRange(n * PART_FILES, "ts").withColumn("_part", part).write.partitionBy("_part").parquet(dealt)
+    by_time = spark.read.parquet(dealt)
+    yield from log_in_parts(spark, (by_time.filter(F.col("_part") == k).drop("_part") for k in range(n)))
+
+
 def write_epoch(batch: DataFrame, path: str, epoch: int) -> None:
     """Idempotent micro-batch write: each epoch overwrites its own folder
     (``_epoch=<n>``), so a retried batch replaces its earlier attempt."""
@@ -84,9 +119,10 @@ def windowed_counts_stream(log: DataFrame, delay: str, window: str = MO.WINDOW)
 def run_window_counts(spark: SparkSession, source: str, delay: str, name: str = "window_counts",
                       per_trigger: dict | None = None) -> DataFrame:
     sink, ckpt = scratch_path(spark, f"{name}_sink"), scratch_path(spark, f"{name}_ckpt")
-    s = windowed_counts_stream(log_stream(spark, source, per_trigger), delay)
-    s = s.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "requests", "errors")
-    run_available_now(s, sink, ckpt, "update")
+    for log in log_in_time_order(spark, source, per_trigger):
+        s = windowed_counts_stream(log, delay)
+        s = s.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "requests", "errors")
+        run_available_now(s, sink, ckpt, "update")
     return MO.window_rates(latest_per_key(spark, sink, ["window_start"], ["requests", "errors"]))
 
 
@@ -98,13 +134,14 @@ def run_sustained_alerts(spark: SparkSession, source: str, delay: str, threshold
     sliding window over two neighbours; both held → the later window's start.
     Append mode: a row comes out once the watermark has passed its window."""
     sink, ckpt = scratch_path(spark, "alerts_sink"), scratch_path(spark, "alerts_ckpt")
-    counts = windowed_counts_stream(log_stream(spark, source, per_trigger), delay)
-    alerts = counts.filter(F.col("errors") / F.lit(float(MO.WINDOW_SECONDS)) > threshold)
-    pairs = (alerts.groupBy(F.window(F.window_time("w"), f"{2 * MO.WINDOW_SECONDS} seconds", f"{MO.WINDOW_SECONDS} seconds").alias("p"))
-             .agg(F.count(F.lit(1)).alias("held_windows")).filter("held_windows = 2"))
-    start = F.col("p.end") - F.expr(f"INTERVAL {MO.WINDOW_SECONDS} SECONDS")
-    rows = pairs.select(start.cast("timestamp_ntz").alias("window_start"), F.col("held_windows").cast("int").alias("held_windows"))
-    run_available_now(rows, sink, ckpt, "append")
+    for log in log_in_time_order(spark, source, per_trigger):
+        counts = windowed_counts_stream(log, delay)
+        alerts = counts.filter(F.col("errors") / F.lit(float(MO.WINDOW_SECONDS)) > threshold)
+        pairs = (alerts.groupBy(F.window(F.window_time("w"), f"{2 * MO.WINDOW_SECONDS} seconds", f"{MO.WINDOW_SECONDS} seconds").alias("p"))
+                 .agg(F.count(F.lit(1)).alias("held_windows")).filter("held_windows = 2"))
+        start = F.col("p.end") - F.expr(f"INTERVAL {MO.WINDOW_SECONDS} SECONDS")
+        rows = pairs.select(start.cast("timestamp_ntz").alias("window_start"), F.col("held_windows").cast("int").alias("held_windows"))
+        run_available_now(rows, sink, ckpt, "append")
     return spark.read.schema("window_start timestamp_ntz, held_windows int, _epoch int").parquet(sink).drop("_epoch")
 
 
@@ -125,12 +162,12 @@ def run_p95_latency(spark: SparkSession, source: str, delay: str) -> DataFrame:
     read from the final bucket counts."""
     sink, ckpt = scratch_path(spark, "p95_sink"), scratch_path(spark, "p95_ckpt")
     les = [float(b) for b in MO.LATENCY_BUCKETS_MS] + [None]
-    log = log_stream(spark, source).withWatermark("event_time", delay)
-    s = log.groupBy(F.window("event_time", MO.WINDOW).alias("w")).agg(
-        *[F.count_if(F.col("latency_ms") <= le if le is not None else F.lit(True)).alias(f"b{i}")
-          for i, le in enumerate(les)])
-    s = s.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), *[f"b{i}" for i in range(len(les))])
-    run_available_now(s, sink, ckpt, "update")
+    for log in log_in_time_order(spark, source):
+        s = log.withWatermark("event_time", delay).groupBy(F.window("event_time", MO.WINDOW).alias("w")).agg(
+            *[F.count_if(F.col("latency_ms") <= le if le is not None else F.lit(True)).alias(f"b{i}")
+              for i, le in enumerate(les)])
+        s = s.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), *[f"b{i}" for i in range(len(les))])
+        run_available_now(s, sink, ckpt, "update")
     final = latest_per_key(spark, sink, ["window_start"], [f"b{i}" for i in range(len(les))])
     arr = F.array(*[F.struct(F.lit(i).alias("le_idx"), F.lit(le).cast("double").alias("le"), F.col(f"b{i}").alias("cum"))
                     for i, le in enumerate(les)])

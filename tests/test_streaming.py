@@ -60,3 +60,23 @@ def test_dedup_within_watermark(spark):
     _events(spark, rows).write.mode("overwrite").parquet(src)
     out = SJ.run_dedup(spark, SJ.log_stream(spark, src), "1 hour")
     assert sorted(r["event_id"] for r in out.collect()) == [1, 2]
+
+
+def test_overlapping_files_over_several_batches(spark, monkeypatch):
+    """Files that all overlap in time, more than one micro-batch takes: no row counts as late."""
+    from churnlake.sources.tables import read_table
+    src = scratch_path(spark, "overlap")
+    ev = read_table(spark, SMOKE, "events")
+    for k in (2, 0, 1):
+        ev.filter(F.col("event_id") % 3 == k).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    monkeypatch.setattr(SJ, "PER_TRIGGER", {"maxBytesPerTrigger": 12000})
+    monkeypatch.setattr(SJ, "PART_FILES", 2, raising=False)
+    log = FX.prediction_log(spark, SMOKE)
+    assert sorted(SJ.run_window_counts(spark, src, "10 minutes").collect()) == sorted(MO.window_counts(log).collect())
+    assert sorted(SJ.run_p95_latency(spark, src, "10 minutes").collect()) == sorted(MO.p95_latency(log).collect())
+    end = log.agg(F.max("event_time")).first()[0] - dt.timedelta(minutes=10)
+    held = MO.sustained_alerts(MO.window_counts(log, threshold=0.003)).collect()
+    got = SJ.run_sustained_alerts(spark, src, "10 minutes", 0.003)
+    assert sorted(r["window_start"] for r in got.collect()) == sorted(
+        r["window_start"] for r in held if r["window_start"] + dt.timedelta(minutes=5) <= end)
