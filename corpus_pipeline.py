@@ -5,8 +5,9 @@ Every stage function takes (spark, docs, sf_dir); all but the last return the
 columns of ``documents``.  ``run`` writes each stage's rows as Parquet under
 the shared folder and rereads them as the next one's documents.
 
-Rows without doc_id pass the near-duplicate stage (they cannot be named), and
-rows that share a doc_id stand or fall together there.
+The near-duplicate stage goes by rows, not by doc_id: rows without doc_id or
+with a repeated one are documents of their own, and a row is dropped only for
+an earlier row of its own group.
 """
 
 from __future__ import annotations
@@ -29,21 +30,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays: the one with the smallest doc_id."""
-    found = simhash.near_duplicates(docs)
-    extra = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
-    again = docs.groupBy("doc_id").count().filter((F.col("count") > 1) & F.col("doc_id").isNotNull())
-    return kept if again.isEmpty() else _first_of_each(kept, again.select("doc_id"))
-
-
-def _first_of_each(docs: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Of rows with a repeated doc_id, the one with the smallest text hash."""
-    some = docs.join(repeated, "doc_id", "left_semi")
-    names = [c for c in docs.columns if c != "doc_id"]
-    low = F.min_by(F.struct(*[F.col(f"`{c}`") for c in names]), F.struct(F.xxhash64("text"), "text"))
-    one = some.groupBy("doc_id").agg(low.alias("row")).select("doc_id", *[F.col("row").getField(c).alias(c) for c in names])
-    return docs.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))
+    """One row of each component stays: the first by doc_id (null last), hash
+    of the text and row number.  The number is written with the rows, so that
+    it names the same row in every pass."""
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered_rows")
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("hash"), F.col(row).alias("row"))
+    found = simhash.near_duplicates(rows.select(name.alias("name"), "text"), "name")      # a component has the name of its first row
+    extra = found.filter(F.col("name.row") != F.col("component_id.row")).select(F.col("name.row").alias(row))
+    return rows.join(extra, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

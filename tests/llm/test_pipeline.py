@@ -39,3 +39,14 @@ def test_awkward_rows(spark, cases, none):
         CP.best_fit_packing(spark, frame, SMOKE).count()
     got = [r["doc_id"] for r in CP.near_duplicates(spark, docs, SMOKE).collect()]
     assert got.count(1) == 1 and got.count(7) == 0 and got.count(None) == 1
+
+
+def test_near_duplicates_go_by_row(spark):
+    """Repeated and missing ids: distinct texts all stay, of copies one stays."""
+    a, b, c, d, e = (" ".join(f"{w}{k}" for k in range(60)) for w in ("red", "oak", "sea", "fog", "ivy"))
+    rows = [(1, a), (5, a), (5, b), (None, c), (None, c), (None, c), (6, d), (6, e), (7, e), (None, d), (8, b), (8, b)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), 3) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, _row int")
+    out = CP.near_duplicates(spark, docs, SMOKE)
+    assert out.columns == docs.columns
+    got = sorted(((r["doc_id"] or 0, r["text"]) for r in out.collect()))
+    assert got == sorted([(1, a), (5, b), (0, c), (6, d), (6, e)])
