@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontam, html_crf, langid, oracles, packing, pii, quality, simhash, token_files, url_reputation
+from . import chat, decontam, html_crf, langid, oracles, packing, pii, quality, simhash, token_files, topk, url_reputation
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query("op12_top_k", oracles.OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
