@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontam, html_crf, langid, oracles, packing, pii, quality, simhash, token_files, topk, url_reputation
+from . import chat, decontam, html_crf, langid, oracles, packing, pii, quality, simhash, spelling, token_files, topk, url_reputation
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,11 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+@query("op13_spelling")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
