@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontam, html_crf, langid, oracles, packing, pii, quality, simhash, spelling, token_files, topk, url_reputation
+from . import align, chat, decontam, html_crf, langid, oracles, packing, pii, quality, simhash, spelling, token_files, topk, url_reputation
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +89,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op12_top_k", oracles.OP12)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
