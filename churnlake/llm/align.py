@@ -32,6 +32,7 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,28 +49,48 @@ from .common import in_tasks, list_offsets, steps, texts_of
 from .encode import byte_alphabet
 
 #: Distinct chunks a worker remembers; later ones are sliced for their batch alone.
-CAPACITY = 300_000
+CAPACITY = 200_000
+#: New chunks that are sliced together.
+NEW_CHUNKS = 50_000
 #: Pairs whose counts every task holds (17 bytes each).
 HOT_PAIRS = 500_000
 #: Bytes of text in one step of a task.
-STEP_BYTES = 4_000_000
+STEP_BYTES = 3_000_000
 #: Chunks joined at once for a digest.
-JOINED = 100_000
+JOINED = 200_000
 
 #: A blank that opens a text or follows white space is no border between chunks.
 _NO_BORDER = r"(?:^|[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]) "
 _BORDER = re.compile(r"(?<=\S) ")
 
 
-def slices(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int]]:
-    """For each common end, ascending, the number of tokens up to it on both sides."""
-    at_a = {end: i for i, end in enumerate(ends_a, 1)}
-    at_b = {end: i for i, end in enumerate(ends_b, 1)}
-    return [(at_a[end], at_b[end]) for end in sorted(at_a.keys() & at_b.keys())]
+def slices(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
+    """For each common end, ascending, the number of tokens up to it on either side."""
+    at_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))
+    at_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))
+    common = sorted(at_a.keys() & at_b.keys())
+    return [at_a[end] for end in common], [at_b[end] for end in common]
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return (np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists))),
+            np.fromiter(map(len, lists), np.int64, len(lists)))
+
+
+def _total(x: np.ndarray, borders: np.ndarray) -> np.ndarray:
+    """Sums of ``x`` between borders."""
+    return np.diff(np.concatenate(([0], np.cumsum(x, dtype=np.int64)))[borders])
+
+
+def _expanded(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each range, one after the other."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
 
 class Aligner:
-    """Groups of chunks: ids, counts, written form and linked pairs."""
+    """Groups of chunks.  A chunk's groups are kept as items in written order:
+    each id with what follows it (another id of its side, the other side, the
+    next group); an item's code is its place in a table of written forms."""
 
     def __init__(self, path_a: str, path_b: str, capacity: int = CAPACITY):
         self.a = Tokenizer.from_file(path_a)
@@ -77,62 +98,73 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         vocab = self.a.get_vocab()
         byte = {c: b for b, c in byte_alphabet().items()}
-        self.bytes_a: list[bytes] = [b""] * (max(vocab.values()) + 1)
+        bytes_a = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             if all(c in byte for c in token):
-                self.bytes_a[i] = bytes(byte[c] for c in token)
-        self.size_b = self.b.get_piece_size()
-        pieces = [self.b.id_to_piece(i) for i in range(self.size_b)]
+                bytes_a[i] = bytes(byte[c] for c in token)
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(re.search("[^▁]▁", p) for p in pieces):
             raise ValueError("pieces that reach over a blank: chunks can't be encoded one by one")
-        self.bytes_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        bytes_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.bytes = [pa.array(x, pa.large_binary()) for x in (bytes_a, bytes_b)]
+        self.length = [np.array([len(x) for x in side], np.int64) for side in (bytes_a, bytes_b)]
+        self.size_a, self.size_b = len(bytes_a), len(bytes_b)
+        self.written = pa.array([f"{i}{end}" for n, ends in ((self.size_a, ",|"), (self.size_b, ",;")) for i in range(n) for end in ends], pa.large_binary())
         self.capacity = capacity
         self.known: dict[str, int] = {}
         self.good = bytearray()
         self.n = [array("i") for _ in range(4)]              # tokens of A and B, groups, links of every chunk
-        self.form: list[bytes] = []
-        self.pair_ends = array("q")
-        self.pairs, self.times = array("q"), array("i")      # a * size_b + b, and how often a chunk links it
+        self.items, self.item_ends = array("i"), array("q")
+        self.pairs, self.pair_ends = array("q"), array("q")  # every link as a * size_b + b
 
     # ---- chunks ----------------------------------------------------------------------------------------
 
-    def groups(self, chunk: str, ids_a: list[int], ids_b: list[int]) -> list[tuple[list[int], list[int]]] | None:
-        """The groups of a chunk (with its leading blank), or None where the bytes differ."""
-        raw = chunk.encode()
-        by_a, by_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        if b"".join(by_a) != raw or b"".join(by_b) != raw:
-            return None
-        out, i, j = [], 0, 0
-        for to_i, to_j in slices(np.cumsum([*map(len, by_a)]).tolist() if len(by_a) > 50 else _sums(by_a),
-                                 np.cumsum([*map(len, by_b)]).tolist() if len(by_b) > 50 else _sums(by_b)):
-            out.append((ids_a[i:to_i], ids_b[j:to_j]))
-            i, j = to_i, to_j
-        return out
-
-    def encode(self, chunks: list[str]) -> Iterator[list[tuple[list[int], list[int]]] | None]:
-        """Groups of chunks, given without their leading blank."""
-        whole = [" " + c for c in chunks]
-        got_a = self.a.encode_batch_fast(whole, add_special_tokens=False)
-        got_b = self.b.encode(chunks, num_threads=1)
-        for chunk, a, b in zip(whole, got_a, got_b):
-            yield self.groups(chunk, a.ids, b)
+    def _same_bytes(self, side: int, ids: np.ndarray, n: np.ndarray, raw: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Chunks whose tokens' joined bytes are the chunk's own."""
+        length = self.length[side][ids]
+        same = _total(length, np.concatenate(([0], np.cumsum(n)))) == size
+        of_token, of_byte = np.repeat(same, n), np.repeat(same, size)
+        joined = np.frombuffer(self.bytes[side].take(pa.array(ids[of_token])).buffers()[2] or b"", np.uint8)[:int(length[of_token].sum())]
+        wrong = np.flatnonzero(joined != raw[of_byte])
+        if len(wrong):
+            chunk = np.repeat(np.flatnonzero(same), size[same])
+            same[chunk[wrong]] = False
+        return same
 
     def _add(self, chunks: list[str]) -> None:
-        size = self.size_b
-        for groups in self.encode(chunks):
-            self.good.append(groups is not None)
-            links: dict[int, int] = {}
-            groups = groups or []
-            for a, b in groups:
-                for i in a:
-                    for j in b:
-                        links[i * size + j] = links.get(i * size + j, 0) + 1
-            for store, x in zip(self.n, (sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), sum(links.values()))):
-                store.append(x)
-            self.form.append(";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups).encode())
-            self.pairs.extend(links)
-            self.times.extend(links.values())
-            self.pair_ends.append(len(self.pairs))
+        """Encode and slice chunks (given without their leading blank)."""
+        whole = [" " + c for c in chunks]
+        a, n_a = _flat([e.ids for e in self.a.encode_batch_fast(whole, add_special_tokens=False)])
+        b, n_b = _flat(self.b.encode(chunks, num_threads=1))
+        raw = [c.encode() for c in whole]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        raw_bytes = np.frombuffer(b"".join(raw), np.uint8)
+        good = self._same_bytes(0, a, n_a, raw_bytes, size) & self._same_bytes(1, b, n_b, raw_bytes, size)
+        a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+        n_a, n_b, size = n_a * good, n_b * good, size * good
+        # the chunks lie one after the other, so one pair of dictionaries serves all
+        to_a, to_b = (np.array(x, np.int64) for x in slices(np.cumsum(self.length[0][a]).tolist(), np.cumsum(self.length[1][b]).tolist()))
+        in_a, in_b = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
+        chunk_of_a = np.repeat(np.arange(len(chunks)), n_a)
+        chunk_of_group = chunk_of_a[to_a - 1]
+        n_groups = np.bincount(chunk_of_group, minlength=len(chunks))
+        items = np.empty(len(a) + len(b), np.int64)
+        last = np.zeros(len(a), np.int64)
+        last[to_a - 1] = 1
+        items[np.arange(len(a)) + np.repeat(to_b - in_b, in_a)] = 2 * a + last
+        last = np.zeros(len(b), np.int64)
+        last[to_b - 1] = 1
+        items[np.arange(len(b)) + np.repeat(to_a, in_b)] = 2 * self.size_a + 2 * b + last
+        # every A token of a group with every B token of it
+        times = np.repeat(in_b, in_a)
+        pairs = np.repeat(a, times) * self.size_b + b[_expanded(np.repeat(to_b - in_b, in_a), times)]
+        n_links = np.bincount(chunk_of_group, in_a * in_b, len(chunks)).astype(np.int64)
+        self.good.extend(good.astype(np.uint8).tobytes())
+        for store, x in zip(self.n, (n_a, n_b, n_groups, n_links)):
+            store.frombytes(x.astype(np.int32).tobytes())
+        for store, ends, x, n in ((self.items, self.item_ends, items.astype(np.int32), n_a + n_b), (self.pairs, self.pair_ends, pairs, n_links)):
+            ends.frombytes((len(store) + np.cumsum(n)).astype(np.int64).tobytes())
+            store.frombytes(x.tobytes())
 
     def codes(self, distinct: list[str]) -> np.ndarray:
         """A number for each distinct chunk, valid until ``forget``."""
@@ -140,9 +172,10 @@ class Aligner:
         out = np.fromiter((known.get(c, -1) for c in distinct), np.int64, len(distinct))
         new = np.flatnonzero(out < 0)
         if len(new):
-            at = len(self.form)
+            at = len(self.good)
             chunks = [distinct[i] for i in new.tolist()]
-            self._add(chunks)
+            for i in range(0, len(chunks), NEW_CHUNKS):
+                self._add(chunks[i:i + NEW_CHUNKS])
             out[new] = np.arange(at, at + len(new))
             for k, c in enumerate(chunks[:max(0, self.capacity - at)]):
                 known[c] = at + k
@@ -151,19 +184,20 @@ class Aligner:
     def forget(self) -> None:
         """Drop what is beyond the capacity."""
         n = len(self.known)
-        if len(self.form) > n:
-            kept = self.pair_ends[n - 1] if n else 0
-            del self.form[n:], self.pair_ends[n:], self.pairs[kept:], self.times[kept:], self.good[n:]
+        if len(self.good) > n:
+            for store, ends in ((self.items, self.item_ends), (self.pairs, self.pair_ends)):
+                del store[ends[n - 1] if n else 0:], ends[n:]
+            del self.good[n:]
             for store in self.n:
                 del store[n:]
 
 
-def _sums(parts: list[bytes]) -> list[int]:
-    out, at = [], 0
-    for p in parts:
-        at += len(p)
-        out.append(at)
-    return out
+def _gathered(store: array, ends: array, kind, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the store has of each code, and how many."""
+    ends = np.frombuffer(ends, np.int64)
+    first = np.where(codes > 0, ends[codes - 1], 0)
+    size = ends[codes] - first
+    return np.frombuffer(store, kind)[_expanded(first, size)], size
 
 
 _open: dict[tuple[str, str], Aligner] = {}
@@ -207,15 +241,6 @@ def chunked(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]
         yield rows, borders, distinct, index
 
 
-def _sha(form: list[bytes], codes: np.ndarray) -> str:
-    h = hashlib.sha256()
-    for at in range(0, len(codes), JOINED):
-        if at:
-            h.update(b";")
-        h.update(b";".join([form[c] for c in codes[at:at + JOINED].tolist()]))
-    return h.hexdigest()
-
-
 def _report(al: Aligner, ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
     """A row per text: sizes, digest, and the distinct linked pairs with their multiplicities."""
     n = len(texts)
@@ -224,26 +249,21 @@ def _report(al: Aligner, ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for rows, borders, distinct, index in chunked(texts):
         codes = al.codes(distinct)[index]
-        total = lambda x: np.diff(np.concatenate(([0], np.cumsum(x, dtype=np.int64)))[borders])
-        whole = total(np.frombuffer(al.good, np.uint8)[codes] == 0) == 0
+        whole = _total(np.frombuffer(al.good, np.uint8)[codes] == 0, borders) == 0
         for k, store in enumerate(al.n):
-            sums[k, rows] = np.where(whole, total(np.frombuffer(store, np.int32)[codes]), 0)
-        for i in np.flatnonzero(whole).tolist():
-            sha[rows[i]] = _sha(al.form, codes[borders[i]:borders[i + 1]])
+            sums[k, rows] = np.where(whole, _total(np.frombuffer(store, np.int32)[codes], borders), 0)
+        for i, digest in _digests(al, codes, borders, whole):
+            sha[rows[i]] = digest
         # distinct chunks of each text, then their pairs
         text = np.repeat(np.arange(len(rows)), np.diff(borders))
         keep = whole[text]
-        chunk, times = np.unique(text[keep] * (len(al.form) + 1) + codes[keep], return_counts=True)
-        text, chunk = np.divmod(chunk, len(al.form) + 1)
-        ends = np.frombuffer(al.pair_ends, np.int64)
-        first = np.where(chunk > 0, ends[chunk - 1], 0)
-        size = ends[chunk] - first
-        at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        found.append((rows[np.repeat(text, size)], np.frombuffer(al.pairs, np.int64)[at], np.repeat(times, size) * np.frombuffer(al.times, np.int32)[at]))
-        del ends
+        chunk, times = np.unique(text[keep] * (len(al.good) + 1) + codes[keep], return_counts=True)
+        text, chunk = np.divmod(chunk, len(al.good) + 1)
+        pairs, size = _gathered(al.pairs, al.pair_ends, np.int64, chunk)
+        found.append((rows[np.repeat(text, size)], pairs, np.repeat(times, size)))
         al.forget()
     row, pair, times = (np.concatenate(c) if c else np.zeros(0, np.int64) for c in (zip(*found) if found else ((), (), ())))
-    width = len(al.bytes_a) * al.size_b
+    width = al.size_a * al.size_b
     key = row * width + pair
     order = np.argsort(key)
     key = key[order]
@@ -257,6 +277,29 @@ def _report(al: Aligner, ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
         ["id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
 
 
+def _digests(al: Aligner, codes: np.ndarray, borders: np.ndarray, whole: np.ndarray) -> Iterator[tuple[int, str]]:
+    """Digest of the written groups of every whole text, some chunks at a
+    time; the last mark of a text is not written."""
+    open_, h = -1, None
+    for at in range(0, len(codes), JOINED):
+        part = codes[at:at + JOINED]
+        items, size = _gathered(al.items, al.item_ends, np.int32, part)
+        text = al.written.take(pa.array(items))
+        ends = np.frombuffer(text.buffers()[1], np.int64)[:len(items) + 1][np.concatenate(([0], np.cumsum(size)))]
+        raw = memoryview(text.buffers()[2] or b"")
+        first, last = np.searchsorted(borders, (at, at + len(part) - 1), side="right") - 1
+        for i in range(int(first), int(last) + 1):
+            if not whole[i]:
+                continue
+            if i != open_:
+                open_, h = i, hashlib.sha256()
+            a, b = max(int(borders[i]), at) - at, min(int(borders[i + 1]), at + len(part)) - at
+            done = borders[i + 1] <= at + len(part)
+            h.update(raw[int(ends[a]):int(ends[b]) - int(done)])
+            if done:
+                yield i, h.hexdigest()
+
+
 # ---- operators -----------------------------------------------------------------------------------------
 
 
@@ -271,11 +314,15 @@ def groups(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
             texts = texts_of(b.column(1))
             out: list[list] = [[] for _ in range(len(texts))]
             for rows, borders, distinct, index in chunked(texts):
-                got = list(al.encode(distinct))
-                for r, x, y in zip(rows.tolist(), borders.tolist(), borders[1:].tolist()):
-                    parts = [got[c] for c in index[x:y].tolist()]
-                    if all(p is not None for p in parts):
-                        out[r] = [{"a": g[0], "b": g[1]} for p in parts for g in p]
+                codes = al.codes(distinct)[index]
+                whole = _total(np.frombuffer(al.good, np.uint8)[codes] == 0, borders) == 0
+                items, size = _gathered(al.items, al.item_ends, np.int32, codes)
+                ends = np.concatenate(([0], np.cumsum(size)))[borders]
+                for i in np.flatnonzero(whole).tolist():
+                    written = "".join(x.decode() for x in al.written.take(pa.array(items[ends[i]:ends[i + 1]])).to_pylist())
+                    sides = [g.split("|") for g in written[:-1].split(";")]
+                    out[rows[i]] = [{"a": list(map(int, x.split(","))), "b": list(map(int, y.split(",")))} for x, y in sides]
+                al.forget()
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, kind)], ["id", "groups"])
 
     got = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).transform(
@@ -324,8 +371,7 @@ def report(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
             pair, m = lists.flatten().to_numpy(zero_copy_only=False), times.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             where = np.minimum(np.searchsorted(pairs, pair), max(0, len(pairs) - 1))
             hit = pairs[where] == pair if len(pairs) else np.zeros(len(pair), bool)
-            total = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[at])
-            sums = (total(np.where(hit & best[where], m, 0)), total(np.where(hit, n[where] * m, 0))) if len(pairs) else 2 * (np.zeros(b.num_rows, np.int64),)
+            sums = (_total(np.where(hit & best[where], m, 0), at), _total(np.where(hit, n[where] * m, 0), at)) if len(pairs) else 2 * (np.zeros(b.num_rows, np.int64),)
             left = pa.array(np.concatenate(([0], np.cumsum(~hit)))[at].astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(i) for i in range(7)], *[pa.array(s) for s in sums], pa.ListArray.from_arrays(left, pa.array(pair[~hit])),
