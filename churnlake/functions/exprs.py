@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "MODULUS", "hkey", "hunif", "padded_id", "flag", "right_closed_bucket",
-    "missing", "not_nan", "weighted_sum", "risk_band_api", "risk_band_dash", "ks_pvalue",
+    "missing", "not_nan", "weighted_sum", "risk_band_api", "risk_band_dash", "ks_pvalue", "ks_pvalue_exact", "ks_pvalue_asymptotic",
 ]
 
 # The multiplicative hash used by every test fixture.
@@ -80,7 +80,49 @@ def risk_band_dash(p: Column) -> Column:
     return right_closed_bucket(p, [0.0, 0.4, 0.7, 1.0], ["LOW", "MEDIUM", "HIGH"])
 
 
-def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
+#: Samples up to this size get the exact distribution, larger ones the limit (fixed value).
+KS_EXACT_ROWS = 10_000
+
+
+def ks_pvalue(d: Column, n: Column, m: Column, exact_rows: int = KS_EXACT_ROWS) -> Column:
+    """Two-sided p-value of the two-sample KS statistic ``d`` of ``n`` and
+    ``m`` values: exact while both samples have at most ``exact_rows`` values,
+    asymptotic beyond."""
+    return F.when(F.greatest(n, m) <= exact_rows, ks_pvalue_exact(d, n, m)).otherwise(ks_pvalue_asymptotic(d, n, m))
+
+
+def ks_pvalue_exact(d: Column, n: Column, m: Column) -> Column:
+    """Share of all orders of n + m values whose KS statistic is at least ``d``.
+
+    An order is a lattice path from (0, 0) to (n, m); its statistic reaches d
+    where the path meets a point (i, j) with ``|i/n - j/m| >= d``, that is
+    ``|i (n + m) - s n| >= h`` for s = i + j and the whole number h = d n m.
+    The share q(i, j) of the paths to (i, j) that have met such a point is 1
+    at one, and ``(i q(i-1, j) + j q(i, j-1)) / s`` at any other: shares, all
+    terms positive, so nothing overflows and small p-values keep their digits.
+    The state is one antidiagonal at a time, between the two borders only."""
+    h = F.round(d * n * m).cast("long")
+    both = n + m
+    state = F.struct(F.lit(0).cast("long").alias("low"), F.array(F.lit(0.0)).alias("q"))
+
+    def step(acc, s):
+        low = F.greatest(F.floor((s * n - h) / both) + 1, s - m, F.lit(0).cast("long"))
+        high = F.least(F.ceil((s * n + h) / both) - 1, s, n)
+
+        def share(i):
+            at = (i - acc["low"]).cast("int")
+            before, same = (F.coalesce(F.get(acc["q"], x), F.lit(1.0)) for x in (at - 1, at))
+            return (before * i + same * (s - i)) / s
+
+        q = F.when(low <= high, F.transform(F.sequence(low, F.greatest(low, high)), share)).otherwise(F.array().cast("array<double>"))
+        return F.struct(low.alias("low"), q.alias("q"))
+
+    last = F.aggregate(F.sequence(F.lit(1).cast("long"), both), state, step, lambda acc: F.get(acc["q"], F.size(acc["q"]) - 1))
+    return (F.when(d.isNull() | (n < 1) | (m < 1), F.lit(None).cast("double"))
+            .when(h <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.coalesce(last, F.lit(1.0)))))
+
+
+def ks_pvalue_asymptotic(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     """Asymptotic two-sample KS p-value (Kolmogorov distribution):
     Q(λ) = 2 Σ_{k≥1} (-1)^(k-1) exp(-2 k² λ²), λ = D·sqrt(n·m/(n+m)),
     clamped to [0, 1].  Below λ = 0.1 the distribution's survival function

@@ -82,10 +82,11 @@ def drift_from_counts(counts: DataFrame, means: DataFrame, features=None) -> Dat
     prod_mean, change_pct."""
     m = means.groupBy("feature").agg(F.max("ref_mean").alias("ref_mean"), F.max("prod_mean").alias("prod_mean"))
     ordinal = (F.array_position(F.array(*[F.lit(f) for f in features or []]).cast("array<string>"), F.col("feature")) - 1).cast("int")
+    tested = ks_from_counts(counts).join(m, "feature").repartition(max(1, len(features or [])), "feature")      # a p-value each, in tasks of their own
     p = ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_prod"))
-    return ks_from_counts(counts).join(m, "feature").select(
-        "feature", ordinal.alias("ordinal"), "ks_statistic", p.alias("p_value"),
-        ((F.col("ks_statistic") > KS_THRESHOLD) | (p < P_VALUE_THRESHOLD)).alias("drift_detected"),
+    return tested.withColumn("p_value", p).select(
+        "feature", ordinal.alias("ordinal"), "ks_statistic", "p_value",
+        ((F.col("ks_statistic") > KS_THRESHOLD) | (F.col("p_value") < P_VALUE_THRESHOLD)).alias("drift_detected"),
         "ref_mean", "prod_mean",
         (F.try_divide(F.col("prod_mean") - F.col("ref_mean"), F.col("ref_mean")) * F.lit(100.0)).alias("change_pct"))
 

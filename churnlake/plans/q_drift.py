@@ -81,11 +81,28 @@ define("feature_drift", ["ks", "drift_long"], f"""
   JOIN (SELECT feature, AVG(value) FILTER (WHERE side = 'ref') AS ref_mean,
                AVG(value) FILTER (WHERE side = 'prod') AS prod_mean FROM drift_long GROUP BY feature) m USING (feature)
   JOIN ({_ORD}) o USING (feature)
-  JOIN (SELECT feature, LEAST(1e0, GREATEST(0e0, CASE WHEN lam < 1e-1 THEN 1e0 ELSE 2e0 * s END)) AS p_value
+  JOIN ks_p pv USING (feature)""")
+# Exact p-value up to 10 000 values a side: share of lattice paths that stay strictly between the borders, point by point along
+# the antidiagonals (a point outside them has no row); asymptotic series beyond.
+define("ks_p", ["ks"], """
+  WITH RECURSIVE k AS (
+    SELECT feature, n_ref AS n, n_prod AS m, CAST(round(ks_statistic * n_ref * n_prod) AS BIGINT) AS h, ks_statistic AS d FROM ks),
+  path(feature, s, i, share) AS (
+    SELECT feature, CAST(0 AS BIGINT), CAST(0 AS BIGINT), 1e0 FROM k WHERE h > 0 AND greatest(n, m) <= 10000
+    UNION ALL
+    SELECT t.feature, t.s, t.i, SUM(t.part) FROM (
+      SELECT feature, s + 1 AS s, i + 1 AS i, share * CAST(i + 1 AS DOUBLE) / CAST(s + 1 AS DOUBLE) AS part FROM path
+      UNION ALL
+      SELECT feature, s + 1, i, share * CAST(s + 1 - i AS DOUBLE) / CAST(s + 1 AS DOUBLE) FROM path) t JOIN k USING (feature)
+    WHERE t.i <= k.n AND t.s - t.i <= k.m AND abs(t.i * (k.n + k.m) - t.s * k.n) < k.h GROUP BY t.feature, t.s, t.i)
+  SELECT k.feature, CASE WHEN k.h = 0 THEN 1e0 WHEN greatest(k.n, k.m) <= 10000 THEN 1e0 - coalesce(x.share, 0e0) ELSE a.p END AS p_value
+  FROM k
+  LEFT JOIN path x ON x.feature = k.feature AND x.s = k.n + k.m AND x.i = k.n
+  JOIN (SELECT feature, LEAST(1e0, GREATEST(0e0, CASE WHEN lam < 1e-1 THEN 1e0 ELSE 2e0 * s END)) AS p
         FROM (SELECT feature, ANY_VALUE(lam) AS lam,
-                     SUM(pow(-1e0, CAST(t.k - 1 AS DOUBLE)) * exp(-2e0 * t.k * t.k * lam * lam)) AS s
-              FROM (SELECT feature, ks_statistic * sqrt(CAST(n_ref * n_prod AS DOUBLE) / CAST(n_ref + n_prod AS DOUBLE)) AS lam
-                    FROM ks) x, range(1, 101) t(k) GROUP BY feature)) pv USING (feature)""")
+                     SUM(pow(-1e0, CAST(t.j - 1 AS DOUBLE)) * exp(-2e0 * t.j * t.j * lam * lam)) AS s
+              FROM (SELECT feature, d * sqrt(CAST(n * m AS DOUBLE) / CAST(n + m AS DOUBLE)) AS lam FROM k) y,
+                   range(1, 101) t(j) GROUP BY feature)) a ON a.feature = k.feature""")
 
 
 def _r(c, d=9):
