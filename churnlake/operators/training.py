@@ -1,17 +1,17 @@
-"""Distributed training with ``pyspark.ml`` (T2–T5, T7, T8, T13, T14, P8,
-S13, S15).
-
-Each fit is one distributed tree-learning job over the materialised
-training frame.  Metrics reuse ``evaluation`` (exact count ratios and rank
-AUC on the positive-class probability, read with ``vector_to_array`` —
-no Python UDF).  Run and version bookkeeping are small tables appended in
-the shared table folder.
+"""Training jobs.
+
+The random forest is ``pyspark.ml``'s; the boosted learners are those of
+``boosting`` (second-order trees, leaf-wise trees, residual trees), all fitted
+in the same passes.  Metrics reuse ``evaluation`` (exact count ratios and rank
+AUC on the positive-class probability).  Run and version bookkeeping are small
+tables appended in the shared table folder.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
+import hashlib
+import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -23,44 +23,90 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import boosting as BO
 from . import evaluation as EV
 from .features import FEATURE_COLUMNS, LABEL
 
 SEED = 42
+#: Training rows of a partition; small frames then take few tasks a pass.
+ROWS_PER_PARTITION = 200_000
 
 
 @dataclass
 class ModelSpec:
     name: str
-    kind: str                        # "rf" | "gbt"
+    kind: str                        # "rf" | "gbt" | "boost"
     params: dict = field(default_factory=dict)
 
 
-# The reference's four learner settings, mapped to Spark
-# learners (leaf-count caps and column subsampling per tree have no exact
-# counterpart; featureSubsetStrategy is per split).
+# The reference's four learner settings, and what its learners take where nothing is set.
 SPECS = [
     ModelSpec("RandomForest", "rf", {"numTrees": 200, "maxDepth": 15, "minInstancesPerNode": 2}),
-    ModelSpec("XGBoost", "gbt", {"maxIter": 200, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8,
-                                 "featureSubsetStrategy": "0.8"}),
-    ModelSpec("LightGBM", "gbt", {"maxIter": 200, "maxDepth": 8, "stepSize": 0.1}),
-    ModelSpec("GradientBoosting", "gbt", {"maxIter": 150, "maxDepth": 5, "stepSize": 0.1}),
+    ModelSpec("XGBoost", "boost", {"maxIter": 200, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8, "featuresPerTree": 0.8,
+                                   "regLambda": 1.0, "minChildWeight": 1.0}),
+    ModelSpec("LightGBM", "boost", {"maxIter": 200, "maxDepth": 8, "stepSize": 0.1, "maxLeaves": 31, "minChildRows": 20,
+                                    "minChildWeight": 0.001, "importance": "split"}),
+    ModelSpec("GradientBoosting", "boost", {"maxIter": 150, "maxDepth": 5, "stepSize": 0.1, "criterion": "friedman", "importance": "impurity"}),
 ]
 
+_BOOST = {"maxIter": "rounds", "maxDepth": "max_depth", "stepSize": "learning_rate", "subsamplingRate": "subsample", "featuresPerTree": "colsample",
+          "maxLeaves": "max_leaves", "regLambda": "reg_lambda", "minChildWeight": "min_child_weight", "minChildRows": "min_child_rows"}
+
+#: Memory for the statistics of a pass and node ids kept per row: a tree level then takes one pass.
+_FOREST = {"maxMemoryInMB": 2048, "cacheNodeIds": True}
+
+
+def boost_spec(spec: ModelSpec) -> BO.BoostSpec:
+    return BO.BoostSpec(**{_BOOST.get(k, k): v for k, v in spec.params.items()}, seed=SEED)
+
 
 def pipeline(spec: ModelSpec, features=FEATURE_COLUMNS, label: str = LABEL) -> Pipeline:
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     cls = RandomForestClassifier if spec.kind == "rf" else GBTClassifier
-    est = cls(featuresCol="features", labelCol=label, seed=SEED, **spec.params)
+    est = cls(featuresCol="features", labelCol=label, seed=SEED, **_FOREST, **spec.params)
     return Pipeline(stages=[asm, est])
 
 
-def fit(train: DataFrame, spec: ModelSpec, features=FEATURE_COLUMNS, label: str = LABEL) -> PipelineModel:
-    return pipeline(spec, features, label).fit(train.withColumn(label, F.col(label).cast("double")))
+def packed(df: DataFrame) -> DataFrame:
+    """As few partitions as the rows need."""
+    return df.coalesce(max(1, -(-df.count() // ROWS_PER_PARTITION)))
+
+
+def fit_group(train: DataFrame, fits: list[tuple[ModelSpec, int | None]], features=FEATURE_COLUMNS, label: str = LABEL,
+              key: str = "k", parallelism: int = 4) -> list:
+    """Models of (settings, fold left out or None): the boosted ones share
+    their passes, the others are submitted side by side, as each alone leaves
+    most of a cluster idle between its tree levels."""
+    train = packed(train)
+    boosted = [i for i, (s, _) in enumerate(fits) if s.kind == "boost"]
+    out: list = [None] * len(fits)
+
+    def one(i: int) -> None:
+        spec, k = fits[i]
+        rows = train if k is None else train.filter(F.col("fold") != k)
+        out[i] = pipeline(spec, features, label).fit(rows.withColumn(label, F.col(label).cast("double")))
+
+    def together() -> None:
+        fold = "fold" if any(k is not None for _, k in fits) else None
+        got = BO.fit_many(train, [(boost_spec(fits[i][0]), fits[i][1]) for i in boosted], features, label, fold, key)
+        for i, m in zip(boosted, got):
+            out[i] = m
 
+    jobs = ([together] if boosted else []) + [lambda i=i: one(i) for i, (s, _) in enumerate(fits) if s.kind != "boost"]
+    with ThreadPoolExecutor(parallelism) as pool:
+        for done in [pool.submit(inheritable_thread_target(train.sparkSession)(j)) for j in jobs]:
+            done.result()
+    return out
+
+
+def fit(train: DataFrame, spec: ModelSpec, features=FEATURE_COLUMNS, label: str = LABEL):
+    return fit_group(train, [(spec, None)], features, label)[0]
 
-def predict(model: PipelineModel, df: DataFrame, label: str = LABEL) -> DataFrame:
+
+def predict(model, df: DataFrame, label: str = LABEL) -> DataFrame:
     """Positive-class probability and 0/1 decision, as plain columns."""
+    if isinstance(model, BO.Ensemble):
+        return BO.scores({"": model}, df, df.columns).drop("model").withColumn("prediction", (F.col("score") > 0.5).cast("int"))
     out = model.transform(df.withColumn(label, F.col(label).cast("double")) if label in df.columns else df)
     return out.withColumns({
         "score": vector_to_array("probability")[1],
@@ -68,37 +114,59 @@ def predict(model: PipelineModel, df: DataFrame, label: str = LABEL) -> DataFram
     }).drop("features", "rawPrediction", "probability")
 
 
-def evaluate(model: PipelineModel, test: DataFrame, label: str = LABEL) -> DataFrame:
-    """T6 on a model: accuracy, precision, recall, F1, ROC-AUC."""
-    p = predict(model, test, label).withColumn("label", F.col(label).cast("int"))
-    return EV.classification_metrics(p)
+def predict_long(models: dict[str, object], df: DataFrame, keep=(), label: str = LABEL) -> DataFrame:
+    """(label, keep…, model, score, prediction) of several models."""
+    df = df.withColumn("label", F.col(label).cast("int"))
+    cols = ["label", *keep]
+    boosted = {n: m for n, m in models.items() if isinstance(m, BO.Ensemble)}
+    out = [BO.scores(boosted, df, cols).withColumn("prediction", (F.col("score") > 0.5).cast("int"))] if boosted else []
+    out += [predict(m, df, label).select(*cols, F.lit(n).alias("model"), "score", "prediction") for n, m in models.items() if n not in boosted]
+    whole = out[0]
+    for more in out[1:]:
+        whole = whole.unionByName(more)
+    return whole
 
 
-def fold_f1(data: DataFrame, spec: ModelSpec, fold: int, label: str = LABEL) -> float:
-    """F1 on one fold of a model fitted on the others."""
-    m = fit(data.filter(F.col("fold") != fold), spec, label=label)
-    p = predict(m, data.filter(F.col("fold") == fold), label).withColumn("label", F.col(label).cast("int"))
-    return EV.metrics_from_counts(EV.confusion_counts(p)).first()["f1_score"]
+def save(model, spark: SparkSession, path: str) -> None:
+    if isinstance(model, BO.Ensemble):
+        model.save(spark, path)
+    else:
+        model.write().save(path)
 
 
-def cross_validate(data: DataFrame, spec: ModelSpec, n_folds: int = EV.N_FOLDS, label: str = LABEL,
-                   parallelism: int = 5) -> DataFrame:
-    """K-fold F1 over the rows given (the train split, with a stratified
-    ``fold`` column), refitted per fold; mean and population std.  Folds are
-    submitted from a few threads, as ``pyspark.ml`` tuning does, because small
-    folds leave most of a cluster idle."""
-    with ThreadPoolExecutor(parallelism) as pool:
-        run = inheritable_thread_target(data.sparkSession)(lambda k: fold_f1(data, spec, k, label))
-        scores = list(pool.map(run, range(n_folds)))
-    rows = data.sparkSession.createDataFrame([(k, float(v)) for k, v in enumerate(scores)], "fold int, f1_score double")
-    return rows.agg(F.avg("f1_score").alias("cv_f1_mean"), F.stddev_pop("f1_score").alias("cv_f1_std"))
+def load(spark: SparkSession, path: str, kind: str):
+    return BO.Ensemble.load(spark, path) if kind == "boost" else PipelineModel.load(path)
+
+
+def _kind(model) -> str:
+    return "boost" if isinstance(model, BO.Ensemble) else "ml"
 
 
-def feature_importance(model: PipelineModel, features=FEATURE_COLUMNS, top: int | None = 10) -> DataFrame:
+def evaluate(model, test: DataFrame, label: str = LABEL) -> DataFrame:
+    """T6 on a model: accuracy, precision, recall, F1, ROC-AUC."""
+    p = predict(model, test, label).withColumn("label", F.col(label).cast("int"))
+    return EV.classification_metrics(p)
+
+
+def cross_validate(data: DataFrame, specs: list[ModelSpec], n_folds: int = EV.N_FOLDS, label: str = LABEL) -> DataFrame:
+    """K-fold F1 over the rows given (the train split, with a stratified
+    ``fold`` column), refitted per fold; (model, cv_f1_mean, cv_f1_std) with
+    the population std.  All refits are fitted as one group."""
+    fits = [(s, k) for k in range(n_folds) for s in specs]
+    models = fit_group(data, fits, label=label)
+    scored = None
+    for k in range(n_folds):
+        per = {s.name: m for (s, f), m in zip(fits, models) if f == k}
+        part = predict_long(per, data.filter(F.col("fold") == k), ["fold"], label)
+        scored = part if scored is None else scored.unionByName(part)
+    return EV.cv_f1(scored, group_cols=["model"])
+
+
+def feature_importance(model, features=FEATURE_COLUMNS, top: int | None = 10) -> DataFrame:
     """Importances from the fitted trees (model metadata, one value
     per feature) ranked descending; ``top`` keeps the report's top-k."""
     spark = SparkSession.getActiveSession()
-    imp = model.stages[-1].featureImportances.toArray().tolist()
+    imp = model.importances() if isinstance(model, BO.Ensemble) else model.stages[-1].featureImportances.toArray().tolist()
     df = spark.createDataFrame([(f, float(v), i) for i, (f, v) in enumerate(zip(features, imp))],
                                "feature string, importance double, ordinal int")
     df = df.orderBy(F.desc("importance"), F.asc("ordinal"))
@@ -107,17 +175,23 @@ def feature_importance(model: PipelineModel, features=FEATURE_COLUMNS, top: int
 
 # ---------------------------------------------------------------- bookkeeping
 
-def run_row(spark: SparkSession, spec: ModelSpec, metrics: DataFrame, cv: DataFrame, train_size: int,
-            test_size: int, start_time: dt.datetime | None = None) -> DataFrame:
-    """One run-log row (params, sizes, metrics)."""
-    start = start_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    params = F.create_map(*[F.lit(x) for kv in spec.params.items() for x in (kv[0], str(kv[1]))])
-    return EV.with_one_row(metrics, cv).select(
-        F.lit(uuid.uuid4().hex).alias("run_id"), F.lit(f"{spec.name}_run").alias("run_name"),
-        F.lit(spec.name).alias("model_type"), F.lit(start).cast("timestamp").alias("start_time"),
-        F.lit(train_size).cast("bigint").alias("train_size"), F.lit(test_size).cast("bigint").alias("test_size"),
-        "accuracy", "precision", "recall", "f1_score", "roc_auc", "cv_f1_mean", "cv_f1_std",
-        params.cast("map<string,string>").alias("params"))
+def run_id(spec: ModelSpec, source: str) -> str:
+    """The same for the same settings and the same source state."""
+    return hashlib.md5(json.dumps([spec.name, spec.kind, spec.params, SEED, source], sort_keys=True).encode()).hexdigest()
+
+
+def run_rows(spark: SparkSession, specs: list[ModelSpec], metrics: DataFrame, cv: DataFrame | None, train_size: int, test_size: int,
+             started: dt.datetime, source: str = "") -> DataFrame:
+    """One run-log row per learner (settings, sizes, metrics; fold
+    metrics where ``cv`` is given), a minute apart."""
+    rows = [(s.name, i, run_id(s, source), f"{s.name}_run", started + dt.timedelta(minutes=i), {k: str(v) for k, v in s.params.items()})
+            for i, s in enumerate(specs)]
+    plan = spark.createDataFrame(rows, "model string, ordinal int, run_id string, run_name string, start_time timestamp, params map<string,string>")
+    out = plan.join(metrics, "model")
+    out = out.join(cv, "model", "left") if cv is not None else out.withColumns({c: F.lit(None).cast("double") for c in ("cv_f1_mean", "cv_f1_std")})
+    return out.select("run_id", "run_name", F.col("model").alias("model_type"), "start_time", F.lit(train_size).cast("bigint").alias("train_size"),
+                      F.lit(test_size).cast("bigint").alias("test_size"), "accuracy", "precision", "recall", "f1_score", "roc_auc",
+                      "cv_f1_mean", "cv_f1_std", "params", "ordinal")
 
 
 def append_run(run: DataFrame, runs_path: str) -> None:
@@ -131,32 +205,40 @@ def latest_run(spark: SparkSession, runs_path: str) -> DataFrame:
     return runs.agg(F.max_by(F.struct(*runs.columns), F.struct("start_time", "run_id")).alias("r")).select("r.*")
 
 
-def register_version(spark: SparkSession, model: PipelineModel, registry_path: str, name: str,
-                     run_id: str, stage: str = "Production") -> DataFrame:
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _latest(spark: SparkSession, registry_path: str, name: str):
+    """The row of a model's highest version, or None where none is
+    registered.  A versions table that is there but can't be read is an error:
+    taking it for an empty one would start the numbers again."""
+    if not _exists(spark, f"{registry_path}/versions"):
+        return None
+    rows = spark.read.parquet(f"{registry_path}/versions").filter(F.col("name") == name)
+    return rows.agg(F.max_by(F.struct(*rows.columns), "version").alias("r")).first()["r"]
+
+
+def register_version(spark: SparkSession, model, registry_path: str, name: str, run_id: str, stage: str = "Production") -> DataFrame:
     """Next version = max(version) + 1 for the name; the model is saved
-    under its version folder and a row is appended to the versions table."""
-    try:
-        prev = spark.read.parquet(f"{registry_path}/versions").filter(F.col("name") == name) \
-            .agg(F.max("version").alias("v")).collect()[0]["v"]
-    except Exception:  # noqa: BLE001 — first registration: no table yet
-        prev = None
-    version = (prev or 0) + 1
+    under its version folder (never over another one) and a row is appended
+    to the versions table."""
+    last = _latest(spark, registry_path, name)
+    version = (last["version"] if last else 0) + 1
     path = f"{registry_path}/models/{name}/v{version}"
-    model.write().overwrite().save(path)
-    row = spark.createDataFrame([(name, version, run_id, stage, path)],
-                                "name string, version int, run_id string, stage string, path string")
+    save(model, spark, path)
+    row = spark.createDataFrame([(name, version, run_id, stage, path, _kind(model))],
+                                "name string, version int, run_id string, stage string, path string, kind string")
     row.write.mode("append").parquet(f"{registry_path}/versions")
     return row
 
 
-def load_production(spark: SparkSession, registry_path: str, name: str) -> PipelineModel | None:
-    """Latest registered version of a model, or None (→ rule fallback)."""
-    try:
-        v = (spark.read.parquet(f"{registry_path}/versions").filter(F.col("name") == name)
-             .orderBy(F.desc("version")).limit(1).collect())
-    except Exception:  # noqa: BLE001
-        return None
-    return PipelineModel.load(v[0]["path"]) if v else None
+def load_production(spark: SparkSession, registry_path: str, name: str):
+    """Latest registered version of a model, or None where none was
+    registered (→ rule fallback); failing reads are errors."""
+    last = _latest(spark, registry_path, name)
+    return load(spark, last["path"], last["kind"]) if last else None
 
 
 def model_metadata(spark: SparkSession, spec: ModelSpec, metrics: DataFrame, trained_at: str,
@@ -168,7 +250,7 @@ def model_metadata(spark: SparkSession, spec: ModelSpec, metrics: DataFrame, tra
                           F.struct("f1_score", "accuracy").alias("metrics"))
 
 
-def score_with_model(model: PipelineModel | None, raw: DataFrame, feature_model, as_of: str) -> DataFrame:
+def score_with_model(model, raw: DataFrame, feature_model, as_of: str) -> DataFrame:
     """The model's probability where a model is available and produced
     one, the rule score otherwise.  The rule score is computed on the raw
     columns first and carried through the feature transform, so the whole

@@ -1,15 +1,13 @@
 """The training job at the
 reference's settings.  Tree learners cannot be rebuilt in SQL, so metrics are
 rows-only (thresholds in the tests); the plan of the job — learners,
-settings, sizes and positives per split and fold — has an oracle."""
+settings, sizes and positives per split and fold — and what the run log holds
+besides metrics have an oracle."""
 
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ..operators import evaluation as EV
@@ -44,44 +42,63 @@ def _split(spark, sf_dir, name):
     return training_frame(spark, sf_dir).filter(F.col("split") == name)
 
 
+def _fit(spark, sf_dir, names):
+    """Learners fitted on the train split (their paths), and their test metrics."""
+    models = dict(zip(names, TR.fit_group(_split(spark, sf_dir, "train"), [(SPECS[n], None) for n in names])))
+    paths = {n: scratch_path(spark, f"model_{n}") for n in names}
+    for n, m in models.items():
+        TR.save(m, spark, paths[n])
+    scored = materialize(TR.predict_long(models, _split(spark, sf_dir, "test")), "test_scores")
+    return paths, materialize(EV.classification_metrics(scored, group_cols=["model"]), "test_metrics")
+
+
 def fitted(spark, sf_dir, name):
-    """A learner fitted on the train split and its test metrics (both stored)."""
+    return FX.session_artifact(spark, f"fitted_{name}", sf_dir, lambda: _fit(spark, sf_dir, [name]))
+
+
+def fitted_all(spark, sf_dir):
+    return FX.session_artifact(spark, "fitted_all", sf_dir, lambda: _fit(spark, sf_dir, list(SPECS)))
+
+
+def model(spark, sf_dir, name):
+    return TR.load(spark, fitted_all(spark, sf_dir)[0][name], SPECS[name].kind)
+
+
+def cv_rows(spark, sf_dir):
+    """Five refits of every learner on the train split only."""
+    return FX.session_artifact(spark, "cv", sf_dir, lambda: materialize(
+        TR.cross_validate(_split(spark, sf_dir, "train"), list(SPECS.values())), "cv_metrics"))
+
+
+def _runs(spark, sf_dir, cv):
     def build():
-        model = TR.fit(_split(spark, sf_dir, "train"), SPECS[name])
-        path = scratch_path(spark, f"model_{name}")
-        model.write().save(path)
-        return path, materialize(TR.evaluate(model, _split(spark, sf_dir, "test")))
+        sizes = training_frame(spark, sf_dir).agg(F.count_if(F.col("split") == "train").alias("a"), F.count_if(F.col("split") == "test").alias("b")).first()
+        state = str(FX._source_state(spark, sf_dir)[1:])
+        rows = TR.run_rows(spark, list(SPECS.values()), fitted_all(spark, sf_dir)[1], cv_rows(spark, sf_dir) if cv else None,
+                           sizes["a"], sizes["b"], STARTED, state)
+        return materialize(rows.coalesce(1), "model_runs")
+
+    return FX.session_artifact(spark, "cv_runs" if cv else "model_runs", sf_dir, build)
 
-    path, metrics = FX.session_artifact(spark, f"fitted_{name}", sf_dir, build)
-    return PipelineModel.load(path), metrics
 
+def runs(spark, sf_dir):
+    """The run log with test metrics: needs the four fits alone."""
+    return _runs(spark, sf_dir, False)
 
-def cv_row(spark, sf_dir, name):
-    """Five refits on the train split only."""
-    return FX.session_artifact(spark, f"cv_{name}", sf_dir,
-                               lambda: materialize(TR.cross_validate(_split(spark, sf_dir, "train"), SPECS[name])))
+
+def cv_runs(spark, sf_dir):
+    """The run log with fold metrics too."""
+    return _runs(spark, sf_dir, True)
 
 
 def training_job(spark, sf_dir):
-    """The whole job: four learners fitted and cross-validated, one run row
-    each, the best by F1 registered as production with its metadata.  Returns
-    the folder of the run, version and metadata tables."""
+    """The best run by F1 registered as production with its metadata.
+    Returns the folder of the version and metadata tables."""
     def build():
         root = scratch_path(spark, "model_store")
-        data = training_frame(spark, sf_dir)
-        # independent fits are submitted side by side: each alone leaves most of a cluster idle between its tree levels
-        with ThreadPoolExecutor(len(SPECS)) as pool:
-            def both(name):
-                return fitted(spark, sf_dir, name), cv_row(spark, sf_dir, name)
-            list(pool.map(inheritable_thread_target(spark)(both), SPECS))
-        sizes = data.agg(F.count_if(F.col("split") == "train").alias("a"), F.count_if(F.col("split") == "test").alias("b")).first()
-        for i, (name, spec) in enumerate(SPECS.items()):
-            _, metrics = fitted(spark, sf_dir, name)
-            run = TR.run_row(spark, spec, metrics, cv_row(spark, sf_dir, name), sizes["a"], sizes["b"], STARTED + dt.timedelta(minutes=i))
-            TR.append_run(run.withColumn("ordinal", F.lit(i)), f"{root}/model_runs")
-        best = EV.best_model(spark.read.parquet(f"{root}/model_runs")).first()
-        model, metrics = fitted(spark, sf_dir, best["model_type"])
-        TR.register_version(spark, model, f"{root}/registry", "churn_model", best["run_id"])
+        best = EV.best_model(runs(spark, sf_dir)).first()
+        TR.register_version(spark, model(spark, sf_dir, best["model_type"]), f"{root}/registry", "churn_model", best["run_id"])
+        metrics = fitted_all(spark, sf_dir)[1].filter(F.col("model") == best["model_type"])
         meta = TR.model_metadata(spark, SPECS[best["model_type"]], metrics, STARTED.isoformat())
         sinks.write_json(meta, f"{root}/model_metadata")
         return root, meta.schema
@@ -89,14 +106,10 @@ def training_job(spark, sf_dir):
     return FX.session_artifact(spark, "training_job", sf_dir, build)
 
 
-def runs(spark, sf_dir):
-    return spark.read.parquet(f"{training_job(spark, sf_dir)[0]}/model_runs")
-
-
 def _one_learner(spark, sf_dir, name):
     sizes = training_frame(spark, sf_dir).agg(F.count_if(F.col("split") == "train").alias("train_size"),
                                               F.count_if(F.col("split") == "test").alias("test_size"))
-    return EV.with_one_row(fitted(spark, sf_dir, name)[1], sizes).select(F.lit(name).alias("model"), "*")
+    return EV.with_one_row(fitted(spark, sf_dir, name)[1], sizes)
 
 
 @query("train_random_forest")
@@ -137,13 +150,28 @@ def training_plan(spark, sf_dir):
 
 @query("cross_validation")
 def cross_validation(spark, sf_dir):
-    return runs(spark, sf_dir).select("model_type", "cv_f1_mean", "cv_f1_std")
+    return cv_runs(spark, sf_dir).select("model_type", "cv_f1_mean", "cv_f1_std")
 
 
 @query("trained_runs")
 def trained_runs(spark, sf_dir):
     """One run per learner."""
-    return runs(spark, sf_dir).drop("params", "run_id")
+    return cv_runs(spark, sf_dir).drop("params")
+
+
+@query("trained_run_settings", oracle="""
+SELECT l.model || '_run' AS run_name, l.model AS model_type, CAST(l.i AS INTEGER) AS ordinal,
+       TIMESTAMP '2025-10-09 23:49:44' + l.i * INTERVAL '1 minute' AS start_time,
+       COUNT(*) FILTER (WHERE sr.split = 'train') AS train_size, COUNT(*) FILTER (WHERE sr.split = 'test') AS test_size,
+       l.trees AS trees, l.depth AS depth, TRUE AS has_metrics
+FROM (VALUES ('RandomForest', 0, '200', '15'), ('XGBoost', 1, '200', '6'), ('LightGBM', 2, '200', '8'), ('GradientBoosting', 3, '150', '5')) l(model, i, trees, depth),
+     split_rank sr GROUP BY l.model, l.i, l.trees, l.depth""")
+def trained_run_settings(spark, sf_dir):
+    """What the log of the trained runs holds besides metrics."""
+    return runs(spark, sf_dir).select(
+        "run_name", "model_type", "ordinal", F.col("start_time").cast("timestamp_ntz").alias("start_time"), "train_size", "test_size",
+        F.coalesce(F.col("params")["numTrees"], F.col("params")["maxIter"]).alias("trees"), F.col("params")["maxDepth"].alias("depth"),
+        (F.col("f1_score").between(0, 1) & F.col("roc_auc").between(0, 1)).alias("has_metrics"))
 
 
 @query("trained_best_model")
@@ -175,7 +203,9 @@ def trained_promotion_gate(spark, sf_dir):
 @query("latest_model_run")
 def latest_model_run(spark, sf_dir):
     """The most recent run."""
-    return TR.latest_run(spark, f"{training_job(spark, sf_dir)[0]}/model_runs").drop("params")
+    path = scratch_path(spark, "run_log")
+    TR.append_run(cv_runs(spark, sf_dir), path)
+    return TR.latest_run(spark, path).drop("params")
 
 
 @query("feature_importance")
@@ -183,7 +213,7 @@ def feature_importance(spark, sf_dir):
     """Top ten importances of every learner."""
     out = None
     for name in SPECS:
-        top = TR.feature_importance(fitted(spark, sf_dir, name)[0]).select(F.lit(name).alias("model"), "*")
+        top = TR.feature_importance(model(spark, sf_dir, name)).select(F.lit(name).alias("model"), "*")
         out = top if out is None else out.unionByName(top)
     return out
 
@@ -192,7 +222,7 @@ def feature_importance(spark, sf_dir):
 def importance_bars(spark, sf_dir):
     """All feature importances of the best learner, ascending (the bar-chart order)."""
     best = EV.best_model(runs(spark, sf_dir)).first()["model_type"]
-    return TR.feature_importance(fitted(spark, sf_dir, best)[0], top=None).orderBy("importance", "feature")
+    return TR.feature_importance(model(spark, sf_dir, best), top=None).orderBy("importance", "feature")
 
 
 @query("score_with_model")
@@ -200,5 +230,5 @@ def score_with_model(spark, sf_dir):
     """P8 with a real model: load the production version and score every
     customer; rows without a model probability fall back to rules."""
     from .q_drift import feature_model
-    model = TR.load_production(spark, f"{training_job(spark, sf_dir)[0]}/registry", "churn_model")
-    return TR.score_with_model(model, FX.customers_raw(spark, sf_dir), feature_model(spark, sf_dir), AS_OF)
+    best = TR.load_production(spark, f"{training_job(spark, sf_dir)[0]}/registry", "churn_model")
+    return TR.score_with_model(best, FX.customers_raw(spark, sf_dir), feature_model(spark, sf_dir), AS_OF)

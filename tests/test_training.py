@@ -1,3 +1,5 @@
+import pytest
+
 from pyspark.sql import functions as F
 
 from churnlake.operators import training as TR
@@ -18,6 +20,7 @@ def test_gbt_beats_chance_and_registry_versions(spark):
     v2 = TR.register_version(spark, model, root, "gbt", "r2").first()["version"]
     assert (v1, v2) == (1, 2)
     assert TR.load_production(spark, root, "gbt") is not None
+    assert TR.load_production(spark, root, "other") is None and TR.load_production(spark, f"{root}/none", "gbt") is None
     imp = TR.feature_importance(model).collect()
     assert len(imp) == 10 and imp[0]["importance"] >= imp[-1]["importance"]
 
@@ -38,5 +41,24 @@ def test_folds_lie_in_the_train_split_and_are_stratified(spark):
 
 def test_cross_validation_refits_per_fold(spark):
     train = QT.training_frame(spark, SMALL).filter("split = 'train'")
-    r = TR.cross_validate(train, TR.ModelSpec("GradientBoosting", "gbt", {"maxIter": 2, "maxDepth": 2})).first()
-    assert 0 <= r["cv_f1_mean"] < 0.9 and r["cv_f1_std"] >= 0
+    specs = [TR.ModelSpec("Boosted", "boost", {"maxIter": 3, "maxDepth": 3}), TR.ModelSpec("Forest", "rf", {"numTrees": 3, "maxDepth": 3})]
+    got = {r["model"]: r for r in TR.cross_validate(train, specs).collect()}
+    assert set(got) == {"Boosted", "Forest"}
+    assert all(0 <= r["cv_f1_mean"] < 0.9 and r["cv_f1_std"] >= 0 for r in got.values())
+
+
+def test_an_unreadable_versions_table_is_an_error(spark):
+    """Taken for an empty table it would start the version numbers again and overwrite models."""
+    root = scratch_path(spark, "broken_registry")
+    spark.createDataFrame([("not a table",)], "t string").write.text(f"{root}/versions")
+    train = QT.training_frame(spark, SMALL).filter("split = 'train'")
+    model = TR.fit(train, TR.ModelSpec("Boosted", "boost", {"maxIter": 2, "maxDepth": 2}))
+    with pytest.raises(Exception):
+        TR.register_version(spark, model, root, "boosted", "r1")
+    with pytest.raises(Exception):
+        TR.load_production(spark, root, "boosted")
+
+
+def test_run_ids_name_settings_and_source():
+    a, b = TR.SPECS[:2]
+    assert TR.run_id(a, "x") == TR.run_id(a, "x") != TR.run_id(a, "y") and TR.run_id(a, "x") != TR.run_id(b, "x")
