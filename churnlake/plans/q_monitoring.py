@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import counters as CO
 from ..operators import monitoring as MO
 from ..sources import fixtures as FX
 from ..sources import sinks
 from ..sources.schemas import PREDICTION_LOG
-from ..session import scratch_path
+from ..session import materialize, scratch_path
+from .ctes import define
 from .registry import query
 
 NOW = "2024-01-31 00:00:00"
@@ -245,3 +247,98 @@ def export_csv_roundtrip(spark, sf_dir):
     timestamps in the shared folder → read back with the same schema."""
     path = sinks.write_csv(_filtered(spark, sf_dir), scratch_path(spark, "predictions_csv"))
     return sinks.read_csv(spark, path, PREDICTION_LOG)
+
+
+# ---------------------------------------------------------------- sliding rates and alert states
+
+RATE_THRESHOLD = FIXTURE_ALERT
+FOR_SECONDS = 120
+_SERIES = 2
+
+
+def samples(spark, sf_dir):
+    """Scraped counters of the prediction log, written once."""
+    return FX.session_artifact(spark, "counter_samples", sf_dir, lambda: materialize(CO.counter_samples(_log(spark, sf_dir), _BOUNDS, _SERIES), "counter_samples"))
+
+
+def rates(spark, sf_dir):
+    """Requests, errors and latency buckets a second at every step."""
+    return FX.session_artifact(spark, "counter_rates", sf_dir,
+                               lambda: materialize(CO.counter_rates(samples(spark, sf_dir), 3 + len(_BOUNDS)), "counter_rates"))
+
+
+_N = 3 + len(_BOUNDS)
+_SAMPLE = ["COUNT(e.ms)", "COUNT(e.ms) FILTER (WHERE e.is_error = 1)"] + [f"COUNT(e.ms) FILTER (WHERE e.latency_ms <= {b})" for b in _BOUNDS] + ["COUNT(e.latency_ms)"]
+define("scraped", ["prediction_log"], f"""
+  SELECT series, t, {', '.join(f'CAST(SUM(c{i}) OVER (PARTITION BY series, slot ORDER BY t) AS DOUBLE) AS v{i}' for i in range(_N))}
+  FROM (SELECT g.series, g.slot, g.t, {', '.join(f'{c} AS c{i}' for i, c in enumerate(_SAMPLE))}
+        FROM (SELECT i.series, i.slot, CAST(ceil((i.slot * 21600000 - i.series * 4000) / 15000e0) AS BIGINT) * 15000 + i.series * 4000 + r.n * 15000 AS t
+              FROM (SELECT DISTINCT series, ms // 21600000 AS slot FROM requests) i, range(0, 1440) r(n)) g
+        LEFT JOIN requests e ON e.series = g.series AND e.slot = g.slot
+             AND CAST(ceil((e.ms - e.series * 4000) / 15000e0) AS BIGINT) * 15000 + e.series * 4000 = g.t
+        GROUP BY g.series, g.slot, g.t)""")
+define("requests", ["prediction_log"], f"""
+  SELECT CAST(CAST(regexp_replace(customer_id, '[^0-9]', '', 'g') AS BIGINT) % {_SERIES} AS INTEGER) AS series, epoch_ms(event_time) AS ms,
+         epoch_ms(event_time) // 21600000 AS slot, is_error, latency_ms FROM prediction_log""")
+define("read_samples", ["scraped"], f"""
+  SELECT *, {', '.join(f'CASE WHEN v{i} < lag(v{i}) OVER w THEN lag(v{i}) OVER w ELSE 0e0 END AS d{i}' for i in range(_N))}
+  FROM scraped WHERE (t // 1000 * 1103515245 + series * 12345) % 2147483647 % 10 <> 0 AND (t // 3600000 * 48271 + series * 7) % 2147483647 % 17 <> 0
+  WINDOW w AS (PARTITION BY series ORDER BY t)""")
+# every sample to the 20 steps whose range holds it; falls of the value inside a range, its first sample's own left out
+_RISE = ", ".join(f"arg_max(v{i}, t) - arg_min(v{i}, t) + SUM(d{i}) - arg_min(d{i}, t) AS rise{i}, arg_min(v{i}, t) AS first{i}" for i in range(_N))
+_RATE = ", ".join(f"""rise{i} * ((sampled + CASE WHEN rise{i} > 0 AND sampled * first{i} / rise{i} < b THEN sampled * first{i} / rise{i} ELSE b END + e)
+         / sampled) / 3e2 AS r{i}""" for i in range(_N))
+define("sliding", ["read_samples"], f"""
+  SELECT series, step, {_RATE} FROM (
+    SELECT *, CASE WHEN to_start >= sampled / (n - 1) * 1.1e0 THEN sampled / (n - 1) / 2e0 ELSE to_start END AS b,
+           CASE WHEN to_end >= sampled / (n - 1) * 1.1e0 THEN sampled / (n - 1) / 2e0 ELSE to_end END AS e
+    FROM (SELECT series, step, COUNT(*) AS n, (MAX(t) - MIN(t)) / 1e3 AS sampled, (MIN(t) - (step - 300000)) / 1e3 AS to_start,
+                 (step - MAX(t)) / 1e3 AS to_end, {_RISE}
+          FROM (SELECT s.*, CAST(ceil(s.t / 15000e0) AS BIGINT) * 15000 + r.k * 15000 AS step FROM read_samples s, range(0, 20) r(k))
+          WHERE step - t < 300000 GROUP BY series, step HAVING COUNT(*) >= 2))""")
+
+
+@query("rate_5m_sliding", oracle="SELECT series, step AS t, ROUND(r0, 9) AS request_rate, ROUND(r1, 9) AS error_rate FROM sliding")
+def rate_5m_sliding(spark, sf_dir):
+    """rate() of requests and errors over five minutes, evaluated every 15 seconds, per instance."""
+    return rates(spark, sf_dir).select("series", "t", F.round(F.col("rates")[0], 9).alias("request_rate"), F.round(F.col("rates")[1], 9).alias("error_rate"))
+
+
+_LEVEL = [f"greatest({', '.join(f'r{j}' for j in range(2, 3 + i))}, 0e0)" for i in range(len(_BOUNDS) + 1)]
+_CASES = " ".join(f"WHEN {_LEVEL[i]} >= {_LEVEL[-1]} * 9.5e-1 THEN {_BOUNDS[i - 1] if i else 0} + ({b} - {_BOUNDS[i - 1] if i else 0}) * "
+                  f"({_LEVEL[-1]} * 9.5e-1 - {_LEVEL[i - 1] if i else '0e0'}) / NULLIF({_LEVEL[i]} - {_LEVEL[i - 1] if i else '0e0'}, 0e0)"
+                  for i, b in enumerate(_BOUNDS))
+
+
+@query("p95_rate_5m", oracle=f"""
+SELECT series, step AS t, ROUND(CASE WHEN {_LEVEL[-1]} > 0 THEN CASE {_CASES} ELSE {float(_BOUNDS[-1])!r} END END + 1e-9, 6) AS p95_latency_ms FROM sliding""")
+def p95_rate_5m(spark, sf_dir):
+    """histogram_quantile(0.95, rate(buckets[5m])), every 15 seconds, per instance."""
+    r = [F.col("rates")[i] for i in range(2, _N)]
+    return rates(spark, sf_dir).select("series", "t", F.round(CO.quantile_of_rates(0.95, r, _BOUNDS) + 1e-9, 6).alias("p95_latency_ms"))
+
+
+def alert_sql(closed: str = "TRUE") -> str:
+    """Runs of steps by the difference of time and row number."""
+    return f"""
+WITH e AS (SELECT MAX(step) AS t_end FROM sliding),
+h AS (SELECT series, step, step - 15000 * row_number() OVER (PARTITION BY series ORDER BY step) AS run
+      FROM sliding WHERE ROUND(r1, 9) > {RATE_THRESHOLD!r}),
+i AS (SELECT series, MIN(step) AS a, MAX(step) AS b FROM h GROUP BY series, run)
+SELECT series, t, state, active_at FROM (
+  SELECT series, a AS t, 'pending' AS state, a AS active_at FROM i
+  UNION ALL SELECT series, a + {FOR_SECONDS * 1000}, 'firing', a FROM i WHERE b - a >= {FOR_SECONDS * 1000}
+  UNION ALL SELECT series, b + 15000, CASE WHEN b - a >= {FOR_SECONDS * 1000} THEN 'resolved' ELSE 'inactive' END, a FROM i, e WHERE b + 15000 <= t_end), e
+WHERE {closed}"""
+
+
+def held(df):
+    return df.filter(F.round(F.col("rates")[1], 9) > RATE_THRESHOLD)
+
+
+@query("alert_state_changes", oracle=alert_sql())
+def alert_state_changes(spark, sf_dir):
+    """Pending, firing, resolved and inactive, "for" any duration."""
+    r = rates(spark, sf_dir)
+    end = r.agg(F.max("t").alias("t")).first()["t"]
+    return CO.alert_states(held(r), FOR_SECONDS, end)
