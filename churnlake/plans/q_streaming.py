@@ -11,11 +11,12 @@ from ..operators import features as FE
 from ..session import scratch_path
 from ..sources import fixtures as FX
 from ..sources.tables import read_table
+from ..streaming import alerts as SA
 from ..streaming import jobs as SJ
 from ..operators import monitoring as MO
 from ..sources.schemas import CUSTOMERS_RAW
 from .q_evaluation import run_log
-from .q_monitoring import _WIN_SQL, FIXTURE_ALERT, GAUGES_SQL, P95_SQL, SUSTAINED_SQL
+from .q_monitoring import _WIN_SQL, FIXTURE_ALERT, FOR_SECONDS, GAUGES_SQL, P95_SQL, RATE_THRESHOLD, SUSTAINED_SQL, alert_sql, rates
 from .q_quality import _summary_sql
 from .registry import query
 
@@ -68,6 +69,17 @@ def stream_sustained_alerts(spark, sf_dir):
     return SJ.run_sustained_alerts(spark, _events(sf_dir), DELAY, FIXTURE_ALERT)
 
 
+@query("stream_alert_states", oracle=alert_sql("t <= t_end - 600000"))
+def stream_alert_states(spark, sf_dir):
+    """Alert states from the evaluated rates, in three runs over one
+    checkpoint; changes up to the watermark come out."""
+    r = rates(spark, sf_dir).select("series", "t", (F.round(F.col("rates")[1], 9) > RATE_THRESHOLD).alias("held"))
+    ends = r.agg(F.min("t").alias("a"), F.max("t").alias("b")).first()
+    cut = [ends["a"] + (ends["b"] - ends["a"]) * k // 3 for k in (1, 2)]
+    parts = (r.filter(F.col("t") <= cut[0]), r.filter(F.col("t").between(cut[0] + 1, cut[1])), r.filter(F.col("t") > cut[1]))
+    return SA.run_alert_states(spark, parts, DELAY, FOR_SECONDS)
+
+
 @query("stream_late_rows", oracle=f"SELECT window_start, requests FROM ({_WIN_SQL})")
 def stream_late_rows(spark, sf_dir):
     """After all events the first half day arrives once more; those rows

@@ -11,6 +11,7 @@ it stopped.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +87,24 @@ def _epoch_sink(path: str):
     return write
 
 
+#: Fixed settings: state on local disk instead of the executors' heap; a batch's changes go to the checkpoint.
+ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+           "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
+@contextmanager
+def state_in_rocksdb(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB; the session's own settings come back after."""
+    before = {k: spark.conf.get(k, None) for k in ROCKSDB}
+    for k, v in ROCKSDB.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, mode: str = "update",
                       foreach=None) -> None:
     """Process everything available, then stop (``Trigger.AvailableNow``)."""
