@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import flag, right_closed_bucket, weighted_sum
-from .stats import prefix_sum, qname, quantile_row
+from .stats import prefix_sum, qname, quantile_row, with_one_row
 
 # Fixed values (feature definitions of the reference).
 SERVICE_COLUMNS = ["online_security", "online_backup", "device_protection", "tech_support",
@@ -110,12 +110,28 @@ def fit_label_encoders(df: DataFrame, columns=None) -> DataFrame:
     return materialize(ranked.select("column", "value", (F.col("one_cum") - 1).cast("int").alias("code")))
 
 
-def apply_label_encoders(df: DataFrame, params: DataFrame, columns=None, unseen: int = -1) -> DataFrame:
-    """Add ``<col>_encoded`` by one equi-join per column with the stored
-    parameter table (the planner broadcasts a column's codes if the file says
-    they are small); a value not seen at fit time gets ``unseen``."""
+#: Codes and characters of a parameter table up to which it travels as maps.
+MAP_CODES, MAP_CHARS = 20_000, 1_000_000
+
+
+def apply_label_encoders(df: DataFrame, params: DataFrame, columns=None, unseen: int = -1, map_codes: int = MAP_CODES) -> DataFrame:
+    """Add ``<col>_encoded`` from the stored parameter table; a value not seen
+    at fit time gets ``unseen``.  A table of at most ``map_codes`` codes (its
+    size is measured) becomes one row with a map per column, looked up in the
+    projection; a larger one is joined column by column."""
+    cols = [c for c in (columns or CATEGORICAL_COLUMNS) if c in df.columns]
+    mine = params.filter(F.col("column").isin(cols))
+    codes, chars = mine.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("value")), F.lit(0))).first()
+    if codes > map_codes or chars > MAP_CHARS:
+        return _join_label_encoders(df, mine, cols, unseen)
+    maps = mine.agg(*[F.map_from_entries(F.collect_list(F.when(F.col("column") == c, F.struct("value", "code")))).alias(f"_m_{c}") for c in cols])
+    return with_one_row(df, maps).withColumns({
+        f"{c}_encoded": F.coalesce(F.try_element_at(f"_m_{c}", _as_label(c)), F.lit(unseen)).cast("int") for c in cols}).drop(*maps.columns)
+
+
+def _join_label_encoders(df: DataFrame, params: DataFrame, cols, unseen: int) -> DataFrame:
     out = df
-    for c in [c for c in (columns or CATEGORICAL_COLUMNS) if c in df.columns]:
+    for c in cols:
         p = params.filter(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"{c}_encoded"))
         out = (out.join(p, _as_label(c) == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
                .withColumn(f"{c}_encoded", F.coalesce(F.col(f"{c}_encoded"), F.lit(unseen)).cast("int")))

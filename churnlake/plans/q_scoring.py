@@ -141,8 +141,8 @@ def score_customers(spark, sf_dir):
 def score_with_fallback(spark, sf_dir):
     """The primary score here is the feature job's risk score (F20), absent for
     customers without charges; ``score_with_model`` does it with a fitted model."""
-    from .q_drift import feature_model
-    df = FE.business_features(_requests(spark, sf_dir), feature_model(spark, sf_dir).p75)
+    requests = _requests(spark, sf_dir)
+    df = FE.business_features(requests, FE.p75_value(requests))
     df = df.withColumn("model_probability", F.when(F.col("total_charges") > 0, F.col("risk_score")))
     scored = SC.with_fallback(df)
     return SC.response_rows(scored, AS_OF, F.col("model_mode"))

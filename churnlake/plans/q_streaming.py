@@ -3,8 +3,6 @@ sink state must equal the batch twin's oracle."""
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import functions as F
 
 from ..operators import features as FE
@@ -85,13 +83,9 @@ def stream_late_rows(spark, sf_dir):
     """After all events the first half day arrives once more; those rows
     lie far behind the watermark (of the batch before) and change no window."""
     ev = read_table(spark, sf_dir, "events")
-    src = scratch_path(spark, "late_source")
     day = F.col("ts") < F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")
     again = ev.filter(F.col("ts") < F.lit("2024-01-01 12:00:00").cast("timestamp_ntz"))
-    for part in (ev.filter(day), ev.filter(~day), again):
-        part.coalesce(1).write.mode("append").parquet(src)      # the file source takes files by time
-        time.sleep(1.1)
-    return SJ.run_window_counts(spark, src, DELAY, "late_rows", {"maxFilesPerTrigger": 1}).select("window_start", "requests")
+    return SJ.run_window_counts(spark, SJ.log_in_parts(spark, (ev.filter(day), ev.filter(~day), again)), DELAY, "late_rows").select("window_start", "requests")
 
 
 @query("stream_scoring", oracle="SELECT * FROM responses")

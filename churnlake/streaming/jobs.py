@@ -135,10 +135,11 @@ def windowed_counts_stream(log: DataFrame, delay: str, window: str = MO.WINDOW)
             .agg(F.count(F.lit(1)).alias("requests"), F.sum("is_error").cast("bigint").alias("errors")))
 
 
-def run_window_counts(spark: SparkSession, source: str, delay: str, name: str = "window_counts",
+def run_window_counts(spark: SparkSession, source: str | Iterable[DataFrame], delay: str, name: str = "window_counts",
                       per_trigger: dict | None = None) -> DataFrame:
+    """``source``: a folder of events, or the log stream of each run (``log_in_parts``)."""
     sink, ckpt = scratch_path(spark, f"{name}_sink"), scratch_path(spark, f"{name}_ckpt")
-    for log in log_in_time_order(spark, source, per_trigger):
+    for log in log_in_time_order(spark, source, per_trigger) if isinstance(source, str) else source:
         s = windowed_counts_stream(log, delay)
         s = s.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "requests", "errors")
         run_available_now(s, sink, ckpt, "update")

@@ -3,6 +3,7 @@ import math
 from pyspark.sql import functions as F
 
 from churnlake.operators import features as FE
+from churnlake.sources import fixtures as FX
 
 COLS = ("customer_id string, tenure_months bigint, monthly_charges double, total_charges double, "
         "contract_type string, payment_method string, internet_service string, phone_service string, "
@@ -99,3 +100,14 @@ def test_long_customer_keys_keep_all_digits(spark):
     from churnlake.functions.exprs import padded_id
     ids = [r[0] for r in spark.createDataFrame([(k,) for k in (7, 999999, 1234567, 12345670, 12345678)], "k long").select(padded_id("k")).collect()]
     assert ids == ["C000007", "C999999", "C1234567", "C12345670", "C12345678"]
+
+
+def test_encoders_by_map_and_by_join_agree(spark):
+    raw = FX.derive_customers_raw(spark, "/root/testdata/sf0.001")
+    biz = FE.business_features(raw, 100.0)
+    enc = FE.fit_label_encoders(biz.filter("contract_type <> 'Two year'"))
+    cols = ["customer_id", *[f"{c}_encoded" for c in FE.CATEGORICAL_COLUMNS]]
+    by_map = sorted(tuple(r) for r in FE.apply_label_encoders(biz, enc).select(*cols).collect())
+    by_join = sorted(tuple(r) for r in FE.apply_label_encoders(biz, enc, map_codes=5).select(*cols).collect())
+    assert by_map == by_join and any(-1 in r for r in by_map)
+    assert FE.apply_label_encoders(biz, enc.filter("code < 0")).filter("contract_type_encoded <> -1").count() == 0
