@@ -118,3 +118,17 @@ def stream_validation(spark, sf_dir):
     out = SJ.run_microbatch_validation(spark, rows, AS_OF_DATA, reference=ref, feature_model=feature_model(spark, sf_dir),
                                        features=FE.FEATURE_COLUMNS)
     return out.select("total_checks", "passed", "failed", "warnings", "input_rows", "success")
+
+
+@query("stream_feature_drift", oracle="""
+SELECT feature, ks_statistic, ROUND(p_value, 10) AS p_value, drift_detected, ROUND(ref_mean, 9) AS ref_mean,
+       ROUND(prod_mean, 9) AS prod_mean, ROUND(change_pct, 6) AS change_pct FROM feature_drift""")
+def stream_feature_drift(spark, sf_dir):
+    """After three micro-batches the drift is that of all their rows."""
+    from .q_drift import sides
+    x = sides(spark, sf_dir)
+    third = F.pmod(F.xxhash64("customer_id"), F.lit(3))
+    prod = x.filter("side = 'prod'")
+    d = SJ.run_feature_drift(spark, x.filter("side = 'ref'"), [prod.filter(third == k) for k in range(3)], FE.FEATURE_COLUMNS)
+    return d.select("feature", "ks_statistic", F.round("p_value", 10).alias("p_value"), "drift_detected",
+                    *[F.round(c, n).alias(c) for c, n in (("ref_mean", 9), ("prod_mean", 9), ("change_pct", 6))])

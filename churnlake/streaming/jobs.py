@@ -274,3 +274,38 @@ def run_microbatch_validation(spark: SparkSession, rows: DataFrame, as_of: str,
 
     run_available_now(rows, sink, ckpt, "append", foreach=write)
     return spark.read.parquet(sink)
+
+
+def write_value_counts(batch: DataFrame, epoch: int, path: str, features) -> None:
+    """The production side's rows per (feature, value) of one micro-batch; a
+    replayed batch replaces its own counts."""
+    from ..operators import drift as DR
+    write_epoch(DR.value_counts(batch.withColumn("side", F.lit("prod")), features), path, epoch)
+
+
+def running_drift(reference_counts: DataFrame, path: str, features) -> DataFrame:
+    """D1–D4 of all rows that have arrived: the counts of every batch add up,
+    and means are read from them, so no row is kept."""
+    from ..operators import drift as DR
+    seen = reference_counts.sparkSession.read.schema(reference_counts.schema).parquet(path).drop("_epoch")
+    counts = materialize(reference_counts.unionByName(seen).groupBy("feature", "value").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_prod").alias("c_prod")),
+                         "drift_counts")
+    mean = lambda c: F.try_divide(F.sum(F.col("value") * F.col(c)), F.sum(c)).alias(c)
+    means = counts.groupBy("feature").agg(mean("c_ref"), mean("c_prod")).select("feature", F.col("c_ref").alias("ref_mean"), F.col("c_prod").alias("prod_mean"))
+    return DR.drift_from_counts(counts, means, features)
+
+
+def run_feature_drift(spark: SparkSession, reference: DataFrame, parts: Iterable[DataFrame], features) -> DataFrame:
+    """Drift of a growing production side against a reference.  Every
+    micro-batch leaves its value counts under its number; the drift is read
+    from the counts of all batches.  The parts arrive one after another, a run
+    over one checkpoint for each."""
+    from ..operators import drift as DR
+    src, counts, ckpt = (scratch_path(spark, f"running_drift_{x}") for x in ("rows", "counts", "ckpt"))
+    ref = materialize(DR.value_counts(reference.withColumn("side", F.lit("ref")), features), "reference_counts")
+    for part in parts:
+        part = part.select(*features)
+        part.write.mode("append").parquet(src)
+        run_available_now(file_stream(spark, src, part.schema, {}), counts, ckpt, "append",
+                          foreach=lambda batch, epoch: write_value_counts(batch, epoch, counts, features))
+    return running_drift(ref, counts, features)

@@ -12,7 +12,7 @@ load_all()
 
 SLOW = {"cross_validation", "latest_model_run", "score_with_model", "train_random_forest", "train_gbt_depth6",
         "train_gbt_depth8", "train_gbt_depth5", "feature_importance", "importance_bars", "trained_runs", "trained_best_model",
-        "trained_model_comparison", "trained_promotion_gate"}      # each runs the training job at full settings
+        "trained_model_comparison", "trained_promotion_gate", "trained_run_settings"}      # each runs the training job at full settings
 
 
 def _plan(df):

@@ -115,3 +115,20 @@ def test_steps_are_played_in_order():
     b = played(10, 20, False, [30, 40], 35, 10, 20)
     assert b[4] == [(30, "firing", 10)] and b[:4] == (10, 30, True, [40])
     assert played(10, 20, False, [], 29, 10, 20)[4] == [] and played(10, 20, False, [], 30, 10, 20)[4] == [(30, "inactive", 10)]
+
+
+def test_running_drift_equals_batch_and_a_replayed_batch_changes_nothing(spark):
+    from churnlake.operators import drift as DR
+    feats = ["a", "b"]
+    x = spark.range(900).select(F.when(F.col("id") % 3 == 0, "prod").otherwise("ref").alias("side"), (F.col("id") % 17).cast("double").alias("a"),
+                                F.when(F.col("id") % 5 != 0, (F.col("id") * 7 % 31 + (F.col("id") % 3 == 0).cast("int") * 4).cast("double")).alias("b"))
+    prod, ref = x.filter("side = 'prod'"), x.filter("side = 'ref'")
+    rounded = lambda d: sorted((r["feature"], r["ks_statistic"], round(r["p_value"], 10), r["drift_detected"], round(r["ref_mean"], 9), round(r["prod_mean"], 9))
+                               for r in d.collect())
+    want = rounded(DR.feature_drift(x, feats))
+    assert rounded(SJ.run_feature_drift(spark, ref, [prod.filter(F.col("a") % 2 == k) for k in range(2)], feats)) == want
+    counts = scratch_path(spark, "replayed_counts")
+    ref_counts = DR.value_counts(ref, feats)
+    for epoch, part in ((0, prod.filter("a < 5")), (1, prod.filter("a >= 5")), (1, prod.filter("a >= 5")), (0, prod.filter("a < 5"))):
+        SJ.write_value_counts(part.drop("side"), epoch, counts, feats)
+    assert rounded(SJ.running_drift(ref_counts, counts, feats)) == want
