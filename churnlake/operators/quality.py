@@ -360,23 +360,70 @@ REQUEST_FIELDS = ["customer_id", "tenure_months", "monthly_charges", "total_char
                   "senior_citizen"]
 
 
-def request_validation(requests: DataFrame) -> DataFrame:
-    """Typed request rows → valid flag + ordered list of violations
-    (required field missing, bound violated, category not allowed)."""
+def _value_violations() -> list:
+    """Bounds and categories of present values, null where kept."""
     rs = []
-    for c in REQUEST_FIELDS:
-        rs.append(F.when(F.col(c).isNull(), F.lit(f"missing:{c}")))
     for c, (lo, hi) in REQUEST_BOUNDS.items():
         v = F.col(c)
         cond = v < lo if hi is None else (v < lo) | (v > hi)
         rs.append(F.when(cond, F.lit(f"range:{c}")))
     for c, allowed in REQUEST_CATEGORIES.items():
         rs.append(F.when(F.col(c).isNotNull() & ~F.col(c).isin(allowed), F.lit(f"category:{c}")))
+    return rs
+
+
+def request_validation(requests: DataFrame) -> DataFrame:
+    """Typed request rows → valid flag + ordered list of violations
+    (required field missing, bound violated, category not allowed)."""
+    rs = [F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in REQUEST_FIELDS] + _value_violations()
     reasons = F.filter(F.array(*rs), lambda x: x.isNotNull())
     return requests.select(*REQUEST_FIELDS, (F.size(reasons) == 0).alias("valid"),
                            F.array_join(reasons, ",").alias("reasons"))
 
 
+REQUEST_TYPES = {c: "int" if c in ("tenure_months", "senior_citizen") else "float" if c in ("monthly_charges", "total_charges") else "str"
+                 for c in REQUEST_FIELDS}
+
+
+def json_requests(texts: DataFrame, json_col: str = "json", keep=()) -> DataFrame:
+    """Requests as JSON text → ``keep`` columns, typed fields, valid flag
+    and ordered violations.
+
+    Text that is no JSON object gives "json" alone.  A field that is absent
+    is "missing"; one that can't be read as its type, null included, is
+    "type" and stays null: whole numbers take integers, numbers without a
+    fraction and strings of either; numbers take numbers and strings of them;
+    strings take strings only.  Unknown fields are ignored.  Then bounds and
+    categories hold as for typed rows."""
+    x = texts.select(*keep, F.try_parse_json(F.col(json_col)).alias("_v"))
+    whole = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
+    x = x.withColumn("_v", F.when(whole, F.col("_v")))
+
+    def field(c: str):
+        raw = F.expr(f"try_variant_get(_v, '$.{c}', 'variant')")
+        kind, text, number = F.schema_of_variant(raw), F.expr(f"try_variant_get(_v, '$.{c}', 'string')"), F.expr(f"try_variant_get(_v, '$.{c}', 'double')")
+        is_number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+        if REQUEST_TYPES[c] == "str":
+            value = F.when(kind == "STRING", text)
+        elif REQUEST_TYPES[c] == "float":
+            read = F.trim(text).try_cast("double")
+            value = F.when(is_number, number).when((kind == "STRING") & ~F.isnan(read), read)
+        else:
+            digits = F.regexp_extract(text, r"^\s*([+-]?[0-9]{1,18})(?:\.0*)?\s*$", 1)
+            value = (F.when(kind == "BIGINT", F.expr(f"try_variant_get(_v, '$.{c}', 'bigint')"))
+                     .when(is_number & (number == F.floor(number)), number.cast("bigint"))
+                     .when((kind == "STRING") & (digits != ""), digits.cast("bigint")))
+        return raw.isNull(), value
+
+    got = {c: field(c) for c in REQUEST_FIELDS}
+    x = x.select(*keep, F.col("_v").isNull().alias("_broken"), *[v.alias(c) for c, (_, v) in got.items()],
+                 *[absent.alias(f"_absent_{c}") for c, (absent, _) in got.items()])
+    rs = ([F.when(F.col(f"_absent_{c}"), F.lit(f"missing:{c}")) for c in REQUEST_FIELDS]
+          + [F.when(~F.col(f"_absent_{c}") & F.col(c).isNull(), F.lit(f"type:{c}")) for c in REQUEST_FIELDS] + _value_violations())
+    reasons = F.when(F.col("_broken"), F.array(F.lit("json"))).otherwise(F.filter(F.array(*rs), lambda r: r.isNotNull()))
+    return x.select(*keep, *REQUEST_FIELDS, (F.size(reasons) == 0).alias("valid"), F.array_join(reasons, ",").alias("reasons"))
+
+
 def categorical_invalid_values(df: DataFrame) -> DataFrame:
     """V5 detail: one row per (column, distinct invalid value) with its
     count — the reference's list of unique invalid values, kept as rows so

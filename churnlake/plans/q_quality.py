@@ -286,3 +286,41 @@ def _request_sql():
 @query("request_validation", oracle=_request_sql())
 def request_validation(spark, sf_dir):
     return Q.request_validation(_requests(spark, sf_dir))
+
+
+def json_texts(spark, sf_dir):
+    """Requests of all customers as JSON, some of them broken, mistyped, incomplete or out of bounds."""
+    x = FX.with_key(FX.customers_raw(spark, sf_dir))
+    k = F.col("k")
+    text = {c: F.to_json(F.struct(F.col(c).alias("x"))).substr(F.lit(6), F.length(F.to_json(F.struct(F.col(c).alias("x")))) - 6) for c in Q.REQUEST_FIELDS}
+    tenure, when = F.col("tenure_months").cast("string"), lambda n, c, t: F.when(k % n == 0, F.lit(t)).otherwise(text[c])      # noqa: E731
+    text["tenure_months"] = (F.when(k % 59 == 0, "-5").when(k % 37 == 0, F.concat(tenure, F.lit(".5")))
+                             .when(k % 31 == 0, F.concat(F.lit('" '), tenure, F.lit('"'))).when(k % 73 == 0, F.concat(tenure, F.lit(".0"))).otherwise(tenure))
+    text["monthly_charges"] = when(41, "monthly_charges", "null")
+    text["senior_citizen"] = when(53, "senior_citizen", '"yes"')
+    text["payment_method"] = when(61, "payment_method", '"Bitcoin"')
+    text["total_charges"] = when(67, "total_charges", '" 12.5 "')
+    text["phone_service"] = when(71, "phone_service", "1")
+    parts = [F.when(k % 43 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit(f'"{c}":'), t)) if c == "contract_type" else F.concat(F.lit(f'"{c}":'), t)
+             for c, t in text.items()]
+    extra = F.when(k % 47 == 0, '"extra":{"a":[1,null]}')
+    body = F.concat_ws(",", *parts, extra)
+    return x.select("k", F.concat(F.lit("{"), body, F.when(k % 97 == 0, "").otherwise("}")).alias("json"))
+
+
+_JSON_SQL = """
+SELECT k, CASE WHEN k % 97 <> 0 AND (k % 37 <> 0 OR k % 59 = 0) THEN CASE WHEN k % 59 = 0 THEN -5 ELSE tenure_months END END AS tenure_months,
+       CASE WHEN k % 97 <> 0 AND k % 41 <> 0 THEN monthly_charges END AS monthly_charges,
+       CASE WHEN k % 97 <> 0 THEN CASE WHEN k % 67 = 0 THEN 12.5e0 ELSE total_charges END END AS total_charges,
+       reasons = '' AS valid, reasons
+FROM (SELECT *, CASE WHEN k % 97 = 0 THEN 'json' ELSE concat_ws(',',
+        CASE WHEN k % 43 = 0 THEN 'missing:contract_type' END,
+        CASE WHEN k % 37 = 0 AND k % 59 <> 0 THEN 'type:tenure_months' END, CASE WHEN k % 41 = 0 THEN 'type:monthly_charges' END,
+        CASE WHEN k % 71 = 0 THEN 'type:phone_service' END, CASE WHEN k % 53 = 0 THEN 'type:senior_citizen' END,
+        CASE WHEN k % 59 = 0 THEN 'range:tenure_months' END, CASE WHEN k % 61 = 0 THEN 'category:payment_method' END) END AS reasons FROM customers_k)"""
+
+
+@query("request_json_validation", oracle=_JSON_SQL)
+def request_json_validation(spark, sf_dir):
+    """JSON requests with type errors; what the fields were changed to is known from the key."""
+    return Q.json_requests(json_texts(spark, sf_dir), keep=["k"]).select("k", "tenure_months", "monthly_charges", "total_charges", "valid", "reasons")

@@ -15,7 +15,7 @@ from ..operators import monitoring as MO
 from ..sources.schemas import CUSTOMERS_RAW
 from .q_evaluation import run_log
 from .q_monitoring import _WIN_SQL, FIXTURE_ALERT, FOR_SECONDS, GAUGES_SQL, P95_SQL, RATE_THRESHOLD, SUSTAINED_SQL, alert_sql, rates
-from .q_quality import _summary_sql
+from .q_quality import _JSON_SQL, _summary_sql, json_texts
 from .registry import query
 
 # Rows more than this behind the newest are late; the jobs deal the stored events in time order (log_in_time_order).
@@ -132,3 +132,11 @@ def stream_feature_drift(spark, sf_dir):
     d = SJ.run_feature_drift(spark, x.filter("side = 'ref'"), [prod.filter(third == k) for k in range(3)], FE.FEATURE_COLUMNS)
     return d.select("feature", "ks_statistic", F.round("p_value", 10).alias("p_value"), "drift_detected",
                     *[F.round(c, n).alias(c) for c, n in (("ref_mean", 9), ("prod_mean", 9), ("change_pct", 6))])
+
+
+@query("stream_request_json", oracle=_JSON_SQL)
+def stream_request_json(spark, sf_dir):
+    """The JSON requests as a stream."""
+    src = scratch_path(spark, "json_requests")
+    json_texts(spark, sf_dir).write.parquet(src)
+    return SJ.run_json_requests(spark, src, "k bigint, json string", ["k"]).select("k", "tenure_months", "monthly_charges", "total_charges", "valid", "reasons")

@@ -309,3 +309,10 @@ def run_feature_drift(spark: SparkSession, reference: DataFrame, parts: Iterable
         run_available_now(file_stream(spark, src, part.schema, {}), counts, ckpt, "append",
                           foreach=lambda batch, epoch: write_value_counts(batch, epoch, counts, features))
     return running_drift(ref, counts, features)
+
+
+def run_json_requests(spark: SparkSession, source: str, schema: str, keep=()) -> DataFrame:
+    """S16 in the stream: JSON texts (column json) checked as they arrive (stateless, append mode)."""
+    sink, ckpt = scratch_path(spark, "json_requests_sink"), scratch_path(spark, "json_requests_ckpt")
+    run_available_now(Q.json_requests(file_stream(spark, source, schema), keep=keep), sink, ckpt, "append")
+    return spark.read.parquet(sink).drop("_epoch")

@@ -141,3 +141,24 @@ def test_namespace_and_views(spark):
     create_views(df)
     assert spark.sql("SELECT total_customers FROM churn_summary").first()[0] == 1
     assert spark.sql("SELECT count(*) FROM high_risk_customers").first()[0] == 1
+
+
+def test_json_requests_read_types_leniently_and_report_the_rest(spark):
+    import json
+    good = {"customer_id": "C1", "tenure_months": 12, "monthly_charges": 70.5, "total_charges": 840, "contract_type": "One year",
+            "payment_method": "Mailed check", "internet_service": "DSL", "phone_service": "Yes", "online_security": "No", "tech_support": "No", "senior_citizen": 0}
+    edit = lambda **kw: json.dumps({k: v for k, v in (good | kw).items() if v != "absent"})
+    cases = [
+        (edit(), ""), (edit(tenure_months="12"), ""), (edit(tenure_months=12.0), ""), (edit(tenure_months=" 12.00 "), ""), (edit(total_charges="1e3"), ""),
+        (edit(extra=[1, {"a": None}]), ""), (edit(tenure_months=12.5), "type:tenure_months"), (edit(tenure_months="12.5"), "type:tenure_months"),
+        (edit(tenure_months=True), "type:tenure_months"), (edit(tenure_months=None), "type:tenure_months"), (edit(tenure_months="absent"), "missing:tenure_months"),
+        (edit(monthly_charges="a lot"), "type:monthly_charges"), (edit(monthly_charges=[1]), "type:monthly_charges"), (edit(monthly_charges="NaN"), "type:monthly_charges"),
+        (edit(customer_id=7), "type:customer_id"), (edit(tenure_months=-5, payment_method="Bitcoin"), "range:tenure_months,category:payment_method"),
+        (edit(senior_citizen="absent", tenure_months="x", monthly_charges=900), "missing:senior_citizen,type:tenure_months,range:monthly_charges"),
+        ("{", "json"), ("", "json"), (None, "json"), ("[1]", "json"), ("12", "json"), ("null", "json"), (edit()[:-1], "json"),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "k int, json string").coalesce(1)
+    got = {r["k"]: r for r in Q.json_requests(df, keep=["k"]).collect()}
+    assert [got[i]["reasons"] for i in range(len(cases))] == [r for _, r in cases]
+    assert all(got[i]["valid"] == (r == "") for i, (_, r) in enumerate(cases))
+    assert [got[i]["tenure_months"] for i in range(5)] == [12] * 5 and got[4]["total_charges"] == 1000.0
