@@ -121,6 +121,29 @@ def latency_percentiles(log: DataFrame, exact: bool = True) -> DataFrame:
     return with_one_row(log.agg(F.avg("latency_ms").alias("avg_ms")), p)
 
 
+#: Size of a latency sketch, and the share of rows its quantiles' ranks may be off by (about 0.2 % is usual at this size).
+SKETCH_SIZE, RANK_ERROR = 1600, 0.01
+
+
+def daily_sketches(log: DataFrame, value: str = "latency_ms", size: int = SKETCH_SIZE) -> DataFrame:
+    """A1, M8 as stored state: per day the row count and a KLL sketch of a
+    column (a few KB, however many rows the day has).  Sketches of any days
+    merge, so quantiles of a range need no second look at its rows."""
+    v = F.col(value).cast("double")
+    return log.filter(v.isNotNull() & ~F.isnan(v)).groupBy(_day().alias("date")).agg(
+        F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(v, F.lit(size)).alias("sketch"))
+
+
+def range_quantiles(sketches: DataFrame, ranges: DataFrame, probs) -> DataFrame:
+    """(first_day, last_day, p, n, q) for day ranges (first_day, last_day):
+    approximate quantiles from the merged sketches of their days; ranges
+    without any row are left out.  The exact form stays the default."""
+    days = ranges.select("first_day", "last_day", F.explode(F.sequence("first_day", "last_day", F.expr("INTERVAL 1 DAY"))).alias("date"))
+    merged = days.join(sketches, "date").groupBy("first_day", "last_day").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    each = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias("q")) for p in probs])
+    return merged.select("first_day", "last_day", "n", F.inline(each)).select("first_day", "last_day", "p", "n", "q")
+
+
 def daily_kpi_delta(log: DataFrame) -> DataFrame:
     """Per day predictions and mean latency, with the change against
     the previous calendar day (equi-join on day − 1; no global ordering)."""

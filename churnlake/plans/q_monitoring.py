@@ -111,6 +111,27 @@ def latency_percentiles(spark, sf_dir):
     return MO.latency_percentiles(_log(spark, sf_dir)).withColumn("avg_ms", F.round("avg_ms", 9))
 
 
+@query("weekly_latency_sketches", oracle="""
+WITH d AS (SELECT DISTINCT date_trunc('day', event_time) AS last_day FROM prediction_log)
+SELECT CAST(d.last_day AS TIMESTAMP) AS last_day, t.p, COUNT(*) AS n, TRUE AS within_bound
+FROM d JOIN prediction_log l ON date_trunc('day', l.event_time) BETWEEN d.last_day - INTERVAL 6 DAY AND d.last_day,
+     (VALUES (5e-1), (9.5e-1), (9.9e-1)) t(p)
+GROUP BY d.last_day, t.p""")
+def weekly_latency_sketches(spark, sf_dir):
+    """A1, M8: quantiles of the seven days up to each day from stored daily
+    sketches, and whether their ranks among all those days' rows are within the bound."""
+    log = _log(spark, sf_dir)
+    stored = materialize(MO.daily_sketches(log), "latency_sketches")
+    ranges = stored.select((F.col("date") - F.expr("INTERVAL 6 DAYS")).alias("first_day"), F.col("date").alias("last_day"))
+    q = MO.range_quantiles(stored, ranges, [0.5, 0.95, 0.99])
+    day = F.date_trunc("day", F.col("event_time")).cast("timestamp_ntz")
+    rows = log.select("latency_ms", F.explode(F.sequence(day, day + F.expr("INTERVAL 6 DAYS"), F.expr("INTERVAL 1 DAY"))).alias("last_day"))
+    rank = rows.join(q, "last_day").groupBy("last_day", "p", "n").agg(
+        F.count_if(F.col("latency_ms") < F.col("q")).alias("below"), F.count_if(F.col("latency_ms") <= F.col("q")).alias("upto"))
+    within = (F.col("below") / F.col("n") <= F.col("p") + MO.RANK_ERROR) & (F.col("upto") / F.col("n") >= F.col("p") - MO.RANK_ERROR)
+    return rank.select("last_day", "p", "n", within.alias("within_bound"))
+
+
 @query("daily_kpi_delta", oracle="""
 WITH d AS (SELECT date_trunc('day', event_time) AS date, COUNT(*) AS predictions, AVG(latency_ms) AS avg_latency_ms
            FROM prediction_log GROUP BY 1)

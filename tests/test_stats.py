@@ -119,3 +119,25 @@ def test_one_part_with_most_rows_is_cut(spark):
     plan = S.prefix_sum(df, ["g"], ["v"], ["c"])._jdf.queryExecution().executedPlan().toString()
     rows_by_part = [line for line in plan.splitlines() if "Exchange hashpartitioning(g#" in line and "_slice" not in line]
     assert len(rows_by_part) <= 1      # only the per-part array of slice totals meets on the part key
+
+
+def test_daily_sketches_merge_to_any_range_of_days(spark):
+    """Rank error of every (first, last) range within the bound; the sketches come back from a stored table."""
+    import datetime as dt
+    from churnlake.operators import monitoring as MO
+    from churnlake.session import materialize
+    log = spark.range(12_000).select(
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days=(F.col("id") % 6).cast("int"), hours=(F.col("id") % 24).cast("int"))).alias("event_time"),
+        F.when(F.col("id") % 97 != 0, F.pow(F.lit(1.0007), (F.col("id") * 7919 % 12_000).cast("double"))).alias("latency_ms"))
+    sk = materialize(MO.daily_sketches(log), "sketches")
+    days = [dt.datetime(2024, 1, 1 + i) for i in range(7)]
+    ranges = spark.createDataFrame([(a, b) for i, a in enumerate(days) for b in days[i:]], "first_day timestamp_ntz, last_day timestamp_ntz")
+    values = {}
+    for r in log.filter("latency_ms is not null").select(F.to_date("event_time").alias("d"), "latency_ms").collect():
+        values.setdefault(r["d"], []).append(r["latency_ms"])
+    got = MO.range_quantiles(sk, ranges, [0.05, 0.5, 0.95, 0.99]).collect()
+    assert len({(r["first_day"], r["last_day"]) for r in got}) == 27      # the range of the empty seventh day alone has no row
+    for r in got:
+        v = [x for d, xs in values.items() if r["first_day"].date() <= d <= r["last_day"].date() for x in xs]
+        assert r["n"] == len(v)
+        assert sum(x < r["q"] for x in v) / len(v) <= r["p"] + MO.RANK_ERROR and sum(x <= r["q"] for x in v) / len(v) >= r["p"] - MO.RANK_ERROR
