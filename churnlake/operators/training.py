@@ -4,7 +4,7 @@ The random forest is ``pyspark.ml``'s; the boosted learners are those of
 ``boosting`` (second-order trees, leaf-wise trees, residual trees), all fitted
 in the same passes.  Metrics reuse ``evaluation`` (exact count ratios and rank
 AUC on the positive-class probability).  Run and version bookkeeping are small
-tables appended in the shared table folder.
+versioned tables in the shared folder.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -23,6 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import versioned as V
 from . import boosting as BO
 from . import evaluation as EV
 from .features import FEATURE_COLUMNS, LABEL
@@ -195,49 +197,53 @@ def run_rows(spark: SparkSession, specs: list[ModelSpec], metrics: DataFrame, cv
 
 
 def append_run(run: DataFrame, runs_path: str) -> None:
-    run.write.mode("append").parquet(runs_path)
+    V.append(run, runs_path)
 
 
 def latest_run(spark: SparkSession, runs_path: str) -> DataFrame:
     """The most recent run (``search_runs`` ordered by start time,
     one result)."""
-    runs = spark.read.parquet(runs_path)
+    runs = V.read(spark, runs_path)
     return runs.agg(F.max_by(F.struct(*runs.columns), F.struct("start_time", "run_id")).alias("r")).select("r.*")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _latest(spark: SparkSession, registry_path: str, name: str):
-    """The row of a model's highest version, or None where none is
-    registered.  A versions table that is there but can't be read is an error:
-    taking it for an empty one would start the numbers again."""
-    if not _exists(spark, f"{registry_path}/versions"):
-        return None
-    rows = spark.read.parquet(f"{registry_path}/versions").filter(F.col("name") == name)
-    return rows.agg(F.max_by(F.struct(*rows.columns), "version").alias("r")).first()["r"]
+    """The state of the versions table and the row of a model's highest
+    version in it, or None where none is registered.  A versions table that is
+    there but can't be read is an error: taking it for an empty one would
+    start the numbers again."""
+    snap = V.snapshot(spark, f"{registry_path}/versions")
+    if not snap.version:
+        return snap, None
+    rows = V.open_snapshot(spark, f"{registry_path}/versions", snap).filter(F.col("name") == name)
+    return snap, rows.agg(F.max_by(F.struct(*rows.columns), "version").alias("r")).first()["r"]
 
 
 def register_version(spark: SparkSession, model, registry_path: str, name: str, run_id: str, stage: str = "Production") -> DataFrame:
-    """Next version = max(version) + 1 for the name; the model is saved
-    under its version folder (never over another one) and a row is appended
-    to the versions table."""
-    last = _latest(spark, registry_path, name)
-    version = (last["version"] if last else 0) + 1
-    path = f"{registry_path}/models/{name}/v{version}"
+    """Next version = max(version) + 1 for the name.  The model is saved
+    in a folder of its own first; its row is committed on top of the versions
+    table it was numbered from, so two writers never get the same number."""
+    path = f"{registry_path}/models/{name}/{uuid.uuid4().hex}"
     save(model, spark, path)
-    row = spark.createDataFrame([(name, version, run_id, stage, path, _kind(model))],
-                                "name string, version int, run_id string, stage string, path string, kind string")
-    row.write.mode("append").parquet(f"{registry_path}/versions")
-    return row
+    while True:
+        snap, last = _latest(spark, registry_path, name)
+        row = spark.createDataFrame([(name, (last["version"] if last else 0) + 1, run_id, stage, path, _kind(model))],
+                                    "name string, version int, run_id string, stage string, path string, kind string")
+        try:
+            V.append(row, f"{registry_path}/versions", base=snap.version)
+            return row
+        except V.Conflict:
+            continue
+
+
+def registered_versions(spark: SparkSession, registry_path: str) -> DataFrame:
+    return V.read(spark, f"{registry_path}/versions")
 
 
 def load_production(spark: SparkSession, registry_path: str, name: str):
     """Latest registered version of a model, or None where none was
     registered (→ rule fallback); failing reads are errors."""
-    last = _latest(spark, registry_path, name)
+    last = _latest(spark, registry_path, name)[1]
     return load(spark, last["path"], last["kind"]) if last else None
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import analytics as A
+from ..session import scratch_path
 from ..sources import fixtures as FX
 from ..sources.catalog import create_namespace
 from ..sources import sinks
+from ..sources import versioned as V
 from .registry import query
 
 _CR_COLS = ("customer_id, tenure_months, monthly_charges, total_charges, contract_type, payment_method, "
@@ -88,6 +90,28 @@ def sink_overwrite_roundtrip(spark, sf_dir):
     return sinks.overwrite_roundtrip(spark, FX.derive_customers_raw(spark, sf_dir), "customers_raw_copy")
 
 
+@query("versioned_load_history", oracle="""
+WITH parts AS (
+  SELECT 1 AS version, 'replace' AS operation, churned, tenure_months FROM customers_raw
+  UNION ALL SELECT 2, 'append', churned, tenure_months FROM customers_raw
+  UNION ALL SELECT 2, 'append', churned, tenure_months FROM customers_raw WHERE churned = 1
+  UNION ALL SELECT 3, 'replace', churned, tenure_months FROM customers_raw WHERE churned = 0)
+SELECT version, operation, COUNT(*) AS n_rows, CAST(SUM(churned) AS BIGINT) AS churned, CAST(SUM(tenure_months) AS BIGINT) AS tenure_months
+FROM parts GROUP BY version, operation""")
+def versioned_load_history(spark, sf_dir):
+    """S3: the load as commits — all customers, the churned ones once more,
+    then the others alone — each version read back after the last commit."""
+    table, raw = scratch_path(spark, "customers_versions"), FX.customers_raw(spark, sf_dir)
+    snaps = [V.replace(raw, table), V.append(raw.filter("churned = 1"), table), V.replace(raw.filter("churned = 0"), table)]
+    out = None
+    for s in snaps:
+        rows = V.read(spark, table, s.version).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("churned").cast("bigint").alias("churned"),
+                                                   F.sum("tenure_months").cast("bigint").alias("tenure_months"))
+        rows = rows.select(F.lit(s.version).alias("version"), F.lit(s.operation).alias("operation"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("load_rowcount_check", oracle="""
 SELECT COUNT(*) AS source_rows, COUNT(*) AS loaded_rows, TRUE AS "match" FROM customers_raw""")
 def load_rowcount_check(spark, sf_dir):

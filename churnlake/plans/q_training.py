@@ -179,7 +179,7 @@ def trained_best_model(spark, sf_dir):
     """The best run, its registered version, and the metadata read back."""
     root, schema = training_job(spark, sf_dir)
     best = EV.best_model(runs(spark, sf_dir)).select("run_id", "model_type", "f1_score")
-    versions = spark.read.parquet(f"{root}/registry/versions").select("run_id", "name", "version", "stage")
+    versions = TR.registered_versions(spark, f"{root}/registry").select("run_id", "name", "version", "stage")
     meta = sinks.read_json(spark, f"{root}/model_metadata", schema).select(
         F.col("model_name").alias("model_type"), "best_score", F.size("features").alias("n_features"))
     return best.join(versions, "run_id").join(meta, "model_type").drop("run_id")

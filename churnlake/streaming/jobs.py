@@ -21,6 +21,7 @@ from ..operators import quality as Q
 from ..operators import scoring as SC
 from ..operators.stats import with_one_row
 from ..session import materialize, scratch_path
+from ..sources import versioned as V
 from ..sources.fixtures import prediction_columns
 from ..sources.schemas import BASE_SCHEMAS, CUSTOMERS_RAW
 
@@ -87,6 +88,13 @@ def _epoch_sink(path: str):
     return write
 
 
+def versioned_sink(table: str, stream: str):
+    """Micro-batches as commits of a versioned table: readers see whole batches, a replayed one is added once."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        V.append(batch, table, stream=stream, epoch=epoch)
+    return write
+
+
 #: Fixed settings: state on local disk instead of the executors' heap; a batch's changes go to the checkpoint.
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
@@ -107,11 +115,14 @@ def state_in_rocksdb(spark: SparkSession):
 
 def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, mode: str = "update",
                       foreach=None) -> None:
-    """Process everything available, then stop (``Trigger.AvailableNow``)."""
+    """Process everything available, then stop (``Trigger.AvailableNow``).
+    State lies in RocksDB; a run that failed or lost its executors' disks goes
+    on from the checkpoint."""
     w = (stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True))
     w = w.foreachBatch(foreach or _epoch_sink(sink_path))
-    q = w.start()
+    with state_in_rocksdb(stream.sparkSession):
+        q = w.start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()

@@ -1,4 +1,6 @@
 import datetime as dt
+import os
+import shutil
 import time
 
 from pyspark.sql import functions as F
@@ -132,3 +134,55 @@ def test_running_drift_equals_batch_and_a_replayed_batch_changes_nothing(spark):
     for epoch, part in ((0, prod.filter("a < 5")), (1, prod.filter("a >= 5")), (1, prod.filter("a >= 5")), (0, prod.filter("a < 5"))):
         SJ.write_value_counts(part.drop("side"), epoch, counts, feats)
     assert rounded(SJ.running_drift(ref_counts, counts, feats)) == want
+
+
+def _elsewhere(spark, checkpoint):
+    """A copy of the checkpoint: no executor holds state for its path, as if all had lost their disks."""
+    copy = scratch_path(spark, "ckpt_copy")
+    if os.path.exists(checkpoint.removeprefix("file:")):
+        shutil.copytree(checkpoint.removeprefix("file:"), copy.removeprefix("file:"))
+    return copy
+
+
+def test_resumes_after_failures_and_lost_state(spark):
+    """Three parts of events in three runs over one checkpoint, a batch that
+    fails after its rows were committed, local state lost before every run:
+    the table holds what an uninterrupted run writes, and so do the windows."""
+    from churnlake.sources import versioned as V
+    from churnlake.sources.tables import read_table
+    ev = read_table(spark, SMOKE, "events")
+    edges = ev.selectExpr("percentile(event_id, array(0.33, 0.66)) AS q").first()["q"]
+    parts = [ev.filter(F.col("event_id") <= edges[0]), ev.filter((F.col("event_id") > edges[0]) & (F.col("event_id") <= edges[1])).unionByName(ev.limit(50)),
+             ev.filter(F.col("event_id") > edges[1])]
+    table, ckpt, failed = scratch_path(spark, "deduped"), scratch_path(spark, "ckpt"), []
+    commit = SJ.versioned_sink(table, "dedup")
+
+    def flaky(batch, epoch):
+        commit(batch, epoch)
+        if epoch == 1 and not failed:
+            failed.append(epoch)
+            raise RuntimeError("lost after the commit")
+
+    def deduped(log):
+        return log.withWatermark("event_time", "4000 days").dropDuplicatesWithinWatermark(["event_id"])
+
+    for log in SJ.log_in_parts(spark, parts):
+        ckpt = _elsewhere(spark, ckpt)
+        try:
+            SJ.run_available_now(deduped(log), "", ckpt, mode="append", foreach=flaky)
+        except Exception:
+            assert failed == [1]
+            ckpt = _elsewhere(spark, ckpt)
+            SJ.run_available_now(deduped(log), "", ckpt, mode="append", foreach=flaky)
+    assert failed == [1]
+    got = [r["event_id"] for r in V.read(spark, table).select("event_id").collect()]
+    assert len(got) == len(set(got)) and set(got) == {r["event_id"] for r in ev.select("event_id").collect()}
+
+    sink, ckpt = scratch_path(spark, "windows"), scratch_path(spark, "ckpt")
+    for log in SJ.log_in_parts(spark, [parts[0], ev.filter((F.col("event_id") > edges[0]) & (F.col("event_id") <= edges[1])), parts[2]]):
+        ckpt = _elsewhere(spark, ckpt)
+        SJ.run_available_now(SJ.windowed_counts_stream(log, "4000 days").selectExpr("w.start AS window_start", "requests", "errors"), sink, ckpt)
+    state = SJ.latest_per_key(spark, sink, ["window_start"], ["requests", "errors"])
+    total = state.agg(F.sum("requests").alias("a"), F.sum("errors").alias("b")).first()
+    want = FX.prediction_log(spark, SMOKE).agg(F.count(F.lit(1)).alias("a"), F.sum("is_error").alias("b")).first()
+    assert tuple(total) == tuple(want)
