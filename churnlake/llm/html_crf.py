@@ -6,8 +6,9 @@ single blanks.  Every block is labelled content or boilerplate; the chain's
 scores are sums of feature weights per label plus a weight per pair of
 neighbouring labels, and Viterbi finds the best labelling of the whole page.
 
-Features: own and ancestor tags, words of the ancestors' class, id and role
-attributes, length class, share of link text, sentence punctuation, and the
+Features: own and ancestor tags, names in the ancestors' class, id and role
+attributes (whole, and their first and last words; not those of html, body and
+main, nor names of states such as ``has-sidebar``), length class, share of link text, sentence punctuation, and the
 position class of the block.
 
 Training: a bounded sample of the pages with an ``article`` or ``main`` tag
@@ -15,15 +16,17 @@ Training: a bounded sample of the pages with an ``article`` or ``main`` tag
 mark-up (blocks below ``article`` or ``main`` and not below navigation, notes,
 adverts or forms), plus copies of those pages (more of each, if there are few)
 rewritten into other common layouts (``div`` containers named by class
-or id, comment sections, side bars, notices) whose labels are known by
-construction.  Weights maximise the regularised conditional likelihood by
+or id, comment sections, side bars, notices; or no boilerplate, or no mark-up)
+whose labels are known by construction.  A ``header`` is no content, the
+article's own included.  Weights maximise the regularised conditional likelihood by
 AdaGrad steps over exact forward-backward gradients.  The weights (a few
 thousand numbers) go to the tasks as a broadcast.
 
 Null or empty html gives an empty text.  Unclosed and wrongly nested tags are
 closed where an enclosing tag ends; an open head ends at body, at text and at
 the first tag that head cannot hold, and a template, noscript, svg or iframe
-that is never closed hides nothing.  Scripts, styles, comments and templates
+that is never closed hides nothing; a comment that is never closed ends with
+the page.  Scripts, styles, comments and templates
 are no blocks and do not split a paragraph or heading; text of math, object
 and canvas is text.  Repeated pages are rows of their own.  Without any page to
 learn from there is no model, and every block outside boilerplate mark-up
@@ -66,16 +69,51 @@ BOILERPLATE_TAGS = frozenset("nav footer header aside form button select textare
 BOILERPLATE_WORDS = frozenset("""ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies consent
 disclaimer disqus footer form header legal login masthead menu modal nav navbar navigation newsletter notice overlay pagination popup promo
 promoted related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget""".split())
+# Elements that hold the page or the article (what they are called says nothing about a part of it), names by
+# which an article is no article of the page, words of names that tell a state, and words of names that hold content.
+OUTER_TAGS = frozenset("html body main".split())
+OTHER_ARTICLES = frozenset("ad ads advert advertisement comment comments promo promoted related reply replies sponsor sponsored".split())
+STATE_WORDS = frozenset("has with without".split())
+STATE_FIRST = frozenset("has is no not with without".split())
+STATE_LAST = frozenset("allowed closed disabled enabled open required".split())
+CONTENT_WORDS = frozenset("article container content entry layout main page post story wrap wrapper".split())
 _WORD = re.compile(r"[a-z]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
 # Hidden tags that must be closed to hide anything (the parser itself ends script and style).
 _CLOSED = frozenset("template noscript svg iframe".split())
 _CLOSERS = re.compile(r"</(template|noscript|svg|iframe)(?=[\s/>])", re.IGNORECASE)
 
 
+@lru_cache(20_000)
+def names(value: str) -> tuple[str, ...]:
+    """Names in a class, id or role attribute, each as its words joined by
+    ``-``; names of states (``has-sidebar``, ``comments-open``) are left out."""
+    out = []
+    for token in value.split():
+        words = [w for w in _WORD.findall(_CAMEL.sub("-", token).lower()) if len(w) > 1 and w != "js"]
+        if not words or (len(words) > 1 and (words[0] in STATE_FIRST or words[-1] in STATE_LAST or not STATE_WORDS.isdisjoint(words))):
+            continue
+        out.append("-".join(words))
+    return tuple(out)
+
+
+@lru_cache(20_000)
+def names_boilerplate(name: str) -> bool:
+    """The whole name, its first or its last word, or another word unless the name is one of a container."""
+    words = name.split("-")
+    if "".join(words) in BOILERPLATE_WORDS or words[0] in BOILERPLATE_WORDS or words[-1] in BOILERPLATE_WORDS:
+        return True
+    return not BOILERPLATE_WORDS.isdisjoint(words) and CONTENT_WORDS.isdisjoint(words)
+
+
+def is_boilerplate(tag: str, called: tuple[str, ...]) -> bool:
+    return tag in BOILERPLATE_TAGS or any(map(names_boilerplate, called))
+
+
 class _Blocks(HTMLParser):
     """Collects (text, link characters, ancestors) of leaf blocks.  ``ancestors``
-    is a tuple of (tag, attribute words)."""
+    is a tuple of (tag, names)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -86,12 +124,22 @@ class _Blocks(HTMLParser):
         self.hidden = 0
         self.anchors = 0
         self.heads = 0
+        self.ending = False
         self.closers: Counter[str] = Counter()
 
     def feed(self, data):
         self.closers.update(t.lower() for t in _CLOSERS.findall(data))
         super().feed(data)
 
+    def close(self):
+        self.ending = True
+        super().close()
+
+    def parse_comment(self, i, report=True):
+        """A comment that is never closed ends with the page."""
+        end = super().parse_comment(i, report)
+        return len(self.rawdata) if end < 0 and self.ending else end
+
     def flush(self) -> None:
         if self.text:
             text = _SPACE.sub(" ", "".join(self.text)).strip()
@@ -143,8 +191,10 @@ class _Blocks(HTMLParser):
             self.text.append(" ")
         if tag in VOID_TAGS:
             return
-        words = tuple(w for k, v in attrs if k in ("class", "id", "role") and v for w in _WORD.findall(v.lower()))
-        self.stack.append((tag, words))
+        called = () if tag in OUTER_TAGS else tuple(w for k, v in attrs if k in ("class", "id", "role") and v for w in names(v))
+        if tag == "article":
+            called = tuple(w for w in called if w in OTHER_ARTICLES)
+        self.stack.append((tag, called))
         self.hidden += tag in HIDDEN_TAGS
         self.anchors += tag == "a"
         self.heads += tag == "head"
@@ -208,17 +258,19 @@ def text_features(text: str, links: int, first: bool, last: bool) -> list[str]:
 
 
 def in_boilerplate(path: tuple) -> bool:
-    return any(t in BOILERPLATE_TAGS or not BOILERPLATE_WORDS.isdisjoint(ws) for t, ws in path)
+    return any(is_boilerplate(t, ws) for t, ws in path)
 
 
 @lru_cache(20_000)
 def path_features(path: tuple) -> list[str]:
     tags = {t for t, _ in path}
-    names = {w for _, ws in path for w in ws}
-    f = ["bias", f"own:{path[-1][0] if path else ''}", *[f"in:{t}" for t in sorted(tags)], *[f"name:{w}" for w in sorted(names)]]
+    called = {w for _, ws in path for w in ws}
+    parts = {w for name in called for w in (name.split("-")[0], name.split("-")[-1])}
+    f = ["bias", f"own:{path[-1][0] if path else ''}", *[f"in:{t}" for t in sorted(tags)], *[f"name:{w}" for w in sorted(called)],
+         *[f"part:{w}" for w in sorted(parts)]]
     if in_boilerplate(path):
         f.append("boilerplate")
-    if tags & {"article", "main"} or names & {"article", "content", "main", "post", "story", "entry", "body"}:
+    if tags & {"article", "main"} or parts & {"article", "content", "main", "post", "story", "entry", "body"}:
         f.append("main")
     return f
 
@@ -323,30 +375,41 @@ def own_labels(blocks: list[tuple[str, int, tuple]]) -> list[int] | None:
         inside = "article" in tags or "main" in tags
         seen |= inside
         depth = max((k for k, t in enumerate(tags) if t in ("article", "main")), default=0)
-        below = path[depth:]
-        bad = any(t in BOILERPLATE_TAGS or BOILERPLATE_WORDS & set(w) for t, w in below[1:])
-        out.append(int(inside and not bad))
+        out.append(int(inside and not in_boilerplate(path[depth:])))
     return out if seen else None
 
 
-_CONTAINERS = (("article", ()), ("main", ()), ("div", ("content",)), ("div", ("post", "body")), ("div", ("article",)), ("section", ("story",)),
-               ("div", ("entry",)), ("div", ()))
+_CONTAINERS = (("article", ()), ("main", ()), ("div", ("content",)), ("div", ("post-body",)), ("div", ("post", "body")), ("div", ("article",)),
+               ("section", ("story",)), ("div", ("entry",)), ("div", ("entry-content",)), ("div", ()))
+_WRAPPERS = (("div", ("wrapper",)), ("div", ("page",)), ("div", ("site", "container")), ("div", ("content-sidebar-wrap",)), ("section", ()), ("div", ()))
 _CONTENT_TAGS = tuple(tuple((t, ()) for t in x.split()) for x in (
     "ul li", "ol li", "ul li p", "blockquote p", "blockquote", "table tr td", "table tbody tr td", "pre", "h2", "h3", "h4", "div", "section p",
     "section h2", "figure figcaption", "p b", "p em", "p a", "dl dt", "dl dd", "div p"))
-_EXTRAS = (("section", ("comments",)), ("div", ("comment", "list")), ("div", ("comments",)), ("ol", ("commentlist", "comments")), ("div", ("comment", "body")), ("ul", ("nav",)),
-           ("aside", ()), ("aside", ("sidebar",)), ("div", ("sidebar",)), ("div", ("notice",)), ("div", ("cookie", "banner")),
-           ("div", ("cookie", "notice")), ("form", ()), ("form", ("newsletter",)), ("header", ()), ("div", ("header",)), ("div", ("footer",)),
-           ("footer", ()), ("div", ("ad",)), ("div", ("ads",)), ("div", ("advert",)), ("div", ("sponsored",)), ("div", ("related",)),
-           ("div", ("share",)), ("div", ("menu",)), ("ul", ("menu",)), ("nav", ()), ("div", ("newsletter", "signup")), ("div", ("breadcrumbs",)))
+_EXTRAS = (("section", ("comments",)), ("div", ("comment-list",)), ("div", ("comments",)), ("ol", ("commentlist", "comments")), ("div", ("comment-body",)),
+           ("article", ("comment",)), ("ul", ("nav",)), ("aside", ()), ("aside", ("sidebar",)), ("div", ("sidebar",)), ("div", ("left-sidebar",)),
+           ("div", ("notice",)), ("div", ("cookie-banner",)), ("div", ("cookie-notice",)), ("form", ()), ("form", ("newsletter",)), ("header", ()),
+           ("div", ("header",)), ("div", ("site-header",)), ("div", ("footer",)), ("footer", ()), ("div", ("ad",)), ("div", ("ads",)), ("div", ("advert",)),
+           ("div", ("sponsored",)), ("div", ("related",)), ("div", ("share",)), ("div", ("share-buttons",)), ("div", ("menu",)), ("ul", ("menu",)),
+           ("nav", ()), ("div", ("newsletter-signup",)), ("div", ("breadcrumbs",)))
+#: Shares of the rewritten pages that are text without any mark-up, and that have content alone.
+BARE, PURE = 0.05, 0.15
 
 
 def rewritten(blocks: list[tuple[str, int, tuple]], labels: list[int], spare: list[str], rng: random.Random) -> tuple[list, list[int]]:
     """The page in another layout: its content in a container of another
     kind, boilerplate sections around and sometimes inside it, filled with
-    running text of other pages, so that text alone does not decide."""
+    running text of other pages, so that text alone does not decide.  Some
+    pages have no boilerplate at all, some no mark-up."""
+    content = [b for b, y in zip(blocks, labels) if y]
+    dice = rng.random()
+    if dice < BARE:
+        text = " ".join(t for t, _, _ in content)
+        return [(text if rng.random() < 0.5 else content[0][0][:rng.randint(3, 60)].strip() or text, 0, ())], [1]
+    pure = dice < BARE + PURE
     container = rng.choice(_CONTAINERS)
-    outer = (("html", ()), ("body", ()))
+    outer = (("html", ()), ("body", ())) if rng.random() < 0.8 else ()
+    if rng.random() < 0.4:
+        outer = (*outer, rng.choice(_WRAPPERS))
     out, marks = [], []
 
     def extra(path: tuple) -> None:
@@ -357,9 +420,10 @@ def rewritten(blocks: list[tuple[str, int, tuple]], labels: list[int], spare: li
             out.append((text, len(text) if rng.random() < 0.3 else 0, (*path, section, inner)))
             marks.append(0)
 
-    for _ in range(rng.randint(1, 3)):
+    for _ in range(0 if pure else rng.randint(1, 3)):
         extra(outer)
-    content = [b for b, y in zip(blocks, labels) if y]
+    if pure and rng.random() < 0.5:
+        content = content[:rng.randint(1, 4)]
     for k, (text, links, path) in enumerate(content):
         own = path[-1][0] if path[-1][0] not in ("article", "main") else "p"
         tail = rng.choice(_CONTENT_TAGS) if rng.random() < 0.3 else ((own, ()),)
@@ -368,9 +432,9 @@ def rewritten(blocks: list[tuple[str, int, tuple]], labels: list[int], spare: li
             links = len(text) if rng.random() < 0.2 else 0
         out.append((text, links, (*outer, container, *tail)))
         marks.append(1)
-        if rng.random() < 0.1:
+        if not pure and rng.random() < 0.1:
             extra((*outer, container))
-    for _ in range(rng.randint(1, 3)):
+    for _ in range(0 if pure else rng.randint(1, 3)):
         extra((*outer, container) if rng.random() < 0.4 else outer)
     return out, marks
 

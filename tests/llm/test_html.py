@@ -98,3 +98,40 @@ def test_pages_without_article_keep_their_text(spark, labelled):
 ])
 def test_no_text_is_hidden_by_omitted_tags(html, want):
     assert [b[0] for b in H.leaf_blocks(html)] == want
+
+
+TWO = "<h2>Title of it</h2><p>First paragraph, with a line.</p><p>Second one, rather short.</p>"
+TWO_TEXT = "Title of it\n\nFirst paragraph, with a line.\n\nSecond one, rather short."
+NAV, FOOT = '<nav><ul><li><a href="/">Home</a></li><li><a href="/a">About</a></li></ul></nav>', "<footer><p>&copy; 2020, all rights reserved.</p></footer>"
+LAYOUTS = [
+    (f'<body class="page has-sidebar">{NAV}<article>{TWO}</article>{FOOT}</body>', TWO_TEXT),
+    (f'<html class="js cookie-consent"><body>{NAV}<article>{TWO}</article>{FOOT}</body></html>', TWO_TEXT),
+    (f'<body>{NAV}<article class="post share-enabled">{TWO}</article>{FOOT}</body>', TWO_TEXT),
+    (f'<article class="post share-enabled">{TWO}</article>', TWO_TEXT),
+    (f'<body class="login-enabled"><main>{TWO}</main></body>', TWO_TEXT),
+    (f'<body class="comments-open"><main class="with-sidebar">{TWO}</main></body>', TWO_TEXT),
+    (f'<body><div class="layout with-sidebar"><article>{TWO}</article><div class="sidebar"><p>Popular posts, see them all. Yes.</p></div></div></body>', TWO_TEXT),
+    (f'<body>{NAV}<main>{TWO}<article class="comment"><p>Great article, thanks a lot. I liked it.</p></article></main>{FOOT}</body>', TWO_TEXT),
+    (f'<body>{NAV}<article>{TWO}</article><div id="div-comment-1" class="comment-body"><p>Great article, thanks a lot. I liked it.</p></div></body>', TWO_TEXT),
+    ("A text without any mark-up, in one line. It goes on.", "A text without any mark-up, in one line. It goes on."),
+    ("plain text", "plain text"),
+    (f"<article>{TWO}</article>", TWO_TEXT),
+    (f"<body>{NAV}<article>{TWO}</article><!-- x <p>lost?", TWO_TEXT),
+]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_layouts_with_models_of_three_tables(spark, sf):
+    model = H.train(H.sample_pages(spark.read.parquet(f"{SMOKE}/../{sf}/pages.parquet")))
+    assert [(h, H.main_text(h, model)) for h, _ in LAYOUTS] == LAYOUTS
+
+
+def test_names():
+    assert H.names("page has-sidebar siteFooter js-nav comments-open x") == ("page", "site-footer", "nav")
+    assert [H.names_boilerplate(n) for n in ("nav", "nav-bar", "site-footer", "comment-body", "google-ads-top", "content-sidebar-wrap", "page", "story")] == \
+        [True, True, True, True, True, False, False, False]
+
+
+def test_unclosed_comment_ends_with_the_page():
+    assert [b[0] for b in H.leaf_blocks("<p>a</p><!-- x <p>lost?")] == ["a"]
+    assert [b[0] for b in H.leaf_blocks("<script><!-- x</script><p>a</p><!-- y --><p>b")] == ["a", "b"]
