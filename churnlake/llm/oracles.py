@@ -48,11 +48,12 @@ WITH parts AS (
          WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
          WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
          WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule,
-    rate - 1.645::DOUBLE * sqrt(rate * (1 - rate) / (total + 1)) AS bound
+    rate, rate - 1.645::DOUBLE * sqrt(rate * (1 - rate) / (total + 1)) AS bound
   FROM addr JOIN p3 USING (host)
 )
 SELECT page_id, host, path, rule,
-       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+       round(rate * 1e6)::BIGINT AS bad_rate_ppm, round(bound * 1e6)::BIGINT AS bound_ppm
 FROM judged
 """
 

@@ -36,7 +36,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_url_reputation", oracles.OP2)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = url_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
-    return got.select("page_id", "host", "path", "rule", "verdict")
+    return got.select("page_id", "host", "path", "rule", "verdict", F.round(F.col("bad_rate") * 1e6).cast("long").alias("bad_rate_ppm"),
+                      F.round(F.col("bound") * 1e6).cast("long").alias("bound_ppm"))
 
 
 @query("op3_token_files")

@@ -1,17 +1,21 @@
 """URL filter: explicit rules, else empirical-Bayes host reputation.
 
-A page is bad if its label says low quality or toxic.  Bad rates are shrunk
+A page is bad if its label says low quality or toxic.  The labels name
+documents; a page's label is that of the document with its id (the tables have
+no other labelled outcome for pages).  Bad rates are shrunk
 through beta-binomial priors down the chain all pages -> suffix -> registered
 domain -> host: a group's prior mean is its parent's posterior mean, and the
 level's prior strength comes from the data (moment estimate of the
 over-dispersion of its groups' outcomes).  A host is blocked if the lower
 posterior bound of its bad rate (mean minus Z standard deviations) exceeds
-``LIMIT``; hosts without labelled pages take their domain's or suffix's
+``LIMIT``: one half, where a page of the host is more likely bad than good and
+blocking costs fewer good pages than it stops bad ones.  Hosts without labelled pages take their domain's or suffix's
 posterior as prior and are blocked by the same bound.
 
 Outcome counts are aggregated per host before any other step (a host with a
-third of all pages is one row from then on); the levels above are aggregates
-of those rows.  Pages meet their host's verdict in one equi-join on the host,
+third of all pages is one row from then on) and written once; the levels above
+are aggregates of those rows, written too, and a level's strength is one
+number on the driver.  Pages are scanned twice.  Pages meet their host's verdict in one equi-join on the host,
 which adaptive execution splits where a host is hot.  DataFrame functions
 only.
 
@@ -25,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.stats import with_one_row
+from ..session import materialize
 
 #: Allow or block, host, path; the longest fitting rule wins.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -63,19 +67,23 @@ def rule_verdict(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return (name, what) if rules else (F.lit(None).cast("string"),) * 2
 
 
-def _shrink(groups: DataFrame, prior: str, out: str) -> DataFrame:
-    """Posterior mean (``out``) and variance (``out_var``) of each group's bad
-    rate under Beta(prior * s, (1 - prior) * s); columns n and bad."""
+def _strength(groups: DataFrame, prior: str) -> float:
+    """The level's prior strength: moment estimate of the over-dispersion of
+    its groups' outcomes (columns n and bad) around their prior means."""
     m, n = F.col(prior), F.col("n").cast("double")
     spread = m * (1 - m)
     over = groups.agg((F.sum(F.pow(F.col("bad") - n * m, F.lit(2.0)) - n * spread)).alias("x"), F.sum(n * (n - 1) * spread).alias("y"))
     rho = F.least(F.lit(0.9), F.greatest(F.lit(0.001), F.coalesce(F.try_divide("x", "y"), F.lit(0.5))))
-    strength = over.select((1.0 / rho - 1.0).alias("_s"))
-    g = with_one_row(groups, strength)
-    a = m * F.col("_s") + F.col("bad")
-    total = F.col("_s") + n
-    mean = a / total
-    return g.withColumn(out, mean).withColumn(out + "_var", mean * (1 - mean) / (total + 1)).drop("_s")
+    return over.select((1.0 / rho - 1.0).alias("s")).first()["s"]
+
+
+def _shrink(groups: DataFrame, prior: str, out: str) -> DataFrame:
+    """Posterior mean (``out``) and variance (``out_var``) of each group's bad
+    rate under Beta(prior * s, (1 - prior) * s)."""
+    s = F.lit(_strength(groups, prior))
+    total = s + F.col("n").cast("double")
+    mean = (F.col(prior) * s + F.col("bad")) / total
+    return groups.withColumn(out, mean).withColumn(out + "_var", F.col(out) * (1 - F.col(out)) / (total + 1))
 
 
 def host_reputation(pages: DataFrame, labels: DataFrame, page_id: str = "page_id", url_col: str = "url",
@@ -84,17 +92,16 @@ def host_reputation(pages: DataFrame, labels: DataFrame, page_id: str = "page_id
     bad = F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0))
     outcome = labels.filter(F.col(label_id).isNotNull()).groupBy(F.col(label_id).alias("_id")).agg(bad.alias("_bad"))
     seen = pages.select(F.col(page_id).alias("_id"), host_and_path(F.col(url_col))[0].alias("host"))
-    labelled = (seen.join(outcome, "_id").groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum("_bad").alias("bad")))
-    hosts = (seen.select("host").distinct().join(labelled, "host", "left")
-             .select("host", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("bad", F.lit(0)).alias("bad")))
     suffix, domain = suffix_and_domain(F.col("host"))
-    hosts = hosts.withColumn("suffix", suffix).withColumn("domain", domain)
-    domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    hosts = (seen.join(outcome, "_id", "left").groupBy("host").agg(F.count("_bad").alias("n"), F.coalesce(F.sum("_bad"), F.lit(0)).alias("bad"))
+             .withColumn("suffix", suffix).withColumn("domain", domain))
+    hosts = materialize(hosts, "hosts")
+    domains = materialize(hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "domains")
+    suffixes = materialize(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "suffixes")
     # half a bad and half a good page more than seen keep the top mean inside (0, 1)
-    top = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1.0)).alias("m0"))
-    s = _shrink(with_one_row(suffixes, top), "m0", "m1").select("suffix", "m1")
-    d = _shrink(domains.join(s, "suffix"), "m1", "m2").select("suffix", "domain", "m2")
+    top = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1.0)).alias("m")).first()["m"]
+    s = _shrink(suffixes.withColumn("m0", F.lit(top)), "m0", "m1").select("suffix", "m1")
+    d = materialize(_shrink(domains.join(s, "suffix"), "m1", "m2").select("suffix", "domain", "m2"), "domain_rates")
     h = _shrink(hosts.join(d, ["suffix", "domain"]), "m2", "bad_rate")
     return h.select("host", "n", "bad", "bad_rate", (F.col("bad_rate") - Z * F.sqrt("bad_rate_var")).alias("bound"))
 

@@ -41,3 +41,12 @@ def test_suffixes(spark):
     from pyspark.sql import functions as F
     got = [tuple(r) for r in d.select(*U.suffix_and_domain(F.col("h"))).collect()]
     assert got == [("co.uk", "b.co.uk"), ("co.uk", "b.co.uk"), ("com", "example.com"), ("localhost", "localhost"), ("", "")]
+
+
+def test_plan_stays_small(spark):
+    """Written levels: no level repeats the plans below it."""
+    urls = [f"http://h{i % 9}.example{i % 3}.net/{i}" for i in range(90)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    plan = U.judge(pages, labels)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") < 12 and plan.count("FileScan") <= 3
