@@ -34,6 +34,8 @@ from .common import in_tasks, steps, texts_of
 
 SAMPLE = 2000
 VOCABULARY = 6000
+#: Trigrams that a language has at least, however many languages share the vocabulary.
+OWN = 400
 CENTROIDS = 3
 REJECT = 0.01
 ROUNDS = 8
@@ -88,7 +90,7 @@ class Model:
 
     def prepare(self) -> "Model":
         if self.place is None:
-            self.place = np.full(1 << 24, len(self.grams), np.int16)
+            self.place = np.full(1 << 24, len(self.grams), np.int16 if len(self.grams) < 1 << 15 else np.int32)
             self.place[self.grams] = np.arange(len(self.grams))
             self.weighted = np.ascontiguousarray((self.centroids * self.idf).T)
             self.square = self.idf ** 2
@@ -125,11 +127,18 @@ def fit_counts(rows: list[tuple[str, np.ndarray, np.ndarray]], vocabulary: int =
     rows = [r for r in rows if len(r[1])]
     if not rows:
         return None
+    langs = sorted({r[0] for r in rows})
     grams, df = np.unique(np.concatenate([r[1] for r in rows]), return_counts=True)
-    top = np.sort(np.argsort(-df, kind="stable")[:vocabulary])
+    wanted = set()
+    for lang in langs:
+        g, n = np.unique(np.concatenate([r[1] for r in rows if r[0] == lang]), return_counts=True)
+        wanted.update(g[np.argsort(-n, kind="stable")[:max(OWN, vocabulary // len(langs))]].tolist())
+    # the rest of the vocabulary: the most frequent of all
+    more = grams[np.argsort(-df, kind="stable")]
+    wanted.update(more[~np.isin(more, np.fromiter(wanted, more.dtype))][:max(0, vocabulary - len(wanted))].tolist())
+    top = np.flatnonzero(np.isin(grams, np.fromiter(wanted, grams.dtype)))
     grams, df = grams[top], df[top]
     idf = np.log((1 + len(rows)) / (1 + df)) + 1
-    langs = sorted({r[0] for r in rows})
     cents, owner, radius = [], [], []
     for j, lang in enumerate(langs):
         mine = [r for r in rows if r[0] == lang]

@@ -68,3 +68,26 @@ def test_cases_and_empty(spark, cases, none):
     assert len(got) == cases.count() and [r["contaminated"] for r in got if r["doc_id"] == 7] == [True, True]
     assert D.find_benchmark(none, b).count() == 0
     assert not any(r["contaminated"] for r in D.find_benchmark(cases, b.limit(0)).collect())
+
+
+def test_large_benchmark_with_a_window_of_many_items(spark):
+    """More pairs than a block holds, one window in every item, repeated rows: each pattern is one entry, each row one row."""
+    shared = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    items = [(k, f"{shared} tail{k} more{k}") for k in range(200)] + [(None, "lost words"), (7, shared)]
+    docs = [(1, f"so {shared} it goes"), (1, f"so {shared} it goes"), (2, "three four five"), (3, None), (None, f"{shared} tail5 x lost words")]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = [tuple(r) for r in D.find_benchmark(d, b, pattern_block=50).collect()]
+    assert sorted(((i, n, h, list(s), c) for i, n, h, s, c in got), key=repr) == brute(docs, items)
+    found = D._patterns(b, "item_id", "text")
+    search, links = D._block_search(found, 50)
+    tables = list(search.tables())
+    assert len(tables) > 1 and links.count() == found.count() > found.select("pattern").distinct().count()
+
+
+def test_buffers():
+    import pyarrow as pa
+    batches = [pa.RecordBatch.from_pydict({"k": [i, i], "text": ["x" * n, "y"]}) for i, n in enumerate([10, 10, 500, 10, 10, 10])]
+    got = list(D.buffered(iter(batches), "text", 100))
+    assert [r for b in got for r in b.to_pylist()] == [r for b in batches for r in b.to_pylist()] and 1 < len(got) < 6
+    assert list(D.buffered(iter([]), "text", 100)) == []

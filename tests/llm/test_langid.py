@@ -49,3 +49,20 @@ def test_cases(spark, cases, none):
     assert got[5]["lang_pred"] in model.langs and got[9]["lang_pred"] in model.langs and not got[None]["held_out"]
     assert L.train(none) is None and L.identify(none).count() == 0
     assert {r["lang_pred"] for r in L.identify(cases.withColumn("lang", cases["lang"].substr(99, 1)).filter("false").unionByName(cases.filter("false"))).collect()} == set()
+
+
+def test_sixty_languages_all_keep_trigrams():
+    """Big languages with rich vocabularies crowd out none of the small ones."""
+    import random
+    rng = random.Random(3)
+    scripts = {f"l{k:02d}": [chr(0x3400 + 40 * k + j) for j in range(30)] for k in range(60)}
+
+    def text(lang, n=40):
+        return " ".join("".join(rng.choice(scripts[lang]) for _ in range(rng.randint(2, 6))) for _ in range(n)).encode()
+
+    rows = [(lang, *L.gram_counts(text(lang, 400 if k < 5 else 15))) for k, lang in enumerate(scripts) for _ in range(120 if k < 5 else 6)]
+    model = L.fit_counts(rows, centroids=1, rounds=2)
+    assert len(model.grams) >= L.VOCABULARY and model.langs == sorted(scripts)
+    model.prepare()
+    got = [(lang, *model.predict(text(lang))[:2]) for lang in scripts]
+    assert all(lang == pred and score > 0 for lang, pred, score in got)
