@@ -7,13 +7,15 @@ of their own; the rest are the items to group.
 
 Items are dealt to blocks of about ``BLOCK_ITEMS`` by hash; each block is
 solved by ``ISLANDS`` islands that start from different seeds.  An island's
-population are groupings; crossover copies the well-filled bins of one parent
-into the other, removes the bins that hold duplicates of their items and
-places the displaced items by best fit (largest first); mutation dissolves
-the emptiest bins.  An island stops when it meets the lower bound
-ceil(tokens / capacity).  After each epoch the elite of every island migrates
-to the next island of its block (the exchange is a Spark join on block and
-item), and after the last one the best island's grouping is taken.
+population are groupings; crossover copies well-filled bins of one parent into
+the other, removes the bins that hold duplicates of their items and best-fits
+the displaced items (largest first, with Falkenauer's replacement step);
+mutation dissolves bins that are not quite full.  A child costs its changed
+bins only.  An island stops when it meets the lower bound
+ceil(tokens / capacity), or after ``GENERATIONS`` children in a row without a
+better grouping.  After each epoch the elite of every island migrates to the
+next island of its block (the exchange is a Spark join on block and item), and
+after the last one the best island's grouping is taken.
 
 Then the items of bins filled below ``FULL`` are pooled from all blocks and
 packed once more in new blocks, so that blocks do not each keep a half-empty
@@ -32,6 +34,7 @@ import random
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -48,8 +51,9 @@ CAPACITY = 2048
 BLOCK_ITEMS = 2000
 ISLANDS = 2
 EPOCHS = 2
-POPULATION = 4
-GENERATIONS = 5
+POPULATION = 8
+#: An island stops after so many children without a better grouping.
+GENERATIONS = 40
 FULL = 0.99
 ROUNDS = 3
 
@@ -90,52 +94,206 @@ def pieces(docs: DataFrame, vocab_path: str, end_id: int = 0, capacity: int = CA
 # ---- one island ---------------------------------------------------------------------------------------
 
 
-def best_fit(lengths: list[int], items: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
-    """Place items, largest first, into the fullest bin that has room (a new
-    bin where none has); ``bins`` is extended in place."""
-    room = sorted((capacity - sum(lengths[i] for i in b), k) for k, b in enumerate(bins))
+class Grouping:
+    """Bins of items.  Bins are never altered, only replaced, and sums, the
+    bin of every item and the measure are kept as bins change: a child shares
+    its parent's bins and costs the changed ones only."""
+
+    __slots__ = ("lengths", "capacity", "bins", "fill", "where", "holes", "square", "known")
+
+    def __init__(self, lengths: list[int], capacity: int, bins=()):
+        self.lengths, self.capacity = lengths, capacity
+        self.bins, self.fill, self.holes, self.square = [], [], [], 0
+        self.where = [-1] * len(lengths)
+        self.known: dict[tuple[int, ...], list] = {}      # swaps of bins seen, shared with copies
+        for b in bins:
+            self.add(b)
+
+    def __len__(self) -> int:
+        return len(self.bins) - len(self.holes)
+
+    def __iter__(self) -> Iterator[tuple[int, ...]]:
+        return (b for b in self.bins if b is not None)
+
+    def copy(self) -> Grouping:
+        new = Grouping([], self.capacity)
+        new.lengths, new.square, new.known = self.lengths, self.square, self.known
+        new.bins, new.fill, new.where, new.holes = self.bins[:], self.fill[:], self.where[:], self.holes[:]
+        return new
+
+    def add(self, items) -> int:
+        items = tuple(items)
+        if self.holes:
+            k = self.holes.pop()
+        else:
+            k = len(self.bins)
+            self.bins.append(None)
+            self.fill.append(0)
+        self.put(k, items)
+        return k
+
+    def put(self, k: int, items: tuple[int, ...]) -> None:
+        fill = sum(self.lengths[i] for i in items)
+        self.square += fill * fill - self.fill[k] ** 2
+        self.bins[k], self.fill[k] = items, fill
+        for i in items:
+            self.where[i] = k
+
+    def remove(self, k: int) -> tuple[int, ...]:
+        items = self.bins[k]
+        self.square -= self.fill[k] ** 2
+        self.bins[k], self.fill[k] = None, 0
+        self.holes.append(k)
+        return items
+
+    def swaps(self, k: int) -> list[tuple[int, tuple[int, ...], int]]:
+        """What the bin can give up (nothing, an item, two): tokens, items,
+        and a mask of the sums that would fit instead."""
+        items = self.bins[k]
+        if items not in self.known:
+            single = [(n, (i,)) for n, i in {self.lengths[i]: i for i in items}.items()]      # items of one length are alike
+            outs = [(0, ()), *single, *((x + y, a + b) for (x, a), (y, b) in combinations(single, 2))]
+            room = self.capacity - self.fill[k]
+            self.known[items] = [(out, gone, (2 << (out + room)) - 1) for out, gone in outs]
+        return self.known[items]
+
+    def live(self) -> list[int]:
+        return [k for k, b in enumerate(self.bins) if b is not None]
+
+    def rank(self) -> tuple[int, int]:
+        """Fewer bins first, then the grouping measure that rewards full bins (sum of squared fill)."""
+        return len(self), -self.square
+
+
+def _place(g: Grouping, items) -> Grouping:
+    """Best fit, largest first: into the fullest bin that has room, a new one where none has."""
+    lengths, capacity = g.lengths, g.capacity
+    room = sorted((capacity - g.fill[k], k) for k in g.live() if g.fill[k] < capacity)
+    more: dict[int, list[int]] = {}
+    size, fresh = len(g.bins), []
     for i in sorted(items, key=lambda j: -lengths[j]):
         need = lengths[i]
         at = bisect_left(room, (need, -1))
         if at < len(room):
             free, k = room.pop(at)
-            bins[k].append(i)
             free -= need
         else:
-            free, k = capacity - need, len(bins)
-            bins.append([i])
+            free, k = capacity - need, size + len(fresh)      # numbers of new bins go on where the bins end
+            fresh.append(k)
+        more.setdefault(k, []).append(i)
         if free:
             insort(room, (free, k))
-    return bins
-
-
-def fitness(lengths: list[int], bins: list[list[int]], capacity: int) -> float:
-    """Mean of squared fill, the grouping measure that rewards full bins."""
-    return sum((sum(lengths[i] for i in b) / capacity) ** 2 for b in bins) / max(1, len(bins))
-
-
-def crossover(lengths: list[int], giver: list[list[int]], taker: list[list[int]], capacity: int, rng: random.Random) -> list[list[int]]:
-    """Inject the giver's well-filled bins whole, drop the taker's bins that
+    for k, got in more.items():
+        if k < size:
+            g.put(k, g.bins[k] + tuple(got))
+    for k in fresh:
+        g.add(more[k])
+    return g
+
+
+def best_fit(lengths: list[int], items: list[int], bins, capacity: int) -> Grouping:
+    """Place items by best fit beside the bins given."""
+    return _place(Grouping(lengths, capacity, bins), items)
+
+
+class _Loose:
+    """Displaced items by length.  Bit t of ``one`` (``pairs()``) says that
+    one item (two items) of t tokens in all can be taken."""
+
+    def __init__(self, lengths: list[int], items):
+        self.lengths, self.by, self.one, self._two = lengths, {}, 0, None
+        self.give(items)
+
+    def give(self, items) -> None:
+        for i in items:
+            self.by.setdefault(self.lengths[i], []).append(i)
+            self.one |= 1 << self.lengths[i]
+        self._two = None
+
+    def pairs(self) -> int:
+        if self._two is None:
+            self._two = 0
+            for n, held in self.by.items():
+                self._two |= (self.one if len(held) > 1 else self.one ^ (1 << n)) << n
+        return self._two
+
+    def pop(self, n: int) -> int:
+        held = self.by[n]
+        i = held.pop()
+        if not held:
+            del self.by[n]
+            self.one ^= 1 << n
+        self._two = None
+        return i
+
+    def take(self, total: int, count: int) -> tuple[int, ...]:
+        if count == 1:
+            return (self.pop(total),)
+        n = next(n for n, held in self.by.items() if total - n in self.by and (total != 2 * n or len(held) > 1))
+        return self.pop(n), self.pop(total - n)
+
+    def items(self) -> list[int]:
+        return [i for held in self.by.values() for i in held]
+
+
+def _few(most: int, rng: random.Random) -> int:
+    """A number from 1 to ``most``, each order of magnitude as likely."""
+    return int(math.exp(rng.uniform(0, math.log(max(2, most) + 0.99))))
+
+
+def refit(g: Grouping, displaced, rng: random.Random) -> Grouping:
+    """Best-fit displaced items, then empty some of the emptiest bins: every
+    bin with room gives up to two items for one or two of theirs where that
+    fills it best (smaller items are left, which fit more easily), and the
+    rest is best-fitted again."""
+    _place(g, displaced)
+    emptiest = sorted((k for k in g.live() if g.fill[k] < FULL * g.capacity), key=lambda k: g.fill[k])
+    displaced = [i for k in emptiest[:_few(len(emptiest), rng)] for i in g.remove(k)]
+    lengths, capacity = g.lengths, g.capacity
+    loose = _Loose(lengths, displaced)
+    open_bins = [k for k in g.live() if g.fill[k] < capacity]
+    rng.shuffle(open_bins)
+    for k in open_bins:
+        if not loose.by:
+            break
+        room = capacity - g.fill[k]
+        gain, move = 0, None
+        for out, gone, low in g.swaps(k):
+            for count, mask in ((1, loose.one), (2, loose.pairs())):
+                total = (mask & low).bit_length() - 1      # the most that fits
+                if total - out > gain:
+                    gain, move = total - out, (gone, total, count)
+            if gain == room:
+                break
+        if move:
+            gone, total, count = move
+            taken = loose.take(total, count)
+            g.put(k, tuple(i for i in g.bins[k] if i not in gone) + taken)
+            loose.give(gone)
+    return _place(g, loose.items())
+
+
+def crossover(lengths: list[int], giver: Grouping, taker: Grouping, capacity: int, rng: random.Random) -> Grouping:
+    """Inject well-filled bins of the giver whole, drop the taker's bins that
     share items with them, best-fit the displaced items."""
-    ranked = sorted(giver, key=lambda b: -sum(lengths[i] for i in b))
-    good = [b for b in ranked[:max(1, len(ranked) // 2)] if rng.random() < 0.8]
-    taken = {i for b in good for i in b}
-    child, displaced = [list(b) for b in good], []
-    for b in taker:
-        if taken.isdisjoint(b):
-            child.append(list(b))
-        else:
-            displaced += [i for i in b if i not in taken]
-    return best_fit(lengths, displaced, child, capacity)
-
-
-def mutate(lengths: list[int], bins: list[list[int]], capacity: int, rng: random.Random) -> list[list[int]]:
-    """Dissolve the emptiest bins and a few others."""
-    ranked = sorted(bins, key=lambda b: sum(lengths[i] for i in b))
-    n = max(2, len(ranked) // 20)
-    out = ranked[:n] + rng.sample(ranked[n:], min(n, len(ranked) - n))
-    gone = {id(b) for b in out}
-    return best_fit(lengths, [i for b in out for i in b], [list(b) for b in bins if id(b) not in gone], capacity)
+    ranked = sorted(giver.live(), key=lambda k: -giver.fill[k])
+    new = [b for k in ranked[:max(1, len(ranked) // 2)] if (b := giver.bins[k]) != taker.bins[taker.where[b[0]]]]
+    good = rng.sample(new, min(len(new), _few(len(ranked) // 20, rng)))
+    child, displaced = taker.copy(), set()
+    for k in {taker.where[i] for b in good for i in b}:
+        displaced.update(child.remove(k))
+    for b in good:
+        displaced.difference_update(b)
+        child.add(b)
+    return refit(child, sorted(displaced), rng)
+
+
+def mutate(lengths: list[int], bins: Grouping, capacity: int, rng: random.Random) -> Grouping:
+    """Dissolve some bins that are not quite full."""
+    child = bins.copy()
+    some = [k for k in child.live() if child.fill[k] < capacity]
+    gone = rng.sample(some, min(len(some), _few(len(child) // 20, rng) - 1))
+    return refit(child, [i for k in gone for i in child.remove(k)], rng)
 
 
 def _bins(assigned: np.ndarray) -> list[list[int]]:
@@ -145,30 +303,36 @@ def _bins(assigned: np.ndarray) -> list[list[int]]:
 
 
 def evolve(lengths: list[int], start: list[list[list[int]]], capacity: int, seed: int, generations: int = GENERATIONS,
-           population: int = POPULATION) -> list[list[list[int]]]:
-    """The population after some generations, best first."""
+           population: int = POPULATION) -> list[Grouping]:
+    """The population, best first, once ``generations`` children in a row
+    brought no better grouping or the lower bound is met."""
     rng = random.Random(seed)
     least = math.ceil(sum(lengths) / capacity)
     everything = list(range(len(lengths)))
-    rank = lambda b: (len(b), -fitness(lengths, b, capacity))
-    pop = list(start)
-    if not pop:
-        pop = [best_fit(lengths, everything, [], capacity)]
-    best = min(pop, key=rank)
+    pop = [Grouping(lengths, capacity, b) for b in start] or [best_fit(lengths, everything, [], capacity)]
+    best = min(pop, key=Grouping.rank)
     if len(best) == least:
         return [best]
     while len(pop) < population:
         some = rng.sample(everything, len(everything) // 4)
-        pop.append(best_fit(lengths, sorted(set(everything) - set(some)), best_fit(lengths, some, [], capacity), capacity))
-    for _ in range(generations):
-        a, b = rng.sample(pop, 2)
-        child = crossover(lengths, a, b, capacity, rng)
-        if rng.random() < 0.5:
+        pop.append(_place(best_fit(lengths, some, [], capacity), sorted(set(everything) - set(some))))
+    idle = 0
+    while idle < generations:
+        giver, *some = rng.sample(range(len(pop)), min(4, len(pop)))
+        at = min(some, key=lambda k: pop[k].rank())      # a tournament for the taker
+        child, way = pop[at], rng.random()
+        if way < 0.6:
+            child = crossover(lengths, pop[giver], child, capacity, rng)
+        if way > 0.3:
             child = mutate(lengths, child, capacity, rng)
-        pop = sorted([*pop, child], key=rank)[:population]
-        if len(pop[0]) == least:
-            break
-    return sorted(pop, key=rank)
+        if child.rank() <= pop[at].rank():      # the taker's place: equals drift, a child is much like its taker
+            pop[at] = child
+        idle += 1
+        if child.rank() < best.rank():
+            best, idle = child, 0
+            if len(best) == least:
+                break
+    return sorted(pop, key=Grouping.rank)
 
 
 def _evolve_group(capacity: int, epoch: int):
@@ -180,9 +344,9 @@ def _evolve_group(capacity: int, epoch: int):
         out = np.empty((len(pdf), len(pop)), np.int32)
         for j, bins in enumerate(pop):
             for k, b in enumerate(bins):
-                out[b, j] = k
+                out[list(b), j] = k
         return pdf[["block", "island", "item", "length"]].assign(bins=list(out), n=np.int32(len(pop[0])),
-                                                                  fit=fitness(lengths, pop[0], capacity))
+                                                                  fit=pop[0].square / max(1, len(pop[0])) / capacity ** 2)
     return run
 
 

@@ -80,3 +80,48 @@ def test_evolution_beats_best_fit_where_it_can():
         assert best <= plain
         wins += best < plain
     assert wins >= 3
+
+
+def triples(n, capacity=2048):
+    rng = random.Random(1)
+    lengths = []
+    for _ in range(n):
+        x, y = rng.randint(capacity // 4, capacity * 15 // 32), rng.randint(capacity // 4, capacity * 15 // 32)
+        while capacity - x - y < capacity // 5:
+            x, y = rng.randint(capacity // 4, capacity * 15 // 32), rng.randint(capacity // 4, capacity * 15 // 32)
+        lengths += [x, y, capacity - x - y]
+    rng.shuffle(lengths)
+    return lengths
+
+
+def test_evolution_comes_within_one_percent_on_triples():
+    """One block of 666 sequences that can be filled exactly, at production settings."""
+    lengths = triples(666)
+    best = P.evolve(lengths, [], 2048, 1)[0]
+    assert len(P.best_fit(lengths, list(range(len(lengths))), [], 2048)) >= 700 and len(best) <= 672
+    assert sorted(i for b in best for i in b) == list(range(len(lengths))) and all(sum(lengths[i] for i in b) <= 2048 for b in best)
+
+
+def test_groupings_keep_their_sums():
+    rng = random.Random(2)
+    lengths = [rng.choice([1, 3, 7, 20, 33, 50, 100]) for _ in range(200)]
+    g = P.best_fit(lengths, list(range(200)), [], 100)
+    before = [tuple(b) for b in g]
+    for _ in range(30):
+        h = P.mutate(lengths, g, 100, rng)
+        sums = [sum(lengths[i] for i in b) for b in h]
+        assert h.rank() == (len(sums), -sum(x * x for x in sums)) and sorted(h.fill[k] for k in h.live()) == sorted(sums)
+        assert all(i in h.bins[h.where[i]] for i in range(200)) and [tuple(b) for b in g] == before      # the parent stays
+        g, before = h, [tuple(b) for b in h]
+
+
+def test_islands_keep_what_they_found(spark):
+    """Groupings go through Spark between epochs: the result is no worse than one island's start."""
+    lengths = triples(60)
+    items = spark.createDataFrame(list(enumerate(lengths)), "item long, length long")
+    rows = P._pack_round(items, 2048, len(lengths), 0).collect()
+    fills = {}
+    for r in rows:
+        fills.setdefault((r["block"], r["bin"]), []).append(r["length"])
+    assert len(rows) == len(lengths) and all(sum(x) <= 2048 for x in fills.values())
+    assert len(fills) < len(P.best_fit(lengths, list(range(len(lengths))), [], 2048))
