@@ -167,11 +167,13 @@ class Grouping:
 
 def _place(g: Grouping, items) -> Grouping:
     """Best fit, largest first: into the fullest bin that has room, a new one where none has."""
+    if not items:
+        return g
     lengths, capacity = g.lengths, g.capacity
-    room = sorted((capacity - g.fill[k], k) for k in g.live() if g.fill[k] < capacity)
+    room = sorted((capacity - f, k) for k, f in enumerate(g.fill) if 0 < f < capacity)
     more: dict[int, list[int]] = {}
     size, fresh = len(g.bins), []
-    for i in sorted(items, key=lambda j: -lengths[j]):
+    for i in sorted(items, key=lengths.__getitem__, reverse=True):
         need = lengths[i]
         at = bisect_left(room, (need, -1))
         if at < len(room):
@@ -247,22 +249,23 @@ def refit(g: Grouping, displaced, rng: random.Random) -> Grouping:
     fills it best (smaller items are left, which fit more easily), and the
     rest is best-fitted again."""
     _place(g, displaced)
-    emptiest = sorted((k for k in g.live() if g.fill[k] < FULL * g.capacity), key=lambda k: g.fill[k])
+    emptiest = sorted((k for k, f in enumerate(g.fill) if 0 < f < FULL * g.capacity), key=g.fill.__getitem__)
     displaced = [i for k in emptiest[:_few(len(emptiest), rng)] for i in g.remove(k)]
     lengths, capacity = g.lengths, g.capacity
     loose = _Loose(lengths, displaced)
-    open_bins = [k for k in g.live() if g.fill[k] < capacity]
+    open_bins = [k for k, f in enumerate(g.fill) if 0 < f < capacity]
     rng.shuffle(open_bins)
     for k in open_bins:
         if not loose.by:
             break
-        room = capacity - g.fill[k]
+        room, one, two = capacity - g.fill[k], loose.one, loose.pairs()
         gain, move = 0, None
         for out, gone, low in g.swaps(k):
-            for count, mask in ((1, loose.one), (2, loose.pairs())):
-                total = (mask & low).bit_length() - 1      # the most that fits
-                if total - out > gain:
-                    gain, move = total - out, (gone, total, count)
+            total, pair = (one & low).bit_length() - 1, (two & low).bit_length() - 1      # the most that fits
+            if total - out > gain:
+                gain, move = total - out, (gone, total, 1)
+            if pair - out > gain:
+                gain, move = pair - out, (gone, pair, 2)
             if gain == room:
                 break
         if move:
@@ -276,7 +279,7 @@ def refit(g: Grouping, displaced, rng: random.Random) -> Grouping:
 def crossover(lengths: list[int], giver: Grouping, taker: Grouping, capacity: int, rng: random.Random) -> Grouping:
     """Inject well-filled bins of the giver whole, drop the taker's bins that
     share items with them, best-fit the displaced items."""
-    ranked = sorted(giver.live(), key=lambda k: -giver.fill[k])
+    ranked = sorted(giver.live(), key=giver.fill.__getitem__, reverse=True)
     new = [b for k in ranked[:max(1, len(ranked) // 2)] if (b := giver.bins[k]) != taker.bins[taker.where[b[0]]]]
     good = rng.sample(new, min(len(new), _few(len(ranked) // 20, rng)))
     child, displaced = taker.copy(), set()
@@ -291,7 +294,7 @@ def crossover(lengths: list[int], giver: Grouping, taker: Grouping, capacity: in
 def mutate(lengths: list[int], bins: Grouping, capacity: int, rng: random.Random) -> Grouping:
     """Dissolve some bins that are not quite full."""
     child = bins.copy()
-    some = [k for k in child.live() if child.fill[k] < capacity]
+    some = [k for k, f in enumerate(child.fill) if 0 < f < capacity]
     gone = rng.sample(some, min(len(some), _few(len(child) // 20, rng) - 1))
     return refit(child, [i for k in gone for i in child.remove(k)], rng)
 
