@@ -33,7 +33,7 @@ import math
 import random
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -193,7 +193,7 @@ def _place(g: Grouping, items) -> Grouping:
     return g
 
 
-def best_fit(lengths: list[int], items: list[int], bins, capacity: int) -> Grouping:
+def best_fit(lengths: list[int], items: Sequence[int], bins, capacity: int) -> Grouping:
     """Place items by best fit beside the bins given."""
     return _place(Grouping(lengths, capacity, bins), items)
 
@@ -311,14 +311,12 @@ def evolve(lengths: list[int], start: list[list[list[int]]], capacity: int, seed
     brought no better grouping or the lower bound is met."""
     rng = random.Random(seed)
     least = math.ceil(sum(lengths) / capacity)
-    everything = list(range(len(lengths)))
-    pop = [Grouping(lengths, capacity, b) for b in start] or [best_fit(lengths, everything, [], capacity)]
+    pop = [Grouping(lengths, capacity, b) for b in start] or [best_fit(lengths, range(len(lengths)), [], capacity)]
     best = min(pop, key=Grouping.rank)
     if len(best) == least:
         return [best]
     while len(pop) < population:
-        some = rng.sample(everything, len(everything) // 4)
-        pop.append(_place(best_fit(lengths, some, [], capacity), sorted(set(everything) - set(some))))
+        pop.append(mutate(lengths, best, capacity, rng))
     idle = 0
     while idle < generations:
         giver, *some = rng.sample(range(len(pop)), min(4, len(pop)))
