@@ -109,6 +109,7 @@ class Aligner:
         self.bytes = [pa.array(x, pa.large_binary()) for x in (bytes_a, bytes_b)]
         self.length = [np.array([len(x) for x in side], np.int64) for side in (bytes_a, bytes_b)]
         self.size_a, self.size_b = len(bytes_a), len(bytes_b)
+        self.last_blank = self.b.encode("a ")[len(self.b.encode("a")):]
         self.written = pa.array([f"{i}{end}" for n, ends in ((self.size_a, ",|"), (self.size_b, ",;")) for i in range(n) for end in ends], pa.large_binary())
         self.capacity = capacity
         self.known: dict[str, int] = {}
@@ -135,7 +136,8 @@ class Aligner:
         """Encode and slice chunks (given without their leading blank)."""
         whole = [" " + c for c in chunks]
         a, n_a = _flat([e.ids for e in self.a.encode_batch_fast(whole, add_special_tokens=False)])
-        b, n_b = _flat(self.b.encode(chunks, num_threads=1))
+        # an empty chunk is the blank that ends a text; B adds none to an empty text
+        b, n_b = _flat([x if c else self.last_blank for c, x in zip(chunks, self.b.encode(chunks, num_threads=1))])
         raw = [c.encode() for c in whole]
         size = np.fromiter(map(len, raw), np.int64, len(raw))
         raw_bytes = np.frombuffer(b"".join(raw), np.uint8)

@@ -99,6 +99,14 @@ def test_small_memory_and_empty_tables(spark, none, monkeypatch):
     assert G.report(none, A, B).count() == 0 and G.groups(none, A, B).count() == 0
 
 
+def test_texts_that_end_in_one_blank(spark):
+    texts = ["a ", "one two ", "日本 ", "x\n ", "12 34 ", " lead and trail ", "one two", "a  "]
+    got = G.report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), A, B)
+    want = brute(texts)[1]
+    assert all(w[0] for w in want)
+    assert ordered(map(tuple, got.collect())) == ordered((i, *w) for i, w in enumerate(want))
+
+
 def test_slices():
     assert G.slices([1, 3, 6, 7], [2, 3, 7]) == ([2, 4], [2, 3])
     assert G.slices([], []) == ([], [])
