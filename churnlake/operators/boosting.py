@@ -2,11 +2,10 @@
 
 Every feature is cut into at most ``max_bins`` ranges once.  A pass over the
 rows adds up, per model, open tree node and bin, the gradients, Hessians and
-row counts of the logistic loss; partitions add up their own rows and the
-partial sums meet in a tree of additions.  The driver sees these sums only
-(nodes x bins x 3 numbers a model), finds the best cuts, and asks for the next
-nodes.  All models of a job (learners, and their refits without one fold
-each) share the passes.
+row counts of the logistic loss; partitions add up their own rows, and a
+model's partial sums (nodes x bins x 3 numbers) meet in one task, which finds the best
+cuts.  The driver gets a cut a node and asks for the next nodes.  All models of a job (learners, and their
+refits without one fold each) share the passes.
 
 * Regularised gain ``GL^2/(HL+l) + GR^2/(HR+l) - G^2/(H+l)`` and leaf weight
   ``-G/(H+l)``; missing values go to the side that gains more.
@@ -15,8 +14,8 @@ each) share the passes.
   prepares the children of every node that may still be among the cuts, so a
   tree takes as many passes as it has levels, not one a leaf; children that
   best-first order does not reach are thrown away.
-* Of two children only the one with fewer rows is added up; the other is its
-  parent less its sibling.
+* Where one task has all rows, of two children only the one with fewer rows is
+  added up; the other is its parent less its sibling.
 * Rows are drawn per tree by a hash of their key, features per tree by the
   seed.  Gradients are rounded to multiples of 2^-24, so sums are exact and a
   model does not depend on partitions, retries or their order.
@@ -50,6 +49,8 @@ from .features import FEATURE_COLUMNS, LABEL
 BLOCK_ROWS = 65_536
 FOLD = 6
 CUT_LINEAGE = 10
+#: Rows, times models, that are worth a partition of their own while there are idle cores, and the most rows of one.
+LEAST_ROWS, MOST_ROWS = 65_536, 200_000
 GRID = float(1 << 24)
 
 
@@ -136,6 +137,42 @@ class Tree:
         return node
 
 
+def best_cuts(s: BoostSpec, b: Bins, allowed: np.ndarray, h: np.ndarray) -> list[tuple]:
+    """(gain, feature, bin, missing goes left, left sums) of each node's best cut."""
+    cum = np.cumsum(h, axis=1)
+    first = b.start[b.feature]
+    before = np.where((first > 0)[None, :, None], cum[:, np.maximum(first - 1, 0)], 0.0)
+    total = (cum[:, -1] - (cum[:, b.start[-1] - 1] if b.start[-1] else 0.0))[:, None, :]
+    gains = []
+    for left in (cum - cum[:, first], cum - before):           # missing right, missing left
+        right = total - left
+        ok = (allowed & (np.arange(b.total) > first) & (left[..., 2] >= s.min_child_rows) & (right[..., 2] >= s.min_child_rows)
+              & (left[..., 1] >= s.min_child_weight) & (right[..., 1] >= s.min_child_weight))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            if s.criterion == "friedman":
+                gain = (left[..., 2] * right[..., 2] / total[..., 2]) * (left[..., 0] / left[..., 2] - right[..., 0] / right[..., 2]) ** 2
+            else:
+                gain = (left[..., 0] ** 2 / (left[..., 1] + s.reg_lambda) + right[..., 0] ** 2 / (right[..., 1] + s.reg_lambda)
+                        - total[..., 0] ** 2 / (total[..., 1] + s.reg_lambda))
+        gains.append(np.where(ok & np.isfinite(gain), gain, 0.0))
+    both = np.stack(gains, 1)
+    at = both.reshape(len(h), -1).argmax(1)
+    side, t = np.divmod(at, b.total)
+    out = []
+    for i in range(len(h)):
+        j = int(t[i])
+        left = cum[i, j] - (cum[i, first[j]] if side[i] == 0 else before[i, j])
+        gain = float(both[i, side[i], j])
+        out.append((gain if gain > 1e-10 else 0.0, int(b.feature[j]), j, bool(side[i]), left))
+    return out
+
+
+def node_cuts(spec: BoostSpec, bins: Bins, allowed: np.ndarray, nodes: list[int], sums: np.ndarray) -> tuple[dict[int, tuple], np.ndarray | None]:
+    """From the nodes' sums (nodes x bins x 3) their best cuts, and the root's own sums where it is among them."""
+    root = sums[0, slice(bins.start[0], bins.start[1] if len(bins.start) > 1 else None)].sum(0) if nodes[0] == 0 else None
+    return dict(zip(nodes, best_cuts(spec, bins, allowed, sums))), root
+
+
 class Grower:
     """One model while it is fitted: its finished trees and the tree that grows."""
 
@@ -159,10 +196,10 @@ class Grower:
         self.allowed = np.isin(self.bins.feature, chosen)
         self.nodes: list[dict] = []
         self._node(0)
-        self.asked = [0]
+        self.asked: list[tuple[int, int | None, int | None]] = [(0, None, None)]      # (node, sibling that needs a cut, their parent)
 
     def _node(self, depth: int, stats=None) -> int:
-        self.nodes.append({"depth": depth, "stats": stats, "hist": None, "best": None, "kids": None})
+        self.nodes.append({"depth": depth, "stats": stats, "best": None, "kids": None})
         return len(self.nodes) - 1
 
     def tree_now(self) -> Tree:
@@ -177,24 +214,14 @@ class Grower:
             t.left[i], t.right[i] = self.nodes[i]["kids"]
         return t
 
-    def receive(self, hists: np.ndarray) -> None:
-        """Sums of the asked nodes (nodes x bins x 3); afterwards ``asked``
-        holds the next nodes, or a tree has been finished."""
-        for i, h in zip(self.asked, hists):
-            self.nodes[i]["hist"] = h
-            if i == 0:
-                first = slice(self.bins.start[0], self.bins.start[1] if len(self.bins.start) > 1 else None)
-                self.nodes[0]["stats"] = h[first].sum(0)
-        for n in self.nodes:
-            if n["kids"]:
-                a, b = (self.nodes[k] for k in n["kids"])
-                if a["hist"] is None and b["hist"] is not None and a.get("wanted"):
-                    a["hist"] = n["hist"] - b["hist"]
-                if b["hist"] is None and a["hist"] is not None and b.get("wanted"):
-                    b["hist"] = n["hist"] - a["hist"]
-        fresh = [n for n in self.nodes if n["hist"] is not None and n["best"] is None]
-        for n, best in zip(fresh, self._best_cuts(np.stack([n["hist"] for n in fresh])) if fresh else ()):
-            n["best"] = best
+    def receive(self, cuts: dict[int, tuple], root: np.ndarray | None) -> None:
+        """Best cuts of the asked nodes and their siblings, and the root's
+        sums; afterwards ``asked`` holds the next nodes, or a tree has been
+        finished."""
+        if root is not None:
+            self.nodes[0]["stats"] = root
+        for i, best in cuts.items():
+            self.nodes[i]["best"] = best
         self.asked = []
         cut = self._leafwise() if self.spec.max_leaves else self._levelwise()
         if not self.asked:
@@ -210,10 +237,9 @@ class Grower:
         left, right = n["best"][4], n["stats"] - n["best"][4]
         n["kids"] = self._node(n["depth"] + 1, left), self._node(n["depth"] + 1, right)
         wanted = [k for k in n["kids"] if n["depth"] + 1 < self.spec.max_depth and self.nodes[k]["stats"][2] >= 2 * self.spec.min_child_rows]
-        for k in wanted:
-            self.nodes[k]["wanted"] = True
         if wanted:
-            self.asked.append(min(n["kids"], key=lambda k: self.nodes[k]["stats"][2]))
+            small = min(n["kids"], key=lambda k: self.nodes[k]["stats"][2])
+            self.asked.append((small, next((k for k in wanted if k != small), None), i))
 
     def _levelwise(self) -> set[int]:
         for i in range(len(self.nodes)):
@@ -248,36 +274,6 @@ class Grower:
                     heapq.heappush(heap, (-self.nodes[k]["best"][0], k))
         return cut
 
-    def _best_cuts(self, h: np.ndarray) -> list[tuple]:
-        """(gain, feature, bin, missing goes left, left sums) of each node's best cut."""
-        s, b = self.spec, self.bins
-        cum = np.cumsum(h, axis=1)
-        first = b.start[b.feature]
-        before = np.where((first > 0)[None, :, None], cum[:, np.maximum(first - 1, 0)], 0.0)
-        total = (cum[:, -1] - (cum[:, b.start[-1] - 1] if b.start[-1] else 0.0))[:, None, :]
-        gains = []
-        for left in (cum - cum[:, first], cum - before):           # missing right, missing left
-            right = total - left
-            ok = (self.allowed & (np.arange(b.total) > first) & (left[..., 2] >= s.min_child_rows) & (right[..., 2] >= s.min_child_rows)
-                  & (left[..., 1] >= s.min_child_weight) & (right[..., 1] >= s.min_child_weight))
-            with np.errstate(divide="ignore", invalid="ignore"):
-                if s.criterion == "friedman":
-                    gain = (left[..., 2] * right[..., 2] / total[..., 2]) * (left[..., 0] / left[..., 2] - right[..., 0] / right[..., 2]) ** 2
-                else:
-                    gain = (left[..., 0] ** 2 / (left[..., 1] + s.reg_lambda) + right[..., 0] ** 2 / (right[..., 1] + s.reg_lambda)
-                            - total[..., 0] ** 2 / (total[..., 1] + s.reg_lambda))
-            gains.append(np.where(ok & np.isfinite(gain), gain, 0.0))
-        both = np.stack(gains, 1)
-        at = both.reshape(len(h), -1).argmax(1)
-        side, t = np.divmod(at, b.total)
-        out = []
-        for i in range(len(h)):
-            j = int(t[i])
-            left = cum[i, j] - (cum[i, first[j]] if side[i] == 0 else before[i, j])
-            gain = float(both[i, side[i], j])
-            out.append((gain if gain > 1e-10 else 0.0, int(b.feature[j]), j, bool(side[i]), left))
-        return out
-
     def _finish(self, cut: set[int]) -> None:
         """Keep the cuts made, renumbered, and give the leaves their weights."""
         order, todo = [], [0]
@@ -327,10 +323,15 @@ def node_sums(bins: np.ndarray, slot: np.ndarray, n_slots: int, g: np.ndarray, h
     return np.stack([np.bincount(at, w, n_slots * total) for w in (np.repeat(g, wide), np.repeat(h, wide), None)], -1).reshape(n_slots, total, 3)
 
 
-def _work(growers: list[Grower]) -> list[tuple]:
+def _with_siblings(asked: list[tuple]) -> list[int]:
+    """The asked nodes, then their siblings that need a cut."""
+    return [i for i, _, _ in asked] + [k for _, k, _ in asked if k is not None]
+
+
+def _work(growers: list[Grower], siblings: bool) -> list[tuple]:
     """What tasks need of every model that still grows."""
-    return [(m, g.pending, g.tree_now(), np.array(g.asked), g.fold, g.spec.seed, len(g.trees), g.spec.subsample)
-            for m, g in enumerate(growers) if not g.done]
+    return [(m, g.pending, g.tree_now(), np.array(_with_siblings(g.asked) if siblings else [i for i, _, _ in g.asked]), g.fold, g.spec.seed,
+             len(g.trees), g.spec.subsample) for m, g in enumerate(growers) if not g.done]
 
 
 def _sums_of(block: tuple, work: list[tuple], start: np.ndarray, total: int) -> dict[int, np.ndarray]:
@@ -351,8 +352,13 @@ def _sums_of(block: tuple, work: list[tuple], start: np.ndarray, total: int) ->
     return out
 
 
-def _added(a: dict, b: dict) -> dict:
-    return {m: a[m] + b[m] if m in a and m in b else a.get(m, b.get(m)) for m in a.keys() | b.keys()}
+def _partial_sums(blocks: Iterator[tuple], work: list[tuple], start: np.ndarray, total: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The sums of every model over a partition."""
+    out: dict[int, np.ndarray] = {}
+    for block in blocks:
+        for m, sums in _sums_of(block, work, start, total).items():
+            out[m] = out[m] + sums if m in out else sums
+    yield from out.items()
 
 
 def _updated(block: tuple, new: dict[int, list[Tree]], start: np.ndarray) -> tuple:
@@ -517,25 +523,30 @@ def fit_many(train: DataFrame, fits: list[tuple[BoostSpec, int | None]], feature
     if rates["n"] <= block_rows:
         trees = _fit_by_model(blocks(train.coalesce(1), block_rows), growers)
     else:
-        trees = _fit_by_rows(blocks(train, block_rows), growers)
+        trees = _fit_by_rows(blocks(_spread(train, rates["n"], len(fits)), block_rows), growers)
     return [Ensemble(bins.features, bins.cuts, g.base, t, g.spec.importance) for g, t in zip(growers, trees)]
 
 
+def _spread(df: DataFrame, n: int, models: int) -> DataFrame:
+    """Rows over as many partitions as keep the cores busy, none of them too large."""
+    parts = max(-(-n // MOST_ROWS), min(df.sparkSession.sparkContext.defaultParallelism, -(-n * models // LEAST_ROWS)))
+    return df.repartition(parts)
+
+
 def _fit_by_rows(blocks: DataFrame, growers: list[Grower]) -> list[list[Tree]]:
     """Blocks over many tasks; a Spark job per pass serves every model."""
-    start, total, bases = growers[0].bins.start, growers[0].bins.total, [g.base for g in growers]
+    bins, bases = growers[0].bins, [g.base for g in growers]
+    start, total = bins.start, bins.total
     state = blocks.rdd.map(lambda r: _parsed(*r, bases)).persist(StorageLevel.MEMORY_AND_DISK)
-    parts, folds, old = state.getNumPartitions(), 0, None
-    while work := _work(growers):
-        summed = state.map(lambda block, work=work: _sums_of(block, work, start, total))
-        got: dict[int, np.ndarray] = {}
-        for part in [summed.treeReduce(_added, 2)] if parts > 16 else summed.collect():
-            got = _added(got, part)
+    folds, old = 0, None
+    while work := _work(growers, True):
+        plan = {w[0]: (growers[w[0]].spec, bins, growers[w[0]].allowed, w[3].tolist()) for w in work}
+        sums = state.mapPartitions(lambda part, work=work: _partial_sums(part, work, start, total)).reduceByKey(np.add, len(work))
+        for m, (cuts, root) in sums.map(lambda row, plan=plan: (row[0], node_cuts(*plan[row[0]], row[1]))).collect():
+            growers[m].receive(cuts, root)
         if old is not None:
             old.unpersist()
             old = None
-        for m, sums in got.items():
-            growers[m].receive(sums)
         if max(len(g.pending) for g in growers) >= FOLD:
             new = {m: g.pending for m, g in enumerate(growers) if g.pending}
             old, state = state, state.map(lambda block, new=new: _updated(block, new, start)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -556,8 +567,15 @@ def _fit_by_model(blocks: DataFrame, growers: list[Grower]) -> list[list[Tree]]:
                 m = b.column(0)[i].as_py()
                 g = growers[m]
                 block = _parsed(*[b.column(c)[i].as_buffer() for c in range(1, 5)], [g.base])
+                kept: dict[int, np.ndarray] = {}
                 while not g.done:
-                    g.receive(_sums_of(block, _work([g]), g.bins.start, g.bins.total)[0])
+                    if g.asked[0][0] == 0:
+                        kept = {}
+                    sums = _sums_of(block, _work([g], False), g.bins.start, g.bins.total)[0]
+                    kept |= {i: h for (i, _, _), h in zip(g.asked, sums)}
+                    kept |= {k: kept[parent] - kept[i] for i, k, parent in g.asked if k is not None}
+                    nodes = _with_siblings(g.asked)
+                    g.receive(*node_cuts(g.spec, g.bins, g.allowed, nodes, np.stack([kept[i] for i in nodes])))
                     if g.pending:
                         block = _updated(block, {0: g.pending}, g.bins.start)
                         g.pending = []

@@ -1,6 +1,7 @@
 """Boosted trees: cuts, leaves and order of growth against exhaustive ones."""
 
 import heapq
+import pickle
 
 import numpy as np
 import pytest
@@ -136,3 +137,25 @@ def test_one_class_and_no_rows(spark):
     assert (m.margin(list(table(60)[:3])) < -5).all()
     with pytest.raises(ValueError):
         B.fit_many(df.filter("k < 0"), [(B.BoostSpec(2, 3), None)], ["a", "b", "c"], "y", key="k")
+
+
+def test_the_driver_gets_cuts_and_no_sums(spark, monkeypatch):
+    sizes, receive = [], B.Grower.receive
+
+    def counted(self, *got):
+        sizes.append(len(pickle.dumps(got)))
+        receive(self, *got)
+
+    monkeypatch.setattr(B.Grower, "receive", counted)
+    df = frame(spark, 900, parts=5)
+    bins = B.find_bins(df, ["a", "b", "c"], 400)
+    B.fit_many(df, [(B.BoostSpec(4, 4), None), (B.BoostSpec(4, 6, max_leaves=6), None)], ["a", "b", "c"], "y", key="k", bins=bins, block_rows=50)
+    assert sizes and max(sizes) < 8 * bins.total      # one node's sums take 24 bytes a bin
+
+
+def test_rows_are_spread_over_the_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(10).coalesce(1)
+    assert B._spread(df, B.LEAST_ROWS // 2 + 1, 2).rdd.getNumPartitions() == min(cores, 2)
+    assert B._spread(df, 3 * B.LEAST_ROWS, 50).rdd.getNumPartitions() == min(cores, 150)
+    assert B._spread(df, 50 * B.MOST_ROWS, 1).rdd.getNumPartitions() == 50
