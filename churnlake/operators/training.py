@@ -1,6 +1,7 @@
 """Training jobs.
 
-The random forest is ``pyspark.ml``'s; the boosted learners are those of
+The random forest is ``pyspark.ml``'s, its trees fitted as a few forests side
+by side; the boosted learners are those of
 ``boosting`` (second-order trees, leaf-wise trees, residual trees), all fitted
 in the same passes.  Metrics reuse ``evaluation`` (exact count ratios and rank
 AUC on the positive-class probability).  Run and version bookkeeping are small
@@ -14,7 +15,7 @@ import hashlib
 import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
@@ -56,6 +57,11 @@ _BOOST = {"maxIter": "rounds", "maxDepth": "max_depth", "stepSize": "learning_ra
 
 #: Memory for the statistics of a pass and node ids kept per row: a tree level then takes one pass.
 _FOREST = {"maxMemoryInMB": 2048, "cacheNodeIds": True}
+#: Forests that the trees of one are fitted as, side by side: the statistics of a level are the larger part of
+#: the work and grow with the partitions, so a small frame has one, and a single forest would use one core.
+FOREST_PARTS = 8
+#: Fits that are submitted at once.
+PARALLEL_FITS = 12
 
 
 def boost_spec(spec: ModelSpec) -> BO.BoostSpec:
@@ -65,39 +71,94 @@ def boost_spec(spec: ModelSpec) -> BO.BoostSpec:
 def pipeline(spec: ModelSpec, features=FEATURE_COLUMNS, label: str = LABEL) -> Pipeline:
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     cls = RandomForestClassifier if spec.kind == "rf" else GBTClassifier
-    est = cls(featuresCol="features", labelCol=label, seed=SEED, **_FOREST, **spec.params)
+    est = cls(featuresCol="features", labelCol=label, **({"seed": SEED} | _FOREST | spec.params))
     return Pipeline(stages=[asm, est])
 
 
+def forest_parts(spec: ModelSpec) -> list[ModelSpec]:
+    """A forest's trees dealt to ``FOREST_PARTS`` forests with seeds of their own and a share of the memory each."""
+    n = spec.params["numTrees"]
+    parts = min(FOREST_PARTS, n)
+    return [replace(spec, params=spec.params | {"numTrees": n // parts + (j < n % parts), "seed": SEED + j, "maxMemoryInMB": _FOREST["maxMemoryInMB"] // parts})
+            for j in range(parts)]
+
+
+@dataclass
+class Forest:
+    """A forest as its parts, each a fitted ``pyspark.ml`` pipeline.  Every
+    tree has one vote, so the parts count by their trees."""
+
+    parts: list[PipelineModel]
+
+    def _shares(self) -> list[float]:
+        n = [p.stages[-1].getNumTrees for p in self.parts]
+        return [x / sum(n) for x in n]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with the positive class's probability and the decision."""
+        out, probability = self.parts[0].stages[0].transform(df), F.lit(0.0)
+        for j, (p, share) in enumerate(zip(self.parts, self._shares())):
+            model = p.stages[-1].copy().setRawPredictionCol("").setPredictionCol("").setProbabilityCol(f"_part{j}")
+            out = model.transform(out)
+            probability = probability + vector_to_array(f"_part{j}")[1] * share
+        return out.withColumns({"score": probability, "prediction": (probability > 0.5).cast("int")}).select(
+            *[F.col(f"`{c}`") for c in df.columns if c not in ("prediction", "score")], "prediction", "score")
+
+    def importances(self) -> list[float]:
+        per = [p.stages[-1].featureImportances.toArray() for p in self.parts]
+        return sum(x * share for x, share in zip(per, self._shares())).tolist()
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        _side_by_side(spark, [lambda j=j, p=p: p.write().save(f"{path}/part{j:03d}") for j, p in enumerate(self.parts)])
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Forest":
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+        names = sorted(f.getPath().getName() for f in found if f.getPath().getName().startswith("part"))
+        return cls(_side_by_side(spark, [lambda n=n: PipelineModel.load(f"{path}/{n}") for n in names]))
+
+
+def _side_by_side(spark: SparkSession, jobs: list, parallelism: int = PARALLEL_FITS) -> list:
+    with ThreadPoolExecutor(parallelism) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(spark)(j)) for j in jobs]]
+
+
 def packed(df: DataFrame) -> DataFrame:
     """As few partitions as the rows need."""
     return df.coalesce(max(1, -(-df.count() // ROWS_PER_PARTITION)))
 
 
 def fit_group(train: DataFrame, fits: list[tuple[ModelSpec, int | None]], features=FEATURE_COLUMNS, label: str = LABEL,
-              key: str = "k", parallelism: int = 4) -> list:
+              key: str = "k", parallelism: int = PARALLEL_FITS) -> list:
     """Models of (settings, fold left out or None): the boosted ones share
     their passes, the others are submitted side by side, as each alone leaves
     most of a cluster idle between its tree levels."""
-    train = packed(train)
     boosted = [i for i, (s, _) in enumerate(fits) if s.kind == "boost"]
+    few = packed(train)
     out: list = [None] * len(fits)
 
-    def one(i: int) -> None:
-        spec, k = fits[i]
-        rows = train if k is None else train.filter(F.col("fold") != k)
-        out[i] = pipeline(spec, features, label).fit(rows.withColumn(label, F.col(label).cast("double")))
+    def one(spec: ModelSpec, k: int | None) -> PipelineModel:
+        rows = few if k is None else few.filter(F.col("fold") != k)
+        return pipeline(spec, features, label).fit(rows.withColumn(label, F.col(label).cast("double")))
 
-    def together() -> None:
+    def together() -> list:
         fold = "fold" if any(k is not None for _, k in fits) else None
-        got = BO.fit_many(train, [(boost_spec(fits[i][0]), fits[i][1]) for i in boosted], features, label, fold, key)
-        for i, m in zip(boosted, got):
-            out[i] = m
+        return BO.fit_many(few, [(boost_spec(fits[i][0]), fits[i][1]) for i in boosted], features, label, fold, key)
 
-    jobs = ([together] if boosted else []) + [lambda i=i: one(i) for i, (s, _) in enumerate(fits) if s.kind != "boost"]
-    with ThreadPoolExecutor(parallelism) as pool:
-        for done in [pool.submit(inheritable_thread_target(train.sparkSession)(j)) for j in jobs]:
-            done.result()
+    others = [(i, part) for i, (s, _) in enumerate(fits) if s.kind != "boost" for part in (forest_parts(s) if s.kind == "rf" else [s])]
+    jobs = ([together] if boosted else []) + [lambda i=i, part=part: one(part, fits[i][1]) for i, part in others]
+    got = _side_by_side(train.sparkSession, jobs, parallelism)
+    if boosted:
+        for i, m in zip(boosted, got.pop(0)):
+            out[i] = m
+    for (i, _), m in zip(others, got):
+        if fits[i][0].kind != "rf":
+            out[i] = m
+        elif out[i] is None:
+            out[i] = Forest([m])
+        else:
+            out[i].parts.append(m)
     return out
 
 
@@ -109,7 +170,10 @@ def predict(model, df: DataFrame, label: str = LABEL) -> DataFrame:
     """Positive-class probability and 0/1 decision, as plain columns."""
     if isinstance(model, BO.Ensemble):
         return BO.scores({"": model}, df, df.columns).drop("model").withColumn("prediction", (F.col("score") > 0.5).cast("int"))
-    out = model.transform(df.withColumn(label, F.col(label).cast("double")) if label in df.columns else df)
+    df = df.withColumn(label, F.col(label).cast("double")) if label in df.columns else df
+    if isinstance(model, Forest):
+        return model.transform(df)
+    out = model.transform(df)
     return out.withColumns({
         "score": vector_to_array("probability")[1],
         "prediction": F.col("prediction").cast("int"),
@@ -130,18 +194,18 @@ def predict_long(models: dict[str, object], df: DataFrame, keep=(), label: str =
 
 
 def save(model, spark: SparkSession, path: str) -> None:
-    if isinstance(model, BO.Ensemble):
+    if isinstance(model, BO.Ensemble | Forest):
         model.save(spark, path)
     else:
         model.write().save(path)
 
 
 def load(spark: SparkSession, path: str, kind: str):
-    return BO.Ensemble.load(spark, path) if kind == "boost" else PipelineModel.load(path)
+    return BO.Ensemble.load(spark, path) if kind == "boost" else Forest.load(spark, path) if kind == "rf" else PipelineModel.load(path)
 
 
 def _kind(model) -> str:
-    return "boost" if isinstance(model, BO.Ensemble) else "ml"
+    return "boost" if isinstance(model, BO.Ensemble) else "rf" if isinstance(model, Forest) else "ml"
 
 
 def evaluate(model, test: DataFrame, label: str = LABEL) -> DataFrame:
@@ -168,7 +232,7 @@ def feature_importance(model, features=FEATURE_COLUMNS, top: int | None = 10) ->
     """Importances from the fitted trees (model metadata, one value
     per feature) ranked descending; ``top`` keeps the report's top-k."""
     spark = SparkSession.getActiveSession()
-    imp = model.importances() if isinstance(model, BO.Ensemble) else model.stages[-1].featureImportances.toArray().tolist()
+    imp = model.importances() if isinstance(model, BO.Ensemble | Forest) else model.stages[-1].featureImportances.toArray().tolist()
     df = spark.createDataFrame([(f, float(v), i) for i, (f, v) in enumerate(zip(features, imp))],
                                "feature string, importance double, ordinal int")
     df = df.orderBy(F.desc("importance"), F.asc("ordinal"))
