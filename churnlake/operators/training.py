@@ -57,9 +57,9 @@ _BOOST = {"maxIter": "rounds", "maxDepth": "max_depth", "stepSize": "learning_ra
 
 #: Memory for the statistics of a pass and node ids kept per row: a tree level then takes one pass.
 _FOREST = {"maxMemoryInMB": 2048, "cacheNodeIds": True}
-#: Forests that the trees of one are fitted as, side by side: the statistics of a level are the larger part of
-#: the work and grow with the partitions, so a small frame has one, and a single forest would use one core.
-FOREST_PARTS = 8
+#: Forests that the trees of one are fitted as, side by side, beyond so many rows: the statistics of a level grow
+#: with the partitions, so frames have few, and a single forest would use as many cores.
+FOREST_PARTS, FOREST_ROWS = 8, BO.BLOCK_ROWS
 #: Fits that are submitted at once.
 PARALLEL_FITS = 12
 
@@ -75,10 +75,10 @@ def pipeline(spec: ModelSpec, features=FEATURE_COLUMNS, label: str = LABEL) -> P
     return Pipeline(stages=[asm, est])
 
 
-def forest_parts(spec: ModelSpec) -> list[ModelSpec]:
+def forest_parts(spec: ModelSpec, rows: int) -> list[ModelSpec]:
     """A forest's trees dealt to ``FOREST_PARTS`` forests with seeds of their own and a share of the memory each."""
     n = spec.params["numTrees"]
-    parts = min(FOREST_PARTS, n)
+    parts = min(FOREST_PARTS, n) if rows > FOREST_ROWS else 1
     return [replace(spec, params=spec.params | {"numTrees": n // parts + (j < n % parts), "seed": SEED + j, "maxMemoryInMB": _FOREST["maxMemoryInMB"] // parts})
             for j in range(parts)]
 
@@ -124,9 +124,9 @@ def _side_by_side(spark: SparkSession, jobs: list, parallelism: int = PARALLEL_F
         return [done.result() for done in [pool.submit(inheritable_thread_target(spark)(j)) for j in jobs]]
 
 
-def packed(df: DataFrame) -> DataFrame:
-    """As few partitions as the rows need."""
-    return df.coalesce(max(1, -(-df.count() // ROWS_PER_PARTITION)))
+def packed(df: DataFrame, n: int) -> DataFrame:
+    """As few partitions as the ``n`` rows need."""
+    return df.coalesce(max(1, -(-n // ROWS_PER_PARTITION)))
 
 
 def fit_group(train: DataFrame, fits: list[tuple[ModelSpec, int | None]], features=FEATURE_COLUMNS, label: str = LABEL,
@@ -135,7 +135,8 @@ def fit_group(train: DataFrame, fits: list[tuple[ModelSpec, int | None]], featur
     their passes, the others are submitted side by side, as each alone leaves
     most of a cluster idle between its tree levels."""
     boosted = [i for i, (s, _) in enumerate(fits) if s.kind == "boost"]
-    few = packed(train)
+    n_rows = train.count()
+    few = packed(train, n_rows)
     out: list = [None] * len(fits)
 
     def one(spec: ModelSpec, k: int | None) -> PipelineModel:
@@ -146,7 +147,7 @@ def fit_group(train: DataFrame, fits: list[tuple[ModelSpec, int | None]], featur
         fold = "fold" if any(k is not None for _, k in fits) else None
         return BO.fit_many(few, [(boost_spec(fits[i][0]), fits[i][1]) for i in boosted], features, label, fold, key)
 
-    others = [(i, part) for i, (s, _) in enumerate(fits) if s.kind != "boost" for part in (forest_parts(s) if s.kind == "rf" else [s])]
+    others = [(i, part) for i, (s, _) in enumerate(fits) if s.kind != "boost" for part in (forest_parts(s, n_rows) if s.kind == "rf" else [s])]
     jobs = ([together] if boosted else []) + [lambda i=i, part=part: one(part, fits[i][1]) for i, part in others]
     got = _side_by_side(train.sparkSession, jobs, parallelism)
     if boosted:

@@ -49,6 +49,7 @@ def test_cross_validation_refits_per_fold(spark):
 
 def test_a_forest_is_fitted_as_parts_and_every_tree_has_a_vote(spark, monkeypatch):
     monkeypatch.setattr(TR, "FOREST_PARTS", 3)
+    monkeypatch.setattr(TR, "FOREST_ROWS", 0)
     data = QT.training_frame(spark, SMALL)
     model = TR.fit(data.filter("split = 'train'"), TR.ModelSpec("Forest", "rf", {"numTrees": 7, "maxDepth": 4}))
     assert [p.stages[-1].getNumTrees for p in model.parts] == [3, 2, 2]
