@@ -14,13 +14,15 @@ refits without one fold each) share the passes.
   prepares the children of every node that may still be among the cuts, so a
   tree takes as many passes as it has levels, not one a leaf; children that
   best-first order does not reach are thrown away.
-* Where one task has all rows, of two children only the one with fewer rows is
-  added up; the other is its parent less its sibling.
+* Where one task has all rows, every node's rows are kept; of two children only
+  the one with fewer rows is added up, the other is its parent less its sibling.
+  Features of few values are added up together, by the combinations that occur.
 * Rows are drawn per tree by a hash of their key, features per tree by the
   seed.  Gradients are rounded to multiples of 2^-24, so sums are exact and a
   model does not depend on partitions, retries or their order.
 
-Rows beyond one block stay in a persisted RDD of NumPy blocks (bins, label, fold, key and the
+Up to ``MODEL_ROWS`` rows every model gets a task of its own with all blocks (some 100 bytes a row).
+Beyond, the rows stay in a persisted RDD of NumPy blocks (bins, label, fold, key and the
 models' margins): the loop runs hundreds of short passes with per-partition
 array work, for which planning a query each time would cost more than the
 pass.  Margins are brought up to date every ``FOLD`` trees; lineage is cut by
@@ -45,8 +47,11 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 from .features import FEATURE_COLUMNS, LABEL
 
-#: Rows of a block, trees until margins are brought up to date, and such updates until lineage is cut.
-BLOCK_ROWS = 65_536
+#: Rows of a block, and the most rows that one task takes per model.  A pass by rows costs a Spark job a tree level.
+BLOCK_ROWS, MODEL_ROWS = 65_536, 1_000_000
+#: Combinations of values up to which features are added up together.
+COMBINED = 1024
+#: Trees until margins are brought up to date, and such updates until lineage is cut.
 FOLD = 6
 CUT_LINEAGE = 10
 #: Rows, times models, that are worth a partition of their own while there are idle cores, and the most rows of one.
@@ -323,15 +328,101 @@ def node_sums(bins: np.ndarray, slot: np.ndarray, n_slots: int, g: np.ndarray, h
     return np.stack([np.bincount(at, w, n_slots * total) for w in (np.repeat(g, wide), np.repeat(h, wide), None)], -1).reshape(n_slots, total, 3)
 
 
+class ModelRows:
+    """All rows that a model is fitted on, for a task that grows it alone: the
+    sums are those of ``_sums_of``, over rows kept by node."""
+
+    def __init__(self, blocks: list[tuple], grower: Grower):
+        self.grower, b = grower, grower.bins
+        keep = [np.flatnonzero(fold != grower.fold) if grower.fold is not None else slice(None) for _, _, fold, _, _ in blocks]
+        self.bins = np.concatenate([x[0][k] for x, k in zip(blocks, keep)])
+        self.y = np.concatenate([x[1][k] for x, k in zip(blocks, keep)])
+        self.key = np.concatenate([x[3][k] for x, k in zip(blocks, keep)])
+        self.margin = np.full(len(self.y), grower.base)
+        self.sets = _combined(self.bins, b)
+        self.rows: dict[int, np.ndarray] = {}
+        self.kept: dict[int, np.ndarray] = {}
+
+    def start(self) -> None:
+        """The rows of the next tree, and their gradients."""
+        spec = self.grower.spec
+        rows = np.flatnonzero(_drawn(self.key, spec.seed, len(self.grower.trees), spec.subsample)) if spec.subsample < 1.0 else np.arange(len(self.y))
+        self.g, self.h = _gradients(self.margin, self.y)
+        self.rows, self.kept = {0: rows}, {}
+
+    def sums(self) -> tuple[list[int], np.ndarray]:
+        """The asked nodes with their siblings, and their sums."""
+        g, total = self.grower, self.grower.bins.total
+        if g.asked[0][0] == 0:
+            self.start()
+        for parent in {p for _, _, p in g.asked if p is not None}:
+            _, f, t, missing_left, _ = g.nodes[parent]["best"]
+            rows = self.rows.pop(parent)
+            b = self.bins[rows, f]
+            left = (b <= t) if missing_left else (b <= t) & (b != g.bins.start[f])
+            for k, r in zip(g.nodes[parent]["kids"], (rows[left], rows[~left])):
+                self.rows[k] = r
+        held = [self.rows[i] for i, _, _ in g.asked]
+        slot, rows = np.repeat(np.arange(len(held)), [len(r) for r in held]), np.concatenate(held)
+        grad, hess = self.g[rows], self.h[rows]
+        out = np.empty((len(held), total, 3))
+        for code, n, spread, at in self.sets:
+            cell = slot * n + code[rows]
+            hist = np.stack([np.bincount(cell, w, len(held) * n) for w in (grad, hess, None)], -1).reshape(len(held), n, 3)
+            out[:, at] = hist if spread is None else spread @ hist
+        self.kept |= {i: x for (i, _, _), x in zip(g.asked, out)}
+        self.kept |= {k: self.kept[p] - self.kept[i] for i, k, p in g.asked if k is not None}
+        nodes = _with_siblings(g.asked)
+        return nodes, np.stack([self.kept[i] for i in nodes])
+
+    def grown(self) -> None:
+        """Add the finished trees to the margins."""
+        for t in self.grower.pending:
+            self.margin += t.value[t.walk(self.bins, self.grower.bins.start)]
+        self.grower.pending = []
+
+
+def _combined(x: np.ndarray, b: Bins) -> list[tuple]:
+    """Features dealt to sets of at most ``COMBINED`` combinations of bins: the
+    combination of every row, how many there are, a 0/1 matrix from them to
+    the bins (None for a feature alone), and those bins."""
+    size = np.diff(np.append(b.start, b.total))
+    out: list[tuple] = []
+    code, held, combos = None, [], None
+
+    def close() -> None:
+        at = np.concatenate([np.arange(b.start[j], b.start[j] + size[j]) for j in held])
+        spread = np.concatenate([combos[:, i] == np.arange(size[j])[:, None] for i, j in enumerate(held)]).astype(float)
+        out.append((code, len(combos), spread, at))
+
+    for j in np.argsort(size, kind="stable").tolist():
+        own = x[:, j] - b.start[j]
+        if size[j] > COMBINED // 4:
+            out.append((own.astype(np.int64), int(size[j]), None, np.arange(b.start[j], b.start[j] + size[j])))
+            continue
+        if held:
+            values, new = np.unique(code * size[j] + own, return_inverse=True)
+            if len(values) <= COMBINED:
+                code, combos = new.astype(np.int64), np.column_stack([combos[values // size[j]], values % size[j]])
+                held.append(j)
+                continue
+            close()
+        values, new = np.unique(own, return_inverse=True)
+        code, held, combos = new.astype(np.int64), [j], values[:, None]
+    if held:
+        close()
+    return out
+
+
 def _with_siblings(asked: list[tuple]) -> list[int]:
     """The asked nodes, then their siblings that need a cut."""
     return [i for i, _, _ in asked] + [k for _, k, _ in asked if k is not None]
 
 
-def _work(growers: list[Grower], siblings: bool) -> list[tuple]:
+def _work(growers: list[Grower]) -> list[tuple]:
     """What tasks need of every model that still grows."""
-    return [(m, g.pending, g.tree_now(), np.array(_with_siblings(g.asked) if siblings else [i for i, _, _ in g.asked]), g.fold, g.spec.seed,
-             len(g.trees), g.spec.subsample) for m, g in enumerate(growers) if not g.done]
+    return [(m, g.pending, g.tree_now(), np.array(_with_siblings(g.asked)), g.fold, g.spec.seed, len(g.trees), g.spec.subsample)
+            for m, g in enumerate(growers) if not g.done]
 
 
 def _sums_of(block: tuple, work: list[tuple], start: np.ndarray, total: int) -> dict[int, np.ndarray]:
@@ -500,11 +591,11 @@ def _parsed(x, y, fold, key, bases: list[float]) -> tuple:
 
 
 def fit_many(train: DataFrame, fits: list[tuple[BoostSpec, int | None]], features=FEATURE_COLUMNS, label: str = LABEL, fold: str | None = None,
-             key: str = "k", max_bins: int = 256, bins: Bins | None = None, block_rows: int = BLOCK_ROWS) -> list[Ensemble]:
+             key: str = "k", max_bins: int = 256, bins: Bins | None = None, block_rows: int | None = None) -> list[Ensemble]:
     """Fit every (settings, fold left out or None) on the rows of ``train``,
-    all in the same passes.  Deterministic for a seed and the rows given.  Rows
-    that fit one block (``block_rows``) are handed to one task a model
-    instead, which makes the same passes over them; the models are the same."""
+    all in the same passes.  Deterministic for a seed and the rows given.  Up
+    to ``MODEL_ROWS`` rows (``block_rows`` where given) are handed to one task a
+    model instead, which makes the same passes over them; the models are the same."""
     spark = train.sparkSession
     _ship(spark)
     checkpoint_dir(spark)
@@ -520,10 +611,10 @@ def fit_many(train: DataFrame, fits: list[tuple[BoostSpec, int | None]], feature
         p = min(max(p, 1e-6), 1 - 1e-6)
         growers.append(Grower(spec, bins, float(np.log(p / (1 - p))), k))
     blocks = lambda df, rows: _blocks(df, bins, label, fold, key, rows)
-    if rates["n"] <= block_rows:
-        trees = _fit_by_model(blocks(train.coalesce(1), block_rows), growers)
+    if rates["n"] <= (block_rows or MODEL_ROWS):
+        trees = _fit_by_model(blocks(train, block_rows or BLOCK_ROWS), growers)
     else:
-        trees = _fit_by_rows(blocks(_spread(train, rates["n"], len(fits)), block_rows), growers)
+        trees = _fit_by_rows(blocks(_spread(train, rates["n"], len(fits)), block_rows or BLOCK_ROWS), growers)
     return [Ensemble(bins.features, bins.cuts, g.base, t, g.spec.importance) for g, t in zip(growers, trees)]
 
 
@@ -539,7 +630,7 @@ def _fit_by_rows(blocks: DataFrame, growers: list[Grower]) -> list[list[Tree]]:
     start, total = bins.start, bins.total
     state = blocks.rdd.map(lambda r: _parsed(*r, bases)).persist(StorageLevel.MEMORY_AND_DISK)
     folds, old = 0, None
-    while work := _work(growers, True):
+    while work := _work(growers):
         plan = {w[0]: (growers[w[0]].spec, bins, growers[w[0]].allowed, w[3].tolist()) for w in work}
         sums = state.mapPartitions(lambda part, work=work: _partial_sums(part, work, start, total)).reduceByKey(np.add, len(work))
         for m, (cuts, root) in sums.map(lambda row, plan=plan: (row[0], node_cuts(*plan[row[0]], row[1]))).collect():
@@ -560,26 +651,24 @@ def _fit_by_rows(blocks: DataFrame, growers: list[Grower]) -> list[list[Tree]]:
 
 
 def _fit_by_model(blocks: DataFrame, growers: list[Grower]) -> list[list[Tree]]:
-    """The one block to a task per model."""
+    """All blocks to a task per model."""
+    def fitted(m: int, held: list[tuple]) -> pa.RecordBatch:
+        g = growers[m]
+        rows = ModelRows(held, g)
+        while not g.done:
+            nodes, sums = rows.sums()
+            g.receive(*node_cuts(g.spec, g.bins, g.allowed, nodes, sums))
+            if g.pending:
+                rows.grown()
+        return pa.RecordBatch.from_arrays([pa.array([m], pa.int32()), pa.array([pickle.dumps(g.trees)], pa.binary())], ["m", "trees"])
+
     def run(batches) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {}
         for b in batches:
             for i in range(b.num_rows):
-                m = b.column(0)[i].as_py()
-                g = growers[m]
-                block = _parsed(*[b.column(c)[i].as_buffer() for c in range(1, 5)], [g.base])
-                kept: dict[int, np.ndarray] = {}
-                while not g.done:
-                    if g.asked[0][0] == 0:
-                        kept = {}
-                    sums = _sums_of(block, _work([g], False), g.bins.start, g.bins.total)[0]
-                    kept |= {i: h for (i, _, _), h in zip(g.asked, sums)}
-                    kept |= {k: kept[parent] - kept[i] for i, k, parent in g.asked if k is not None}
-                    nodes = _with_siblings(g.asked)
-                    g.receive(*node_cuts(g.spec, g.bins, g.allowed, nodes, np.stack([kept[i] for i in nodes])))
-                    if g.pending:
-                        block = _updated(block, {0: g.pending}, g.bins.start)
-                        g.pending = []
-                yield pa.RecordBatch.from_arrays([pa.array([m], pa.int32()), pa.array([pickle.dumps(g.trees)], pa.binary())], ["m", "trees"])
+                held.setdefault(b.column(0)[i].as_py(), []).append(_parsed(*[b.column(c)[i].as_buffer() for c in range(1, 5)], [0.0]))
+        for m in sorted(held):
+            yield fitted(m, held.pop(m))
 
     n = len(growers)
     dealt = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("m"), "*").repartitionById(n, "m")

@@ -159,3 +159,28 @@ def test_rows_are_spread_over_the_cores(spark):
     assert B._spread(df, B.LEAST_ROWS // 2 + 1, 2).rdd.getNumPartitions() == min(cores, 2)
     assert B._spread(df, 3 * B.LEAST_ROWS, 50).rdd.getNumPartitions() == min(cores, 150)
     assert B._spread(df, 50 * B.MOST_ROWS, 1).rdd.getNumPartitions() == 50
+
+
+def test_rows_of_several_blocks_meet_in_a_task_a_model(spark, monkeypatch):
+    """A pass over the rows is then no Spark job."""
+    df = spark.range(70_000).selectExpr("id * 37 % 9 + 0e0 AS a", "id * 31 % 1009 + 0e0 AS b", "id % 2 + 0e0 AS c", "CAST(id * 13 % 11 < 4 + id % 2 AS INT) AS y",
+                                        "id AS k", "CAST(id % 4 AS INT) AS fold")
+    fits = [(B.BoostSpec(2, 4, subsample=0.7, colsample=0.7, reg_lambda=1.0), None), (B.BoostSpec(2, 6, max_leaves=5), 1)]
+    by_rows = B.fit_many(df, fits, ["a", "b", "c"], "y", "fold", "k", block_rows=60_000)
+    monkeypatch.setattr(B, "_fit_by_rows", None)
+    for m, n in zip(by_rows, B.fit_many(df, fits, ["a", "b", "c"], "y", "fold", "k")):
+        assert all((t.value == u.value).all() and (t.bin == u.bin).all() for t, u in zip(m.trees, n.trees, strict=True))
+
+
+def test_features_added_up_together_give_the_sums_of_each(monkeypatch):
+    monkeypatch.setattr(B, "COMBINED", 40)
+    rng = np.random.default_rng(3)
+    values = [rng.integers(0, n, 500).astype(float) for n in (2, 2, 3, 2, 60, 9, 4, 1)]
+    values[2][rng.random(500) < 0.2] = np.nan
+    bins = B.Bins(list("abcdefgh"), [np.unique(v[~np.isnan(v)])[:-1] for v in values])
+    x, y = bins.of(values), rng.integers(0, 2, 500).astype(float)
+    sets = B._combined(x, bins)
+    assert 1 < len(sets) < 8 and sorted(np.concatenate([at for *_, at in sets])) == list(range(bins.total))
+    g = B.Grower(B.BoostSpec(1, 3), bins, 0.3, None)
+    nodes, sums = B.ModelRows([(x[:200], y[:200], np.zeros(200), np.arange(200), None), (x[200:], y[200:], np.zeros(300), np.arange(300), None)], g).sums()
+    assert nodes == [0] and (sums == B.node_sums(x, np.zeros(500, np.int64), 1, *B._gradients(np.full(500, 0.3), y), bins.total)).all()
