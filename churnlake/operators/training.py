@@ -25,6 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..sources import versioned as V
 from . import boosting as BO
 from . import evaluation as EV
@@ -194,6 +195,21 @@ def predict_long(models: dict[str, object], df: DataFrame, keep=(), label: str =
     return whole
 
 
+def score_tables(groups: list[tuple[dict[str, object], DataFrame]], keep=(), label: str = LABEL) -> DataFrame:
+    """``predict_long`` of several (models, rows), written.  A task gets, and
+    unpacks, every tree of its job, so each forest has a job of its own, side
+    by side with the others, and so have the boosted models of a group."""
+    jobs = []
+    for models, df in groups:
+        boosted = {n: m for n, m in models.items() if isinstance(m, BO.Ensemble)}
+        for some in ([boosted] if boosted else []) + [{n: m} for n, m in models.items() if n not in boosted]:
+            jobs.append(lambda some=some, df=df: materialize(predict_long(some, df, keep, label), "scores"))
+    whole, *more = _side_by_side(groups[0][1].sparkSession, jobs)
+    for part in more:
+        whole = whole.unionByName(part)
+    return whole
+
+
 def save(model, spark: SparkSession, path: str) -> None:
     if isinstance(model, BO.Ensemble | Forest):
         model.save(spark, path)
@@ -221,12 +237,8 @@ def cross_validate(data: DataFrame, specs: list[ModelSpec], n_folds: int = EV.N_
     the population std.  All refits are fitted as one group."""
     fits = [(s, k) for k in range(n_folds) for s in specs]
     models = fit_group(data, fits, label=label)
-    scored = None
-    for k in range(n_folds):
-        per = {s.name: m for (s, f), m in zip(fits, models) if f == k}
-        part = predict_long(per, data.filter(F.col("fold") == k), ["fold"], label)
-        scored = part if scored is None else scored.unionByName(part)
-    return EV.cv_f1(scored, group_cols=["model"])
+    groups = [({s.name: m for (s, f), m in zip(fits, models) if f == k}, data.filter(F.col("fold") == k)) for k in range(n_folds)]
+    return EV.cv_f1(score_tables(groups, ["fold"], label), group_cols=["model"])
 
 
 def feature_importance(model, features=FEATURE_COLUMNS, top: int | None = 10) -> DataFrame:

@@ -48,7 +48,7 @@ def _fit(spark, sf_dir, names):
     paths = {n: scratch_path(spark, f"model_{n}") for n in names}
     for n, m in models.items():
         TR.save(m, spark, paths[n])
-    scored = materialize(TR.predict_long(models, _split(spark, sf_dir, "test")), "test_scores")
+    scored = TR.score_tables([(models, _split(spark, sf_dir, "test"))])
     return paths, materialize(EV.classification_metrics(scored, group_cols=["model"]), "test_metrics")
 
 
