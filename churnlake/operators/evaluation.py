@@ -111,12 +111,13 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = "k", test_f
     (H(key), key); the first ROUND(f·n_class) are test.  The rank is a
     distributed prefix count over (key, class) alone, so a class with a third
     (or all) of the rows is spread over many tasks; the rows meet their split
-    in one join on the (unique) key."""
+    in one join on the (unique) key (merged: stored keys are so small that
+    Spark would send millions of them through the driver)."""
     x = df.select(key, label).withColumns({"_h": hkey(key, hash_a), "_one": F.lit(1)})
     r = prefix_sum(x, [label], ["_h", key], ["_one"])
     test = F.col("_one_cum") <= F.round(F.lit(test_fraction) * F.col("_one_tot"))
     split = r.select(key, F.when(test, F.lit("test")).otherwise(F.lit("train")).alias("split"))
-    return df.join(split, key)
+    return df.join(split.hint("merge"), key)
 
 
 def stratified_folds(df: DataFrame, label: str = "label", key: str = "k", n_folds: int = N_FOLDS,
@@ -126,7 +127,7 @@ def stratified_folds(df: DataFrame, label: str = "label", key: str = "k", n_fold
     x = df.select(key, label).withColumns({"_h": hkey(key, hash_a), "_one": F.lit(1)})
     r = prefix_sum(x, [label], ["_h", key], ["_one"])
     folds = r.select(key, ((F.col("_one_cum") - 1) % n_folds).cast("int").alias("fold"))
-    return df.join(folds, key)
+    return df.join(folds.hint("merge"), key)
 
 
 def fold_assignment(df: DataFrame, key: str = "k", n_folds: int = N_FOLDS, hash_a: int = SPLIT_KEY) -> DataFrame:

@@ -44,7 +44,7 @@ def scorer_long(spark, sf_dir):
     long = EV.fold_assignment(long)
     # the split depends on the key and label only: compute it once per customer
     split = EV.stratified_split(base.select("k", "label")).select("k", "split")
-    return long.join(split, "k")
+    return long.join(split.hint("merge"), "k")      # a row per customer: never through the driver
 
 
 def run_log(spark, sf_dir):

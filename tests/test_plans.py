@@ -89,3 +89,17 @@ def test_best_model_of_no_runs_is_empty(spark):
     from churnlake.operators.evaluation import best_model
     runs = spark.createDataFrame([("a", None, 0)], "run_name string, f1_score double, ordinal int")
     assert best_model(runs).count() == 0
+
+
+def test_rows_meet_their_split_without_the_driver(spark):
+    """A broadcast side goes through the driver; these sides have a row per customer."""
+    import re
+
+    from churnlake.operators import evaluation as EV
+    from churnlake.plans.q_evaluation import scorer_long
+    from pyspark.sql import functions as F
+    df = spark.range(60).select(F.col("id").alias("k"), (F.col("id") % 2).alias("label"))
+    joins = [re.findall("SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin", _plan(x))
+             for x in (EV.stratified_split(df), EV.stratified_folds(df), scorer_long(spark, SMOKE))]
+    assert [j[0] for j in joins] == 3 * ["SortMergeJoin"] and joins[2][:2] == 2 * ["SortMergeJoin"]
+    assert EV.stratified_split(df).filter("split = 'test'").count() == 12
