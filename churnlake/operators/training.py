@@ -1,7 +1,8 @@
 """Training jobs.
 
-The random forest is ``pyspark.ml``'s, its trees fitted as a few forests side
-by side; the boosted learners are those of
+The random forest of a small frame is ``pyspark.ml``'s, that of a larger one is
+grown by tasks (``forest``), as the former's nodes all lie on the driver; the
+boosted learners are those of
 ``boosting`` (second-order trees, leaf-wise trees, residual trees), all fitted
 in the same passes.  Metrics reuse ``evaluation`` (exact count ratios and rank
 AUC on the positive-class probability).  Run and version bookkeeping are small
@@ -29,6 +30,7 @@ from ..session import materialize
 from ..sources import versioned as V
 from . import boosting as BO
 from . import evaluation as EV
+from . import forest as FO
 from .features import FEATURE_COLUMNS, LABEL
 
 SEED = 42
@@ -58,9 +60,10 @@ _BOOST = {"maxIter": "rounds", "maxDepth": "max_depth", "stepSize": "learning_ra
 
 #: Memory for the statistics of a pass and node ids kept per row: a tree level then takes one pass.
 _FOREST = {"maxMemoryInMB": 2048, "cacheNodeIds": True}
-#: Forests that the trees of one are fitted as, side by side, beyond so many rows: the statistics of a level grow
-#: with the partitions, so frames have few, and a single forest would use as many cores.
-FOREST_PARTS, FOREST_ROWS = 8, BO.BLOCK_ROWS
+#: Rows beyond which tasks grow and keep a forest's trees: ``pyspark.ml``'s forest has some hundred bytes a node on the
+#: driver, and nodes grow with the rows.  The parts that such a forest is dealt to; beyond ``FO.TASK_ROWS``, where a task
+#: can't hold all rows, they are ``pyspark.ml`` forests fitted side by side.
+FOREST_PARTS, FOREST_ROWS = 8, 16_384
 #: Fits that are submitted at once.
 PARALLEL_FITS = 12
 
@@ -86,10 +89,12 @@ def forest_parts(spec: ModelSpec, rows: int) -> list[ModelSpec]:
 
 @dataclass
 class Forest:
-    """A forest as its parts, each a fitted ``pyspark.ml`` pipeline.  Every
-    tree has one vote, so the parts count by their trees."""
+    """A forest as its parts, each a fitted ``pyspark.ml`` pipeline or some
+    trees of ``whole``.  Every tree has one vote, so the parts count by their
+    trees."""
 
-    parts: list[PipelineModel]
+    parts: list
+    whole: FO.Trees | None = None
 
     def _shares(self) -> list[float]:
         n = [p.stages[-1].getNumTrees for p in self.parts]
@@ -97,8 +102,11 @@ class Forest:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with the positive class's probability and the decision."""
-        out, probability = self.parts[0].stages[0].transform(df), F.lit(0.0)
-        for j, (p, share) in enumerate(zip(self.parts, self._shares())):
+        if self.whole:
+            out, probability = self.whole.votes(df, "_votes"), F.col("_votes") / self.whole.getNumTrees
+        else:
+            out, probability = self.parts[0].stages[0].transform(df), F.lit(0.0)
+        for j, (p, share) in enumerate(zip([] if self.whole else self.parts, self._shares())):
             model = p.stages[-1].copy().setRawPredictionCol("").setPredictionCol("").setProbabilityCol(f"_part{j}")
             out = model.transform(out)
             probability = probability + vector_to_array(f"_part{j}")[1] * share
@@ -106,10 +114,14 @@ class Forest:
             *[F.col(f"`{c}`") for c in df.columns if c not in ("prediction", "score")], "prediction", "score")
 
     def importances(self) -> list[float]:
+        if self.whole:
+            return self.whole.importances()
         per = [p.stages[-1].featureImportances.toArray() for p in self.parts]
         return sum(x * share for x, share in zip(per, self._shares())).tolist()
 
     def save(self, spark: SparkSession, path: str) -> None:
+        if self.whole:
+            return self.whole.save(spark, path)
         _side_by_side(spark, [lambda j=j, p=p: p.write().save(f"{path}/part{j:03d}") for j, p in enumerate(self.parts)])
 
     @classmethod
@@ -117,9 +129,25 @@ class Forest:
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
         names = sorted(f.getPath().getName() for f in found if f.getPath().getName().startswith("part"))
+        if not names:
+            whole = FO.Trees.load(spark, path)
+            return cls([whole], whole)
         return cls(_side_by_side(spark, [lambda n=n: PipelineModel.load(f"{path}/{n}") for n in names]))
 
 
+def forest_spec(spec: ModelSpec) -> FO.ForestSpec:
+    return FO.ForestSpec(spec.params["numTrees"], spec.params["maxDepth"], spec.params.get("minInstancesPerNode", 1), SEED)
+
+
+def forest_of(whole: FO.Trees, spec: ModelSpec, rows: int) -> Forest:
+    """A forest grown by tasks, and its trees dealt to parts."""
+    parts, first = [], 0
+    for part in forest_parts(spec, rows):
+        parts.append(whole.part(first, part.params["numTrees"]))
+        first += part.params["numTrees"]
+    return Forest(parts, whole)
+
+
 def _side_by_side(spark: SparkSession, jobs: list, parallelism: int = PARALLEL_FITS) -> list:
     with ThreadPoolExecutor(parallelism) as pool:
         return [done.result() for done in [pool.submit(inheritable_thread_target(spark)(j)) for j in jobs]]
@@ -133,27 +161,36 @@ def packed(df: DataFrame, n: int) -> DataFrame:
 def fit_group(train: DataFrame, fits: list[tuple[ModelSpec, int | None]], features=FEATURE_COLUMNS, label: str = LABEL,
               key: str = "k", parallelism: int = PARALLEL_FITS) -> list:
     """Models of (settings, fold left out or None): the boosted ones share
-    their passes, the others are submitted side by side, as each alone leaves
-    most of a cluster idle between its tree levels."""
-    boosted = [i for i, (s, _) in enumerate(fits) if s.kind == "boost"]
+    their passes, forests beyond ``FOREST_ROWS`` their job, the others are
+    submitted side by side, as each alone leaves most of a cluster idle between
+    its tree levels."""
     n_rows = train.count()
     few = packed(train, n_rows)
+    by_tasks = FOREST_ROWS < n_rows <= FO.TASK_ROWS
+    boosted = [i for i, (s, _) in enumerate(fits) if s.kind == "boost"]
+    grown = [i for i, (s, _) in enumerate(fits) if s.kind == "rf" and by_tasks]
     out: list = [None] * len(fits)
+    fold = "fold" if any(k is not None for _, k in fits) else None
+    bins = BO.find_bins(train, features) if boosted or grown else None
 
     def one(spec: ModelSpec, k: int | None) -> PipelineModel:
         rows = few if k is None else few.filter(F.col("fold") != k)
         return pipeline(spec, features, label).fit(rows.withColumn(label, F.col(label).cast("double")))
 
     def together() -> list:
-        fold = "fold" if any(k is not None for _, k in fits) else None
-        return BO.fit_many(few, [(boost_spec(fits[i][0]), fits[i][1]) for i in boosted], features, label, fold, key)
-
-    others = [(i, part) for i, (s, _) in enumerate(fits) if s.kind != "boost" for part in (forest_parts(s, n_rows) if s.kind == "rf" else [s])]
-    jobs = ([together] if boosted else []) + [lambda i=i, part=part: one(part, fits[i][1]) for i, part in others]
-    got = _side_by_side(train.sparkSession, jobs, parallelism)
-    if boosted:
-        for i, m in zip(boosted, got.pop(0)):
+        return BO.fit_many(few, [(boost_spec(fits[i][0]), fits[i][1]) for i in boosted], features, label, fold, key, bins=bins)
+
+    def forests() -> list:
+        return FO.fit_many(few, [(forest_spec(fits[i][0]), fits[i][1]) for i in grown], bins, label, fold)
+
+    groups = [(x, job) for x, job in ((boosted, together), (grown, forests)) if x]
+    others = [(i, part) for i, (s, _) in enumerate(fits) if i not in boosted + grown for part in (forest_parts(s, n_rows) if s.kind == "rf" else [s])]
+    got = _side_by_side(train.sparkSession, [job for _, job in groups] + [lambda i=i, part=part: one(part, fits[i][1]) for i, part in others], parallelism)
+    for x, _ in groups:
+        for i, m in zip(x, got.pop(0)):
             out[i] = m
+    for i in grown:
+        out[i] = forest_of(out[i], fits[i][0], n_rows)
     for (i, _), m in zip(others, got):
         if fits[i][0].kind != "rf":
             out[i] = m
