@@ -34,6 +34,7 @@ from __future__ import annotations
 import heapq
 import json
 import pickle
+import threading
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -185,6 +186,7 @@ class Grower:
         self.spec, self.bins, self.base, self.fold = spec, bins, base, fold
         self.trees: list[Tree] = []
         self.pending: list[Tree] = []      # not yet in the margins
+        self.grown_as: list[int] = []      # of the last tree's nodes, their numbers while it grew
         self._start()
 
     @property
@@ -297,6 +299,7 @@ class Grower:
                 g, h, _ = self.nodes[i]["stats"]
                 value[new[i]] = -self.spec.learning_rate * g / (h + self.spec.reg_lambda) if h + self.spec.reg_lambda > 0 else 0.0
         tree = Tree(whole.feature[take], whole.bin[take], whole.missing_left[take], renumber(whole.left), renumber(whole.right), value, whole.gain[take])
+        self.grown_as = order
         self.trees.append(tree)
         self.pending.append(tree)
         if not self.done:
@@ -335,20 +338,31 @@ class ModelRows:
     def __init__(self, blocks: list[tuple], grower: Grower):
         self.grower, b = grower, grower.bins
         keep = [np.flatnonzero(fold != grower.fold) if grower.fold is not None else slice(None) for _, _, fold, _, _ in blocks]
-        self.bins = np.concatenate([x[0][k] for x, k in zip(blocks, keep)])
+        bins = np.concatenate([x[0][k] for x, k in zip(blocks, keep)])
         self.y = np.concatenate([x[1][k] for x, k in zip(blocks, keep)])
         self.key = np.concatenate([x[3][k] for x, k in zip(blocks, keep)])
         self.margin = np.full(len(self.y), grower.base)
-        self.sets = _combined(self.bins, b)
+        sets = _combined(bins, b)
+        self.sets = [which for _, *which in sets]
+        # Small numbers that lie together: the combinations of a row, the bins of a feature.
+        kind = np.min_scalar_type(max([n for n, *_ in self.sets] + [len(c) + 2 for c in b.cuts]))
+        self.codes = np.stack([code.astype(kind) for code, *_ in sets], 1)
+        self.columns = [(bins[:, j] - first).astype(kind) for j, first in enumerate(b.start)]
         self.rows: dict[int, np.ndarray] = {}
         self.kept: dict[int, np.ndarray] = {}
 
     def start(self) -> None:
         """The rows of the next tree, and their gradients."""
         spec = self.grower.spec
-        rows = np.flatnonzero(_drawn(self.key, spec.seed, len(self.grower.trees), spec.subsample)) if spec.subsample < 1.0 else np.arange(len(self.y))
+        drawn = _drawn(self.key, spec.seed, len(self.grower.trees), spec.subsample) if spec.subsample < 1.0 else np.ones(len(self.y), bool)
         self.g, self.h = _gradients(self.margin, self.y)
-        self.rows, self.kept = {0: rows}, {}
+        self.rows, self.kept, self.others = {0: np.flatnonzero(drawn)}, {}, np.flatnonzero(~drawn)
+
+    def sides(self, rows: np.ndarray, f: int, t: int, missing_left: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The rows on both sides of a cut."""
+        b, t = self.columns[f][rows], t - self.grower.bins.start[f]
+        left = (b <= t) if missing_left else (b <= t) & (b != 0)
+        return rows[left], rows[~left]
 
     def sums(self) -> tuple[list[int], np.ndarray]:
         """The asked nodes with their siblings, and their sums."""
@@ -356,18 +370,15 @@ class ModelRows:
         if g.asked[0][0] == 0:
             self.start()
         for parent in {p for _, _, p in g.asked if p is not None}:
-            _, f, t, missing_left, _ = g.nodes[parent]["best"]
-            rows = self.rows.pop(parent)
-            b = self.bins[rows, f]
-            left = (b <= t) if missing_left else (b <= t) & (b != g.bins.start[f])
-            for k, r in zip(g.nodes[parent]["kids"], (rows[left], rows[~left])):
-                self.rows[k] = r
+            self.rows |= zip(g.nodes[parent]["kids"], self.sides(self.rows[parent], *g.nodes[parent]["best"][1:4]))
         held = [self.rows[i] for i, _, _ in g.asked]
         slot, rows = np.repeat(np.arange(len(held)), [len(r) for r in held]), np.concatenate(held)
         grad, hess = self.g[rows], self.h[rows]
+        wide = self.codes.shape[1]
+        codes = self.codes.view(f"V{self.codes.itemsize * wide}").ravel()[rows].view(self.codes.dtype).reshape(len(rows), wide)
         out = np.empty((len(held), total, 3))
-        for code, n, spread, at in self.sets:
-            cell = slot * n + code[rows]
+        for j, (n, spread, at) in enumerate(self.sets):
+            cell = slot * n + codes[:, j]
             hist = np.stack([np.bincount(cell, w, len(held) * n) for w in (grad, hess, None)], -1).reshape(len(held), n, 3)
             out[:, at] = hist if spread is None else spread @ hist
         self.kept |= {i: x for (i, _, _), x in zip(g.asked, out)}
@@ -376,10 +387,20 @@ class ModelRows:
         return nodes, np.stack([self.kept[i] for i in nodes])
 
     def grown(self) -> None:
-        """Add the finished trees to the margins."""
-        for t in self.grower.pending:
-            self.margin += t.value[t.walk(self.bins, self.grower.bins.start)]
-        self.grower.pending = []
+        """Add the finished tree to the margins: its nodes' rows are known as
+        far as they were summed up, the rows that were not drawn are placed."""
+        (t,), grown_as, self.grower.pending = self.grower.pending, self.grower.grown_as, []
+        todo = [(0, self.rows[0], True), (0, self.others, False)]
+        while todo:
+            i, rows, known = todo.pop()
+            if t.left[i] < 0:
+                self.margin[rows] += t.value[i]
+                continue
+            kids = int(t.left[i]), int(t.right[i])
+            if known and grown_as[kids[0]] in self.rows:
+                todo += [(k, self.rows[grown_as[k]], True) for k in kids]
+            elif len(rows):
+                todo += [(k, r, False) for k, r in zip(kids, self.sides(rows, int(t.feature[i]), int(t.bin[i]), bool(t.missing_left[i])))]
 
 
 def _combined(x: np.ndarray, b: Bins) -> list[tuple]:
@@ -535,6 +556,7 @@ def scores(models: dict[str, Ensemble], df: DataFrame, keep=()) -> DataFrame:
 
 
 _shipped: set[str] = set()
+_shipping = threading.Lock()      # fits side by side ship once
 
 
 def _ship(spark: SparkSession) -> None:
@@ -542,15 +564,16 @@ def _ship(spark: SparkSession) -> None:
     import tempfile
     import zipfile
     from pathlib import Path
-    if spark.sparkContext.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    path = Path(tempfile.mkdtemp(prefix="churnlake-code-")) / f"{root.name}-operators.zip"
-    with zipfile.ZipFile(path, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    spark.sparkContext.addPyFile(str(path))
-    _shipped.add(spark.sparkContext.applicationId)
+    with _shipping:
+        if spark.sparkContext.applicationId in _shipped:
+            return
+        root = Path(__file__).resolve().parents[1]
+        path = Path(tempfile.mkdtemp(prefix="churnlake-code-")) / f"{root.name}-operators.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(path))
+        _shipped.add(spark.sparkContext.applicationId)
 
 
 # ---- training ------------------------------------------------------------------------------------------
