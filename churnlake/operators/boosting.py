@@ -145,21 +145,22 @@ class Tree:
 
 def best_cuts(s: BoostSpec, b: Bins, allowed: np.ndarray, h: np.ndarray) -> list[tuple]:
     """(gain, feature, bin, missing goes left, left sums) of each node's best cut."""
-    cum = np.cumsum(h, axis=1)
+    cum = [np.cumsum(h[..., c], axis=1) for c in range(3)]
     first = b.start[b.feature]
-    before = np.where((first > 0)[None, :, None], cum[:, np.maximum(first - 1, 0)], 0.0)
-    total = (cum[:, -1] - (cum[:, b.start[-1] - 1] if b.start[-1] else 0.0))[:, None, :]
+    before = [np.where(first > 0, c[:, np.maximum(first - 1, 0)], 0.0) for c in cum]
+    total = [(c[:, -1] - (c[:, b.start[-1] - 1] if b.start[-1] else 0.0))[:, None] for c in cum]
     gains = []
-    for left in (cum - cum[:, first], cum - before):           # missing right, missing left
-        right = total - left
-        ok = (allowed & (np.arange(b.total) > first) & (left[..., 2] >= s.min_child_rows) & (right[..., 2] >= s.min_child_rows)
-              & (left[..., 1] >= s.min_child_weight) & (right[..., 1] >= s.min_child_weight))
+    missing = [[c[:, first] for c in cum], before]             # missing right, missing left
+    for less in missing if h[:, b.start, 2].any() else missing[:1]:      # without missing values both are the same
+        left = [c - x for c, x in zip(cum, less)]
+        right = [t - x for t, x in zip(total, left)]
+        ok = (allowed & (np.arange(b.total) > first) & (left[2] >= s.min_child_rows) & (right[2] >= s.min_child_rows)
+              & (left[1] >= s.min_child_weight) & (right[1] >= s.min_child_weight))
         with np.errstate(divide="ignore", invalid="ignore"):
             if s.criterion == "friedman":
-                gain = (left[..., 2] * right[..., 2] / total[..., 2]) * (left[..., 0] / left[..., 2] - right[..., 0] / right[..., 2]) ** 2
+                gain = (left[2] * right[2] / total[2]) * (left[0] / left[2] - right[0] / right[2]) ** 2
             else:
-                gain = (left[..., 0] ** 2 / (left[..., 1] + s.reg_lambda) + right[..., 0] ** 2 / (right[..., 1] + s.reg_lambda)
-                        - total[..., 0] ** 2 / (total[..., 1] + s.reg_lambda))
+                gain = left[0] ** 2 / (left[1] + s.reg_lambda) + right[0] ** 2 / (right[1] + s.reg_lambda) - total[0] ** 2 / (total[1] + s.reg_lambda)
         gains.append(np.where(ok & np.isfinite(gain), gain, 0.0))
     both = np.stack(gains, 1)
     at = both.reshape(len(h), -1).argmax(1)
@@ -167,7 +168,7 @@ def best_cuts(s: BoostSpec, b: Bins, allowed: np.ndarray, h: np.ndarray) -> list
     out = []
     for i in range(len(h)):
         j = int(t[i])
-        left = cum[i, j] - (cum[i, first[j]] if side[i] == 0 else before[i, j])
+        left = np.array([c[i, j] - x[i, j] for c, x in zip(cum, missing[side[i]])])
         gain = float(both[i, side[i], j])
         out.append((gain if gain > 1e-10 else 0.0, int(b.feature[j]), j, bool(side[i]), left))
     return out
@@ -376,15 +377,15 @@ class ModelRows:
         grad, hess = self.g[rows], self.h[rows]
         wide = self.codes.shape[1]
         codes = self.codes.view(f"V{self.codes.itemsize * wide}").ravel()[rows].view(self.codes.dtype).reshape(len(rows), wide)
-        out = np.empty((len(held), total, 3))
+        out = np.empty((len(held), 3, total))
         for j, (n, spread, at) in enumerate(self.sets):
             cell = slot * n + codes[:, j]
-            hist = np.stack([np.bincount(cell, w, len(held) * n) for w in (grad, hess, None)], -1).reshape(len(held), n, 3)
-            out[:, at] = hist if spread is None else spread @ hist
+            hist = np.stack([np.bincount(cell, w, len(held) * n).reshape(len(held), n) for w in (grad, hess, None)], 1)
+            out[:, :, at] = hist if spread is None else (hist.reshape(-1, n) @ spread.T).reshape(len(held), 3, len(at))
         self.kept |= {i: x for (i, _, _), x in zip(g.asked, out)}
         self.kept |= {k: self.kept[p] - self.kept[i] for i, k, p in g.asked if k is not None}
         nodes = _with_siblings(g.asked)
-        return nodes, np.stack([self.kept[i] for i in nodes])
+        return nodes, np.moveaxis(np.stack([self.kept[i] for i in nodes]), 1, 2)
 
     def grown(self) -> None:
         """Add the finished tree to the margins: its nodes' rows are known as

@@ -42,14 +42,21 @@ def _split(spark, sf_dir, name):
     return training_frame(spark, sf_dir).filter(F.col("split") == name)
 
 
+def _stored(spark, models):
+    paths = {n: scratch_path(spark, f"model_{n}") for n in models}
+    TR.save_all(models, spark, paths)
+    return paths
+
+
+def _test_metrics(scored):
+    return materialize(EV.classification_metrics(scored, group_cols=["model"]), "test_metrics")
+
+
 def _fit(spark, sf_dir, names):
     """Learners fitted on the train split (their paths), and their test metrics."""
     models = dict(zip(names, TR.fit_group(_split(spark, sf_dir, "train"), [(SPECS[n], None) for n in names])))
-    paths = {n: scratch_path(spark, f"model_{n}") for n in names}
-    for n, m in models.items():
-        TR.save(m, spark, paths[n])
-    scored = TR.score_tables([(models, _split(spark, sf_dir, "test"))])
-    return paths, materialize(EV.classification_metrics(scored, group_cols=["model"]), "test_metrics")
+    paths = _stored(spark, models)
+    return paths, _test_metrics(TR.score_tables([(models, _split(spark, sf_dir, "test"))]))
 
 
 def fitted(spark, sf_dir, name):
@@ -65,17 +72,29 @@ def model(spark, sf_dir, name):
 
 
 def cv_rows(spark, sf_dir):
-    """Five refits of every learner on the train split only."""
-    return FX.session_artifact(spark, "cv", sf_dir, lambda: materialize(
-        TR.cross_validate(_split(spark, sf_dir, "train"), list(SPECS.values())), "cv_metrics"))
+    """Five refits of every learner on the train split only.  Where the fits on
+    all of it are not there yet, they are part of the same group: rows are
+    binned, dealt and scored once."""
+    def build():
+        whole = not FX.has_artifact(spark, "fitted_all", sf_dir)
+        folds, models = TR.fit_folds(_split(spark, sf_dir, "train"), list(SPECS.values()), whole=whole)
+        if whole:
+            paths = _stored(spark, models)
+            folds.append((models, _split(spark, sf_dir, "test")))
+        scored = TR.score_tables(folds, ["fold"])
+        if whole:
+            FX.session_artifact(spark, "fitted_all", sf_dir, lambda: (paths, _test_metrics(scored.filter(F.col("fold").isNull()).drop("fold"))))
+        return materialize(EV.cv_f1(scored.filter(F.col("fold").isNotNull()), group_cols=["model"]), "cv_metrics")
+
+    return FX.session_artifact(spark, "cv", sf_dir, build)
 
 
 def _runs(spark, sf_dir, cv):
     def build():
         sizes = training_frame(spark, sf_dir).agg(F.count_if(F.col("split") == "train").alias("a"), F.count_if(F.col("split") == "test").alias("b")).first()
         state = str(FX._source_state(spark, sf_dir)[1:])
-        rows = TR.run_rows(spark, list(SPECS.values()), fitted_all(spark, sf_dir)[1], cv_rows(spark, sf_dir) if cv else None,
-                           sizes["a"], sizes["b"], STARTED, state)
+        fold_metrics = cv_rows(spark, sf_dir) if cv else None
+        rows = TR.run_rows(spark, list(SPECS.values()), fitted_all(spark, sf_dir)[1], fold_metrics, sizes["a"], sizes["b"], STARTED, state)
         return materialize(rows.coalesce(1), "model_runs")
 
     return FX.session_artifact(spark, "cv_runs" if cv else "model_runs", sf_dir, build)

@@ -68,6 +68,10 @@ def session_artifact(spark: SparkSession, name: str, sf_dir: str, build):
     return _ARTIFACTS[key]
 
 
+def has_artifact(spark: SparkSession, name: str, sf_dir: str) -> bool:
+    return (name, *_source_state(spark, sf_dir)) in _ARTIFACTS
+
+
 def _source_state(spark: SparkSession, sf_dir: str) -> tuple:
     """Application, folder, and the files of its tables with their sizes and
     times: what a stored table was made from."""
