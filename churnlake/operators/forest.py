@@ -9,7 +9,8 @@ The method is that of ``pyspark.ml``'s forest: at most 32 bins a feature, a
 Poisson(1) sample of the rows a tree, the square root of the number of features
 drawn a node, Gini gain, ``minInstancesPerNode`` drawn rows in a child, leaves
 of one parent that decide alike merged, a tree's vote its leaf's share of label
-1.  A missing value counts as the largest.
+1.  Missing values are an error while fitting; while scoring they count as the
+largest.
 
 A tree's rows are kept in order of its open nodes, so a level is a sum a drawn
 feature over neighbouring cells.  Draws depend on seed, tree and the rows'
@@ -239,6 +240,8 @@ def _blocks(df: DataFrame, features, cuts: list[np.ndarray], label: str, fold: s
             cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
             if not np.isin(cols[wide], (0, 1)).all():
                 raise ValueError("labels must be 0 or 1")
+            if not all(np.isfinite(c).all() for c in cols[:wide]):
+                raise ValueError("features must not be missing or infinite")
             held.append((binned(cols[:wide], cuts), cols[wide].astype(np.uint8), cols[wide + 1].astype(np.int32)))
             if sum(len(y) for _, y, _ in held) >= BLOCK_ROWS:
                 yield block()

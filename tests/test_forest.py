@@ -28,7 +28,7 @@ def table(n, seed=1):
 
 
 def frame(spark, n, seed=1, parts=3):
-    rows = [(float(i), None if np.isnan(j) else float(j), float(k), int(l), q, q % 4) for q, (i, j, k, l) in enumerate(zip(*table(n, seed)))]
+    rows = [(float(i), 0.0 if np.isnan(j) else float(j), float(k), int(l), q, q % 4) for q, (i, j, k, l) in enumerate(zip(*table(n, seed)))]
     return spark.createDataFrame(rows, "a double, b double, c double, y int, k long, fold int").repartition(parts)
 
 
@@ -87,11 +87,16 @@ def test_a_rare_least_value_gets_a_bin(spark):
     assert cuts[0].tolist() == [0.0] and len(cuts[1]) == FO.MAX_BINS - 1
 
 
-def test_other_labels_are_an_error(spark):
+def test_other_labels_and_missing_features_are_an_error(spark):
+    """As in ``pyspark.ml``'s forest; rows that are scored may have missing values."""
     df = frame(spark, 60)
-    for bad in ("CAST(NULL AS INT)", "2"):
-        with pytest.raises(Exception, match="labels must be 0 or 1"):
-            FO.fit_many(df.withColumn("y", F.expr(bad)), [(FO.ForestSpec(2, 3), None)], B.find_bins(df, COLS), "y")
+    bins = B.find_bins(df, COLS)
+    for c, bad, said in (("y", "CAST(NULL AS INT)", "labels"), ("y", "2", "labels"), ("b", "CAST(NULL AS DOUBLE)", "features"), ("a", "CAST('inf' AS DOUBLE)", "features")):
+        with pytest.raises(Exception, match=f"{said} must"):
+            FO.fit_many(df.withColumn(c, F.expr(bad)), [(FO.ForestSpec(2, 3), None)], bins, "y")
+    model = FO.fit_many(df, [(FO.ForestSpec(4, 3), None)], bins, "y")[0]
+    votes = [[r["v"] for r in model.votes(df.withColumn("b", F.expr(f"CAST({x} AS DOUBLE)")).orderBy("k"), "v").collect()] for x in ("NULL", "1e9")]
+    assert votes[0] == votes[1] and len(votes[0]) == 60
 
 
 def test_a_large_frames_forest_never_lies_on_the_driver(spark, monkeypatch, tmp_path):
